@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass, field
-from decimal import Decimal, localcontext
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -31,10 +31,10 @@ from poolwright.operators.ranking import ranked, running_totals
 from poolwright.session import materialize
 
 NO_VALUE = "None"
-# Amounts times SHARE_UNITS: a share of the pool in units, times the pool size,
-# is then exact, and so are all running totals.
-SCALED = "decimal(38,4)"
-TAKEN = "decimal(28,11)"
+# Amounts are counted in ticks of 1/10000 and shares in units of 1e-7, both as
+# longs, so running totals are exact whatever the order they are summed in.
+TICKS = 10_000
+MONEY = "decimal(20,4)"
 POOL = "pool size"
 # Bounds of a rank bucket, the largest slice of rows ordered in one task.
 MIN_BUCKET_ROWS = 4_096
@@ -126,15 +126,8 @@ def _used_up_rank(events: Events):
 
 
 def _settled_amount(events: Events) -> Column:
-    amounts = _literal_map(events.settled, "long", TAKEN)
-    return F.lit(None).cast(TAKEN) if amounts is None else amounts[F.col("rank")]
-
-
-def _still_open(events: Events) -> Column:
-    if not events.used_up:
-        return F.lit(True)
-    rank_of = _used_up_rank(events)
-    return ~F.exists("limits", lambda limit: F.coalesce(rank_of(limit) < F.col("rank"), F.lit(False)))
+    amounts = _literal_map(events.settled, "long", MONEY)
+    return F.lit(None).cast(MONEY) if amounts is None else amounts[F.col("rank")]
 
 
 def _units(amount: Column, pool: Decimal) -> Column:
@@ -142,101 +135,119 @@ def _units(amount: Column, pool: Decimal) -> Column:
     return F.floor(amount.cast("double") * float(SHARE_UNITS) / float(pool) + 0.5)
 
 
-def _draws(rows: DataFrame, taken: Column, pool: Decimal) -> DataFrame:
-    """One row per facility and cap (its limits and the pool itself), in scaled amounts."""
-    size = F.lit(pool).cast("decimal(20,4)")
+def pool_ticks(pool: Decimal) -> int:
+    return int(pool * TICKS)
 
-    def scaled(units):
-        return (units.cast("decimal(18,0)") * size).cast(SCALED)
 
-    amount = (taken * F.lit(SHARE_UNITS).cast("decimal(8,0)")).cast(SCALED)
-    draw = scaled(F.col("_units"))
-    on_limits = F.transform("limits", lambda limit: F.struct(
-        _limit_id(limit).alias("id"), scaled(limit["allowed_units"]).alias("room"), draw.alias("draw")))
-    on_pool = F.array(F.struct(
-        F.lit(POOL).alias("id"), scaled(F.lit(SHARE_UNITS)).alias("room"), amount.alias("draw")))
-    return rows.withColumn("_units", _units(taken, pool)).select(
-        "bucket", "rank", amount.alias("wanted"), F.explode(F.concat(on_limits, on_pool)).alias("cap")
-    ).select("bucket", "rank", "wanted", "cap.*")
+def demand(candidates: DataFrame, pool: Decimal) -> DataFrame:
+    """Candidates with their draws: ``wanted`` ticks of the pool, ``units`` of each limit in ``caps``."""
+    caps = F.transform("limits", lambda limit: F.struct(
+        _limit_id(limit).alias("id"), limit["allowed_units"].alias("room")))
+    return candidates.select(
+        "rank", "bucket", (F.col("amount").cast(MONEY) * TICKS).cast("long").alias("wanted"),
+        _units(F.col("amount"), pool).alias("units"), caps.alias("caps"))
 
 
-def _binding_types(rows: DataFrame, pool: Decimal) -> list[str]:
-    """Limit types with a value whose total demand reaches its cap.
+def _draws(rows: DataFrame, pool: Decimal, kinds: list[str] | None) -> DataFrame:
+    """One row per candidate and cap, the pool included, for the given limit types."""
+    on_pool = F.struct(F.lit(POOL).alias("id"), F.lit(pool_ticks(pool)).cast("long").alias("room"))
+    draws = rows.select("rank", "bucket", "wanted", "units", F.explode(F.array_append("caps", on_pool)).alias("cap")).select(
+        "rank", "bucket", "wanted", "cap.id", "cap.room",
+        F.when(F.col("cap.id") == POOL, F.col("wanted")).otherwise(F.col("units")).alias("draw"))
+    return draws if kinds is None else draws.filter(_kind().isin(kinds))
 
-    The other types cannot reject anything and need not be followed.
-    """
-    demand = _draws(rows, F.col("amount"), pool).groupBy("id").agg(
-        F.sum("draw").alias("draw"), F.first("room").alias("room"))
-    tight = demand.filter((F.col("id") != POOL) & (F.col("draw") >= F.col("room")))
-    return [r[0] for r in tight.select(F.split("id", "\x1f")[0]).distinct().collect()]
+
+def _kind() -> Column:
+    return F.substring_index("id", "\x1f", 1)
+
+
+def _bucket_sums(draws: DataFrame) -> DataFrame:
+    """Total draw per bucket and cap (combined on the map side)."""
+    return draws.groupBy("bucket", "id").agg(F.sum("draw").alias("draw"), F.first("room").alias("room"))
 
 
-def find_events(candidates: DataFrame, pool: Decimal, last_bucket: int) -> Events:
-    """Walk the rank buckets and collect the events.
+def _binding_kinds(sums: DataFrame) -> list[str]:
+    """Limit types with a value whose total demand reaches its cap; the others reject nothing."""
+    totals = sums.groupBy("id").agg(
+        F.sum(F.col("draw").cast("decimal(20,0)")).alias("draw"), F.first("room").alias("room"))
+    binding = totals.filter(F.col("draw") >= F.col("room")).select(_kind().alias("kind")).distinct()
+    return [r[0] for r in binding.collect()]
 
-    ``candidates``: ``rank, bucket, amount, limits``, without rows on a zero
-    cap. A stretch of buckets is summed per cap (one map-side combined
-    aggregation); while no cap gets tight, whole buckets are accepted at once.
-    The first bucket where one does is resolved row by row with windows that
-    never leave that bucket.
+
+def _first_tight(sums: DataFrame, carried: DataFrame) -> int | None:
+    """First bucket in which the running total of some cap reaches its room."""
+    so_far = W.partitionBy("id").orderBy("bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
+    filled = sums.join(carried, "id", "left").withColumn(
+        "filled", F.coalesce("used", F.lit(0)) + F.sum(F.col("draw").cast("decimal(20,0)")).over(so_far))
+    return filled.filter(F.col("filled") >= F.col("room")).agg(F.min("bucket")).first()[0]
+
+
+def find_events(rows: DataFrame, pool: Decimal, last_bucket: int) -> Events:
+    """Walk the rank buckets of ``demand`` rows and collect the events.
+
+    A stretch of buckets is summed per cap; while no cap gets tight, whole
+    buckets are accepted at once. The first bucket where one does is resolved
+    row by row with windows that never leave that bucket.
     """
-    spark = candidates.sparkSession
     events = Events()
-    binding = _binding_types(candidates, pool)
-    rows = candidates.withColumn("limits", F.filter("limits", lambda x: x["limit_type"].isin(binding)))
-    carried = spark.createDataFrame([], "id string, used decimal(38,4)")
-    frontier, stretch = 0, 64
-    while frontier <= last_bucket and events.full_at is None:
-        ahead = rows.filter(F.col("bucket").between(frontier, frontier + stretch - 1) & _still_open(events))
-        per_bucket = _draws(ahead, F.col("amount"), pool).groupBy("bucket", "id").agg(
-            F.sum("draw").alias("draw"), F.first("room").alias("room")).persist()
-        so_far = W.partitionBy("id").orderBy("bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
-        filled = per_bucket.join(carried, "id", "left").withColumn(
-            "filled", F.coalesce("used", F.lit(0)) + F.sum("draw").over(so_far))
-        found = filled.filter(F.col("filled") >= F.col("room")).agg(F.min("bucket")).first()[0]
+    carried = rows.sparkSession.createDataFrame([], "id string, used long")
+    frontier, stretch, kinds = 0, last_bucket + 1, None
+    while frontier <= last_bucket:
+        ahead = rows.filter(F.col("bucket").between(frontier, frontier + stretch - 1) & _untouched(events))
+        sums = _bucket_sums(_draws(ahead, pool, kinds)).persist()
+        if kinds is None:
+            kinds = [POOL, *_binding_kinds(sums)]
+            sums = sums.filter(_kind().isin(kinds))
+        found = _first_tight(sums, carried)
         stop = frontier + stretch if found is None else found
-        passed = per_bucket.filter(F.col("bucket") < stop).select("id", F.col("draw").alias("used"))
+        passed = sums.filter(F.col("bucket") < stop).select("id", F.col("draw").alias("used"))
         used = _total_used(carried, passed)
-        if found is None:
-            stretch *= 2
-        else:
-            inside = _resolve_bucket(ahead.filter(F.col("bucket") == found), used, pool, events)
+        if found is not None:
+            inside = _resolve_bucket(_draws(ahead.filter(F.col("bucket") == found), pool, kinds), used, pool, events)
             if events.full_at is not None:
                 break
             used = _total_used(used, inside)
             stop = found + 1
         carried = materialize(used, "used")
-        per_bucket.unpersist()
+        sums.unpersist()
         frontier = stop
+        # the next event tends to be near: look ahead further only after a quiet stretch
+        stretch = 16 if found is not None else stretch * 4
     return events
 
 
+def _untouched(events: Events) -> Column:
+    """Rows beyond all events that use none of the used-up caps."""
+    if not events.used_up:
+        return F.lit(True)
+    return ~F.arrays_overlap("caps.id", F.array(*[F.lit(i) for i in events.used_up]))
+
+
 def _total_used(first: DataFrame, second: DataFrame) -> DataFrame:
-    return first.unionByName(second).groupBy("id").agg(F.sum("used").cast(SCALED).alias("used"))
+    return first.unionByName(second).groupBy("id").agg(F.sum("used").alias("used"))
 
 
-def _resolve_bucket(rows: DataFrame, used: DataFrame, pool: Decimal, events: Events) -> DataFrame:
+def _resolve_bucket(draws: DataFrame, used: DataFrame, pool: Decimal, events: Events) -> DataFrame:
     """Settle every event inside one bucket; returns what the bucket used of each cap.
 
     Each round finds the first facility that leaves nothing of one of its caps.
     All facilities before it are certain; facilities on the used-up cap drop
     out, so the next round sees smaller running totals.
     """
-    left_at_start = (F.col("room") - F.coalesce("used", F.lit(0))).cast(SCALED)
+    left_at_start = F.col("room") - F.coalesce("used", F.lit(0))
     rows = (
-        _draws(rows, F.col("amount"), pool).join(used, "id", "left").groupBy("rank")
-        .agg(F.max("wanted").alias("wanted"),
-             F.collect_list(F.struct("id", left_at_start.alias("left"), "draw")).alias("caps"))
+        draws.join(used, "id", "left").groupBy("rank", "wanted")
+        .agg(F.collect_list(F.struct("id", left_at_start.alias("left"), "draw")).alias("caps"))
         .persist()
     )
     before = W.partitionBy("id").orderBy("rank").rowsBetween(W.unboundedPreceding, -1)
-    settled: dict[int, tuple[Decimal, Decimal]] = {}
+    settled: dict[int, tuple[int, int]] = {}
     while True:
         draws = _live_draws(rows, events, settled)
-        left = draws.withColumn("left", (F.col("left") - F.coalesce(F.sum("draw").over(before), F.lit(0))).cast(SCALED))
+        left = draws.withColumn("left", F.col("left") - F.coalesce(F.sum("draw").over(before), F.lit(0)))
         event = (
-            left.groupBy("rank").agg(
-                F.max("wanted").alias("wanted"), F.min(F.col("left") - F.col("draw")).alias("after"),
+            left.groupBy("rank", "wanted").agg(
+                F.min(F.col("left") - F.col("draw")).alias("after"),
                 F.collect_list(F.struct("id", "left")).alias("caps"))
             .filter((F.col("after") <= 0) & (F.col("rank") > max(settled, default=-1)))
             .orderBy("rank").limit(1).first()
@@ -248,12 +259,12 @@ def _resolve_bucket(rows: DataFrame, used: DataFrame, pool: Decimal, events: Eve
             return draws
 
 
-def _live_draws(rows: DataFrame, events: Events, settled: dict[int, tuple[Decimal, Decimal]]) -> DataFrame:
+def _live_draws(rows: DataFrame, events: Events, settled: dict[int, tuple[int, int]]) -> DataFrame:
     """One row per open facility and cap; settled facilities draw what they really took."""
     caps = F.col("caps")
     if settled:
-        from_pool = _literal_map({r: pool for r, (pool, _) in settled.items()}, "long", SCALED)[F.col("rank")]
-        from_limits = _literal_map({r: limits for r, (_, limits) in settled.items()}, "long", SCALED)[F.col("rank")]
+        from_pool = _literal_map({r: ticks for r, (ticks, _) in settled.items()}, "long", "long")[F.col("rank")]
+        from_limits = _literal_map({r: units for r, (_, units) in settled.items()}, "long", "long")[F.col("rank")]
         caps = F.transform(caps, lambda cap: F.struct(
             cap["id"].alias("id"), cap["left"].alias("left"),
             F.coalesce(F.when(cap["id"] == POOL, from_pool).otherwise(from_limits), cap["draw"]).alias("draw")))
@@ -263,26 +274,26 @@ def _live_draws(rows: DataFrame, events: Events, settled: dict[int, tuple[Decima
     return rows.select("rank", "wanted", F.explode(caps).alias("cap")).select("rank", "wanted", "cap.*")
 
 
-def _settle(event, pool: Decimal, events: Events) -> tuple[Decimal, Decimal]:
+def _settle(event, pool: Decimal, events: Events) -> tuple[int, int]:
     """Let the facility take what its tightest cap leaves and note what it used up.
 
-    Returns its scaled draws on the pool and on each of its limits.
+    What a cap leaves is rounded to the tick. Returns the facility's draws on
+    the pool (ticks) and on each of its limits (units).
     """
-    with localcontext() as context:
-        context.prec = 60
-        left = {cap.id: cap.left for cap in event.caps}
-        take = min(event.wanted, *left.values())
-        amount = take / SHARE_UNITS
-        units = math.floor(float(amount) * SHARE_UNITS / float(pool) + 0.5)
-        events.settled[event.rank] = amount
-        for limit_id, room in left.items():
-            if room - (take if limit_id == POOL else units * pool) > 0:
-                continue
-            if limit_id == POOL:
+    size = pool_ticks(pool)
+    left = {cap.id: cap.left for cap in event.caps}
+    ticks = {i: room if i == POOL else (2 * size * room + SHARE_UNITS) // (2 * SHARE_UNITS) for i, room in left.items()}
+    take = min(event.wanted, *ticks.values())
+    amount = Decimal(take) / TICKS
+    units = math.floor(float(amount) * SHARE_UNITS / float(pool) + 0.5)
+    events.settled[event.rank] = amount
+    for limit_id, room in left.items():
+        if limit_id == POOL:
+            if room - take <= 0:
                 events.full_at = event.rank
-            else:
-                events.used_up[limit_id] = event.rank
-        return take, units * pool
+        elif room - units <= 0 or ticks[limit_id] <= take:
+            events.used_up[limit_id] = event.rank
+    return take, units
 
 
 # --- the fill -------------------------------------------------------------
@@ -319,24 +330,22 @@ def fill_pool(facilities: DataFrame, pool_size: Decimal, order: list[Column] | N
     on_zero_cap = F.exists("limits", lambda limit: limit["allowed_units"] <= 0)
     is_candidate = F.col("is_candidate") == 1
     candidates = placed.filter(is_candidate & ~on_zero_cap).select(
-        "rank", "bucket", F.col("eligible_amount").cast("decimal(20,4)").alias("amount"), "limits")
-    events = find_events(candidates, pool_size, (count - 1) // size if count else -1)
+        "rank", "bucket", F.col("eligible_amount").alias("amount"), "limits")
+    events = find_events(materialize(demand(candidates, pool_size), "demand"), pool_size,
+                         (count - 1) // size if count else -1)
 
     rank_of = _used_up_rank(events)
     settled = _settled_amount(events)
-    rejected_here = F.coalesce(settled == 0, F.lit(False))
 
     def spent(limit):
-        since = rank_of(limit)
-        return (limit["allowed_units"] <= 0) | F.coalesce(
-            (since < F.col("rank")) | ((since == F.col("rank")) & rejected_here), F.lit(False))
+        return (limit["allowed_units"] <= 0) | F.coalesce(rank_of(limit) < F.col("rank"), F.lit(False))
 
     placed = placed.withColumns({"settled": settled, "spent": F.filter("limits", spent)})
     taken = F.when(~is_candidate, F.lit(0)).when(F.col("settled").isNotNull(), F.col("settled")).when(
-        F.size("spent") > 0, F.lit(0)).otherwise(F.col("eligible_amount")).cast(TAKEN)
+        F.size("spent") > 0, F.lit(0)).otherwise(F.col("eligible_amount")).cast(MONEY)
     visited = F.lit(True) if events.full_at is None else F.col("rank") <= events.full_at
     placed = placed.withColumn("visited", visited).withColumn(
-        "allocated_amount", F.when(F.col("visited"), taken).otherwise(F.lit(0).cast(TAKEN)))
+        "allocated_amount", F.when(F.col("visited"), taken).otherwise(F.lit(0).cast(MONEY)))
     placed = running_totals(placed, [], "bucket", "rank", {
         "filled": F.col("allocated_amount"),
         "selected_so_far": F.when(F.col("allocated_amount") > 0, 1).otherwise(0),
@@ -361,7 +370,7 @@ def allocation(filled: Filled) -> DataFrame:
         "selected_rank": F.when(selected, F.col("selected_so_far")).otherwise(F.lit(0)),
         "pool_limit": F.when(visited, F.least(room_share, tightest)).otherwise(F.lit(1.0)),
         "pool_share": F.when(selected, _units(taken, filled.pool) / F.lit(float(SHARE_UNITS))).otherwise(F.lit(0.0)),
-        "cumulative_amount": F.when(visited, F.col("filled")).otherwise(F.lit(0).cast(TAKEN)),
+        "cumulative_amount": F.when(visited, F.col("filled")).otherwise(F.lit(0).cast(MONEY)),
         "cumulative_share": F.when(visited, _units(F.col("filled"), filled.pool) / F.lit(float(SHARE_UNITS)))
         .otherwise(F.lit(0.0)),
         "facility_share": F.when(selected, F.round(F.try_divide(taken.cast("double"), F.col("base_amount").cast("double")), 7))
@@ -393,7 +402,7 @@ def allocation_trace(filled: Filled) -> DataFrame:
         F.when(visited, F.col("allowed_units") * pool / share).otherwise(pool).alias("cap_amount"),
         F.when(visited, available / share).alias("available_share"),
         F.when(visited, F.col("used_units") / share).otherwise(F.lit(0.0)).alias("used_share"),
-        F.when(visited, F.col("used_amount")).otherwise(F.lit(0).cast(TAKEN)).alias("used_amount"),
+        F.when(visited, F.col("used_amount")).otherwise(F.lit(0).cast(MONEY)).alias("used_amount"),
     )
 
 

@@ -72,10 +72,9 @@ def balance_evolution(signed: DataFrame, value_date) -> DataFrame:
     contract_terms = W.partitionBy(*GRAIN, "signing_date", "expiry_date").orderBy("side", "distance")
 
     before = F.col("side") == 0
-    sign = F.when(before, -1).otherwise(1)
+    # negate rather than multiply by -1: a decimal product would lose digits
     daily = _daily(signed, value_day).withColumns({
-        "var_total": sign * F.col("var_total"),
-        "var_drawn": sign * F.col("var_drawn"),
+        c: F.when(before, -F.col(c)).otherwise(F.col(c)) for c in ("var_total", "var_drawn")
     })
     steps = daily.withColumns({
         "var_total_cum": F.sum("var_total").over(running),

@@ -14,6 +14,7 @@ KINDS = {
     "f": (lambda c: F.col(c).cast("double"), "CAST({c} AS DOUBLE)"),
     "m": (lambda c: F.col(c).cast("decimal(38,4)").cast("double"), "CAST(CAST({c} AS DECIMAL(38,4)) AS DOUBLE)"),
     "r": (lambda c: F.round(F.col(c).cast("double"), 6), "ROUND(CAST({c} AS DOUBLE), 6)"),
+    "q": (lambda c: F.round(F.col(c).cast("double"), 8), "ROUND(CAST({c} AS DOUBLE), 8)"),
     "p": (lambda c: F.round(F.col(c).cast("double"), 7), "ROUND(CAST({c} AS DOUBLE), 7)"),
 }
 

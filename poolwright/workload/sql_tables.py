@@ -186,10 +186,10 @@ CTES["links"] = f"SELECT {golden('c_custkey')} AS golden_customer_id, {customer(
 CTES["members"] = f"""
 SELECT {customer('c_custkey')} AS customer_id, 'CP' AS hierarchy_level,
        {case(L.RELATION_TYPES, 'c_nationkey % 4')} AS relation_type, 'G' || {pad('c_custkey % 40', 2)} AS group_id,
-       CASE WHEN c_custkey % 13 = 0 THEN 'S' ELSE 'N' END AS participant_header_type FROM customer
+       CASE WHEN c_custkey < 40 THEN 'S' ELSE 'N' END AS participant_header_type FROM customer
 UNION ALL
 SELECT {customer('c_custkey')}, CASE WHEN c_custkey % 11 = 0 THEN 'XX' ELSE 'CC' END, 'B',
-       'G' || {pad('c_custkey % 37', 2)}, CASE WHEN c_custkey % 13 = 0 THEN 'S' ELSE 'N' END FROM customer"""
+       'G' || {pad('c_custkey % 37', 2)}, CASE WHEN c_custkey < 40 THEN 'S' ELSE 'N' END FROM customer"""
 
 CTES["groups"] = f"""
 SELECT 'G' || {pad('c_custkey % 40', 2)} AS group_id, {pad('MIN(c_nationkey)', 2)} AS group_country,

@@ -75,16 +75,31 @@ class Tables:
     def facility(self) -> DataFrame:
         """Sums first, on the grain; order and customer attributes are joined afterwards."""
         part = self.raw("part").select(F.col("p_partkey").alias("l_partkey"), "p_type", "p_brand")
-        sums = self.lines.join(part, "l_partkey").groupBy("l_orderkey", "l_linenumber", "l_suppkey").agg(
-            F.sum("price").cast(MONEY).alias("reg_ead"),
-            F.sum(F.col("price") * (1 - F.col("disc"))).cast(MONEY).alias("funded_eur"),
-            F.sum(F.col("price") * F.col("tax")).cast("decimal(20,2)").cast(MONEY).alias("available_eur"),
-            F.sum(F.col("price") * F.col("disc")).cast(MONEY).alias("reg_capital"),
-            F.sum(F.when(F.col("l_quantity") > 45, F.floor(F.col("price") / 8).cast(MONEY)).otherwise(F.lit(0).cast(MONEY)))
-            .cast(MONEY).alias("securitized_amount"),
+        # prices have two decimals and rates whole percents: cents and percents
+        # as longs keep the sums exact without decimal arithmetic per line
+        cents = F.round(F.col("l_extendedprice") * 100).cast("long")
+        percent = {c: F.round(F.col(c) * 100).cast("long") for c in ("l_discount", "l_tax")}
+        lines = self.raw("lineitem").select(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate",
+            cents.alias("cents"), percent["l_discount"].alias("disc"), percent["l_tax"].alias("tax"))
+
+        def money(ticks: Column) -> Column:
+            return (ticks.cast("decimal(18,0)") * F.lit("0.0001").cast("decimal(4,4)")).cast(MONEY)
+
+        sums = lines.join(part, "l_partkey").groupBy("l_orderkey", "l_linenumber", "l_suppkey").agg(
+            F.sum("cents").alias("cents"),
+            F.sum(F.col("cents") * F.col("disc")).alias("disc_ticks"),
+            F.sum(F.col("cents") * F.col("tax")).alias("tax_ticks"),
+            F.sum(F.when(F.col("l_quantity") > 45, F.floor(F.col("cents") / 800)).otherwise(0)).alias("sold"),
             F.min("p_type").alias("sector"), F.min("p_brand").alias("subsector"),
-            F.max("ship_date").alias("ship_date"),
-        )
+            F.max(F.to_date("l_shipdate")).alias("ship_date"),
+        ).withColumns({
+            "reg_ead": money(F.col("cents") * 100),
+            "funded_eur": money(F.col("cents") * 100 - F.col("disc_ticks")),
+            "available_eur": money(F.col("tax_ticks")).cast("decimal(20,2)").cast(MONEY),
+            "reg_capital": money(F.col("disc_ticks")),
+            "securitized_amount": F.col("sold").cast(MONEY),
+        })
         orders = self.raw("orders").select(
             F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("c_custkey"), "o_orderstatus",
             F.to_date("o_orderdate").alias("signing_date"))
@@ -285,7 +300,7 @@ class Tables:
         return self.raw("customer").select(
             key, self._customer(key).alias("customer_id"), F.explode(F.array(first, second)).alias("m")).select(
             "customer_id", "m.hierarchy_level", "m.relation_type", "m.group_id",
-            F.when(key % 13 == 0, "S").otherwise("N").alias("participant_header_type"))
+            F.when(key < 40, "S").otherwise("N").alias("participant_header_type"))
 
     @cached_property
     def groups(self) -> DataFrame:

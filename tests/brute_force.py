@@ -1,7 +1,7 @@
 """Row-by-row fill of a pool, written from its definition; for small fixtures only."""
 
 import math
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal
 
 UNITS = 10_000_000
 
@@ -17,7 +17,7 @@ def fill(rows, pool):
         rooms = {(t, v): max(allowed - used.get((t, v), 0), 0) for t, v, allowed in limits}
         taken, why = Decimal(0), None
         if candidate and min(rooms.values(), default=UNITS) > 0:
-            by_limits = [pool * room / UNITS for room in rooms.values()]
+            by_limits = [(pool * room / UNITS).quantize(Decimal("0.0001"), ROUND_HALF_UP) for room in rooms.values()]
             taken = min([Decimal(wanted), pool - filled, *by_limits])
             filled += taken
             units = math.floor(float(taken) * UNITS / float(pool) + 0.5)
