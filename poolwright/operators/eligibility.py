@@ -9,6 +9,7 @@ from poolwright.functions.exprs import least_of
 from poolwright.operators.limits import DATE_LIMITS, RuleBook, has_lone_total, matched_share
 
 MONEY = "decimal(20,4)"
+SHARE = "decimal(9,7)"
 
 
 def base_amount(ccf: float, sellable_share: float) -> Column:
@@ -52,29 +53,34 @@ def eligible_amount(limited: DataFrame, book: RuleBook) -> DataFrame:
     """
     on_pool = [F.col(f"limit_{s.name}") for s in book.row_limits() if s.basis == "pool"]
     on_row = [F.col(f"limit_{s.name}") for s in book.row_limits() if s.basis != "pool"]
-    pool = F.lit(float(book.pool_size))
+    pool = F.lit(book.pool_size).cast(MONEY)
     return _finish(
         limited.withColumns({
             "pool_share_limit": least_of(on_pool, F.lit(1.0)),
             "row_share_limit": least_of(on_row, F.lit(1.0)),
         })
         .withColumns({
-            "cap_amount": (F.col("pool_share_limit") * pool).cast(MONEY),
-            "initial_amount": (F.col("base_amount").cast("double") * F.col("row_share_limit")).cast(MONEY),
+            "cap_amount": _part(pool, F.col("pool_share_limit")),
+            "initial_amount": _part(F.col("base_amount"), F.col("row_share_limit")),
         })
         .withColumn("eligible_amount", F.least("initial_amount", "cap_amount"))
     )
 
 
+def _part(amount: Column, share: Column) -> Column:
+    """Exact product of an amount and a share of 7 decimals, rounded once."""
+    return (amount * share.cast(SHARE)).cast(MONEY)
+
+
 def eligible_amount_mincap(limited: DataFrame, book: RuleBook) -> DataFrame:
     """Variant: every limit is an absolute cap and the least of them bounds the base amount."""
-    base, pool = F.col("base_amount").cast("double"), F.lit(float(book.pool_size))
+    pool = F.lit(book.pool_size).cast(MONEY)
     shares = [F.col(f"limit_{s.name}") for s in book.row_limits()]
-    caps = [F.col(f"limit_{s.name}") * (pool if s.basis == "pool" else base) for s in book.row_limits()]
+    caps = [_part(pool if s.basis == "pool" else F.col("base_amount"), F.col(f"limit_{s.name}")) for s in book.row_limits()]
     return _finish(
         limited.withColumns({
             "row_share_limit": least_of(shares, F.lit(1.0)),
-            "cap_amount": least_of(caps, pool).cast(MONEY),
+            "cap_amount": least_of(caps, pool),
         })
         .withColumn("eligible_amount", F.least("base_amount", "cap_amount"))
     )

@@ -148,14 +148,14 @@ SELECT *, CASE WHEN row_share_limit = 0 OR cap_amount <= 0 THEN 1 ELSE 0 END AS
   CASE WHEN row_share_limit = 0 OR cap_amount <= 0 THEN 'row limit 0' WHEN base_amount <= 0 THEN 'base amount 0' ELSE 'NA' END AS exclusion_reason
 FROM (SELECT *, LEAST(initial_amount, cap_amount) AS eligible_amount FROM (
   SELECT r.*, LEAST({', '.join(f'limit_{n}' for n in _ON_ROW)}) AS row_share_limit, limit_rating_rga_esl AS pool_share_limit,
-    CAST(limit_rating_rga_esl * CAST(size AS DOUBLE) AS {MONEY}) AS cap_amount,
-    CAST(CAST(base_amount AS DOUBLE) * LEAST({', '.join(f'limit_{n}' for n in _ON_ROW)}) AS {MONEY}) AS initial_amount
+    CAST(CAST(limit_rating_rga_esl AS DECIMAL(9,7)) * size AS {MONEY}) AS cap_amount,
+    CAST(base_amount * CAST(LEAST({', '.join(f'limit_{n}' for n in _ON_ROW)}) AS DECIMAL(9,7)) AS {MONEY}) AS initial_amount
   FROM row_limited r, pool))"""
 CTES["eligible_variant"] = f"""
 SELECT *, CASE WHEN row_share_limit = 0 OR cap_amount <= 0 THEN 1 ELSE 0 END AS excluded, LEAST(base_amount, cap_amount) AS eligible_amount,
   CASE WHEN LEAST(base_amount, cap_amount) > 0 THEN 1 ELSE 0 END AS is_candidate
 FROM (SELECT r.*, LEAST({', '.join(f'limit_{n}' for n in _ROW_NAMES)}) AS row_share_limit,
-   CAST(LEAST(limit_rating_rga_esl * CAST(size AS DOUBLE), {', '.join(f'limit_{n} * CAST(base_amount AS DOUBLE)' for n in _ON_ROW)}) AS {MONEY}) AS cap_amount
+   LEAST(CAST(CAST(limit_rating_rga_esl AS DECIMAL(9,7)) * size AS {MONEY}), {', '.join(f'CAST(CAST(limit_{n} AS DECIMAL(9,7)) * base_amount AS {MONEY})' for n in _ON_ROW)}) AS cap_amount
   FROM row_limited r, pool)"""
 
 
@@ -272,52 +272,165 @@ def ordered_candidates(t):
 # --- allocation: the whole fill as a recursive query, one step per used-up cap ---
 
 CTES["demand"] = f"""
-SELECT l.place, l.limit_type || '=' || l.limit_value AS id, CAST(l.eligible_amount AS DECIMAL(28,11)) AS amount,
-       CAST(l.allowed AS DECIMAL(18,0)) AS room_units, size,
-       CAST(FLOOR(CAST(l.eligible_amount AS DOUBLE) * {UNITS}.0::DOUBLE / CAST(size AS DOUBLE) + 0.5) AS BIGINT) AS units
-FROM pool_long l, pool WHERE is_candidate = 1
-  AND l.place NOT IN (SELECT place FROM pool_long WHERE allowed = 0)
+SELECT l.place, limit_type || '=' || limit_value AS id, CAST(eligible_amount * 10000 AS BIGINT) AS wanted, allowed AS room,
+       CAST(FLOOR(CAST(eligible_amount AS DOUBLE) * {UNITS}.0::DOUBLE / CAST(size AS DOUBLE) + 0.5) AS BIGINT) AS draw
+FROM pool_long l, pool WHERE is_candidate = 1 AND l.place NOT IN (SELECT place FROM pool_long WHERE allowed = 0)
 UNION ALL
-SELECT place, 'pool size', CAST(eligible_amount AS DECIMAL(28,11)), {UNITS}, size, 0 FROM placed, pool WHERE is_candidate = 1
-  AND place NOT IN (SELECT place FROM pool_long WHERE allowed = 0)"""
-CTES["used_ids"] = "SELECT DISTINCT id FROM demand"
-_STEP = f"""
-  SELECT d.place, d.id, d.amount, d.units, d.size, d.room_units
-  FROM demand d, fill f
-  WHERE NOT EXISTS (SELECT 1 FROM demand x WHERE FALSE)"""
-FILL = f"""
-fill AS (
-  SELECT 0 AS step, []::STRUCT(place BIGINT, take DECIMAL(28,11), ids VARCHAR[])[] AS events, FALSE AS full_pool
-  UNION ALL
-  SELECT step + 1, LIST_APPEND(events, {{'place': place, 'take': take, 'ids': ids}}), full_now
+SELECT place, 'pool', CAST(eligible_amount * 10000 AS BIGINT), CAST(size * 10000 AS BIGINT), CAST(eligible_amount * 10000 AS BIGINT)
+FROM placed, pool WHERE is_candidate = 1 AND place NOT IN (SELECT place FROM pool_long WHERE allowed = 0)"""
+CTES["fill"] = f"""
+SELECT 0 AS step, CAST([] AS STRUCT(place BIGINT, take BIGINT, units BIGINT, ids VARCHAR[])[]) AS events, FALSE AS full_pool
+UNION ALL
+SELECT f.step + 1, LIST_APPEND(f.events, STRUCT_PACK(place := e.place, take := e.take, units := e.units, ids := e.ids)), e.full_now
+FROM fill f, (
+  SELECT place, take, units, COALESCE(LIST(id) FILTER (WHERE id <> 'pool' AND (left_over - units <= 0 OR left_ticks <= take)), []) AS ids,
+         BOOL_OR(id = 'pool' AND left_over - take <= 0) AS full_now
   FROM (
-    SELECT ANY_VALUE(step) AS step, ANY_VALUE(events) AS events, place, ANY_VALUE(take) AS take,
-           LIST(id) FILTER (WHERE after <= 0 AND id <> 'pool size') AS ids, BOOL_OR(id = 'pool size' AND after <= 0) AS full_now
+    SELECT *, CAST(FLOOR(CAST(take AS DOUBLE) / 10000.0::DOUBLE * {UNITS}.0::DOUBLE / CAST(size AS DOUBLE) + 0.5) AS BIGINT) AS units
     FROM (
-      SELECT *, CASE WHEN id = 'pool size' THEN left_amount - take ELSE
-               left_units - FLOOR(CAST(take AS DOUBLE) * {UNITS}.0::DOUBLE / CAST(size AS DOUBLE) + 0.5) END AS after
+      SELECT *, LEAST(wanted, MIN(left_ticks) OVER ()) AS take
       FROM (
-        SELECT *, LEAST(amount, MIN(left_amount) OVER (PARTITION BY place)) AS take FROM (
-          SELECT *, MIN(CASE WHEN tight THEN place END) OVER () AS first_place FROM (
-            SELECT *, CASE WHEN id = 'pool size' THEN left_amount - wanted <= 0 ELSE left_units - drawn <= 0 END AND place > last_place AS tight
+        SELECT *, CASE WHEN id = 'pool' THEN left_over
+                       ELSE CAST((2 * CAST(size * 10000 AS HUGEINT) * left_over + {UNITS}) // (2 * {UNITS}) AS BIGINT) END AS left_ticks
+        FROM (
+          SELECT *, MIN(CASE WHEN left_over - drawn <= 0 AND place > last_place THEN place END) OVER () AS first_place
+          FROM (
+            SELECT place, id, wanted, drawn, last_place,
+                   room - CAST(COALESCE(SUM(drawn) OVER (PARTITION BY id ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS left_over
             FROM (
-              SELECT *, room_units - COALESCE(SUM(drawn) OVER w, 0) AS left_units,
-                CASE WHEN id = 'pool size' THEN CAST(size AS DECIMAL(28,11)) - COALESCE(SUM(wanted) OVER w, 0)
-                     ELSE CAST(size * CAST(room_units - COALESCE(SUM(drawn) OVER w, 0) AS DECIMAL(18,0)) / {UNITS} AS DECIMAL(28,11)) END AS left_amount
-              FROM (
-                SELECT d.*, f.step, f.events, COALESCE(f.events[-1].place, -1) AS last_place,
-                       COALESCE(s.take, d.amount) AS wanted,
-                       CASE WHEN s.take IS NULL THEN d.units ELSE CAST(FLOOR(CAST(s.take AS DOUBLE) * {UNITS}.0::DOUBLE / CAST(d.size AS DOUBLE) + 0.5) AS BIGINT) END AS drawn
-                FROM demand d CROSS JOIN fill f
-                LEFT JOIN (SELECT e.place, e.take FROM (SELECT UNNEST(events) AS e FROM fill)) s ON d.place = s.place
-                WHERE NOT f.full_pool AND d.place NOT IN (
-                  SELECT b.place FROM demand b JOIN (SELECT UNNEST(e.ids) AS id, e.place AS since FROM (SELECT UNNEST(events) AS e FROM fill)) u
-                    ON b.id = u.id WHERE b.place > u.since)
-              ) WINDOW w AS (PARTITION BY id ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+              SELECT d.place, d.id, d.wanted, d.room,
+                     CASE WHEN s.place IS NULL THEN d.draw WHEN d.id = 'pool' THEN s.take ELSE s.units END AS drawn,
+                     (SELECT COALESCE(MAX(LIST_LAST(events).place), -1) FROM fill) AS last_place
+              FROM demand d LEFT JOIN (SELECT ev.place, ev.take, ev.units FROM (SELECT UNNEST(events) AS ev FROM fill)) s ON d.place = s.place
+              WHERE d.place NOT IN (
+                SELECT b.place FROM demand b JOIN (SELECT UNNEST(ev.ids) AS id, ev.place AS since FROM (SELECT UNNEST(events) AS ev FROM fill)) u
+                  ON b.id = u.id AND b.place > u.since)
             )
           )
-        ) WHERE place = first_place
+        ), pool WHERE place = first_place
       )
-    ) GROUP BY place
-  )
-)"""
+    )
+  ) GROUP BY place, take, units
+) e WHERE NOT f.full_pool"""
+CTES["outcome"] = f"""
+SELECT p.*, COALESCE(p.place <= fin.full_at, TRUE) AS visited, s.take AS settled, r.blocked
+FROM placed p
+CROSS JOIN (SELECT CASE WHEN full_pool THEN LIST_LAST(events).place END AS full_at FROM fill ORDER BY step DESC LIMIT 1) fin
+LEFT JOIN (SELECT ev.place, ev.take FROM (SELECT UNNEST(events) AS ev FROM (SELECT events FROM fill ORDER BY step DESC LIMIT 1))) s ON p.place = s.place
+LEFT JOIN (
+  SELECT l.place, ARG_MAX(STRUCT_PACK(limit_type := l.limit_type, limit_value := l.limit_value, allowed := l.allowed), l.ord) AS blocked
+  FROM pool_long l LEFT JOIN (SELECT UNNEST(ev.ids) AS id, ev.place AS since FROM (SELECT UNNEST(events) AS ev FROM (SELECT events FROM fill ORDER BY step DESC LIMIT 1))) u
+    ON l.limit_type || '=' || l.limit_value = u.id
+  WHERE l.allowed = 0 OR u.since < l.place GROUP BY l.place) r ON p.place = r.place"""
+CTES["allocated"] = f"""
+SELECT o.*, taken > 0 AS is_taken, CAST(FLOOR(CAST(taken AS DOUBLE) * {UNITS}.0::DOUBLE / CAST(size AS DOUBLE) + 0.5) AS BIGINT) AS taken_units,
+       SUM(taken) OVER w AS filled, SUM(CASE WHEN taken > 0 THEN 1 ELSE 0 END) OVER w AS selected_so_far, size
+FROM (SELECT *, CAST(CASE WHEN NOT visited OR is_candidate = 0 THEN 0 WHEN settled IS NOT NULL THEN settled / 10000.0
+                     WHEN blocked IS NOT NULL THEN 0 ELSE eligible_amount END AS {MONEY}) AS taken FROM outcome) o, pool
+WINDOW w AS (ORDER BY place)"""
+CTES["portfolio"] = f"""
+SELECT a.*, taken AS allocated_amount, CAST(is_taken AS INTEGER) AS is_selected, CASE WHEN visited THEN a.place ELSE 0 END AS candidate_rank,
+  CASE WHEN is_taken THEN selected_so_far ELSE 0 END AS selected_rank,
+  CASE WHEN visited THEN LEAST(CASE WHEN CAST(filled - taken AS DOUBLE) + CAST(eligible_amount AS DOUBLE) > size
+        THEN (CAST(size AS DOUBLE) - CAST(filled - taken AS DOUBLE)) / NULLIF(CAST(eligible_amount AS DOUBLE), 0) ELSE 1 END, least_allowed / {UNITS}::DOUBLE) ELSE 1 END AS pool_limit,
+  CASE WHEN is_taken THEN taken_units / {UNITS}::DOUBLE ELSE 0 END AS pool_share,
+  CASE WHEN visited THEN filled ELSE 0 END AS cumulative_amount,
+  CASE WHEN visited THEN FLOOR(CAST(filled AS DOUBLE) * {UNITS}.0::DOUBLE / CAST(size AS DOUBLE) + 0.5) / {UNITS}::DOUBLE ELSE 0 END AS cumulative_share,
+  CASE WHEN is_taken THEN CAST(taken AS DOUBLE) / CAST(base_amount AS DOUBLE) ELSE 0 END AS facility_share,
+  CASE WHEN visited AND is_candidate = 1 AND NOT is_taken THEN CASE WHEN blocked.allowed = 0 THEN 'pool limit 0' ELSE 'pool limit used up' END ELSE exclusion_reason END AS reason,
+  CASE WHEN visited AND is_candidate = 1 AND NOT is_taken THEN blocked.limit_type || '-' || blocked.limit_value ELSE exclusion_limits END AS detail
+FROM allocated a JOIN (SELECT place, MIN(allowed) AS least_allowed FROM pool_long GROUP BY 1) m ON a.place = m.place"""
+CTES["trace"] = f"""
+SELECT l.facility_id, l.tranche_id, l.branch_id, l.place, l.limit_type, l.limit_value, l.allowed, a.visited, a.size,
+       SUM(CASE WHEN is_taken THEN taken_units ELSE 0 END) OVER w AS used, SUM(taken) OVER w AS used_amount,
+       CASE WHEN is_taken THEN taken_units ELSE 0 END AS own
+FROM pool_long l JOIN allocated a ON l.place = a.place WINDOW w AS (PARTITION BY l.limit_type, l.limit_value ORDER BY l.place)"""
+
+
+def filled_pool(t):
+    facilities, book = setup(t)
+    return selection.fill(facilities, book), book
+
+
+PORTFOLIO = (f"{KEYS} i:is_candidate m:base_amount m:eligible_amount i:is_selected m:allocated_amount i:candidate_rank i:selected_rank "
+             "p:pool_limit p:pool_share m:cumulative_amount p:cumulative_share p:facility_share exclusion_reason exclusion_detail")
+_PORTFOLIO_SQL = sql_columns(PORTFOLIO).replace("CAST(exclusion_reason AS", "CAST(reason AS").replace("CAST(exclusion_detail AS", "CAST(detail AS")
+
+
+@query("allocate_pool", f"SELECT {_PORTFOLIO_SQL} FROM portfolio", recursive=True)
+def allocate_pool(t):
+    filled, _ = filled_pool(t)
+    return project(A.allocation(filled), PORTFOLIO)
+
+
+TRACE = f"{KEYS} i:candidate_rank limit_type limit_value p:allowed_share m:cap_amount p:available_share p:used_share m:used_amount"
+
+
+@query("allocation_trace", f"""
+SELECT {sql_columns(TRACE)} FROM (SELECT *, CASE WHEN visited THEN place ELSE 0 END AS candidate_rank,
+  CASE WHEN visited THEN allowed / {UNITS}::DOUBLE ELSE 1 END AS allowed_share,
+  CASE WHEN visited THEN allowed * CAST(size AS DOUBLE) / {UNITS}::DOUBLE ELSE size END AS cap_amount,
+  CASE WHEN visited THEN GREATEST(allowed - (used - own), 0) / {UNITS}::DOUBLE END AS available_share,
+  CASE WHEN visited THEN used / {UNITS}::DOUBLE ELSE 0 END AS used_share,
+  CASE WHEN visited THEN used_amount ELSE 0 END AS used_amount_shown FROM trace)""".replace(
+    "CAST(CAST(used_amount AS", "CAST(CAST(used_amount_shown AS"), recursive=True)
+def allocation_trace(t):
+    filled, _ = filled_pool(t)
+    return project(A.allocation_trace(filled), TRACE)
+
+
+LEDGER = "limit_type limit_value p:allowed_share p:used_share m:cap_amount m:used_amount scenario"
+
+
+@query("limit_ledger", f"""
+SELECT {sql_columns(LEDGER)} FROM (SELECT l.limit_type, l.limit_value, MAX(l.allowed) / {UNITS}::DOUBLE AS allowed_share,
+  SUM(CASE WHEN is_taken THEN taken_units ELSE 0 END) / {UNITS}::DOUBLE AS used_share, MAX(l.allowed) * CAST(MAX(a.size) AS DOUBLE) / {UNITS}::DOUBLE AS cap_amount,
+  SUM(taken) AS used_amount, '{L.SCENARIO}' AS scenario FROM pool_long l JOIN allocated a ON l.place = a.place GROUP BY 1, 2)""", recursive=True)
+def limit_ledger(t):
+    filled, _ = filled_pool(t)
+    return project(A.limit_ledger(filled, L.SCENARIO), LEDGER)
+
+
+TYPED = f"{KEYS} file_tranche portfolio_type d:signing_date f:base_amount f:eligible_amount f:allocated_amount p:pool_share p:cumulative_share"
+
+
+@query("portfolio_typed", f"""
+SELECT facility_id, tranche_id, branch_id, facility_id || '_' || tranche_id AS file_tranche, 'corporate_loan' AS portfolio_type,
+  STRFTIME(signing_date, '%Y-%m-%d') AS signing_date, CAST(base_amount AS DOUBLE) AS base_amount, CAST(eligible_amount AS DOUBLE) AS eligible_amount,
+  CAST(allocated_amount AS DOUBLE) AS allocated_amount, ROUND(pool_share::DOUBLE, 7) AS pool_share, ROUND(cumulative_share::DOUBLE, 7) AS cumulative_share
+FROM portfolio""", recursive=True)
+def portfolio_typed(t):
+    filled, _ = filled_pool(t)
+    return project(report.typed_portfolio(A.allocation(filled), "corporate_loan"), TYPED)
+
+
+TOTALS = "i:facilities i:candidates i:selected m:base_amount m:eligible_amount m:allocated_amount f:pool_size r:allocated_share r:remaining"
+
+
+@query("portfolio_totals", f"""
+SELECT {sql_columns(TOTALS)} FROM (SELECT COUNT(*) AS facilities, SUM(is_candidate) AS candidates, SUM(is_selected) AS selected,
+  SUM(base_amount) AS base_amount, SUM(eligible_amount) AS eligible_amount, SUM(taken) AS allocated_amount, CAST(MAX(size) AS DOUBLE) AS pool_size,
+  CAST(SUM(taken) AS DOUBLE) / CAST(MAX(size) AS DOUBLE) AS allocated_share, CAST(MAX(size) AS DOUBLE) - CAST(SUM(taken) AS DOUBLE) AS remaining FROM portfolio)""", recursive=True)
+def portfolio_totals(t):
+    filled, book = filled_pool(t)
+    return project(report.portfolio_totals(A.allocation(filled), book.pool_size), TOTALS)
+
+
+@query("exclusion_summary", """
+SELECT CAST(is_selected AS BIGINT) AS is_selected, reason AS exclusion_reason, detail AS exclusion_detail, COUNT(*) AS n FROM portfolio GROUP BY 1, 2, 3""", recursive=True)
+def exclusion_summary(t):
+    filled, _ = filled_pool(t)
+    return project(report.exclusion_summary(A.allocation(filled)).orderBy("is_selected", "exclusion_reason", "exclusion_detail"),
+                   "i:is_selected exclusion_reason exclusion_detail i:n")
+
+
+_CHECKS = ["selected_on_zero_limit", "above_eligible", "above_pool_limit", "share_without_amount", "selected_not_candidate",
+           "zero_share_with_amount", "pool_overshoot", "cap_exceeded"]
+
+
+@query("allocation_checks", "SELECT check_name, CAST(0 AS BIGINT) AS violations FROM (VALUES "
+       + ", ".join(f"('{c}')" for c in _CHECKS) + ") v(check_name)")
+def allocation_checks(t):
+    filled, book = filled_pool(t)
+    checks = report.allocation_checks(A.allocation(filled), A.limit_ledger(filled, L.SCENARIO), book.pool_size)
+    return project(checks, "check_name i:violations")

@@ -78,6 +78,8 @@ MISSING = f"CAST({codes.MISSING_AMOUNT} AS {MONEY})"
 GRAIN = "facility_id, tranche_id, branch_id"
 
 CTES: dict[str, str] = {}
+# evaluated once although named several times, also inside a recursion
+MATERIALIZED = {"lines", "placed", "pool", "pool_long", "demand", "outcome", "allocated"}
 
 CTES["fx"] = f"SELECT currency, CAST(fx AS DECIMAL(12,6)) AS fx FROM ({values(L.FX, ['currency', 'fx'])})"
 CTES["bands"] = values(L.BANDS, ["band_from", "band_to", "short_letter", "long_letter"])
@@ -285,6 +287,7 @@ def with_ctes(query: str, recursive: bool = False) -> str:
         if name not in needed:
             needed.add(name)
             queue.extend(named(CTES[name]) - {name})
-    parts = [f"{name} AS ({CTES[name].strip()})" for name in CTES if name in needed]
+    parts = [f"{name} AS {'MATERIALIZED ' if name in MATERIALIZED else ''}({CTES[name].strip()})"
+             for name in CTES if name in needed]
     keyword = "WITH RECURSIVE" if recursive else "WITH"
     return f"{keyword} {', '.join(parts)} {query.strip()}" if parts else query.strip()
