@@ -26,9 +26,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from poolwright import GRAIN
+from poolwright.functions.exprs import all_of, least_of
 from poolwright.operators.limits import ANY, DATE_LIMITS, SHARE_UNITS, LimitSpec, RuleBook, matched_share
 from poolwright.operators.ranking import ranked, running_totals
-from poolwright.session import materialize
+from poolwright.session import literal_rows, materialize
 
 NO_VALUE = "None"
 # Amounts are counted in ticks of 1/10000 and shares in units of 1e-7, both as
@@ -36,6 +37,7 @@ NO_VALUE = "None"
 TICKS = 10_000
 MONEY = "decimal(20,4)"
 POOL = "pool size"
+SEP = "\x1f"
 # Bounds of a rank bucket, the largest slice of rows ordered in one task.
 MIN_BUCKET_ROWS = 4_096
 MAX_BUCKET_ROWS = 1_000_000
@@ -86,6 +88,15 @@ def with_pool_limits(facilities: DataFrame, book: RuleBook, always: dict[str, st
     return out.select(*facilities.columns, F.array(*items).alias("limits"))
 
 
+def limit_types(book: RuleBook, always: dict[str, str] | None = None) -> list[str]:
+    return [s.name for s in _tracked(book, ALWAYS_TRACKED if always is None else always)]
+
+
+def _types_of(limited: DataFrame) -> list[str]:
+    row = limited.select("limits.limit_type").first()
+    return list(row[0]) if row else []
+
+
 def limit_universe(limited: DataFrame, pool_size: Decimal) -> DataFrame:
     """Every (limit, value) found on the facilities with its allowed share and amount."""
     each = limited.select(F.explode("limits").alias("limit")).select("limit.*")
@@ -106,10 +117,6 @@ class Events:
     full_at: int | None = None  # rank of the facility that filled the pool
 
 
-def _limit_id(limit: Column) -> Column:
-    return F.concat_ws("\x1f", limit["limit_type"], limit["limit_value"])
-
-
 def _literal_map(values: dict, key_type: str, value_type: str) -> Column | None:
     if not values:
         return None
@@ -119,10 +126,13 @@ def _literal_map(values: dict, key_type: str, value_type: str) -> Column | None:
     return F.create_map(*pairs)
 
 
-def _used_up_rank(events: Events):
-    """Function from a limit struct to the rank at which it was used up (NULL: never)."""
-    ranks = _literal_map(events.used_up, "string", "long")
-    return lambda limit: F.lit(None).cast("long") if ranks is None else ranks[_limit_id(limit)]
+def _spent(events: Events, kind: str, value: Column, allowed: Column) -> Column:
+    """Whether a limit was at 0 from the start or used up before the row."""
+    ranks = {i.split(SEP, 1)[1]: rank for i, rank in events.used_up.items() if i.split(SEP, 1)[0] == kind}
+    spent = allowed <= 0
+    if ranks:
+        spent = spent | F.coalesce(_literal_map(ranks, "string", "long")[value] < F.col("rank"), F.lit(False))
+    return spent
 
 
 def _settled_amount(events: Events) -> Column:
@@ -139,13 +149,23 @@ def pool_ticks(pool: Decimal) -> int:
     return int(pool * TICKS)
 
 
-def demand(candidates: DataFrame, pool: Decimal) -> DataFrame:
+def _slots(types: list[str]) -> list[tuple[str, Column, Column]]:
+    """Type, value and allowed units of each place of ``limits``.
+
+    Every row lists the same types in the same order, so the places are plain
+    columns: no lambda runs per row, and Spark drops the array it does not need.
+    """
+    return [(kind, F.col("limits")[i]["limit_value"], F.col("limits")[i]["allowed_units"])
+            for i, kind in enumerate(types)]
+
+
+def demand(candidates: DataFrame, pool: Decimal, types: list[str]) -> DataFrame:
     """Candidates with their draws: ``wanted`` ticks of the pool, ``units`` of each limit in ``caps``."""
-    caps = F.transform("limits", lambda limit: F.struct(
-        _limit_id(limit).alias("id"), limit["allowed_units"].alias("room")))
+    caps = [F.struct(F.concat(F.lit(kind + SEP), value).alias("id"), allowed.alias("room"))
+            for kind, value, allowed in _slots(types)]
     return candidates.select(
         "rank", "bucket", (F.col("amount").cast(MONEY) * TICKS).cast("long").alias("wanted"),
-        _units(F.col("amount"), pool).alias("units"), caps.alias("caps"))
+        _units(F.col("amount"), pool).alias("units"), F.array(*caps).alias("caps"))
 
 
 def _draws(rows: DataFrame, pool: Decimal, kinds: list[str] | None) -> DataFrame:
@@ -158,7 +178,7 @@ def _draws(rows: DataFrame, pool: Decimal, kinds: list[str] | None) -> DataFrame
 
 
 def _kind() -> Column:
-    return F.substring_index("id", "\x1f", 1)
+    return F.substring_index("id", SEP, 1)
 
 
 def _bucket_sums(draws: DataFrame) -> DataFrame:
@@ -190,7 +210,7 @@ def find_events(rows: DataFrame, pool: Decimal, last_bucket: int) -> Events:
     row by row with windows that never leave that bucket.
     """
     events = Events()
-    carried = rows.sparkSession.createDataFrame([], "id string, used long")
+    carried = literal_rows(rows.sparkSession, [], "id string, used long")
     frontier, stretch, kinds = 0, last_bucket + 1, None
     while frontier <= last_bucket:
         ahead = rows.filter(F.col("bucket").between(frontier, frontier + stretch - 1) & _untouched(events))
@@ -318,31 +338,40 @@ class Filled:
 
 
 def fill_pool(facilities: DataFrame, pool_size: Decimal, order: list[Column] | None = None,
-              bucket_rows: int | None = None) -> Filled:
-    """Allocate the pool over ``facilities`` (with ``limits``, ``eligible_amount``, ``is_candidate``).
+              bucket_rows: int | None = None, book: RuleBook | None = None) -> Filled:
+    """Allocate the pool over ``facilities`` (with ``eligible_amount`` and ``is_candidate``).
 
     Adds the rank, the amount taken, running totals, and why a candidate was
     left out. Rows after the one that filled the pool keep initial values.
+    The limits come from ``book``, added after the sort so that it moves narrow
+    rows, or are already there as ``limits``.
     """
     placed, count = ranked(facilities, order or default_order())
+    if book is not None:
+        placed = with_pool_limits(placed, book)
     size = bucket_rows or bucket_rows_for(count)
     placed = placed.withColumn("bucket", F.floor((F.col("rank") - 1) / size).cast("long"))
-    on_zero_cap = F.exists("limits", lambda limit: limit["allowed_units"] <= 0)
+    types = limit_types(book) if book is not None else _types_of(placed)
+    slots = _slots(types)
     is_candidate = F.col("is_candidate") == 1
-    candidates = placed.filter(is_candidate & ~on_zero_cap).select(
+    open_caps = all_of([allowed > 0 for _, _, allowed in slots])
+    candidates = placed.filter(is_candidate & open_caps).select(
         "rank", "bucket", F.col("eligible_amount").alias("amount"), "limits")
-    events = find_events(materialize(demand(candidates, pool_size), "demand"), pool_size,
+    events = find_events(materialize(demand(candidates, pool_size, types), "demand"), pool_size,
                          (count - 1) // size if count else -1)
 
-    rank_of = _used_up_rank(events)
-    settled = _settled_amount(events)
-
-    def spent(limit):
-        return (limit["allowed_units"] <= 0) | F.coalesce(rank_of(limit) < F.col("rank"), F.lit(False))
-
-    placed = placed.withColumns({"settled": settled, "spent": F.filter("limits", spent)})
+    # the last limit in sheet order that rejects the row
+    spent = [F.when(_spent(events, kind, value, allowed), F.struct(
+        F.lit(kind).alias("limit_type"), value.alias("limit_value"), allowed.alias("allowed_units")))
+        for kind, value, allowed in slots]
+    # reduced to scalars here, so that the running totals do not shuffle the arrays
+    placed = placed.withColumns({
+        "settled": _settled_amount(events),
+        "last_spent": F.coalesce(*reversed(spent)),
+        "tightest_units": least_of([allowed for _, _, allowed in slots], F.lit(SHARE_UNITS).cast("long")),
+    })
     taken = F.when(~is_candidate, F.lit(0)).when(F.col("settled").isNotNull(), F.col("settled")).when(
-        F.size("spent") > 0, F.lit(0)).otherwise(F.col("eligible_amount")).cast(MONEY)
+        F.col("last_spent").isNotNull(), F.lit(0)).otherwise(F.col("eligible_amount")).cast(MONEY)
     visited = F.lit(True) if events.full_at is None else F.col("rank") <= events.full_at
     placed = placed.withColumn("visited", visited).withColumn(
         "allocated_amount", F.when(F.col("visited"), taken).otherwise(F.lit(0).cast(MONEY)))
@@ -361,9 +390,9 @@ def allocation(filled: Filled) -> DataFrame:
     before = (F.col("filled") - taken).cast("double")
     wanted = F.col("eligible_amount").cast("double")
     room_share = F.when(before + wanted > size, F.try_divide(F.lit(size) - before, wanted)).otherwise(F.lit(1.0))
-    tightest = F.array_min(F.transform("limits", lambda x: x["allowed_units"])) / F.lit(float(SHARE_UNITS))
+    tightest = F.col("tightest_units") / F.lit(float(SHARE_UNITS))
     rejected = visited & (F.col("is_candidate") == 1) & ~selected
-    last_spent = F.element_at("spent", -1)
+    last_spent = F.col("last_spent")
     return rows.withColumns({
         "is_selected": selected.cast("int"),
         "candidate_rank": F.when(visited, F.col("rank")).otherwise(F.lit(0)),
@@ -382,7 +411,7 @@ def allocation(filled: Filled) -> DataFrame:
         "exclusion_detail": F.when(
             rejected, F.concat_ws("-", last_spent["limit_type"], last_spent["limit_value"]),
         ).otherwise(F.col("exclusion_detail")),
-    }).drop("settled", "spent", "filled", "selected_so_far")
+    }).drop("settled", "last_spent", "tightest_units", "filled", "selected_so_far", "limits")
 
 
 def allocation_trace(filled: Filled) -> DataFrame:

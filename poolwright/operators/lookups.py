@@ -19,8 +19,8 @@ def convert_currency(df: DataFrame, fx: DataFrame, amounts: dict[str, str],
                      currency_col: str = "currency", keep_original: bool = False) -> DataFrame:
     """``amount * fx`` for each ``source -> target``; a missing rate counts as 1.
 
-    ``fx`` (columns ``currency``, ``fx``) has one row per currency; Spark
-    broadcasts it from its known size.
+    ``fx`` (columns ``currency``, ``fx``) has one row per currency; read from a
+    table or made by ``literal_rows`` its size is known and Spark broadcasts it.
     """
     rates = fx.select(F.col("currency").alias(currency_col), F.col("fx"))
     joined = df.join(rates, currency_col, "left").withColumn(

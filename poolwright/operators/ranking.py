@@ -29,7 +29,8 @@ def ranked(df: DataFrame, order: list[Column], label: str = "ranked") -> tuple[D
     totals = list(accumulate((n for _, n in sizes), initial=0))
     offsets = df.sparkSession.createDataFrame(
         [(part, offset) for (part, _), offset in zip(sizes, totals)], "_part int, _offset long")
-    out = stored.join(offsets, "_part").withColumn("rank", F.col("_offset") + F.col("_place") + 1)
+    # one row per sort partition, so the broadcast is bounded by the shuffle setting
+    out = stored.join(F.broadcast(offsets), "_part").withColumn("rank", F.col("_offset") + F.col("_place") + 1)
     return out.drop("_part", "_place", "_offset"), totals[-1]
 
 
@@ -48,7 +49,8 @@ def running_totals(df: DataFrame, keys: list[str], bucket: str, order: str,
     offsets = totals.select(*keys, bucket, *[
         F.coalesce(F.sum(f"_t_{name}").over(earlier), F.lit(0)).alias(f"_o_{name}") for name in sums])
     within = W.partitionBy(*keys, bucket).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    joined = named.join(offsets, [*keys, bucket])
+    # without keys there is one row per bucket, and buckets are few by construction
+    joined = named.join(offsets if keys else F.broadcast(offsets), [*keys, bucket])
     return joined.withColumns({
         name: F.col(f"_o_{name}") + F.sum(f"_{name}").over(within) for name in sums
     }).drop(*[f"_{name}" for name in sums], *[f"_o_{name}" for name in sums])

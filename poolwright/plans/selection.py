@@ -12,6 +12,7 @@ from poolwright.functions import exprs as E
 from poolwright.operators import allocation as A
 from poolwright.operators import eligibility, limits, report
 from poolwright.operators.limits import RuleBook
+from poolwright.session import literal_rows
 
 
 def portfolio_type_of(header: DataFrame) -> str:
@@ -42,8 +43,7 @@ def eligible(facilities: DataFrame, book: RuleBook) -> DataFrame:
 
 
 def fill(facilities: DataFrame, book: RuleBook) -> A.Filled:
-    limited = A.with_pool_limits(eligible(facilities, book), book)
-    return A.fill_pool(limited, book.pool_size)
+    return A.fill_pool(eligible(facilities, book), book.pool_size, book=book)
 
 
 @dataclass
@@ -94,7 +94,8 @@ def pool_constants(sheet: DataFrame, facilities: DataFrame, lgd_col: str, cost_i
     spark = sheet.sparkSession
     of_sheet = sheet.filter(F.col("limit_type") == "constant_type").select(
         "name_list_desc", F.col("concept1_desc").alias("constant_type"), F.col("limit_value").alias("constant_value"))
-    rates = spark.createDataFrame([("all", name, float(v)) for name, v in fixed.items()], of_sheet.schema)
+    rates = literal_rows(spark, [("all", name, float(v)) for name, v in fixed.items()],
+                         "name_list_desc string, constant_type string, constant_value double")
     lgd = facilities.agg(F.try_divide(F.sum(lgd_col).cast("double"), F.count(lgd_col).cast("double")).alias("constant_value"))
 
     def named(df: DataFrame, name: str) -> DataFrame:

@@ -6,6 +6,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _local_dir: str | None = None
 
@@ -36,3 +38,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = f"{work_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """Small table held in the plan itself.
+
+    Unlike rows shipped as a distributed collection its size is known to the
+    optimizer, so joins with it are broadcast and the other side stays in place.
+    """
+    fields = T.StructType.fromDDL(schema).fields
+    one = spark.range(1)
+    if not rows:
+        return one.filter(F.lit(False)).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(fields, row)]) for row in rows]
+    return one.select(F.inline(F.array(*structs)))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from poolwright.session import literal_rows
+
 
 def read_csv(spark: SparkSession, path: str, columns: list[str], sep: str = ";") -> DataFrame:
     """Headered text; every column arrives as a string and is cast by its consumer."""
@@ -14,4 +16,4 @@ def read_csv(spark: SparkSession, path: str, columns: list[str], sep: str = ";")
 
 def literal_dimension(spark: SparkSession, mapping: dict, key: str, value: str) -> DataFrame:
     """Two-column table from a dict; its exact size lets Spark broadcast it on its own."""
-    return spark.createDataFrame(list(mapping.items()), [key, value])
+    return literal_rows(spark, list(mapping.items()), f"{key} string, {value} string")

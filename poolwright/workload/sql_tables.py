@@ -99,7 +99,7 @@ SELECT CAST(l_orderkey AS VARCHAR) AS facility_id, CAST(l_linenumber AS VARCHAR)
        {case(L.REGION_CURRENCY, 'MIN(n_regionkey)')} AS currency,
        {case(L.STATUS_PRODUCT, 'MIN(o_orderstatus)')} AS financial_product,
        CASE WHEN MIN(c_mktsegment) = 'BUILDING' THEN 'Project Finance' ELSE 'Corporate Facilities' END AS com_product,
-       MIN(p_type) AS sector, MIN(p_brand) AS subsector,
+       ARG_MIN(p_type, l_partkey) AS sector, ARG_MIN(p_brand, l_partkey) AS subsector,
        CAST(MIN(o_orderdate) AS DATE) AS signing_date,
        MAX(ship_date) + CAST(365 * l_linenumber AS INTEGER) AS expiry_date,
        CAST(SUM(price) AS {MONEY}) AS reg_ead,

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from poolwright import GRAIN
 from poolwright.functions import codes
 from poolwright.functions.exprs import lookup, non_investment_flag, rating_ordinal
+from poolwright.session import literal_rows
 from poolwright.workload import literals as L
 
 MONEY = "decimal(20,4)"
@@ -43,7 +44,7 @@ class Tables:
         return self.spark.read.parquet(f"{self.path}/{name}.parquet")
 
     def literal(self, rows: list[tuple], schema: str) -> DataFrame:
-        return self.spark.createDataFrame(rows, schema)
+        return literal_rows(self.spark, rows, schema)
 
     # --- dimensions held as literals ---
 
@@ -74,7 +75,6 @@ class Tables:
     @cached_property
     def facility(self) -> DataFrame:
         """Sums first, on the grain; order and customer attributes are joined afterwards."""
-        part = self.raw("part").select(F.col("p_partkey").alias("l_partkey"), "p_type", "p_brand")
         # prices have two decimals and rates whole percents: cents and percents
         # as longs keep the sums exact without decimal arithmetic per line
         cents = F.round(F.col("l_extendedprice") * 100).cast("long")
@@ -86,12 +86,12 @@ class Tables:
         def money(ticks: Column) -> Column:
             return (ticks.cast("decimal(18,0)") * F.lit("0.0001").cast("decimal(4,4)")).cast(MONEY)
 
-        sums = lines.join(part, "l_partkey").groupBy("l_orderkey", "l_linenumber", "l_suppkey").agg(
+        sums = lines.groupBy("l_orderkey", "l_linenumber", "l_suppkey").agg(
             F.sum("cents").alias("cents"),
             F.sum(F.col("cents") * F.col("disc")).alias("disc_ticks"),
             F.sum(F.col("cents") * F.col("tax")).alias("tax_ticks"),
             F.sum(F.when(F.col("l_quantity") > 45, F.floor(F.col("cents") / 800)).otherwise(0)).alias("sold"),
-            F.min("p_type").alias("sector"), F.min("p_brand").alias("subsector"),
+            F.min("l_partkey").alias("p_partkey"),
             F.max(F.to_date("l_shipdate")).alias("ship_date"),
         ).withColumns({
             "reg_ead": money(F.col("cents") * 100),
@@ -105,7 +105,9 @@ class Tables:
             F.to_date("o_orderdate").alias("signing_date"))
         customer = self.raw("customer").select("c_custkey", "c_nationkey", "c_mktsegment")
         nation = self.raw("nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name", "n_regionkey")
-        j = sums.join(orders, "l_orderkey").join(customer, "c_custkey").join(nation, "c_nationkey")
+        part = self.raw("part").select("p_partkey", F.col("p_type").alias("sector"), F.col("p_brand").alias("subsector"))
+        customer = customer.join(nation, "c_nationkey")
+        j = sums.join(part, "p_partkey").join(orders.join(customer, "c_custkey"), "l_orderkey")
         rating = letter(F.col("c_custkey") + F.col("l_linenumber"))
         return j.select(
             F.col("l_orderkey").cast("string").alias("facility_id"),
@@ -226,8 +228,9 @@ class Tables:
     @cached_property
     def relations(self) -> DataFrame:
         level = F.when(F.col("l_partkey") % 4 == 0, "CONTRACT").otherwise("FACILITY")
-        return self.lines.select(
-            self._contract().alias("contract_id"), *self._loan_key(), level.alias("relation_level")).distinct()
+        # the ids are built from these numbers, so deduplicate before building them
+        keys = self.raw("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").distinct()
+        return keys.select(self._contract().alias("contract_id"), *self._loan_key(), level.alias("relation_level"))
 
     def _capital_lines(self) -> DataFrame:
         return self.lines.filter(F.col("l_returnflag") != "N")
