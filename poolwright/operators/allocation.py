@@ -18,7 +18,7 @@ cap shares alone would let it overshoot the target.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from poolwright import GRAIN
 from poolwright.functions.exprs import all_of, least_of
-from poolwright.operators.limits import ANY, DATE_LIMITS, SHARE_UNITS, LimitSpec, RuleBook, matched_share
+from poolwright.operators.limits import DATE_LIMITS, SHARE_UNITS, LimitSpec, RuleBook, matched_share
 from poolwright.operators.ranking import ranked, running_totals
 from poolwright.session import literal_rows, materialize
 
@@ -39,7 +39,7 @@ MONEY = "decimal(20,4)"
 POOL = "pool size"
 SEP = "\x1f"
 # Bounds of a rank bucket, the largest slice of rows ordered in one task.
-MIN_BUCKET_ROWS = 4_096
+MIN_BUCKET_ROWS = 16_384
 MAX_BUCKET_ROWS = 1_000_000
 TARGET_BUCKETS = 2_048
 # always followed, whether the sheet limits them or not
@@ -66,18 +66,13 @@ def with_pool_limits(facilities: DataFrame, book: RuleBook, always: dict[str, st
     out, items = facilities, []
     for spec in _tracked(book, ALWAYS_TRACKED if always is None else always):
         column = spec.columns[-1]
-        single = LimitSpec(spec.name, [column], spec.scope, spec.basis, spec.null_share, spec.order,
-                           spec.rules, spec.complex, spec.literal)
-        rest = 1.0
+        single = replace(spec, columns=[column])
         if spec.rules:
-            totals = [v for c1, c2, v in spec.literal if (c2 if spec.complex else c1) == ANY]
-            if spec.name not in DATE_LIMITS and totals:
-                rest = min(totals)
             if spec.name in DATE_LIMITS:
                 # an unknown date is as restricted as one beyond the bound
                 single.null_share = spec.literal[0][2]
             out, share = matched_share(out, book, single, f"_pool_{spec.name}")
-            share = F.coalesce(share, F.lit(rest))
+            share = F.coalesce(share, F.lit(1.0 if spec.total is None else spec.total))
         else:
             share = F.lit(1.0)
         items.append(F.struct(

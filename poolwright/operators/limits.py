@@ -92,6 +92,8 @@ class LimitSpec:
     order: int
     rules: int
     complex: bool
+    # share of the rule for all values, if there is one
+    total: float | None = None
     # (concept 1, concept 2, share); only held for small rule sets
     literal: list[tuple] = field(default_factory=list)
 
@@ -120,6 +122,7 @@ def rule_book(resolved: DataFrame) -> RuleBook:
     only while they are few; longer lists (exclusions) stay in the cluster.
     """
     rule = F.struct("concept1_value", "concept2_value", "limit_value")
+    value = F.when(F.col("complex_limit") == 1, F.col("concept2_value")).otherwise(F.col("concept1_value"))
     catalogue = (
         resolved.groupBy("limit_type")
         .agg(
@@ -128,6 +131,7 @@ def rule_book(resolved: DataFrame) -> RuleBook:
             F.min("null_share").alias("null_share"), F.min("visual_order").alias("place"),
             F.max("complex_limit").alias("complex"), F.count(F.lit(1)).alias("rules"),
             F.min("limit_value").alias("value"), F.max("limit_date").alias("limit_date"),
+            F.min(F.when(value == ANY, F.col("limit_value"))).alias("total"),
         )
         .collect()
     )
@@ -137,7 +141,7 @@ def rule_book(resolved: DataFrame) -> RuleBook:
         rules.setdefault(row.limit_type, []).append(tuple(row.rule))
     specs = [
         LimitSpec(r.limit_type, r.target.split("/"), r.scope, r.basis, float(r.null_share or 0),
-                  r.place if r.place is not None else 10_000, r.rules, bool(r.complex),
+                  r.place if r.place is not None else 10_000, r.rules, bool(r.complex), r.total,
                   sorted(rules.get(r.limit_type, []), key=str))
         for r in catalogue
         if not r.header and r.target is not None and r.limit_type != "sts"

@@ -18,7 +18,7 @@ def work_folder(spark: SparkSession) -> str:
     Only a local-mode session that names none gets a temporary folder: on a
     cluster a machine-local path would be lost together with its machine.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
     if not spark.sparkContext.master.startswith("local"):
@@ -34,6 +34,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
     Cuts the plan where a long lineage would be re-run by several actions. The
     files survive the loss of executors, and later filters are pushed to them.
+    They are scratch: the folder may be emptied when the session is over.
     """
     path = f"{work_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)

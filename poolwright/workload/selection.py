@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from poolwright import GRAIN
@@ -17,7 +15,7 @@ from poolwright.workload import literals as L
 from poolwright.workload.basics import SHEET_SPEC
 from poolwright.workload.registry import query
 from poolwright.workload.spec import project, sql_columns
-from poolwright.workload.sql_tables import CTES, MONEY, case, in_list, text
+from poolwright.workload.sql_tables import CTES, MONEY, case
 
 KEY = "facility_id, tranche_id, branch_id"
 KEYS = "facility_id tranche_id branch_id"
@@ -25,7 +23,6 @@ UNITS = limits.SHARE_UNITS
 
 # --- sheets ---
 
-_SHEET_COLS = "rule_id, name_list_desc, limit_date, limit_type, concept1_desc, concept1_value, concept2_desc, concept2_value, limit_value, corporate_loan_flag, project_finance_flag, limit_scope, visual_order"
 CTES["active_rules"] = f"""
 SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY name_list_desc, {', '.join(codes.LIMIT_KEY)} ORDER BY limit_date DESC, rule_id) AS place
   FROM sheet_history WHERE active_flag = 1) WHERE place = 1"""
@@ -424,12 +421,20 @@ def exclusion_summary(t):
                    "i:is_selected exclusion_reason exclusion_detail i:n")
 
 
-_CHECKS = ["selected_on_zero_limit", "above_eligible", "above_pool_limit", "share_without_amount", "selected_not_candidate",
-           "zero_share_with_amount", "pool_overshoot", "cap_exceeded"]
+def _violations(name, condition, source="portfolio"):
+    return f"SELECT '{name}' AS check_name, CAST(COALESCE(SUM(CASE WHEN {condition} THEN 1 ELSE 0 END), 0) AS BIGINT) AS violations FROM {source}"
 
 
-@query("allocation_checks", "SELECT check_name, CAST(0 AS BIGINT) AS violations FROM (VALUES "
-       + ", ".join(f"('{c}')" for c in _CHECKS) + ") v(check_name)")
+@query("allocation_checks", " UNION ALL ".join([
+    _violations("selected_on_zero_limit", "is_taken AND (row_share_limit = 0 OR pool_limit = 0)"),
+    _violations("above_eligible", "taken > eligible_amount"),
+    _violations("above_pool_limit", "taken > pool_limit * size + 0.001"),
+    _violations("share_without_amount", "pool_share > 0 AND taken = 0"),
+    _violations("selected_not_candidate", "is_taken AND is_candidate = 0"),
+    _violations("zero_share_with_amount", "is_taken AND ROUND(facility_share, 7) = 0 AND taken > base_amount * 0.000001"),
+    _violations("pool_overshoot", "total > size", "(SELECT SUM(taken) AS total, MAX(size) AS size FROM portfolio)"),
+    _violations("cap_exceeded", "used > allowed", "(SELECT MAX(used) AS used, MAX(allowed) AS allowed FROM trace GROUP BY limit_type, limit_value)"),
+]), recursive=True)
 def allocation_checks(t):
     filled, book = filled_pool(t)
     checks = report.allocation_checks(A.allocation(filled), A.limit_ledger(filled, L.SCENARIO), book.pool_size)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from poolwright import GRAIN
 from poolwright.functions import codes
 from poolwright.functions.exprs import lookup, non_investment_flag, rating_ordinal
-from poolwright.session import literal_rows
+from poolwright.session import literal_rows, materialize
 from poolwright.workload import literals as L
 
 MONEY = "decimal(20,4)"
@@ -449,4 +449,5 @@ class Tables:
         pool_rule = size.select(
             *[F.lit(v).cast(t).alias(n) if n != "limit_value" else F.col("size").alias(n)
               for (n, t), v in zip(L.SHEET_COLUMNS, L.POOL_SIZE_RULE)])
-        return rows.unionByName(pool_rule)
+        # a few dozen rows, read several times: write them once
+        return materialize(rows.unionByName(pool_rule), "sheet")

@@ -119,6 +119,15 @@ def test_universe_falls_back_to_total(spark):
                    ("sts_group", "g2"): 0.02, ("sts_group", "None"): 1.0, ("currency", "EUR"): 1.0, ("financial_product", "P"): 1.0}
 
 
+def test_long_pool_rule_list_keeps_its_total(spark):
+    rules = [rule("group", f"g{i}", 0.01, "portfolio") for i in range(100)] + [rule("group", "total", 0.05, "portfolio")]
+    book = book_of(spark, rules)
+    rows = [facility("a", group_id="g7"), facility("b", group_id="other")]
+    limited = allocation.with_pool_limits(spark.createDataFrame(rows, FACILITY), book, {})
+    got = {r.limit_value: r.allowed_share for r in allocation.limit_universe(limited, book.pool_size).collect()}
+    assert got == {"g7": 0.01, "other": 0.05}
+
+
 def test_active_limits(spark):
     sheet = [rule("sts", "0", 0.02, "individual", concept1="sts_flag"),
              rule("sts_group", "1", 0.02, "portfolio", "total", concept1="sts_flag"),
