@@ -209,7 +209,7 @@ def find_events(rows: DataFrame, pool: Decimal, last_bucket: int) -> Events:
     frontier, stretch, kinds = 0, last_bucket + 1, None
     while frontier <= last_bucket:
         ahead = rows.filter(F.col("bucket").between(frontier, frontier + stretch - 1) & _untouched(events))
-        sums = _bucket_sums(_draws(ahead, pool, kinds)).persist()
+        sums = materialize(_bucket_sums(_draws(ahead, pool, kinds)), "sums")
         if kinds is None:
             kinds = [POOL, *_binding_kinds(sums)]
             sums = sums.filter(_kind().isin(kinds))
@@ -224,7 +224,6 @@ def find_events(rows: DataFrame, pool: Decimal, last_bucket: int) -> Events:
             used = _total_used(used, inside)
             stop = found + 1
         carried = materialize(used, "used")
-        sums.unpersist()
         frontier = stop
         # the next event tends to be near: look ahead further only after a quiet stretch
         stretch = 16 if found is not None else stretch * 4
@@ -250,11 +249,10 @@ def _resolve_bucket(draws: DataFrame, used: DataFrame, pool: Decimal, events: Ev
     out, so the next round sees smaller running totals.
     """
     left_at_start = F.col("room") - F.coalesce("used", F.lit(0))
-    rows = (
+    # written, so that every round starts from few, full partitions
+    rows = materialize(
         draws.join(used, "id", "left").groupBy("rank", "wanted")
-        .agg(F.collect_list(F.struct("id", left_at_start.alias("left"), "draw")).alias("caps"))
-        .persist()
-    )
+        .agg(F.collect_list(F.struct("id", left_at_start.alias("left"), "draw")).alias("caps")), "bucket")
     before = W.partitionBy("id").orderBy("rank").rowsBetween(W.unboundedPreceding, -1)
     settled: dict[int, tuple[int, int]] = {}
     while True:
