@@ -48,3 +48,61 @@ def mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return h ^ (h >> np.uint64(31))
+
+
+#: Odd multiplier of the word hash, and its inverse modulo 2**64.
+BASE = 0x9E3779B97F4A7C15
+INVERSE = pow(BASE, -1, 1 << 64)
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """base**0 .. base**(n-1) modulo 2**64."""
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+def word_hashes(flat: np.ndarray, bounds: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hash of every word (run of bytes that are no white space) and the words before each text."""
+    n = len(flat)
+    if not n:
+        return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64)
+    table = np.arange(1, 257, dtype=np.uint64)
+    if lower:
+        table[65:91] += np.uint64(32)
+    inside = np.ones(256, bool)
+    inside[list(SPACES)] = False
+    held = inside[flat]
+    first = np.zeros(n + 1, bool)
+    first[bounds] = True  # a text begins a word
+    starts = np.flatnonzero(held & (first[:-1] | ~np.concatenate([[False], held[:-1]])))
+    ends = np.flatnonzero(held & (first[1:] | ~np.concatenate([held[1:], [False]]))) + 1
+    if not len(starts):
+        return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(table[flat] * powers(BASE, n), out=sums[1:])
+    value = (sums[ends] - sums[starts]) * powers(INVERSE, n)[starts]
+    value += (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    return mixed(value), np.searchsorted(starts, bounds)
+
+
+def shingles(flat: np.ndarray, bounds: np.ndarray, size: int) -> list[np.ndarray]:
+    """Sorted distinct hashes of the ``size``-word shingles of every text; a shorter text is one shingle, an empty one none."""
+    words, at = word_hashes(flat, bounds)
+    n = len(words)
+    rolled = np.zeros(max(0, n - size + 1), np.uint64)
+    for k in range(size):
+        rolled += words[k : n - size + 1 + k] * np.uint64((0xA24BAED4963EE407 * (2 * k + 1)) % (1 << 64))
+    rolled = mixed(rolled)
+    out = []
+    for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
+        if b - a >= size:
+            out.append(np.unique(rolled[a : b - size + 1]))
+        elif b > a:
+            value = 0
+            for k, w in enumerate(words[a:b].tolist()):
+                value += w * (0xA24BAED4963EE407 * (2 * k + 1))
+            out.append(mixed(np.array([(value + b - a) % (1 << 64)], np.uint64)))
+        else:
+            out.append(np.zeros(0, np.uint64))
+    return out
