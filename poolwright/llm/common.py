@@ -62,28 +62,34 @@ def powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def word_hashes(flat: np.ndarray, bounds: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hash of every word (run of bytes that are no white space) and the words before each text."""
-    n = len(flat)
-    if not n:
-        return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64)
-    table = np.arange(1, 257, dtype=np.uint64)
-    if lower:
-        table[65:91] += np.uint64(32)
-    inside = np.ones(256, bool)
-    inside[list(SPACES)] = False
+def word_bounds(flat: np.ndarray, bounds: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin and end of every run of bytes that ``inside`` holds, and the words before each text."""
     held = inside[flat]
-    first = np.zeros(n + 1, bool)
+    first = np.zeros(len(flat) + 1, bool)
     first[bounds] = True  # a text begins a word
     starts = np.flatnonzero(held & (first[:-1] | ~np.concatenate([[False], held[:-1]])))
     ends = np.flatnonzero(held & (first[1:] | ~np.concatenate([held[1:], [False]]))) + 1
-    if not len(starts):
+    return starts, ends, np.searchsorted(starts, bounds)
+
+
+#: Bytes of words, white space aside.
+NOT_SPACE = np.ones(256, bool)
+NOT_SPACE[list(SPACES)] = False
+
+
+def word_hashes(flat: np.ndarray, bounds: np.ndarray, inside: np.ndarray = NOT_SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hash of every word, A-Z in lower case, and the words before each text."""
+    n = len(flat)
+    if not n:
         return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64)
+    starts, ends, at = word_bounds(flat, bounds, inside)
+    table = np.arange(1, 257, dtype=np.uint64)
+    table[65:91] += np.uint64(32)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(table[flat] * powers(BASE, n), out=sums[1:])
     value = (sums[ends] - sums[starts]) * powers(INVERSE, n)[starts]
     value += (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-    return mixed(value), np.searchsorted(starts, bounds)
+    return mixed(value), at
 
 
 def shingles(flat: np.ndarray, bounds: np.ndarray, size: int) -> list[np.ndarray]:
