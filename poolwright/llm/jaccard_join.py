@@ -281,3 +281,43 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: Fraction = Fracti
 def join_documents(docs: DataFrame) -> DataFrame:
     """Components under a similarity of 0.9 on three-word shingles."""
     return near_duplicates(docs, 3, Fraction(9, 10)).drop("class_key")
+
+
+def one_of_each(docs: DataFrame, size: int = 5, threshold: Fraction = Fraction(8, 10)) -> DataFrame:
+    """One row of ``docs`` for each component, with all columns: that of the smallest id.
+
+    Of rows with that id one stays, by a hash of its columns. Rows without a word stay.
+    """
+    text = column(docs, "text", "string")
+    described, salt = describe(docs.select(column(docs, "doc_id", "long").alias("doc_id"), text.alias("text")), size)
+    groups, _ = linked_classes(docs.select(text.alias("text")), size, threshold, salt)
+    classes = described.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+    classes = classes.join(groups, classes["key"] == groups["node"], "left")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("key"))
+    chosen = classes.groupBy(F.coalesce("root", "key").alias("root")).agg(F.min(order).alias("one")).select(F.col("one.key").alias("jj_chosen"))
+
+    id_ = column(docs, "doc_id", "long")
+    whole = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.coalesce(text, F.lit("")).alias("text"),
+        id_.isNull().alias("no_id"), id_.alias("id"), F.xxhash64(*[docs[c] for c in docs.columns]).alias("hash"))
+
+    def first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of each set in a batch its first row, so that a set of very many rows leaves a batch once."""
+        for batch in batches:
+            keys: list[int | None] = []
+            for part in in_slices(iter([batch]), "text"):
+                keys += [_key(s, salt) if len(s) else None for s in _sets(part, size)]
+            ranks = list(zip(batch.column("no_id").to_pylist(), batch.column("id").fill_null(0).to_pylist(), batch.column("hash").to_pylist()))
+            best: dict[int, int] = {}
+            for i, k in enumerate(keys):
+                if k is not None and (k not in best or ranks[i] < ranks[best[k]]):
+                    best[k] = i
+            kept = [k is None or best[k] == i for i, k in enumerate(keys)]
+            names = ["row", "no_id", "id", "hash", "key"]
+            out = pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:-1]), pa.array(keys, pa.int64())], names)
+            yield out.filter(pa.array(kept, pa.bool_()))
+
+    schema = whole.drop("text").schema.add("key", "long")
+    rows = whole.select("row", "text", "no_id", "id", "hash").mapInArrow(first_of_each, schema)
+    best = rows.join(chosen, rows["key"] == chosen["jj_chosen"], "left_semi").groupBy("key").agg(F.min_by("row", F.struct("no_id", "id", "hash")).alias("row"))
+    return best.select("row.*").union(rows.filter("key is null").select("row.*"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from poolwright.llm import bpe, decontaminate, jaccard_join, language_id, suffix_dedup
+from poolwright.llm import bpe, decontaminate, jaccard_join, language_id, ratio_rules, suffix_dedup, url_lists
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,14 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_lists.filter_pages(table(spark, sf_dir, "pages"))
+
+
+def op7_ratio_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ratio_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -35,6 +43,8 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op2_bpe, op4_jaccard_join, op8_decontamination, op10_suffix_dedup)
+    f.__name__: f for f in (
+        op1_language_id, op2_bpe, op4_jaccard_join, op6_url_lists, op7_ratio_rules, op8_decontamination, op10_suffix_dedup,
+    )
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op6_url_lists": url_lists.PAGES_SQL}

@@ -421,24 +421,25 @@ def _cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     change[first + b - 1 + WINDOW] -= 1
             gone = np.cumsum(change[:-1]) > 0
             edges = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
-            out.append((edges[::2].tolist(), edges[1::2].tolist(), int(gone.sum()), hashlib.sha256(data[~gone].tobytes()).hexdigest(), data[~gone].tobytes()))
+            kept = data[~gone].tobytes()
+            out.append((edges[::2].tolist(), edges[1::2].tolist(), int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore")))
         starts, ends, removed, digest, kept = zip(*out) if out else ((),) * 5
         yield pa.RecordBatch.from_arrays([
             batch.column("k1"), batch.column("k2"), pa.array(starts, pa.list_(pa.int64())), pa.array(ends, pa.list_(pa.int64())),
-            pa.array(removed, pa.int64()), pa.array(digest, pa.string()), pa.array(kept, pa.binary()),
+            pa.array(removed, pa.int64()), pa.array(digest, pa.string()), pa.array(kept, pa.string()),
         ], ["k1", "k2", "starts", "ends", "n_removed", "kept_sha256", "kept"])
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with its text made non-null as ``_text`` and a 128-bit key of it as ``k1``, ``k2``."""
-    text = F.coalesce(column(docs, "text", "string"), F.lit(""))
-    return docs.withColumns({"_text": text}).withColumns({"_k1": F.xxhash64("_text"), "_k2": F.xxhash64(F.lit("second"), "_text")})
+    """``docs`` with its text made non-null as ``dedup_text`` and a 128-bit key of it as ``dedup_k1``, ``dedup_k2``."""
+    docs = docs.withColumn("dedup_text", F.coalesce(column(docs, "text", "string"), F.lit("")))
+    return docs.withColumns({"dedup_k1": F.xxhash64("dedup_text"), "dedup_k2": F.xxhash64(F.lit("second"), "dedup_text")})
 
 
 def repeated_spans(rows: DataFrame) -> DataFrame:
     """Removed runs of the texts that have any: (k1, k2, starts, ends, n_removed, kept_sha256, kept).
 
-    ``rows`` holds (text, k1, k2), null-free. One row a text, however many rows have it.
+    The digest is that of the kept bytes; in ``kept`` characters that were cut in two are left out. ``rows`` holds (text, k1, k2), null-free. One row a text, however many rows have it.
     """
     seen = rows.mapInArrow(_anchor_rows(False), "h long, n long, lo long, hi long")
     shared = seen.groupBy("h").agg(F.sum("n").alias("total"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
@@ -473,18 +474,42 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     some = mixed_places.join(ranges, ["h", "content"]).select("k1", "k2", "place", "ranges")
     found = whole.union(several).union(some).groupBy("k1", "k2").agg(F.collect_list(F.struct("place", "ranges")).alias("found"))
     covered = texts.join(found, ["k1", "k2"]).select("k1", "k2", "text", "found")
-    return covered.mapInArrow(_cover, "k1 long, k2 long, starts array<long>, ends array<long>, n_removed long, kept_sha256 string, kept binary")
+    return covered.mapInArrow(_cover, "k1 long, k2 long, starts array<long>, ends array<long>, n_removed long, kept_sha256 string, kept string")
 
 
 def _rows(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("_text").alias("text"), F.col("_k1").alias("k1"), F.col("_k2").alias("k2"))
+    return docs.select(F.col("dedup_text").alias("text"), F.col("dedup_k1").alias("k1"), F.col("dedup_k2").alias("k2"))
 
 
 def dedup_digests(docs: DataFrame) -> DataFrame:
     """Bytes, removed bytes, removed runs and the digest of the kept bytes of every row."""
     own = keyed(docs.select(column(docs, "doc_id", "long").alias("doc_id"), column(docs, "text", "string").alias("text")))
-    spans = repeated_spans(_rows(own)).select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "n_removed", F.size("starts").cast("long").alias("n_spans"), "kept_sha256")
-    plain = own.select("doc_id", "_k1", "_k2", F.octet_length("_text").cast("long").alias("n_bytes"), F.sha2(F.col("_text").cast("binary"), 256).alias("sha"))
-    return plain.join(spans, ["_k1", "_k2"], "left").select(
+    spans = repeated_spans(_rows(own)).select("k1", "k2", "n_removed", F.size("starts").cast("long").alias("n_spans"), "kept_sha256")
+    plain = own.select(
+        "doc_id", F.col("dedup_k1").alias("k1"), F.col("dedup_k2").alias("k2"), F.octet_length("dedup_text").cast("long").alias("n_bytes"),
+        F.sha2(F.col("dedup_text").cast("binary"), 256).alias("sha"))
+    return plain.join(spans, ["k1", "k2"], "left").select(
         "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("n_spans", F.lit(0)).alias("n_spans"),
         F.coalesce("kept_sha256", "sha").alias("kept_sha256"))
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` with repeated byte strings taken out of ``text``, and ``n_chars`` counted anew.
+
+    Rows of which nothing but white space is left go; rows that had nothing else before stay.
+    """
+    own = keyed(docs)
+    spans = repeated_spans(_rows(own)).select(F.col("k1").alias("dedup_k1"), F.col("k2").alias("dedup_k2"), "kept")
+    spans = spans.withColumnRenamed("kept", "dedup_kept")
+    joined = own.join(spans, ["dedup_k1", "dedup_k2"], "left").filter(F.col("dedup_kept").isNull() | F.col("dedup_kept").rlike(r"\S"))
+    text = F.coalesce("dedup_kept", F.col("text")) if "text" in docs.columns else None
+    out = []
+    for field in docs.schema.fields:
+        if field.name == "text":
+            out.append(text.cast(field.dataType).alias("text"))
+        elif field.name == "n_chars":
+            changed = F.when(F.col("dedup_kept").isNotNull(), F.char_length("dedup_kept").cast(field.dataType))
+            out.append(F.coalesce(changed, F.col("n_chars")).alias("n_chars"))
+        else:
+            out.append(F.col(f"`{field.name}`"))
+    return joined.select(*out)
