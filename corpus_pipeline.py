@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poolwright.llm import bpe, language_id
+from poolwright.llm import bpe, decontaminate, jaccard_join, language_id, suffix_dedup
 from poolwright.session import work_folder
 
 
@@ -24,6 +24,27 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return kept.select(*[F.coalesce("lang", "lang_pred").alias("lang") if c == "lang" else F.col(f"`{c}`") for c in docs.columns])
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that five-word shingles join at 0.8: the smallest id, of equal ids one row.
+
+    Documents without a word stay.
+    """
+    return jaccard_join.one_of_each(docs)
+
+
+def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes out byte strings of 200 bytes and more that repeat; the first place of each string stays.
+
+    Documents that have nothing left but white space go.
+    """
+    return suffix_dedup.without_repeats(docs)
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a benchmark passage."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Tokens of every document and the digest of their decoded text."""
     return bpe.round_trip(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -31,6 +52,9 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES = [
     ("language_id", identify_language),
+    ("jaccard_join", drop_near_copies),
+    ("suffix_dedup", drop_repeats),
+    ("decontaminate", drop_benchmark),
     ("bpe", encode_tokens),
 ]
 
