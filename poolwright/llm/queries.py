@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from poolwright.llm import bpe, decontaminate, jaccard_join, language_id, ratio_rules, suffix_dedup, url_lists
+from poolwright.llm import bpe, decontaminate, html_extract, jaccard_join, language_id, ratio_rules, suffix_dedup, url_lists, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join_documents(table(spark, sf_dir, "documents"))
 
@@ -38,13 +42,17 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup_digests(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_language_id, op2_bpe, op4_jaccard_join, op6_url_lists, op7_ratio_rules, op8_decontamination, op10_suffix_dedup,
+        op1_language_id, op2_bpe, op3_html_extract, op4_jaccard_join, op6_url_lists, op7_ratio_rules, op8_decontamination, op9_warc, op10_suffix_dedup,
     )
 }
-ORACLE_SQL: dict[str, str] = {"op6_url_lists": url_lists.PAGES_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_url_lists": url_lists.PAGES_SQL, "op9_warc": warc.PAGES_SQL}
