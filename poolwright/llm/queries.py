@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from poolwright.llm import bpe, decontaminate, html_extract, jaccard_join, language_id, ratio_rules, suffix_dedup, url_lists, warc
+from poolwright.llm import bpe, decontaminate, html_extract, jaccard_join, kneser_ney, language_id, ratio_rules, suffix_dedup, url_lists, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,10 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_lists.filter_pages(table(spark, sf_dir, "pages"))
 
@@ -52,7 +56,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_language_id, op2_bpe, op3_html_extract, op4_jaccard_join, op6_url_lists, op7_ratio_rules, op8_decontamination, op9_warc, op10_suffix_dedup,
+        op1_language_id, op2_bpe, op3_html_extract, op4_jaccard_join, op5_kneser_ney, op6_url_lists, op7_ratio_rules, op8_decontamination, op9_warc, op10_suffix_dedup,
     )
 }
 ORACLE_SQL: dict[str, str] = {"op6_url_lists": url_lists.PAGES_SQL, "op9_warc": warc.PAGES_SQL}
