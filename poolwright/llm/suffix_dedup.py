@@ -16,8 +16,11 @@ throughout. The remaining ones are compared in shards of whole groups:
   the previous smaller suffix, and each group's order is then emitted in one scan;
 * a suffix shares most bytes with one of its neighbours, which tells where windows repeat.
 
-A group of more than ``GROUP`` different snippets is not held by one task: its
-windows are counted by their hash in an aggregation instead.
+A group of more than ``GROUP`` different snippets is not held by one task. Its windows
+are dealt into ranges of ``RANGE`` distances from the anchor; all windows of a range share a
+core of bytes, which makes a group of its own, and the bytes that the range needs are few, so equal
+ones meet in an aggregation. Ranges that are still in more than ``GROUP`` different surroundings have
+their windows counted by hash in an aggregation. Nothing is cut off.
 
 Results depend on the text of a row alone, so rows with equal texts share them;
 ids may repeat or be null. A null text is empty. Texts may be of any length; they
@@ -44,6 +47,8 @@ GRAM = 32
 BLOCK = 1 << 18
 #: Different snippets of one anchor that a task may hold.
 GROUP = 2000
+#: Distances from the anchor in a range.
+RANGE = 22
 #: Symbols of a shard's text.
 SHARD = 200_000
 
@@ -51,7 +56,7 @@ SHARD = 200_000
 # --- anchors -----------------------------------------------------------------
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=8)
 def _powers(base: int, n: int) -> np.ndarray:
     return powers(base, n)
 
@@ -365,20 +370,20 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sorted_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Ranges of repeated starts per snippet, from rows sorted by anchor hash; a shard holds whole groups."""
+    """Ranges of repeated starts per snippet, from rows sorted by group; a shard holds whole groups."""
     held: list[tuple] = []
     groups: list[list[tuple]] = []
     size = 0
 
     def done() -> pa.RecordBatch:
-        ranges = repeated_starts([[(r[2], r[3]) for r in g] for g in groups])
-        rows = [(r[0], r[1], [x for ab in found for x in ab]) for g, got in zip(groups, ranges) for r, found in zip(g, got) if found]
-        h, content, found = zip(*rows) if rows else ((), (), ())
-        return pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(content, pa.int64()), pa.array(found, pa.list_(pa.int32()))], ["h", "content", "ranges"])
+        ranges = repeated_starts([[(r[3], r[4]) for r in g] for g in groups])
+        rows = [(*r[:3], [x for ab in found for x in ab]) for g, got in zip(groups, ranges) for r, found in zip(g, got) if found]
+        h, part, content, found = zip(*rows) if rows else ((),) * 4
+        return pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(part, pa.int64()), pa.array(content, pa.int64()), pa.array(found, pa.list_(pa.int32()))], ["h", "part", "content", "ranges"])
 
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("h", "content", "before", "data"))):
-            if held and held[-1][0] != row[0]:
+        for row in zip(*(batch.column(c).to_pylist() for c in ("h", "part", "content", "before", "data"))):
+            if held and held[-1][:2] != row[:2]:
                 groups.append(held)
                 size += 6 * len(held)
                 held = []
@@ -392,17 +397,77 @@ def _sorted_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield done()
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every window of a snippet: its distance before the anchor and its hash."""
-    up, down = powers(BASE, 2 * WINDOW), powers(INVERSE, 2 * WINDOW)
+def _hashes(data: bytes, starts: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the ``size`` bytes at each start."""
+    up, down = _powers(BASE, 4 * WINDOW), _powers(INVERSE, 4 * WINDOW)
+    raw = np.frombuffer(data, np.uint8).astype(np.uint64) + np.uint64(1)
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(raw * up[: len(raw)])])
+    return mixed((sums[starts + size] - sums[starts]) * down[starts] + np.uint64(size))
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Snippets cut into ranges of window distances: (h, part, piece, n, content, first, before, data)."""
     for batch in batches:
+        out = []
         for h, content, n, before, data in zip(*(batch.column(c).to_pylist() for c in ("h", "content", "n", "before", "data"))):
-            raw = np.frombuffer(data, np.uint8).astype(np.uint64) + np.uint64(1)
-            sums = np.concatenate([[np.uint64(0)], np.cumsum(raw * up[: len(raw)])])
-            starts = np.arange(len(raw) - WINDOW + 1)
-            value = mixed((sums[starts + WINDOW] - sums[starts]) * down[starts])
+            starts = len(data) - WINDOW + 1
+            for k in range((before - starts + 1) // RANGE, before // RANGE + 1):
+                far, near = min(before, (k + 1) * RANGE - 1), max(before - starts + 1, k * RANGE)
+                # every window of the range holds its core
+                core = int(_hashes(data, np.array([before - k * RANGE]), WINDOW - RANGE + 1)[0])
+                first = before - far
+                piece = data[first : before - near + WINDOW]
+                own = int(_hashes(piece, np.zeros(1, np.int64), len(piece))[0]) ^ (far << 20) ^ len(piece)
+                out.append((h, _wrap(core ^ k), _wrap(own), n, content, first, far, piece))
+        kinds = [("h", pa.int64()), ("part", pa.int64()), ("piece", pa.int64()), ("n", pa.int64()), ("content", pa.int64()), ("first", pa.int32()), ("before", pa.int64()), ("data", pa.binary())]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kind) for i, (_, kind) in enumerate(kinds)], [name for name, _ in kinds])
+
+
+def _wrap(value: int) -> int:
+    """An unsigned 64-bit number as a signed one."""
+    return value - (1 << 64) if value >> 63 else value
+
+
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every window of a piece: its start, its distance before the anchor and its hash."""
+    for batch in batches:
+        for h, part, content, before, data in zip(*(batch.column(c).to_pylist() for c in ("h", "part", "content", "before", "data"))):
+            starts = np.arange(len(data) - WINDOW + 1)
             k = len(starts)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(k, h)), pa.array(np.full(k, content)), pa.array(np.full(k, n)), pa.array(starts), pa.array(before - starts), _signed(value)], ["h", "content", "n", "start", "d", "window"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(k, x)) for x in (h, part, content)] + [pa.array(starts), pa.array(before - starts), _signed(_hashes(data, starts, WINDOW))], ["h", "part", "content", "start", "d", "window"])
+
+
+def _ranges(rows: DataFrame) -> DataFrame:
+    """Repeated starts (h, part, content, ranges) of different snippets (h, part, content, before, data) of groups (h, part)."""
+    rows = rows.select("h", "part", "content", "before", "data")
+    large = rows.groupBy("h", "part").count().filter(F.col("count") > GROUP).select("h", "part")
+    small = rows.join(large, ["h", "part"], "left_anti").repartition("h", "part").sortWithinPartitions("h", "part", "content")
+    by_order = small.select("h", "part", "content", "before", "data").mapInArrow(_sorted_groups, "h long, part long, content long, ranges array<int>")
+    windows = rows.join(large, ["h", "part"], "left_semi").select("h", "part", "content", "before", "data").mapInArrow(
+        _windows, "h long, part long, content long, start long, d long, window long")
+    twice = windows.groupBy("h", "part", "d", "window").count().filter("count > 1").drop("count")
+    by_count = windows.join(twice, ["h", "part", "d", "window"]).groupBy("h", "part", "content").agg(
+        F.flatten(F.transform(F.array_sort(F.collect_list(F.col("start").cast("int"))), lambda s: F.array(s, s + 1))).alias("ranges"))
+    return by_order.union(by_count)
+
+
+def snippet_ranges(cut: DataFrame) -> DataFrame:
+    """Repeated starts (h, content, ranges) of the snippets of all groups; (h, content, n, before, data) are different snippets."""
+    large = cut.groupBy("h").count().filter(F.col("count") > GROUP).select("h")
+    found = _ranges(cut.join(large, "h", "left_anti").withColumn("part", F.lit(0).cast("long"))).select("h", "content", "ranges")
+    parts = cut.join(large, "h", "left_semi").select("h", "content", "n", "before", "data").mapInArrow(
+        _parts, "h long, part long, piece long, n long, content long, first int, before long, data binary")
+    parts = materialize(parts, "parts")
+    pieces = parts.groupBy("h", "part", "piece").agg(F.sum("n").alias("n"), F.first("before").alias("before"), F.first("data").alias("data"))
+    pieces = materialize(pieces, "pieces")
+    groups = pieces.groupBy("h", "part").agg(F.count("*").alias("k")).filter("k > 1").drop("k")
+    once = _ranges(pieces.join(groups, ["h", "part"], "left_semi").withColumnRenamed("piece", "content"))
+    once = once.withColumnRenamed("content", "piece")
+    several = pieces.filter("n > 1").select("h", "part", "piece", F.array(F.lit(0), (F.octet_length("data") - WINDOW + 1).cast("int")).alias("ranges"))
+    known = once.join(several, ["h", "part", "piece"], "left_anti").union(several)
+    back = parts.select("h", "part", "piece", "content", "first").join(known, ["h", "part", "piece"])
+    back = back.groupBy("h", "content").agg(F.flatten(F.collect_list(F.transform("ranges", lambda x: x + F.col("first")))).alias("ranges"))
+    return found.union(back)
 
 
 def _cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -443,7 +508,7 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     """
     seen = rows.mapInArrow(_anchor_rows(False), "h long, n long, lo long, hi long")
     shared = seen.groupBy("h").agg(F.sum("n").alias("total"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    shared = shared.filter("total > 1").select("h", (F.col("lo") != F.col("hi")).alias("mixed"))
+    shared = materialize(shared.filter("total > 1").select("h", (F.col("lo") != F.col("hi")).alias("mixed")), "shared")
     places = rows.mapInArrow(_anchor_rows(True), "h long, content long, k1 long, k2 long, place long, n long")
     places = places.join(shared, "h").groupBy("h", "content", "mixed", "k1", "k2", "place").agg(F.sum("n").alias("n"))
     places = materialize(places, "places")
@@ -457,16 +522,8 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     wanted = snippets.select("one.k1", "one.k2", F.struct("h", "content", "n", "one.place").alias("w")).groupBy("k1", "k2").agg(F.collect_list("w").alias("wanted"))
     cut = texts.join(wanted, ["k1", "k2"]).select("text", "wanted").mapInArrow(_cut, "h long, content long, n long, before long, data binary")
     cut = materialize(cut, "snippets")
-    large = cut.groupBy("h").count().filter(F.col("count") > GROUP).select("h")
-
-    sorted_ = cut.join(large, "h", "left_anti").repartition("h").sortWithinPartitions("h", "content")
-    by_order = sorted_.select("h", "content", "before", "data").mapInArrow(_sorted_groups, "h long, content long, ranges array<int>")
-    windows = cut.join(large, "h", "left_semi").mapInArrow(_windows, "h long, content long, n long, start long, d long, window long")
-    twice = windows.groupBy("h", "d", "window").agg(F.sum("n").alias("times")).filter("times > 1").select("h", "d", "window")
-    by_count = windows.join(twice, ["h", "d", "window"]).groupBy("h", "content").agg(
-        F.flatten(F.transform(F.array_sort(F.collect_list(F.col("start").cast("int"))), lambda s: F.array(s, s + 1))).alias("ranges"))
     once = snippets.filter("n = 1").select("h", "content")
-    ranges = by_order.union(by_count).join(once, ["h", "content"], "left_semi")
+    ranges = snippet_ranges(cut).join(once, ["h", "content"], "left_semi")
 
     whole = places.filter("not mixed").select("k1", "k2", "place", F.lit(None).cast("array<int>").alias("ranges"))
     several = mixed_places.join(snippets.filter("n > 1").select("h", "content"), ["h", "content"], "left_semi")
