@@ -33,7 +33,34 @@ END = "</w>"
 SHIFT = 0x10000
 #: White space as the tokenizer's regular expressions see it.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+# Letters and digits of Unicode 16, which Python's own tables do not have yet.
+UNICODE_16 = (
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D40, 0x10D65), (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4),
+    (0x11380, 0x113D3), (0x116D0, 0x116E3), (0x11BC0, 0x11BE0), (0x11BF0, 0x11BF9), (0x13460, 0x143FA), (0x16100, 0x16139), (0x16D40, 0x16D79),
+    (0x18CFF, 0x18CFF), (0x1CCF0, 0x1CCF9), (0x1E5D0, 0x1E5FA),
+)
+
+
+def later_letters() -> str:
+    """Letters and digits of the pattern library that are newer than Unicode 16; to the tokenizer they are signs."""
+    every = "".join(map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x110000)]))
+    found = (c for c in regex.findall(r"[\p{L}\p{N}]", every) if unicodedata.category(c) == "Cn")
+    return "".join(c for c in found if not any(a <= ord(c) <= b for a, b in UNICODE_16))
+
+
+LATER = later_letters()
+#: Neither these letters nor the ones below come before this sign, so most texts need not be searched for them.
+RARE = re.compile(f"[{min(LATER)}-\U0010ffff]")
+HAS_LATER = re.compile(f"[{LATER}]")
 PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{WHITE}\p{{L}}\p{{N}}]+")
+#: The same with later letters as signs; slower.
+PIECES_LATER = regex.compile(
+    rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}--[{LATER}]]+|[\p{{N}}--[{LATER}]]|[[^{WHITE}\p{{L}}\p{{N}}]||[{LATER}]]+", regex.V1)
+# Letters whose lower case is newer than Python's tables.
+LOWER = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B}
+LOWER |= {c: c + 0x20 for c in range(0x10D50, 0x10D66)} | {c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}
 #: Words kept with their tokens; beyond it the table starts anew.
 WORDS_KEPT = 200_000
 
@@ -178,7 +205,12 @@ class Encoder:
                 yield part
             else:
                 # lower case letter by letter: a final sigma is a sigma here
-                yield from PIECES.findall(unicodedata.normalize("NFC", part).replace("Σ", "σ").lower())
+                part = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
+                pieces = PIECES
+                if not part.isascii() and RARE.search(part):
+                    part = part.translate(LOWER)
+                    pieces = PIECES_LATER if HAS_LATER.search(part) else PIECES
+                yield from pieces.findall(part)
 
     def document(self, text: str) -> tuple[int, bytes, bytes]:
         """Number of tokens, packed ids and decoded text of a whole text."""

@@ -63,6 +63,8 @@ NAMES = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden|aria-hidden|style)(?:\
 PIECES = re.compile(r"[^a-zA-Z0-9]+|(?<=[a-z])(?=[A-Z])")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
+#: Weight of a tag, or of a part's text, within marked content.
+LIGHT = -0.01
 #: Classes of words: in content, in a link, in a part that is no content.
 WORD, LINKED, PART = "word", "linked word", "part word"
 
@@ -187,7 +189,7 @@ def weigh(counts: dict[tuple[str, bool], int]) -> dict[str, float]:
 def extract(page: str, weights: dict[str, float]) -> str:
     """Text of a page's content region: blocks in order, two line ends between them.
 
-    Where a page marks its content, all else on it is no content.
+    Where a page marks its content, all else on it is no content, and within the mark nothing but words weighs much.
     """
     found = list(tokens(page))
     marked = any(content for _, _, content, _ in found)
@@ -200,7 +202,8 @@ def extract(page: str, weights: dict[str, float]) -> str:
         part |= marked and not content
         if kind in (WORD, LINKED, PART):
             pieces.append((block, text, part))
-            total += len(text.split()) * weights.get(PART if part else kind, 0.0)
+            weight = weights.get(PART if part else kind, 0.0)
+            total += weights.get(WORD, 0.0) * len(text.split()) if content and not part else max(weight, LIGHT) if content else weight * len(text.split())
             if total > best:
                 best, begin, last = total, first, len(pieces)
         else:
@@ -209,7 +212,8 @@ def extract(page: str, weights: dict[str, float]) -> str:
                 block += 1
             elif name == "br" or name == "wbr":
                 pieces.append((block, " " if name == "br" else "", part))
-            total += weights.get(_class(kind), -0.5)
+            weight = weights.get(_class(kind), -0.5)
+            total += max(weight, LIGHT) if content else weight
         if total <= 0:
             total, first = 0.0, len(pieces)
     texts: dict[int, list[str]] = {}
