@@ -13,15 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from poolwright.llm import bpe, decontaminate, jaccard_join, language_id, suffix_dedup
+from poolwright.llm.common import column
 from poolwright.session import work_folder
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a language (null text, no letter); sets ``lang`` where it is null."""
-    model = language_id.fit(docs)
-    found = language_id.identify(docs, model, keep=tuple(docs.columns) if "text" in docs.columns else ())
-    kept = found.filter(F.col("lang_pred") != language_id.UNKNOWN)
-    return kept.select(*[F.coalesce("lang", "lang_pred").alias("lang") if c == "lang" else F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), column(docs, "text", "string").alias("text"))
+    found = language_id.identify(rows, language_id.fit(docs), keep=("row",)).filter(F.col("lang_pred") != language_id.UNKNOWN)
+    names = [(c, F.col("row").getField(c)) for c in docs.columns]
+    return found.select(*[(F.coalesce(value, F.col("lang_pred")) if c == "lang" else value).alias(c) for c, value in names])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
