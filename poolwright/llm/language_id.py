@@ -168,7 +168,10 @@ def fit(labelled: DataFrame, rows: int = 64, total: int = 240_000) -> Model:
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Columns ``keep`` of every row of ``docs`` with ``lang_pred`` and ``score`` (0 to 1)."""
+    """Columns ``keep`` of every row of ``docs`` with ``lang_pred`` and ``score`` (0 to 1).
+
+    Columns of those two names cannot be kept but within a struct.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(letters(column(docs, text, "string")), F.lit("")).alias("_letters"))
     schema = rows.schema
