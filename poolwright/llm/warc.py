@@ -124,17 +124,19 @@ def records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
 # --- writer --------------------------------------------------------------------
 
 
-def with_references(pages: DataFrame) -> DataFrame:
-    """Rows (page_id, url, html, refers_to): for a revisit the id of the page it repeats, else null."""
+def records_of(pages: DataFrame) -> DataFrame:
+    """Rows (page_id, url, html, digest); payloads of less than ``REVISIT_BYTES`` have no digest."""
     rows = pages.select(
         column(pages, "page_id", "long").alias("page_id"), column(pages, "url", "string").alias("url"),
         F.coalesce(column(pages, "html", "string"), F.lit("")).alias("html"))
-    rows = rows.withColumn("digest", F.when(F.octet_length("html") >= REVISIT_BYTES, F.sha1(F.col("html").cast("binary"))))
-    kept = rows.filter("digest is not null").groupBy("digest").agg(F.max("page_id").alias("kept"), F.count("*").alias("n"))
-    # payloads that occur once have no digest here, so they aren't dealt by it
-    joined = rows.join(kept.filter("n > 1").select("digest", "kept"), "digest", "left")
-    refers = F.when(~F.col("page_id").eqNullSafe(F.col("kept")), F.col("kept"))
-    return joined.select("page_id", "url", "html", refers.alias("refers_to"))
+    return rows.withColumn("digest", F.when(F.octet_length("html") >= REVISIT_BYTES, F.sha1(F.col("html").cast("binary"))))
+
+
+def references(rows: DataFrame) -> DataFrame:
+    """Rows (page_id, digest, refers_to) of the payloads that become revisits. Only ids and digests are shuffled."""
+    own = rows.filter("digest is not null").select("page_id", "digest")
+    kept = own.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).filter("n > 1 and refers_to is not null").drop("n")
+    return own.join(kept, "digest").filter(~F.col("page_id").eqNullSafe(F.col("refers_to"))).select("page_id", "digest", "refers_to").distinct()
 
 
 def edges(pages: DataFrame, shard_bytes: int) -> tuple[int, int, list[int]]:
@@ -166,8 +168,11 @@ def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, shard_byt
     system.create_dir(f"{root}/temporary", recursive=True)
     table = F.from_json(F.lit(json.dumps(shards)), "array<int>")
     place = F.floor((F.coalesce("page_id", F.lit(low)) - low) / width).cast("int")
-    rows = with_references(pages).withColumn("shard", table[place])
-    dealt = rows.repartition(max(shards) + 1, "shard").sortWithinPartitions("shard", "page_id", "url", F.sha1(F.col("html").cast("binary")))
+    rows = records_of(pages)
+    # references travel with the pages, ahead of each id, so pages are shuffled once
+    ahead = references(rows).select("page_id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"), "digest", "refers_to", F.lit(0).alias("turn"))
+    rows = ahead.union(rows.select("page_id", "url", "html", "digest", F.lit(None).cast("long"), F.lit(1))).withColumn("shard", table[place])
+    dealt = rows.repartition(max(shards) + 1, "shard").sortWithinPartitions("shard", "page_id", "turn", "url", "digest", "html")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, root = file_system(folder)
@@ -185,9 +190,16 @@ def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, shard_byt
             open_[4].update(data)
             open_[5] += len(data)
 
+        known: dict[str, int] = {}  # what this id's payloads refer to
+        known_id: int | None = None
         for batch in batches:
-            for shard, page_id, url, html, refers in zip(*(batch.column(c) for c in ("shard", "page_id", "url", "html", "refers_to"))):
-                shard = shard.as_py()
+            for shard, page_id, url, html, digest, refers in zip(*(batch.column(c) for c in ("shard", "page_id", "url", "html", "digest", "refers_to"))):
+                shard, page_id, digest = shard.as_py(), page_id.as_py(), digest.as_py()
+                if page_id != known_id:
+                    known, known_id = {}, page_id
+                if not html.is_valid:
+                    known[digest] = refers.as_py()
+                    continue
                 number = 0
                 if open_ and (open_[0] != shard or open_[5] >= roll_bytes):
                     number = open_[1] + 1 if open_[0] == shard else 0
@@ -196,7 +208,7 @@ def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, shard_byt
                     temporary = f"temporary/{shard}-{number}-{uuid.uuid4().hex}"
                     open_ += [shard, number, temporary, system.open_output_stream(f"{root}/{temporary}", compression=None), hashlib.sha256(), 0, 0]
                     put(first_member(f"pages-{shard:06d}-{number:04d}.warc.gz"))
-                put(page_member(page_id.as_py(), url.as_py(), html.as_buffer().to_pybytes(), refers.as_py()))
+                put(page_member(page_id, url.as_py(), html.as_buffer().to_pybytes(), known.get(digest)))
                 open_[6] += 1
         if open_:
             close()
@@ -204,7 +216,7 @@ def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, shard_byt
         kinds = [pa.int32(), pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string()]
         yield pa.RecordBatch.from_arrays([pa.array([d[i] for d in done], kind) for i, kind in enumerate(kinds)], names)
 
-    written = dealt.select("shard", "page_id", "url", "html", "refers_to").mapInArrow(
+    written = dealt.select("shard", "page_id", "url", "html", "digest", "refers_to").mapInArrow(
         run, "shard int, number int, temporary string, name string, records long, bytes long, sha256 string")
     written.write.parquet(f"{folder}/pending")
     commit(spark, folder)
