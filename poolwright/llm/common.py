@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: White space of the word rules: space, \t, \n, \v, \f, \r.
@@ -29,7 +31,19 @@ def utf8(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat[bounds[0] : bounds[-1]] if len(values) else flat[:0], bounds - bounds[0]
 
 
-def in_slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+@contextmanager
+def small_batches(spark: SparkSession, most: int = 8 << 20):
+    """While it holds, batches that go to Python have about ``most`` bytes, which bounds a task's memory."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def in_slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 1 << 18) -> Iterator[pa.RecordBatch]:
     """Cut batches so that a slice holds about ``most`` bytes of ``text``, one row at least."""
     for batch in batches:
         if not batch.num_rows:
@@ -55,13 +69,19 @@ BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64."""
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
+@lru_cache(maxsize=4)
+def _powers(base: int, bits: int) -> np.ndarray:
+    out = np.full(1 << bits, base, np.uint64)
+    out[0] = 1
     return np.multiply.accumulate(out)
 
 
+def powers(base: int, n: int) -> np.ndarray:
+    """base**0 .. base**(n-1) modulo 2**64; kept for the lengths of usual blocks."""
+    bits = max(12, n.bit_length())
+    return (_powers if bits <= 20 else _powers.__wrapped__)(base, bits)[:n]
+
+
 def word_bounds(flat: np.ndarray, bounds: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Begin and end of every run of bytes that ``inside`` holds, and the words before each text."""
     held = inside[flat]

@@ -8,11 +8,11 @@ on n2 - 1 smaller parts of one part at least, so each such subset is a signature
 and similar sets share one. The larger sets just above a band sign for it too, so
 pairs across its edge are found.
 
-Equal sets are one class from the start. Members of a signature are compared with
-one leader, not with each other; classes that stay apart are then compared again
-under other leaders, and in the end every pair of different components that
-shares a signature, so no link between components is missed. Candidates are
-checked on their whole sets. Only links that components need are kept.
+Equal sets are one class from the start. Members of a signature are compared with one
+leader, not with each other. Where classes under one signature stay apart after that,
+pairs of different components under it are compared too, so no link between components is
+missed: first by sketches, whose distance is never more than the sets', in blocks of ``MEMBERS``, and
+what is left on whole sets. Only links that components need are kept.
 
 Documents without a word are linked with nothing. Ids may repeat or be null; a row
 whose component has no id gets a null component. Only aggregates, never members,
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from poolwright.llm.common import column, in_slices, mixed, shingles, utf8
+from poolwright.llm.common import column, in_slices, mixed, shingles, small_batches, utf8
 from poolwright.llm.components import components
 from poolwright.session import materialize
 
@@ -38,8 +38,8 @@ from poolwright.session import materialize
 PARTS = 3
 #: Sizes within a band differ by this factor at most.
 BAND = 1.4
-#: Rounds under changing leaders before all pairs that are left are compared.
-ROUNDS = 2
+#: Members of a signature that a task holds at a time.
+MEMBERS = 2048
 
 
 class Bands:
@@ -57,13 +57,19 @@ class Bands:
         self.parts = np.array([(k + 2) // 2 for k in most], np.int64)
 
     def signing(self, sizes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-        """(set, band) for the band of each set, and again for the band below where a pair can cross the edge."""
+        """(set, band) for the band of each set, and again for every band below that holds sizes it may be similar to."""
         band = np.searchsorted(self.low, sizes, "right") - 1
-        own = np.flatnonzero(band >= 0)
-        t = self.threshold
-        crosses = own[(band[own] > 0)]
-        crosses = crosses[(self.low[band[crosses]] - 1) * t.denominator >= sizes[crosses] * t.numerator]
-        return [(own, band[own]), (crosses, band[crosses] - 1)]
+        which = np.flatnonzero(band >= 0)
+        out = [(which, band[which])]
+        t, below = self.threshold, 1
+        while True:
+            which = which[band[which] >= below]
+            most = self.low[band[which] - below + 1] - 1  # the largest size of that band
+            which = which[most * t.denominator >= sizes[which] * t.numerator]
+            if not len(which):
+                return out
+            out.append((which, band[which] - below))
+            below += 1
 
 
 def signatures(sets: list[np.ndarray], bands: Bands) -> tuple[np.ndarray, np.ndarray]:
@@ -105,8 +111,31 @@ def _key(s: np.ndarray, salt: int) -> int:
     return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8, key=salt.to_bytes(4, "big")).digest(), "big", signed=True)
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """Parities of how many elements fall into each of two places an element, 64 at least.
+
+    Every element that only one of two sets has changes one parity, so their sketches differ in no
+    more places than the sets have different elements.
+    """
+    places = 1 << max(6, min(16, (2 * len(s) - 1).bit_length()))
+    at = (mixed(s ^ np.uint64(0x3C79AC492BA7B653)) & np.uint64(places - 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=places).astype(np.uint8) & 1).tobytes()
+
+
+def folded(sketches: list[bytes]) -> np.ndarray:
+    """Sketches as rows of 64-bit words, all of the size of the smallest."""
+    size = min(map(len, sketches))
+    return np.stack([np.bitwise_xor.reduce(np.frombuffer(x, np.uint64).reshape(-1, size // 8), axis=0) for x in sketches])
+
+
+def may_link(apart: np.ndarray, a: np.ndarray, b: np.ndarray, t: Fraction) -> np.ndarray:
+    """Whether sets of sizes ``a`` and ``b`` that differ in ``apart`` elements or more can be similar enough."""
+    n, d = t.numerator, t.denominator
+    return (apart * (n + d) <= (a + b) * (d - n)) & (np.minimum(a, b) * d >= np.maximum(a, b) * n)
+
+
 def describe(docs: DataFrame, size: int) -> tuple[DataFrame, int]:
-    """Rows (doc_id, n_shingles, key): equal sets have one key, and different sets different keys.
+    """Rows (doc_id, n_shingles, key, sketch): equal sets have one key, and different sets different keys.
 
     Keys have 64 bits; two longer digests prove that no key stands for two sets, else
     another salt is taken.
@@ -122,9 +151,10 @@ def describe(docs: DataFrame, size: int) -> tuple[DataFrame, int]:
                     pa.array([_key(s, salt) if len(s) else None for s in sets], pa.int64()),
                     pa.array([int.from_bytes(d[:8], "big", signed=True) for d in digests], pa.int64()),
                     pa.array([int.from_bytes(d[8:], "big", signed=True) for d in digests], pa.int64()),
-                ], ["doc_id", "n_shingles", "key", "d1", "d2"])
+                    pa.array([sketch(s) if len(s) else None for s in sets], pa.binary()),
+                ], ["doc_id", "n_shingles", "key", "d1", "d2", "sketch"])
 
-        found = materialize(docs.mapInArrow(run, "doc_id long, n_shingles long, key long, d1 long, d2 long"), "shingled")
+        found = materialize(docs.mapInArrow(run, "doc_id long, n_shingles long, key long, d1 long, d2 long, sketch binary"), "shingled")
         alike = found.filter("key is not null").groupBy("key").agg(*[f(c).alias(f"{n}{c}") for c in ("d1", "d2") for n, f in (("lo", F.min), ("hi", F.max))])
         if alike.filter("lod1 <> hid1 or lod2 <> hid2").isEmpty():
             return found.drop("d1", "d2"), salt
@@ -135,62 +165,83 @@ def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
 
 
-def _star(keys: np.ndarray, sets: list[np.ndarray], bands: Bands) -> pa.RecordBatch:
+def _star(sigs: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
     """Signatures of different sets, with members of one signature tied to the smallest of them.
 
     Only that one goes on under the signature, so a signature that very many
-    sets share leaves a batch once.
+    sets share leaves a batch once. The others are dealt by their pair.
     """
-    keys, first = np.unique(keys, return_index=True)
-    sigs, owner = signatures([sets[i] for i in first], bands)
-    order = np.lexsort((owner, sigs))
-    sigs, owner = sigs[order], owner[order]
-    leads = np.concatenate([[True], sigs[1:] != sigs[:-1]]) if len(sigs) else np.zeros(0, bool)
-    leader = owner[np.maximum.accumulate(np.where(leads, np.arange(len(sigs)), 0))] if len(sigs) else owner
-    pairs = np.unique(owner[~leads] * len(keys) + leader[~leads]) if len(sigs) else np.zeros(0, np.int64)
-    pairs = pairs[pairs // max(1, len(keys)) != pairs % max(1, len(keys))]
-    member, lead = keys[pairs // max(1, len(keys))], keys[pairs % max(1, len(keys))]
-    sig = np.concatenate([sigs[leads], mixed(member.view(np.uint64) ^ mixed(lead.view(np.uint64)))])
-    return pa.RecordBatch.from_arrays([
-        _signed(sig), pa.array(np.concatenate([keys[owner[leads]], member])),
-        pa.array(np.concatenate([np.zeros(int(leads.sum()), np.int64), lead]), mask=np.concatenate([np.ones(int(leads.sum()), bool), np.zeros(len(lead), bool)])),
-    ], ["sig", "key", "lead"])
-
-
-def first_pairs(docs: DataFrame, size: int, bands: Bands, salt: int) -> DataFrame:
-    """Candidates (a, b): members of a signature with its leader, over all documents."""
+    order = np.lexsort((keys, sigs))
+    sigs, keys = sigs[order], keys[order]
+    leads = np.concatenate([[True], sigs[1:] != sigs[:-1]])
+    leader = keys[np.maximum.accumulate(np.where(leads, np.arange(len(sigs)), 0))]
+    leads |= keys == leader  # a set may have a signature twice
+    deal = np.where(leads, sigs, mixed(keys.view(np.uint64) ^ mixed(leader.view(np.uint64))))
+    order = np.argsort(keys, kind="stable")  # rows of a set follow each other, which packs well
+    return pa.RecordBatch.from_arrays(
+        [_signed(deal[order]), _signed(sigs[order]), pa.array(keys[order]), pa.array(leader[order], mask=leads[order])], ["deal", "sig", "key", "lead"])
+
+
+def memberships(docs: DataFrame, size: int, bands: Bands, salt: int) -> DataFrame:
+    """Rows (sig, key, lead): members of the signatures that several sets share, without the leaders themselves."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, kept = [], []
+            seen: set[int] = set()
+            found: list[tuple[np.ndarray, np.ndarray]] = []
             for part in in_slices(iter([batch]), "text"):
+                sets, keys = [], []
                 for s in _sets(part, size):
-                    if len(s) >= bands.edges[0]:
-                        kept.append(s)
-                        keys.append(_key(s, salt))
-            if keys:
-                yield _star(np.array(keys, np.int64), kept, bands)
+                    if len(s) >= bands.edges[0] and (key := _key(s, salt)) not in seen:
+                        seen.add(key)
+                        sets.append(s)
+                        keys.append(key)
+                sigs, owner = signatures(sets, bands)
+                found.append((sigs, np.array(keys, np.int64)[owner]))
+            if seen:
+                yield _star(*(np.concatenate(x) for x in zip(*found)))
 
-    signed = docs.select("text").mapInArrow(run, "sig long, key long, lead long")
-    lowest = F.min(F.when(F.col("lead").isNull(), F.col("key"))).over(Window.partitionBy("sig"))
-    return signed.select("key", F.coalesce("lead", lowest).alias("lead")).filter("key <> lead").select(F.col("key").alias("a"), F.col("lead").alias("b")).distinct()
+    signed = docs.select("text").mapInArrow(run, "deal long, sig long, key long, lead long")
+    lowest = F.min(F.when(F.col("lead").isNull(), F.col("key"))).over(Window.partitionBy("deal"))
+    return signed.select("sig", "key", F.coalesce("lead", lowest).alias("lead")).filter("key <> lead")
 
 
 def involved_sets(docs: DataFrame, keys: DataFrame, size: int, bands: Bands, salt: int) -> DataFrame:
-    """Rows (key, items): the sets of the given keys, one row a key."""
+    """Rows (key, items): the sets of the given keys, one row a key. Texts are packed on their way."""
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd")
         for batch in batches:
             seen: set[int] = set()
             for part in in_slices(iter([batch]), "text"):
                 found = [_key(s, salt) if len(s) >= bands.edges[0] else None for s in _sets(part, size)]
-                new = [k is not None and k not in seen and not seen.add(k) for k in found]
-                yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), part.column("text")], ["key", "text"]).filter(pa.array(new, pa.bool_()))
+                new = [i for i, k in enumerate(found) if k is not None and k not in seen and not seen.add(k)]
+                texts = [part.column("text")[i].as_buffer() for i in new]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([found[i] for i in new], pa.int64()), pa.array([t.size for t in texts], pa.int64()),
+                    pa.array([codec.compress(t, asbytes=True) for t in texts], pa.binary())], ["key", "size", "packed"])
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_slices(batches, "text"):
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array([s.tobytes() for s in _sets(batch, size)], pa.binary())], ["key", "items"])
+        codec = pa.Codec("zstd")
+        for batch in batches:
+            for key, n, packed in zip(*batch.columns):
+                text = pa.array([codec.decompress(packed.as_buffer(), n.as_py(), asbytes=True)], pa.binary()).cast(pa.string())
+                items = shingles(*utf8(text), size)[0]
+                yield pa.RecordBatch.from_arrays([pa.array([key.as_py()], pa.int64()), pa.array([items.tobytes()], pa.binary())], ["key", "items"])
+
+    texts = docs.select("text").mapInArrow(keyed, "key long, size long, packed binary").join(keys, "key", "left_semi")
+    return texts.dropDuplicates(["key"]).select("key", "size", "packed").mapInArrow(to_sets, "key long, items binary")
 
-    texts = docs.select("text").mapInArrow(keyed, "key long, text string").join(keys, "key", "left_semi")
-    return texts.mapInArrow(to_sets, "key long, items binary").dropDuplicates(["key"])
+
+def plausible(pairs: DataFrame, sketches: DataFrame, threshold: Fraction) -> DataFrame:
+    """Rows (a, b) of the pairs whose sketches do not rule a link out."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            apart = np.array([int(np.bitwise_count(np.bitwise_xor(*folded([x, y]))).sum()) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())], np.int64)
+            kept = may_link(apart, np.asarray(batch.column("nx")), np.asarray(batch.column("ny")), threshold)
+            yield batch.select(["a", "b"]).filter(pa.array(kept))
+
+    joined = pairs.join(sketches.select(F.col("key").alias("a"), F.col("n_shingles").alias("nx"), F.col("sketch").alias("x")), "a").join(
+        sketches.select(F.col("key").alias("b"), F.col("n_shingles").alias("ny"), F.col("sketch").alias("y")), "b")
+    return joined.select("a", "b", "nx", "ny", "x", "y").mapInArrow(run, "a long, b long")
 
 
 def similar(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame:
@@ -212,52 +263,88 @@ def similar(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())], ["a", "b", "linked"])
 
     joined = pairs.join(sets.select(F.col("key").alias("a"), F.col("items").alias("x")), "a").join(sets.select(F.col("key").alias("b"), F.col("items").alias("y")), "b")
-    return materialize(joined.select("a", "b", "x", "y").mapInArrow(run, "a long, b long, linked boolean"), "compared")
+    return joined.select("a", "b", "x", "y").mapInArrow(run, "a long, b long, linked boolean")
+
+
+def _pairs_apart(rows: list[tuple], threshold: Fraction) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of members of one block (or of two, by ``side``) in different components that their sketches leave possible."""
+    keys, roots, sizes = (np.array([r[k] for r in rows], np.int64) for k in range(3))
+    side = np.array([r[4] for r in rows])
+    words = folded([r[3] for r in rows])
+    for i in range(len(rows) - 1):
+        others = np.arange(i + 1, len(rows))
+        others = others[(roots[others] != roots[i]) & ((side[others] == 0) | (side[others] != side[i]))]
+        if len(others):
+            apart = np.bitwise_count(words[others] ^ words[i]).sum(1).astype(np.int64)
+            others = others[may_link(apart, sizes[others], sizes[i], threshold)]
+            if len(others):
+                yield np.maximum(keys[others], keys[i]), np.minimum(keys[others], keys[i])
 
 
-def _resigned(sets: DataFrame, bands: Bands) -> DataFrame:
-    """Rows (sig, key) of the sets at hand."""
+def pairs_of_open(members: DataFrame, threshold: Fraction) -> DataFrame:
+    """Possible pairs (a, b) of different components under one signature.
+
+    ``members`` has the rows (sig, key, root, n_shingles, sketch). A signature of many members is
+    split into blocks, and every pair of blocks is a group of its own.
+    """
+    counts = members.groupBy("sig").agg(F.ceil(F.count("*") / MEMBERS).alias("blocks"))
+    dealt = members.join(counts, "sig").withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    # block pairs (low, high): rows of the low one have side 1, of the high one 2, within one block 0
+    dealt = dealt.select(
+        "sig", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "key", "root", "n_shingles", "sketch",
+        F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        at = None
+
+        def done() -> Iterator[pa.RecordBatch]:
+            found = list(_pairs_apart(held, threshold)) if held else []
+            if found:
+                a, b = (np.concatenate(x) for x in zip(*found))
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
-                sigs, owner = signatures([np.frombuffer(x.as_buffer(), np.uint64) for x in part.column("items")], bands)
-                keys = np.asarray(part.column("key"))
-                yield pa.RecordBatch.from_arrays([_signed(sigs), pa.array(keys[owner])], ["sig", "key"])
+            names = ("sig", "low", "high", "key", "root", "n_shingles", "sketch", "side")
+            for sig, low, high, *row in zip(*(batch.column(c).to_pylist() for c in names)):
+                if at != (sig, low, high):
+                    yield from done()
+                    held, at = [], (sig, low, high)
+                held.append(tuple(row))
+        yield from done()
 
-    return sets.mapInArrow(run, "sig long, key long")
+    ordered = dealt.repartition("sig", "low", "high").sortWithinPartitions("sig", "low", "high")
+    return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
-def linked_classes(docs: DataFrame, size: int, threshold: Fraction, salt: int) -> tuple[DataFrame, DataFrame]:
+def linked_classes(docs: DataFrame, described: DataFrame, size: int, threshold: Fraction, salt: int) -> tuple[DataFrame, DataFrame]:
     """Components (node, root) of set keys, and the links found between different sets."""
     bands = Bands(threshold)
-    pairs = materialize(first_pairs(docs, size, bands, salt), "candidates")
+    sketches = described.filter("key is not null").groupBy("key").agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
+    shared = materialize(memberships(docs, size, bands, salt), "memberships")
+    pairs = shared.select(F.greatest("key", "lead").alias("a"), F.least("key", "lead").alias("b")).distinct()
+    links = materialize(checked(docs, plausible(pairs, sketches, threshold), size, bands, salt), "compared").filter("linked")
+    groups = materialize(components(links), "groups")
+
+    members = shared.select("sig", "key").union(shared.select("sig", F.col("lead").alias("key"))).distinct()
+    members = members.join(groups, members["key"] == groups["node"], "left").select("sig", "key", F.coalesce("root", "key").alias("root"))
+    # two members have been compared with each other, or with a third one at least
+    still = members.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n")).filter("lo <> hi and n > 2").select("sig")
+    members = members.join(still, "sig", "left_semi").join(sketches, "key")
+    new = materialize(pairs_of_open(members, threshold).join(links.select("a", "b"), ["a", "b"], "left_anti"), "candidates")
+    if new.isEmpty():
+        return groups, links
+    more = materialize(checked(docs, new, size, bands, salt), "compared").filter("linked")
+    links = links.union(more)
+    return materialize(components(links), "groups"), links
+
+
+def checked(docs: DataFrame, pairs: DataFrame, size: int, bands: Bands, salt: int) -> DataFrame:
+    """Rows (a, b, linked) of candidate pairs, compared on their whole sets."""
+    pairs = materialize(pairs, "candidates")
     keys = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
-    sets = materialize(involved_sets(docs, keys, size, bands, salt), "sets")
-    tested = similar(pairs, sets, threshold)
-    groups = materialize(components(tested.filter("linked")), "groups")
-    if tested.filter("not linked").isEmpty():
-        return groups, tested.filter("linked")
-    signed = materialize(_resigned(sets, bands), "signed")
-    signed = signed.join(signed.groupBy("sig").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).filter("lo <> hi").select("sig"), "sig", "left_semi")
-    for turn in range(ROUNDS + 1):
-        grouped = signed.join(groups, signed["key"] == groups["node"], "left").select("sig", "key", F.coalesce("root", "key").alias("root"))
-        open_sigs = grouped.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("sig")
-        grouped = materialize(grouped.join(open_sigs, "sig", "left_semi"), "open")
-        if turn < ROUNDS:
-            # a leader by another order in each round
-            order = F.struct(F.xxhash64("key", F.lit(turn)), F.col("key"), F.col("root"))
-            leaders = grouped.groupBy("sig").agg(F.min(order).alias("o")).select("sig", F.col("o.key").alias("b"), F.col("o.root").alias("other"))
-        else:
-            leaders = grouped.select("sig", F.col("key").alias("b"), F.col("root").alias("other"))
-        new = grouped.join(leaders, "sig").filter("root <> other").select(F.greatest("key", "b").alias("a"), F.least("key", "b").alias("b")).distinct()
-        done = tested.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        new = materialize(new.join(done, ["a", "b"], "left_anti"), "candidates")
-        if new.isEmpty():
-            continue
-        tested = materialize(tested.union(similar(new, sets, threshold)), "compared")
-        groups = materialize(components(tested.filter("linked")), "groups")
-    return groups, tested.filter("linked")
+    return similar(pairs, materialize(involved_sets(docs, keys, size, bands, salt), "sets"), bands.threshold)
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, threshold: Fraction = Fraction(8, 10)) -> DataFrame:
@@ -267,8 +354,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: Fraction = Fracti
     is the same for documents with equal sets, null for those without a word.
     """
     rows = docs.select(column(docs, "doc_id", "long").alias("doc_id"), column(docs, "text", "string").alias("text"))
-    described, salt = describe(rows, size)
-    groups, _ = linked_classes(rows, size, threshold, salt)
+    with small_batches(docs.sparkSession):
+        described, salt = describe(rows, size)
+        groups, _ = linked_classes(rows, described, size, threshold, salt)
     classes = described.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
     classes = classes.join(groups, classes["key"] == groups["node"], "left").select("key", "doc_id", F.coalesce("root", "key").alias("root"))
     lowest = classes.groupBy("root").agg(F.min("doc_id").alias("component_id"))
@@ -289,8 +377,9 @@ def one_of_each(docs: DataFrame, size: int = 5, threshold: Fraction = Fraction(8
     Of rows with that id one stays, by a hash of its columns. Rows without a word stay.
     """
     text = column(docs, "text", "string")
-    described, salt = describe(docs.select(column(docs, "doc_id", "long").alias("doc_id"), text.alias("text")), size)
-    groups, _ = linked_classes(docs.select(text.alias("text")), size, threshold, salt)
+    with small_batches(docs.sparkSession):
+        described, salt = describe(docs.select(column(docs, "doc_id", "long").alias("doc_id"), text.alias("text")), size)
+        groups, _ = linked_classes(docs.select(text.alias("text")), described, size, threshold, salt)
     classes = described.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
     classes = classes.join(groups, classes["key"] == groups["node"], "left")
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("key"))

@@ -31,14 +31,13 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from poolwright.llm.common import BASE, INVERSE, column, mixed, powers, utf8
+from poolwright.llm.common import BASE, INVERSE, column, mixed, powers, small_batches, utf8
 from poolwright.session import materialize
 
 WINDOW = 200
@@ -56,11 +55,6 @@ SHARD = 200_000
 # --- anchors -----------------------------------------------------------------
 
 
-@lru_cache(maxsize=8)
-def _powers(base: int, n: int) -> np.ndarray:
-    return powers(base, n)
-
-
 def gram_hashes(data: np.ndarray) -> np.ndarray:
     """Hash of every GRAM-byte string, by doubling."""
     h = mixed(data.astype(np.uint64) + np.uint64(0x51ED270B))
@@ -87,8 +81,8 @@ def _block_anchors(data: np.ndarray) -> tuple[np.ndarray, ...]:
     last = np.concatenate([first[1:], [starts]])
     place = place[first]
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(BASE, BLOCK + WINDOW)[: len(data)], out=sums[1:])
-    content = (sums[last + WINDOW - 1] - sums[first]) * _powers(INVERSE, BLOCK + WINDOW)[first]
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(data)), out=sums[1:])
+    content = (sums[last + WINDOW - 1] - sums[first]) * powers(INVERSE, len(data))[first]
     content = mixed(content + ((place - first) * 1024 + (last - first)).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
     return grams[place], place, first, last, content
 
@@ -399,7 +393,7 @@ def _sorted_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def _hashes(data: bytes, starts: np.ndarray, size: int) -> np.ndarray:
     """Hash of the ``size`` bytes at each start."""
-    up, down = _powers(BASE, 4 * WINDOW), _powers(INVERSE, 4 * WINDOW)
+    up, down = powers(BASE, 4 * WINDOW), powers(INVERSE, 4 * WINDOW)
     raw = np.frombuffer(data, np.uint8).astype(np.uint64) + np.uint64(1)
     sums = np.concatenate([[np.uint64(0)], np.cumsum(raw * up[: len(raw)])])
     return mixed((sums[starts + size] - sums[starts]) * down[starts] + np.uint64(size))
