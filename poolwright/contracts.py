@@ -13,7 +13,8 @@ _KEY = "facility_id STRING, tranche_id STRING, branch_id STRING"
 
 CONTRACTS = {
     "operations": f"{_KEY}, entity_id STRING, currency STRING, customer_id STRING, signing_date DATE, expiry_date DATE, "
-                  "project_country_id STRING, financial_product STRING, com_product STRING, purpose STRING, insured_type STRING",
+                  "project_country_id STRING, financial_product STRING, com_product STRING, purpose STRING, insured_type STRING, "
+                  "project_id STRING, project_sector_desc STRING, security_type STRING, syndication_type STRING",
     "balances": f"{_KEY}, entity_id STRING, currency STRING, funded_ccy DECIMAL(20,4), available_ccy DECIMAL(20,4), "
                 "funded_eur DECIMAL(20,4), available_eur DECIMAL(20,4), commitment DECIMAL(20,4)",
     "branches": "branch_id STRING, entity_id STRING, entity_product STRING",
@@ -35,7 +36,11 @@ CONTRACTS = {
     "groups": "group_id STRING, group_country STRING, group_name STRING, group_full_name STRING, tier_id STRING, segment_id STRING",
     "taxonomy_relation": "from_catalogue STRING, from_value STRING, to_catalogue STRING, to_value STRING",
     "taxonomy_values": "catalogue STRING, value STRING, description STRING",
-    "securitizations": f"{_KEY}, securitized_percent DECIMAL(9,6), securitization_id BIGINT, securitization_date DATE",
+    "countries": "country_id STRING, country_name STRING",
+    "entities": "entity_id STRING, entity_name STRING",
+    "external_ratings": "golden_customer_id STRING, external_rating STRING",
+    "customer_ratings": "customer_id STRING, internal_rating STRING, short_rating STRING, rating_tool_date DATE",
+    "prior_deals": f"{_KEY}, sold_percent DECIMAL(9,6), deal_id BIGINT, deal_date DATE",
     "guarantee_assignments": "contract_id STRING, guarantee_id STRING, currency STRING, guaranteed_amount DECIMAL(20,4), "
                              "begin_date DATE, end_date DATE, cutoff_date DATE",
     "guarantee_board": "guarantee_id STRING, customer_id STRING",

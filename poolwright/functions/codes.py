@@ -118,22 +118,10 @@ PRODUCT_OF_PORTFOLIO = {
     "project_finance": "Project Finance",
 }
 
-# Source column of a loaded limit sheet -> working name.
-LIMIT_SHEET_COLUMNS = {
-    "gf_loaded_limits_list_name": "name_list_desc",
-    "gf_loaded_limits_list_date": "limit_date",
-    "gf_loaded_limits_list_category_name": "limit_type",
-    "gf_first_concept_desc": "concept1_desc",
-    "gf_first_concept_id": "concept1_value",
-    "gf_second_concept_desc": "concept2_desc",
-    "gf_second_concept_id": "concept2_value",
-    "gf_assigned_limit_value_per": "limit_value",
-    "gf_corporate_loan_ind_type": "corporate_loan_flag",
-    "gf_project_finance_ind_type": "project_finance_flag",
-    "gf_securz_limit_portfolio_scope_id": "limit_scope",
-    "gf_process_active_limit_ind_type": "active_flag",
-    "gf_microstrategy_vslztn_order_ind_type": "visual_order",
-    "gf_complex_limit_ind_type": "complex_limit",
+# Rating columns of the wide table (letter, position) that decide the non-investment mark.
+RATING_OF_PORTFOLIO = {
+    "corporate_loan": ("reg_rating", "reg_rating_ordinal"),
+    "project_finance": ("internal_rating", "internal_ordinal"),
 }
 
 # Columns that identify one rule of a limit sheet.

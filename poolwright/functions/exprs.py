@@ -102,10 +102,6 @@ def average_term(avg_maturity: Column, signing: Column) -> Column:
     return F.coalesce(F.datediff(avg_maturity, signing) / F.lit(365.0), F.lit(0.0))
 
 
-def shift_days(day: Column, days: Column) -> Column:
-    return F.date_add(day, days)
-
-
 def grain_key(*columns: str) -> Column:
     return F.concat_ws("_", *[F.col(c) for c in columns])
 
@@ -132,8 +128,8 @@ def non_investment_flag(ordinal: Column, letter: Column) -> Column:
     return F.when((ordinal >= threshold) & ~letter.startswith("BBB"), 1).otherwise(0)
 
 
-def feature_flags(ordinal: str = "rating_ordinal", letter: str = "rating_letter") -> dict[str, Column]:
-    """The eight 0/1 marks the limit rules refer to."""
+def feature_flags(ordinal: str = "rating_ordinal", letter: str = "rating_letter", agency_amount: str = "bei_guaranteed") -> dict[str, Column]:
+    """The eight 0/1 marks the limit rules refer to; the rating and the agency's amount are read from the named columns."""
 
     def mark(condition: Column) -> Column:
         return F.when(condition, 1).otherwise(0)
@@ -146,7 +142,7 @@ def feature_flags(ordinal: str = "rating_ordinal", letter: str = "rating_letter"
         "sts_payment_flag": mark(F.col("sts_payment_condition").cast("string") == "true"),
         "sts_rw_flag": mark(F.col("sts_rw_condition").cast("string") == "true"),
         "esg_linked_flag": mark(F.col("esg_linked") == 1),
-        "bei_flag": mark(F.coalesce(F.col("bei_guaranteed"), F.lit(0)) != 0),
+        "bei_flag": mark(F.coalesce(F.col(agency_amount), F.lit(0)) != 0),
     }
 
 

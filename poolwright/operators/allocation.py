@@ -42,18 +42,18 @@ SEP = "\x1f"
 MIN_BUCKET_ROWS = 16_384
 MAX_BUCKET_ROWS = 1_000_000
 TARGET_BUCKETS = 2_048
-# always followed, whether the sheet limits them or not
-ALWAYS_TRACKED = {"currency": "currency", "financial_product": "financial_product"}
+# always followed, whether the sheet limits them or not; a sheet's own limit on the same column is the same limit
+ALWAYS_TRACKED = {"divisa": "currency", "financial_product": "financial_product"}
 
 
 # --- limit universe -------------------------------------------------------
 
 def _tracked(book: RuleBook, always: dict[str, str]) -> list[LimitSpec]:
     specs = book.pool_limits()
-    known = {s.name for s in specs}
+    known = {s.columns[-1] for s in specs}
     return specs + [
         LimitSpec(name, [column], "pool", "pool", 0.0, 100_000, 0, False)
-        for name, column in always.items() if name not in known
+        for name, column in always.items() if column not in known
     ]
 
 
@@ -70,7 +70,7 @@ def with_pool_limits(facilities: DataFrame, book: RuleBook, always: dict[str, st
         if spec.rules:
             if spec.name in DATE_LIMITS:
                 # an unknown date is as restricted as one beyond the bound
-                single.null_share = spec.literal[0][2]
+                single.null_share = min((share for _, share in spec.days), default=1.0)
             out, share = matched_share(out, book, single, f"_pool_{spec.name}")
             share = F.coalesce(share, F.lit(1.0 if spec.total is None else spec.total))
         else:

@@ -64,7 +64,7 @@ def accredited_attributes(accredited: DataFrame, tie_breaker: str) -> DataFrame:
         [F.desc_nulls_last("rating_date"), F.desc_nulls_last("register_date"), F.desc(tie_breaker)])
     customer = F.concat(lookup(codes.LEDGER_ENTITY_CUSTOMER_PREFIX, F.col("ledger_entity")), F.col("participant_id"))
     return newest.select(
-        customer.alias("customer_id"), "construction_type", "project_rating",
+        customer.alias("customer_id"), "construction_type", "project_rating", "capital_adjustment", "project_score", "project_lgd",
         F.to_date("rating_date").alias("project_rating_date"))
 
 

@@ -6,16 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from poolwright.functions.exprs import least_of
-from poolwright.operators.limits import DATE_LIMITS, RuleBook, has_lone_total, matched_share
+from poolwright.operators.limits import DATE_LIMITS, RuleBook, matched_share
 
 MONEY = "decimal(20,4)"
 SHARE = "decimal(9,7)"
 
 
 def base_amount(ccf: float, sellable_share: float) -> Column:
-    """Exposure open to selection, net of what was securitized before; may be negative."""
+    """Exposure open to selection, net of what was sold before; may be negative."""
     drawn = F.col("funded_eur") + F.col("available_eur") * F.lit(ccf)
-    sold = F.col("securitized_amount") / F.lit(sellable_share)
+    sold = F.col("sold_amount") / F.lit(sellable_share)
     return (F.least(F.col("reg_ead").cast("double"), drawn.cast("double")) - sold.cast("double")).cast(MONEY)
 
 
@@ -32,7 +32,7 @@ def apply_row_limits(facilities: DataFrame, book: RuleBook) -> DataFrame:
         name = f"limit_{spec.name}"
         out, match = matched_share(out, book, spec, f"_{name}")
         column = F.col(spec.columns[-1])
-        if spec.name in DATE_LIMITS or has_lone_total(spec):
+        if spec.name in DATE_LIMITS or spec.lone:
             share = F.coalesce(match, F.lit(1.0))
         else:
             share = F.when(column.isNull() & match.isNull(), F.lit(spec.null_share)).otherwise(

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from poolwright.functions import codes
-from poolwright.functions.exprs import lookup
+from poolwright.functions.exprs import least_of, lookup
 from poolwright.operators.dedupe import keep_first
+from poolwright.session import materialize
 
 ANY = "total"
 SCOPES = {"individual": "row", "portfolio": "pool"}
@@ -18,8 +19,6 @@ DATE_LIMITS = ("maturity_min", "maturity_max")
 SHARE_UNITS = 10_000_000  # shares are kept to 7 decimals
 # limits whose target column differs from what the relation names
 FIXED_TARGETS = {"bei": "bei_flag", "maturity_min": "expiry_date", "maturity_max": "expiry_date"}
-# above this many rules a limit is looked up by join instead of by literal map
-MAX_LITERAL_RULES = 64
 
 
 def active_limits(sheet: DataFrame, list_cols: tuple[str, ...] = ("name_list_desc",)) -> DataFrame:
@@ -94,8 +93,20 @@ class LimitSpec:
     complex: bool
     # share of the rule for all values, if there is one
     total: float | None = None
-    # (concept 1, concept 2, share); only held for small rule sets
-    literal: list[tuple] = field(default_factory=list)
+    # different rule keys: by the value that a single column is compared with, and by both concepts
+    values: int = 0
+    keys: int = 0
+    # which sides the rules of two columns name: "both", "first", "second" or "none"
+    forms: frozenset[str] = frozenset()
+    # day counts of a date limit with the share beyond each
+    days: list[tuple[int, float]] = field(default_factory=list)
+
+    @property
+    def lone(self) -> bool:
+        """A single rule that applies to everything, or of two columns to one side only."""
+        if len(self.columns) == 1:
+            return self.values == 1 and self.total is not None
+        return self.keys == 1 and "both" not in self.forms
 
 
 @dataclass
@@ -103,6 +114,8 @@ class RuleBook:
     """Resolved rules plus their small catalogue (one entry per limit type)."""
 
     resolved: DataFrame
+    # one share per limit type and rule key
+    rules: DataFrame
     specs: list[LimitSpec]
     pool_size: Decimal
     limit_date: object
@@ -118,11 +131,17 @@ class RuleBook:
 def rule_book(resolved: DataFrame) -> RuleBook:
     """Catalogue of one list: header values and the limit types to apply.
 
-    One row per limit type reaches the driver. The rules of a type come along
-    only while they are few; longer lists (exclusions) stay in the cluster.
+    One row per limit type reaches the driver, date limits with their day
+    counts. The rules stay in the cluster, whatever their number: repeated ones
+    are reduced to the strictest share and written once, so joins with them
+    know their size and Spark broadcasts them while they are small.
     """
-    rule = F.struct("concept1_value", "concept2_value", "limit_value")
-    value = F.when(F.col("complex_limit") == 1, F.col("concept2_value")).otherwise(F.col("concept1_value"))
+    c1, c2 = F.col("concept1_value"), F.col("concept2_value")
+    value = F.when(F.col("complex_limit") == 1, c2).otherwise(c1)
+    any1, any2 = F.coalesce(c1 == ANY, F.lit(False)), F.coalesce(c2 == ANY, F.lit(False))
+    form = F.when(any1 & any2, "none").when(any1, "second").when(any2, "first").otherwise("both")
+    day = F.when(F.col("limit_type").isin(*DATE_LIMITS), F.struct(
+        c1.cast("double").cast("int").alias("days"), F.col("limit_value").alias("share")))
     catalogue = (
         resolved.groupBy("limit_type")
         .agg(
@@ -132,24 +151,23 @@ def rule_book(resolved: DataFrame) -> RuleBook:
             F.max("complex_limit").alias("complex"), F.count(F.lit(1)).alias("rules"),
             F.min("limit_value").alias("value"), F.max("limit_date").alias("limit_date"),
             F.min(F.when(value == ANY, F.col("limit_value"))).alias("total"),
+            F.countDistinct(value).alias("values"), F.countDistinct(F.struct(c1, c2)).alias("keys"),
+            F.collect_set(form).alias("forms"), F.collect_set(day).alias("days"),
         )
         .collect()
     )
-    few = [r.limit_type for r in catalogue if r.rules <= MAX_LITERAL_RULES]
-    rules: dict[str, list[tuple]] = {}
-    for row in resolved.filter(F.col("limit_type").isin(few)).select("limit_type", rule.alias("rule")).collect():
-        rules.setdefault(row.limit_type, []).append(tuple(row.rule))
+    rules = resolved.groupBy("limit_type", "concept1_value", "concept2_value").agg(F.min("limit_value").alias("limit_value"))
     specs = [
         LimitSpec(r.limit_type, r.target.split("/"), r.scope, r.basis, float(r.null_share or 0),
-                  r.place if r.place is not None else 10_000, r.rules, bool(r.complex), r.total,
-                  sorted(rules.get(r.limit_type, []), key=str))
+                  r.place if r.place is not None else 10_000, r.rules, bool(r.complex), r.total, r["values"], r["keys"],
+                  frozenset(r.forms), _strictest_days(r.limit_type, [(d.days, d.share) for d in r.days if d.days is not None]))
         for r in catalogue
         if not r.header and r.target is not None and r.limit_type != "sts"
     ]
     specs.sort(key=lambda s: (s.order, s.name))
     values = {r.limit_type: r.value for r in catalogue}
     return RuleBook(
-        resolved, specs, Decimal(str(values["portfolio_size"])).quantize(Decimal("0.0001")),
+        resolved, materialize(rules, "rules"), specs, Decimal(str(values["portfolio_size"])).quantize(Decimal("0.0001")),
         max(r.limit_date for r in catalogue if r.limit_date is not None),
         {name: values[name] for name in ("ccf", "risk_retention") if name in values},
     )
@@ -159,21 +177,25 @@ def date_bound(limit_date, days: int) -> Column:
     return F.date_add(F.lit(limit_date).cast("date"), F.lit(days))
 
 
+def _strictest_days(name: str, days: list[tuple[int, float]]) -> list[tuple[int, float]]:
+    """Day counts that matter, those broken most easily first; a bound broken later counts only if it is stricter."""
+    out: list[tuple[int, float]] = []
+    for count, share in sorted(days, key=lambda d: (-d[0] if name == "maturity_min" else d[0], d[1])):
+        if not out or share < out[-1][1]:
+            out.append((count, share))
+    return out
+
+
 def date_share(spec: LimitSpec, limit_date) -> Column:
-    """1 while the date respects the bound, the rule's share beyond it."""
-    days, _, share = spec.literal[0]
-    bound = date_bound(limit_date, int(days))
+    """The least share of all rules whose bound the date breaks, 1 where it breaks none."""
     day = F.col(spec.columns[0])
-    free = day >= bound if spec.name == "maturity_min" else day <= bound
-    return F.when(day.isNull(), F.lit(spec.null_share)).when(free, F.lit(1.0)).otherwise(F.lit(share))
 
+    def broken(days: int) -> Column:
+        bound = date_bound(limit_date, days)
+        return day < bound if spec.name == "maturity_min" else day > bound
 
-def _strictest(pairs: list[tuple]) -> dict:
-    """Rule key -> smallest share, so that repeated rules never multiply rows."""
-    best: dict = {}
-    for key, share in pairs:
-        best[key] = min(share, best.get(key, share))
-    return best
+    shares = [F.when(broken(days), F.lit(share)).otherwise(F.lit(1.0)) for days, share in spec.days]
+    return F.when(day.isNull(), F.lit(spec.null_share)).otherwise(least_of(shares, F.lit(1.0)))
 
 
 def _joined_share(df: DataFrame, rules: DataFrame, keys: dict[str, str], name: str) -> DataFrame:
@@ -194,48 +216,21 @@ def matched_share(df: DataFrame, book: RuleBook, spec: LimitSpec, name: str) ->
     """
     if spec.name in DATE_LIMITS:
         return df, date_share(spec, book.limit_date)
+    rules = book.rules.filter(F.col("limit_type") == spec.name)
     if len(spec.columns) == 1:
-        return _one_column_share(df, book, spec, name)
-    return _two_column_share(df, book, spec, name)
-
-
-def _one_column_share(df, book, spec, name):
-    column = spec.columns[0]
-    if spec.rules <= MAX_LITERAL_RULES:
-        shares = _strictest([((c2 if spec.complex else c1), v) for c1, c2, v in spec.literal])
-        if list(shares) == [ANY]:
-            return df, F.lit(shares[ANY])
-        return df, lookup(shares, F.col(column).cast("string"))
-    rule_col = "concept2_value" if spec.complex else "concept1_value"
-    rules = book.resolved.filter(F.col("limit_type") == spec.name)
-    return _joined_share(df, rules, {rule_col: column}, name), F.col(name)
-
-
-def _two_column_share(df, book, spec, name):
+        if spec.lone:
+            return df, F.lit(spec.total)
+        rule_col = "concept2_value" if spec.complex else "concept1_value"
+        return _joined_share(df, rules, {rule_col: spec.columns[0]}, name), F.col(name)
     first, second = spec.columns
-    if spec.rules <= MAX_LITERAL_RULES:
-        exact = _strictest([(f"{c1}\x1f{c2}", v) for c1, c2, v in spec.literal if ANY not in (c1, c2)])
-        by_first = _strictest([(c1, v) for c1, c2, v in spec.literal if c1 != ANY and c2 == ANY])
-        by_second = _strictest([(c2, v) for c1, c2, v in spec.literal if c1 == ANY and c2 != ANY])
-        everything = [v for c1, c2, v in spec.literal if c1 == ANY and c2 == ANY]
-        v1, v2 = F.col(first).cast("string"), F.col(second).cast("string")
-        both = F.concat(v1, F.lit("\x1f"), v2)
-        matches = [lookup(shares, key) for shares, key in ((exact, both), (by_first, v1), (by_second, v2)) if shares]
-        if everything:
-            matches.append(F.lit(min(everything)))
-        return df, matches[0] if len(matches) == 1 else F.least(*matches)
-    rules = book.resolved.filter(F.col("limit_type") == spec.name)
     any1, any2 = F.col("concept1_value") == ANY, F.col("concept2_value") == ANY
-    df = _joined_share(df, rules.filter(~any1 & ~any2), {"concept1_value": first, "concept2_value": second}, f"{name}_12")
-    df = _joined_share(df, rules.filter(~any1 & any2), {"concept1_value": first}, f"{name}_1")
-    df = _joined_share(df, rules.filter(any1 & ~any2), {"concept2_value": second}, f"{name}_2")
-    return df, F.least(f"{name}_12", f"{name}_1", f"{name}_2")
-
-
-def has_lone_total(spec: LimitSpec) -> bool:
-    """A single rule that applies to everything (or to one side only)."""
-    if spec.rules > MAX_LITERAL_RULES:
-        return False
-    if len(spec.columns) == 1:
-        return {c2 if spec.complex else c1 for c1, c2, _ in spec.literal} == {ANY}
-    return all(ANY in (c1, c2) for c1, c2, _ in spec.literal)
+    matches = []
+    for form, which, keys in (
+            ("both", ~any1 & ~any2, {"concept1_value": first, "concept2_value": second}),
+            ("first", ~any1 & any2, {"concept1_value": first}), ("second", any1 & ~any2, {"concept2_value": second})):
+        if form in spec.forms:
+            df = _joined_share(df, rules.filter(which), keys, f"{name}_{form}")
+            matches.append(F.col(f"{name}_{form}"))
+    if "none" in spec.forms:
+        matches.append(F.lit(spec.total))
+    return df, least_of(matches, F.lit(None).cast("double"))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from poolwright.functions import codes
 
+#: Slices of the axis that bands are joined by.
+BAND_SLICES = 64
+
 
 def rename_known(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     """Rename the mapped columns that exist; the others pass through."""
@@ -34,11 +35,24 @@ def convert_currency(df: DataFrame, fx: DataFrame, amounts: dict[str, str],
 def range_band(df: DataFrame, bands: DataFrame, value: Column, columns: list[str]) -> DataFrame:
     """Left join into half-open bands ``[band_from, band_to)``.
 
-    Bands are a handful of rows: a broadcast nested loop is the plan wanted,
-    and the side stays the probe side, so nothing is shuffled.
+    An equality join on the slice of the value axis, ``BAND_SLICES`` between the
+    lowest and the highest edge, with the band's edges as condition: Spark may
+    broadcast the bands or shuffle both sides, whatever their size. A band is in
+    every slice it touches; a value outside all bands has no slice.
     """
-    inside = (F.col("band_from") <= value) & (value < F.col("band_to"))
-    return df.join(bands.select("band_from", "band_to", *columns), inside, "left").drop("band_from", "band_to")
+    edges = bands.select("band_from", "band_to", *columns).filter("band_from < band_to")
+    ends = edges.agg(F.min("band_from").alias("low"), F.max("band_to").alias("high")).first()
+    low, high = (0.0, 1.0) if ends["low"] is None else (float(ends["low"]), float(ends["high"]))
+    width = (high - low) / BAND_SLICES
+
+    def slice_of(x: Column) -> Column:
+        # beyond the edges there is no band, so one slice on either side will do
+        return F.greatest(F.lit(-1), F.least(F.lit(BAND_SLICES), F.floor((x.cast("double") - low) / width))).cast("int")
+
+    sliced = edges.withColumn("_slice", F.explode(F.sequence(slice_of(F.col("band_from")), slice_of(F.col("band_to")))))
+    keyed = df.withColumns({"_value": value, "_at": slice_of(value)})
+    inside = (F.col("_at") == F.col("_slice")) & (F.col("band_from") <= F.col("_value")) & (F.col("_value") < F.col("band_to"))
+    return keyed.join(sliced, inside, "left").drop("band_from", "band_to", "_slice", "_value", "_at")
 
 
 def role_lookup(df: DataFrame, dimension: DataFrame, key: str, value: str,
@@ -50,15 +64,6 @@ def role_lookup(df: DataFrame, dimension: DataFrame, key: str, value: str,
     return df
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast hint only when a bounded count shows the side is small.
-
-    Above the bound the plain DataFrame is returned and Spark joins by shuffle.
-    """
-    within = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if within else df
-
-
 def existence_flag(df: DataFrame, members: DataFrame, keys: list[str], flag: str,
                    value=True, absent=False) -> DataFrame:
     """Mark rows whose keys occur in ``members``."""
@@ -95,7 +100,3 @@ def taxonomy_hop(df: DataFrame, relation: DataFrame, values: DataFrame, activity
         )
         df = df.join(hop, activity_col, "left").join(texts, f"{name}_code", "left")
     return df
-
-
-def stack(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from poolwright.session import materialize
 
 LOW_BITS = (1 << 33) - 1
+#: Buckets whose totals are summed together.
+SPAN = 1024
 
 
 def ranked(df: DataFrame, order: list[Column], label: str = "ranked") -> tuple[DataFrame, int]:
@@ -36,21 +38,28 @@ def ranked(df: DataFrame, order: list[Column], label: str = "ranked") -> tuple[D
 
 def running_totals(df: DataFrame, keys: list[str], bucket: str, order: str,
                    sums: dict[str, Column]) -> DataFrame:
-    """Inclusive running sums per key, in two levels.
+    """Inclusive running sums per key, in three levels.
 
-    Buckets are bounded slices of the order. Bucket totals are summed first
-    (combined on the map side), their running totals become offsets, and rows
-    are only ordered within their bucket: a key that holds most rows is spread
-    over as many tasks as it has buckets.
+    Buckets are bounded slices of the order, and spans are ``SPAN`` buckets.
+    Totals of buckets and of spans are summed first (combined on the map side);
+    their running totals become offsets, and rows are only ordered within their
+    bucket: a key that holds most rows is spread over as many tasks as it has
+    buckets. What one window orders is a bucket, the buckets of a span, or the
+    spans of a key, a millionth and less of the rows.
     """
     named = df.withColumns({f"_{name}": expr for name, expr in sums.items()})
     totals = named.groupBy(*keys, bucket).agg(*[F.sum(f"_{name}").alias(f"_t_{name}") for name in sums])
-    earlier = W.partitionBy(*keys).orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
-    offsets = totals.select(*keys, bucket, *[
-        F.coalesce(F.sum(f"_t_{name}").over(earlier), F.lit(0)).alias(f"_o_{name}") for name in sums])
+    totals = totals.withColumn("_span", F.floor(F.col(bucket) / SPAN))
+    of_spans = totals.groupBy(*keys, "_span").agg(*[F.sum(f"_t_{name}").alias(f"_s_{name}") for name in sums])
+    # without keys all spans are one group; a constant key keeps that a plain hash partition
+    grouped = [*keys] or [F.lit(0)]
+    before = W.partitionBy(*grouped).orderBy("_span").rowsBetween(W.unboundedPreceding, -1)
+    of_spans = of_spans.select(*keys, "_span", *[F.coalesce(F.sum(f"_s_{name}").over(before), F.lit(0)).alias(f"_s_{name}") for name in sums])
+    earlier = W.partitionBy(*keys, "_span").orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
+    offsets = totals.join(of_spans, [*keys, "_span"]).select(*keys, bucket, *[
+        (F.col(f"_s_{name}") + F.coalesce(F.sum(f"_t_{name}").over(earlier), F.lit(0))).alias(f"_o_{name}") for name in sums])
     within = W.partitionBy(*keys, bucket).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    # without keys there is one row per bucket, and buckets are few by construction
-    joined = named.join(offsets if keys else F.broadcast(offsets), [*keys, bucket])
+    joined = named.join(offsets, [*keys, bucket])
     return joined.withColumns({
         name: F.col(f"_o_{name}") + F.sum(f"_{name}").over(within) for name in sums
     }).drop(*[f"_{name}" for name in sums], *[f"_o_{name}" for name in sums])

@@ -71,9 +71,3 @@ def allocation_checks(portfolio: DataFrame, ledger: DataFrame, pool_size) -> Dat
         count(F.col("used_share") > F.col("allowed_share") + 1e-9).alias("cap_exceeded"))
     checks = rows.unpivot([], rows.columns, "check_name", "violations")
     return checks.unionByName(caps.unpivot([], caps.columns, "check_name", "violations"))
-
-
-def duplicate_facilities(portfolio: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    from poolwright.operators.dedupe import duplicate_keys
-
-    return duplicate_keys(portfolio, keys or GRAIN)

@@ -1,4 +1,4 @@
-"""Capital, provisions and prior securitizations by facility."""
+"""Capital, provisions and prior prior_deals by facility."""
 
 from __future__ import annotations
 
@@ -85,10 +85,10 @@ def customer_watchlist(provisions: DataFrame) -> DataFrame:
     return keep_first(marks, ["customer_id"], [F.desc_nulls_last("watch_list")])
 
 
-def securitized_share(securitizations: DataFrame) -> DataFrame:
-    """Share already securitized, whether any deal id exists, and the newest date."""
-    return securitizations.groupBy(*GRAIN).agg(
-        F.sum("securitized_percent").alias("securitized_percent"),
-        F.when(F.count("securitization_id") > 0, "Y").otherwise("N").alias("securitized"),
-        F.max("securitization_date").alias("securitization_date"),
+def sold_share(prior_deals: DataFrame) -> DataFrame:
+    """Share already sold, whether any deal id exists, and the newest date."""
+    return prior_deals.groupBy(*GRAIN).agg(
+        F.sum("sold_percent").alias("sold_percent"),
+        F.when(F.count("deal_id") > 0, "Y").otherwise("N").alias("sold"),
+        F.max("deal_date").alias("deal_date"),
     )

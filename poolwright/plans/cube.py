@@ -1,18 +1,21 @@
 """The wide table: one row per facility, tranche and branch with every attribute.
 
 Sources are first reduced to the key they are joined on (facility, customer,
-group), so each join of the chain adds columns without adding rows. Dimensions
-stay un-hinted: Spark broadcasts those whose size it knows to be small.
+group), so each join of the chain adds columns without adding rows. Where a
+customer has several equally ranked groups, or a group several rated header
+customers, the first in text order counts. Dimensions stay un-hinted: Spark
+broadcasts those whose size it knows to be small.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from poolwright import GRAIN
+from poolwright.contracts import CONTRACTS, conform
 from poolwright.functions import codes
 from poolwright.functions import exprs as E
 from poolwright.operators import customers as C
@@ -48,7 +51,7 @@ class CubeSources:
     accredited: DataFrame
     accredited_tie_breaker: str
     customer_ratings: DataFrame
-    securitizations: DataFrame
+    prior_deals: DataFrame
     guarantee_assignments: DataFrame
     guarantee_board: DataFrame
     agency_customers: DataFrame
@@ -56,6 +59,11 @@ class CubeSources:
     entities: DataFrame
     header_tranche: str = "0"
 
+    def conformed(self) -> CubeSources:
+        """The same sources cast to their contracts; a missing required column fails here, by name."""
+        given = {f.name: getattr(self, f.name) for f in fields(self)}
+        return CubeSources(**{name: conform(v, name) if name in CONTRACTS else v for name, v in given.items()})
+
 
 def unified_risk(econ: DataFrame, reg: DataFrame, provisions: DataFrame) -> DataFrame:
     """Economic and regulatory capital and provisions of each related facility."""
@@ -71,28 +79,30 @@ def operations_with_balances(s: CubeSources) -> DataFrame:
     )
 
 
-def base_table(s: CubeSources, value_date) -> DataFrame:
+def base_table(s: CubeSources, relations: DataFrame, value_date) -> DataFrame:
     """Operations with a commitment, their risk measures and average term."""
-    operations = operations_with_balances(s)
-    moves = ledger.signed_movements(ledger.balance_movements(s.movements), s.fx)
+    operations = operations_with_balances(s).filter(F.col("commitment") > 0)
+    # only movements of these operations, matched on entity and branch too, enter the ledger windows
+    wanted = operations.select("facility_id", "tranche_id", "entity_id", "branch_id").distinct()
+    moves = ledger.signed_movements(ledger.ledger_join(ledger.balance_movements(s.movements), wanted), s.fx)
     profile = ledger.runoff_profile(ledger.balance_evolution(moves, value_date), value_date)
-    # the relation table feeds four aggregations: read it back instead of rebuilding it
-    relations = materialize(s.relations, "relations")
     unified = unified_risk(
         risk.econ_capital_by_facility(s.econ_capital, relations, s.fx, s.bands),
         risk.reg_capital_by_facility(s.reg_capital, relations, s.fx, s.bands),
         risk.provision_by_facility(s.provisions, relations, s.fx))
-    s.relations = relations
     letters = ["econ_long_letter", "econ_short_letter", "reg_long_letter", "reg_short_letter"]
     numbers = [c for c in unified.columns if c not in (*GRAIN, *letters)]
-    base = operations.filter(F.col("commitment") > 0).join(unified, GRAIN, "left").fillna(
+    base = operations.join(unified, GRAIN, "left").fillna(
         {**{c: codes.UNRATED for c in letters}, **{c: 0 for c in numbers}})
     base = base.join(profile.select(*GRAIN, "avg_maturity"), GRAIN, "left")
     return base.withColumn("avg_term", E.average_term(F.col("avg_maturity"), F.col("signing_date")))
 
 
 def wide_cube(s: CubeSources, value_date, run_dates: dict[str, str]) -> DataFrame:
-    df = base_table(s, value_date)
+    s = s.conformed()
+    # the relation table feeds six aggregations: read it back instead of rebuilding it
+    relations = materialize(s.relations, "relations")
+    df = base_table(s, relations, value_date)
     df = df.withColumn("reg_rating_ordinal", E.rating_ordinal(F.col("reg_long_letter")))
     df = df.join(risk.customer_watchlist(s.provisions), "customer_id", "left").fillna({"watch_list": "0"})
 
@@ -102,15 +112,19 @@ def wide_cube(s: CubeSources, value_date, run_dates: dict[str, str]) -> DataFram
 
     # customers and groups
     master = materialize(C.customer_master(s.customers, s.links, s.members, s.groups), "customers")
-    df = df.join(master.select("customer_id", "group_id", F.col("group_country").alias("group_country_id")).distinct(),
-                 "customer_id", "left")
-    attributes = C.customer_attributes(s.customers, s.links).withColumnRenamed("customer_country", "customer_country_id")
-    df = df.join(attributes, "customer_id", "left")
+    group = keep_first(
+        master.select("customer_id", "group_id", F.col("group_country").alias("group_country_id")), ["customer_id"],
+        [F.asc_nulls_last("group_id"), F.asc_nulls_last("group_country_id")])
+    df = df.join(group, "customer_id", "left")
+    attributes = keep_first(C.customer_attributes(s.customers, s.links), ["customer_id"],
+                            [F.asc_nulls_last("customer_country"), F.asc_nulls_last("activity_id")])
+    df = df.join(attributes.withColumnRenamed("customer_country", "customer_country_id"), "customer_id", "left")
     df = lookups.taxonomy_hop(df, s.taxonomy_relation, s.taxonomy_values, "activity_id")
     df = lookups.role_lookup(df, s.countries, "country_id", "country_name", {
         "group_country_id": "group_country", "customer_country_id": "customer_country",
         "project_country_id": "project_country"})
-    df = df.join(C.group_parent_rating(master, s.links, s.external_ratings), "group_id", "left")
+    parents = C.group_parent_rating(master, s.links, s.external_ratings)
+    df = df.join(keep_first(parents, ["group_id"], [F.asc_nulls_last("group_rating")]), "group_id", "left")
     df = df.join(C.accredited_attributes(s.accredited, s.accredited_tie_breaker), "customer_id", "left")
     df = df.join(s.customer_ratings, "customer_id", "left")
     df = df.withColumn("internal_ordinal", E.rating_ordinal(F.col("internal_rating")))
@@ -120,12 +134,12 @@ def wide_cube(s: CubeSources, value_date, run_dates: dict[str, str]) -> DataFram
     settled = s.movements.filter(F.col("payment_state").isin(codes.SETTLED_STATES)
                                  & F.col("movement_class").isin(codes.PAYMENT_CLASSES))
     df = lookups.existence_flag(df, settled, GRAIN, "sts_payment_condition")
-    df = df.join(risk.securitized_share(s.securitizations), GRAIN, "left").fillna({"securitized": "N"})
-    df = df.withColumn("securitized_amount", F.coalesce(
-        F.col("securitized_percent").cast("double") / 100 * F.col("reg_ead").cast("double"), F.lit(0.0)))
-    df = df.join(G.guarantee_amounts(s.guarantee_assignments, s.guarantee_board, s.agency_customers, s.relations, s.fx),
+    df = df.join(risk.sold_share(s.prior_deals), GRAIN, "left").fillna({"sold": "N"})
+    df = df.withColumn("sold_amount", F.coalesce(
+        F.col("sold_percent").cast("double") / 100 * F.col("reg_ead").cast("double"), F.lit(0.0)))
+    df = df.join(G.guarantee_amounts(s.guarantee_assignments, s.guarantee_board, s.agency_customers, relations, s.fx),
                  GRAIN, "left")
-    df = df.join(G.sustainability_flag(s.marks, s.relations), GRAIN, "left")
+    df = df.join(G.sustainability_flag(s.marks, relations), GRAIN, "left")
     df = df.join(s.entities, "entity_id", "left")
 
     df = df.withColumns({

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from poolwright.functions.exprs import row_hash
-from poolwright.operators.lookups import sized_broadcast
 
 
 def vip_clients(clients: DataFrame, youngest: int = 30, oldest: int = 50) -> DataFrame:
@@ -14,18 +15,18 @@ def vip_clients(clients: DataFrame, youngest: int = 30, oldest: int = 50) -> Dat
 
 
 def contracts_of_clients(clients: DataFrame, contracts: DataFrame, products: DataFrame) -> DataFrame:
-    """Contracts with their holder and product; products are broadcast while they are few."""
+    """Contracts with their holder and product; Spark broadcasts products of a small known size."""
     held = contracts.join(clients, contracts["holder_id"] == clients["client_id"]).drop("holder_id")
-    return held.join(sized_broadcast(products), "product_id").select(
+    return held.join(products, "product_id").select(
         "contract_id", "product_id", "opened", "product_name", *clients.columns)
 
 
 def busy_clients(joined: DataFrame, more_than: int = 3) -> DataFrame:
     """Rows of clients with more than ``more_than`` contracts, as SQL text over a view."""
-    joined.createOrReplaceTempView("client_contract_rows")
+    view = f"client_contract_rows_{uuid.uuid4().hex}"  # two jobs of one session keep apart
+    joined.createOrReplaceTempView(view)
     return joined.sparkSession.sql(
-        "SELECT * FROM client_contract_rows WHERE client_id IN ("
-        "SELECT client_id FROM client_contract_rows GROUP BY client_id HAVING count(*) > :n)",
+        f"SELECT * FROM {view} WHERE client_id IN (SELECT client_id FROM {view} GROUP BY client_id HAVING count(*) > :n)",
         args={"n": more_than})
 
 

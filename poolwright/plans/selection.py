@@ -7,10 +7,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from poolwright import GRAIN
 from poolwright.functions import codes
 from poolwright.functions import exprs as E
 from poolwright.operators import allocation as A
 from poolwright.operators import eligibility, limits, report
+from poolwright.operators.dedupe import duplicate_keys
 from poolwright.operators.limits import RuleBook
 from poolwright.session import literal_rows
 
@@ -59,7 +61,11 @@ class Selection:
 
 
 def select_pool(facilities: DataFrame, sheet: DataFrame, relation: DataFrame) -> Selection:
+    """One run over facilities with one row per facility, tranche and branch."""
     base, book = prepare(facilities, sheet, relation)
+    twice = duplicate_keys(base.select(*GRAIN), GRAIN).first()
+    if twice is not None:
+        raise ValueError(f"facility with more than one row: {tuple(twice)}")
     filled = fill(base, book)
     portfolio = A.allocation(filled)
     header = sheet.select("name_list_desc").first()
@@ -73,8 +79,12 @@ def select_pool(facilities: DataFrame, sheet: DataFrame, relation: DataFrame) ->
     )
 
 
-def flag_facilities(cube: DataFrame, sector_catalogue: DataFrame | None = None) -> DataFrame:
-    """The eight feature marks on cube rows, with the project subsector joined in."""
+def flag_facilities(cube: DataFrame, sector_catalogue: DataFrame | None = None, portfolio_type: str | None = None) -> DataFrame:
+    """The eight feature marks on cube rows, with the project subsector joined in.
+
+    With a portfolio type the marks read the wide table's own columns: its
+    rating for that type, and the amount guaranteed by the agency.
+    """
     df = cube
     if sector_catalogue is not None:
         # both sides are trimmed: the catalogue is maintained by hand
@@ -82,7 +92,21 @@ def flag_facilities(cube: DataFrame, sector_catalogue: DataFrame | None = None)
             F.trim("project_sector_desc").alias("project_sector_desc"), "project_subsector_desc").distinct()
         df = df.withColumn("project_sector_desc", F.trim("project_sector_desc"))
         df = df.join(names, "project_sector_desc", "left").fillna(codes.UNKNOWN_TEXT, ["project_subsector_desc"])
-    return df.withColumns(E.feature_flags())
+    if portfolio_type is None:
+        return df.withColumns(E.feature_flags())
+    letter, ordinal = codes.RATING_OF_PORTFOLIO[portfolio_type]
+    return df.withColumns(E.feature_flags(ordinal, letter, "agency_guaranteed")).withColumn("rating_letter", F.col(letter))
+
+
+def cube_facilities(cube: DataFrame, portfolio_type: str, sector_catalogue: DataFrame | None = None) -> DataFrame:
+    """Wide-table rows as facilities for a selection: flagged, under the names that limit relations target."""
+    flagged = flag_facilities(cube, sector_catalogue, portfolio_type)
+    return flagged.select(
+        *GRAIN, "group_id", F.col("customer_country").alias("country"), "currency", "financial_product", "com_product",
+        F.col("sector_desc").alias("sector"), F.col("subsector_desc").alias("subsector"), "signing_date", "expiry_date",
+        "reg_ead", "funded_eur", "available_eur", "reg_capital", F.col("sold_amount").cast(A.MONEY).alias("sold_amount"),
+        "reg_capital_ratio", "rating_letter", "group_rating",
+        *E.feature_flags().keys(), *(["project_subsector_desc"] if sector_catalogue is not None else []))
 
 
 def pool_constants(sheet: DataFrame, facilities: DataFrame, lgd_col: str, cost_income: DataFrame,

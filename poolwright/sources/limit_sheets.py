@@ -29,9 +29,9 @@ def select_sheet(sheets: DataFrame, scenario: str | None = None, limit_date=None
     return keep_first(sheets, codes.LIMIT_KEY, order)
 
 
-def read_limit_sheet(sheet: DataFrame) -> DataFrame:
-    """Working column names and a numeric limit value."""
+def read_limit_sheet(sheet: DataFrame, columns: dict[str, str] | None = None) -> DataFrame:
+    """Working column names and a numeric limit value; ``columns`` maps the sheet's own names to them."""
     from poolwright.functions.exprs import parse_locale_decimal
 
-    renamed = rename_known(sheet, codes.LIMIT_SHEET_COLUMNS)
+    renamed = rename_known(sheet, columns or {})
     return renamed.withColumn("limit_value", parse_locale_decimal(F.col("limit_value")))

@@ -170,10 +170,10 @@ FX_SPEC = "contract_id currency m:econ_ead m:econ_ead_eur r:fx"
 @query("fx_convert", f"""
 SELECT {sql_columns(FX_SPEC)} FROM (
   SELECT contract_id, c.currency, econ_ead, econ_ead * COALESCE(fx, 1) AS econ_ead_eur, COALESCE(fx, 1) AS fx
-  FROM (SELECT *, CASE entity_id WHEN 'MX' THEN 'MXN' WHEN 'ES' THEN 'EUR' END AS currency FROM econ_capital WHERE econ_ead < 1000000) c
+  FROM (SELECT *, CASE entity_id WHEN 'MX' THEN 'MXN' WHEN 'ES' THEN 'EUR' END AS currency FROM econ_capital) c
   LEFT JOIN fx ON c.currency = fx.currency)""")
 def fx_convert(t):
-    df = t.econ_capital.filter(F.col("econ_ead") < 1000000).withColumn("currency", E.entity_currency(F.col("entity_id")))
+    df = t.econ_capital.withColumn("currency", E.entity_currency(F.col("entity_id")))
     return project(lookups.convert_currency(df, t.fx, {"econ_ead": "econ_ead_eur"}, keep_original=True), FX_SPEC)
 
 
@@ -441,13 +441,12 @@ def size_by_period(t):
 
 # --- joins ---
 
-CTES["settled"] = f"SELECT DISTINCT facility_id, tranche_id, branch_id FROM movements WHERE payment_state IN {in_list(codes.SETTLED_STATES)} AND movement_class IN {in_list(codes.PAYMENT_CLASSES)} AND start_date <= DATE '1996-03-31'"
+CTES["settled"] = f"SELECT DISTINCT facility_id, tranche_id, branch_id FROM movements WHERE payment_state IN {in_list(codes.SETTLED_STATES)} AND movement_class IN {in_list(codes.PAYMENT_CLASSES)}"
 
 
 def settled(t):
     return t.movements.filter(
-        F.col("payment_state").isin(codes.SETTLED_STATES) & F.col("movement_class").isin(codes.PAYMENT_CLASSES)
-        & (F.col("start_date") <= F.lit("1996-03-31").cast("date")))
+        F.col("payment_state").isin(codes.SETTLED_STATES) & F.col("movement_class").isin(codes.PAYMENT_CLASSES))
 
 
 @query("payment_made_flag", """
@@ -465,13 +464,13 @@ COUNTRY_ROLES = {"project_country_id": "project_country", "customer_country_id":
 SELECT o.facility_id, o.tranche_id, o.branch_id, p.country_name AS project_country, c.country_name AS customer_country, g.country_desc AS home_country
 FROM (SELECT *, {pad('CAST(facility_id AS BIGINT) % 27', 2)} AS customer_country_id FROM operations) o
 LEFT JOIN countries p ON o.project_country_id = p.country_id LEFT JOIN countries c ON o.customer_country_id = c.country_id
-LEFT JOIN (SELECT * FROM (VALUES ('0182', 'Spain'), ('9016', 'Mexico')) v(entity_id, country_desc)) g ON o.entity_id = g.entity_id""")
+LEFT JOIN (SELECT * FROM (VALUES ('{L.HOME}', 'Spain'), ('{L.ABROAD}', 'Mexico')) v(entity_id, country_desc)) g ON o.entity_id = g.entity_id""")
 def country_lookup(t):
     from poolwright.sources.files import literal_dimension
     from poolwright.workload.tables import pad as pad_col
 
     ops = t.operations.withColumn("customer_country_id", pad_col(F.col("facility_id").cast("long") % 27, 2))
-    homes = literal_dimension(t.spark, {"0182": "Spain", "9016": "Mexico"}, "home_id", "home_name")
+    homes = literal_dimension(t.spark, {L.HOME: "Spain", L.ABROAD: "Mexico"}, "home_id", "home_name")
     out = lookups.role_lookup(ops, t.countries, "country_id", "country_name", COUNTRY_ROLES)
     out = lookups.role_lookup(out, homes, "home_id", "home_name", {"entity_id": "home_country"})
     return project(out, "facility_id tranche_id branch_id project_country customer_country home_country")

@@ -33,10 +33,10 @@ LEDGER_SPEC = f"{KEYS} entity_id movement_type m:movement_amount m:funded_eur d:
 
 @query("ledger_join", f"""
 SELECT {sql_columns(LEDGER_SPEC.replace(KEYS, '').replace('entity_id', ''))}, m.facility_id, m.tranche_id, m.branch_id, m.entity_id
-FROM movements m JOIN (SELECT facility_id, tranche_id, branch_id, entity_id, funded_eur FROM balances WHERE commitment > 0) b
+FROM movements m JOIN (SELECT facility_id, tranche_id, branch_id, entity_id, funded_eur FROM balances) b
   ON {on('m', 'b')} AND m.entity_id = b.entity_id""")
 def ledger_join(t):
-    balances = t.balances.filter(F.col("commitment") > 0).select(*GRAIN, "entity_id", "funded_eur")
+    balances = t.balances.select(*GRAIN, "entity_id", "funded_eur")
     return project(ledger.ledger_join(t.movements, balances), LEDGER_SPEC)
 
 
@@ -207,15 +207,15 @@ def risk_enrich(t):
     return project(kept, RISK)
 
 
-CTES["securitized"] = f"""
-SELECT {KEY}, SUM(securitized_percent) AS securitized_percent, CASE WHEN COUNT(securitization_id) > 0 THEN 'Y' ELSE 'N' END AS securitized,
-       MAX(securitization_date) AS securitization_date FROM securitizations GROUP BY ALL"""
-SECURITIZED = f"{KEYS} m:securitized_percent securitized d:securitization_date"
+CTES["sold"] = f"""
+SELECT {KEY}, SUM(sold_percent) AS sold_percent, CASE WHEN COUNT(deal_id) > 0 THEN 'Y' ELSE 'N' END AS sold,
+       MAX(deal_date) AS deal_date FROM prior_deals GROUP BY ALL"""
+SOLD = f"{KEYS} m:sold_percent sold d:deal_date"
 
 
-@query("securitized_flag", f"SELECT {sql_columns(SECURITIZED)} FROM securitized")
-def securitized_flag(t):
-    return project(risk.securitized_share(t.securitizations), SECURITIZED)
+@query("sold_flag", f"SELECT {sql_columns(SOLD)} FROM sold")
+def sold_flag(t):
+    return project(risk.sold_share(t.prior_deals), SOLD)
 
 
 # --- customers ---
@@ -294,12 +294,13 @@ def any_flag(t):
 # --- the wide cube ---
 
 CUBE = (
-    f"{KEYS} project_country customer_country group_country financial_product com_product purpose insured_type currency "
+    f"{KEYS} project_id project_sector_desc security_type syndication_type capital_adjustment project_score r:project_lgd d:rating_tool_date short_rating "
+    "project_country customer_country group_country financial_product com_product purpose insured_type currency "
     "d:signing_date d:expiry_date b:sts_payment_condition b:sts_rw_condition customer_id group_id entity_id entity_name "
     "econ_rating reg_rating f:reg_rating_ordinal r:reg_pd r:reg_rw r:reg_lgd m:econ_ead m:reg_ead r:econ_pd "
     "sector_desc subsector_desc f:provision_stage m:provision_amount m:funded_ccy m:available_ccy m:funded_eur m:available_eur "
     "group_rating watch_list construction_type project_rating d:project_rating_date internal_rating f:internal_ordinal "
-    "i:investment_grade securitized q:securitized_amount m:agency_guaranteed m:other_guaranteed r:avg_term f:esg_linked "
+    "i:investment_grade sold q:sold_amount m:agency_guaranteed m:other_guaranteed r:avg_term f:esg_linked "
     "r:exchange_rate m:total_ccy m:total_eur r:econ_capital_ratio r:reg_capital_ratio r:risk_weight r:econ_loss_ratio r:reg_loss_ratio "
     "internal_rating_model f:guaranteed_ccy f:guaranteed_eur snapshot_date risk_date provision_date"
 )
@@ -312,7 +313,7 @@ def cube_sources(t):
         provisions=t.provisions, customers=t.customers, links=t.links, members=t.members, groups=t.groups,
         taxonomy_relation=t.taxonomy_relation, taxonomy_values=t.taxonomy_values, countries=t.countries,
         external_ratings=t.external_ratings, accredited=t.accredited, accredited_tie_breaker="row_id",
-        customer_ratings=t.customer_ratings, securitizations=t.securitizations,
+        customer_ratings=t.customer_ratings, prior_deals=t.prior_deals,
         guarantee_assignments=t.guarantee_assignments, guarantee_board=t.guarantee_board,
         agency_customers=t.agency_customers, marks=t.marks, entities=t.entities, header_tranche="3")
 
@@ -320,9 +321,17 @@ def cube_sources(t):
 _SPLIT = "SELECT DISTINCT from_value, to_value FROM taxonomy_relation WHERE from_catalogue = 'C039' AND to_catalogue = "
 _TEXT = "SELECT DISTINCT value, description FROM taxonomy_values WHERE catalogue = "
 CTES["cube_settled"] = f"SELECT DISTINCT {KEY} FROM movements WHERE payment_state IN {in_list(codes.SETTLED_STATES)} AND movement_class IN {in_list(codes.PAYMENT_CLASSES)}"
+CTES["cube_runoff"] = f"""
+SELECT {KEY}, SUM(runoff) AS runoff_total,
+  DATE '0001-01-01' + CAST(FLOOR(CAST(SUM(runoff * (DATE_DIFF('day', DATE '0001-01-01', start_date) + 1)) AS DOUBLE) / CAST(SUM(runoff) AS DOUBLE)) AS INTEGER) - 1 AS avg_maturity
+FROM (SELECT facility_id, tranche_id, branch_id, {SQL_EFFECTS}
+  FROM (SELECT m.*, base_amount * COALESCE(fx, 1) AS base_eur, movement_amount * COALESCE(fx, 1) AS amount_eur
+        FROM movements m JOIN (SELECT DISTINCT {KEY}, entity_id FROM operations) o ON {on('m', 'o')} AND m.entity_id = o.entity_id
+        LEFT JOIN fx ON m.currency = fx.currency WHERE movement_class IN {in_list(codes.BALANCE_CLASSES)}))
+WHERE start_date > {DAY} GROUP BY ALL HAVING SUM(runoff) > 0"""
 CTES["cube_base"] = f"""
 SELECT o.facility_id, o.tranche_id, o.branch_id, o.entity_id, o.currency, o.customer_id, o.signing_date, o.expiry_date, o.project_country_id,
-  o.financial_product, o.com_product, o.purpose, COALESCE(o.insured_type, hd.v, tz.v) AS insured_type,
+  o.financial_product, o.com_product, o.purpose, o.project_id, o.project_sector_desc, o.security_type, o.syndication_type, COALESCE(o.insured_type, hd.v, tz.v) AS insured_type,
   b.funded_ccy, b.available_ccy, b.funded_eur, b.available_eur, b.commitment,
   COALESCE(e.econ_ead, 0) AS econ_ead, COALESCE(e.econ_loss, 0) AS econ_loss, COALESCE(e.econ_capital, 0) AS econ_capital, COALESCE(e.econ_pd, 0) AS econ_pd,
   COALESCE(e.econ_long_letter, '{codes.UNRATED}') AS econ_rating,
@@ -334,21 +343,21 @@ SELECT o.facility_id, o.tranche_id, o.branch_id, o.entity_id, o.currency, o.cust
 FROM operations o LEFT JOIN balances b ON {on('o', 'b')} AND o.entity_id = b.entity_id AND o.currency = b.currency
 JOIN (SELECT DISTINCT branch_id, entity_id FROM branches) br ON o.branch_id = br.branch_id AND o.entity_id = br.entity_id
 LEFT JOIN econ_facility e ON {on('o', 'e')} LEFT JOIN reg_facility r ON {on('o', 'r')} LEFT JOIN provision_facility p ON {on('o', 'p')}
-LEFT JOIN (SELECT * FROM runoff_profile WHERE runoff_total > 0) rp ON {on('o', 'rp')}
+LEFT JOIN cube_runoff rp ON {on('o', 'rp')}
 LEFT JOIN (SELECT facility_id, MIN(insured_type) AS v FROM operations WHERE financial_product = 'Multitranche' GROUP BY 1) hd ON o.facility_id = hd.facility_id
 LEFT JOIN (SELECT facility_id, MIN(insured_type) AS v FROM operations WHERE tranche_id = '3' GROUP BY 1) tz ON o.facility_id = tz.facility_id
 WHERE b.commitment > 0"""
 CTES["cube_accredited"] = f"""
-SELECT {case(codes.LEDGER_ENTITY_CUSTOMER_PREFIX, 'ledger_entity')} || participant_id AS customer_id, construction_type, project_rating, rating_date AS project_rating_date
+SELECT {case(codes.LEDGER_ENTITY_CUSTOMER_PREFIX, 'ledger_entity')} || participant_id AS customer_id, construction_type, project_rating, rating_date AS project_rating_date, capital_adjustment, project_score, project_lgd
 FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY participant_id, ledger_entity ORDER BY rating_date DESC, register_date DESC, row_id DESC) AS place FROM accredited) WHERE place = 1"""
 CTES["wide"] = f"""
 SELECT x.*, pc.country_name AS project_country, cc.country_name AS customer_country, gc.country_name AS group_country, m.group_id, en.entity_name,
   {ordinal('x.reg_rating')} AS reg_rating_ordinal, COALESCE(w.watch_list, '0') AS watch_list,
   kt.description AS sector_desc, ut.description AS subsector_desc, pr.group_rating, a.construction_type, a.project_rating, a.project_rating_date,
-  cr.internal_rating, {ordinal('cr.internal_rating')} AS internal_ordinal,
+  a.capital_adjustment, a.project_score, a.project_lgd, cr.short_rating, cr.rating_tool_date, cr.internal_rating, {ordinal('cr.internal_rating')} AS internal_ordinal,
   CASE WHEN {ordinal('cr.internal_rating')} <= 10 THEN 1 ELSE 0 END AS investment_grade,
   s.facility_id IS NOT NULL AS sts_payment_condition, COALESCE(100 * x.reg_rw <= 100, TRUE) AS sts_rw_condition,
-  COALESCE(sc.securitized, 'N') AS securitized, COALESCE(sc.securitized_percent / 100::DOUBLE * CAST(x.reg_ead AS DOUBLE), 0) AS securitized_amount,
+  COALESCE(sc.sold, 'N') AS sold, COALESCE(sc.sold_percent / 100::DOUBLE * CAST(x.reg_ead AS DOUBLE), 0) AS sold_amount,
   gu.agency_guaranteed, gu.other_guaranteed, es.esg_linked,
   CAST(x.funded_ccy AS DOUBLE) / NULLIF(CAST(x.funded_eur AS DOUBLE), 0) AS exchange_rate,
   x.funded_ccy + x.available_ccy AS total_ccy, x.funded_eur + x.available_eur AS total_eur,
@@ -361,16 +370,17 @@ SELECT x.*, pc.country_name AS project_country, cc.country_name AS customer_coun
   '{L.VALUE_DATE}' AS snapshot_date, '{L.VALUE_DATE}' AS risk_date, '{L.VALUE_DATE}' AS provision_date
 FROM cube_base x
 LEFT JOIN watchlist w ON x.customer_id = w.customer_id
-LEFT JOIN (SELECT DISTINCT customer_id, group_id, group_country FROM master) m ON x.customer_id = m.customer_id
-LEFT JOIN (SELECT l.customer_id, c.customer_country, c.activity_id FROM (SELECT DISTINCT golden_customer_id, customer_country, activity_id FROM customers) c
-           LEFT JOIN (SELECT DISTINCT * FROM links) l ON c.golden_customer_id = l.golden_customer_id) ca ON x.customer_id = ca.customer_id
+LEFT JOIN (SELECT * FROM (SELECT customer_id, group_id, group_country, ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY group_id NULLS LAST, group_country NULLS LAST) AS place FROM master)
+           WHERE place = 1) m ON x.customer_id = m.customer_id
+LEFT JOIN (SELECT * FROM (SELECT l.customer_id, c.customer_country, c.activity_id, ROW_NUMBER() OVER (PARTITION BY l.customer_id ORDER BY c.customer_country NULLS LAST, c.activity_id NULLS LAST) AS place
+           FROM customers c LEFT JOIN links l ON c.golden_customer_id = l.golden_customer_id) WHERE place = 1) ca ON x.customer_id = ca.customer_id
 LEFT JOIN ({_SPLIT} 'C164') u ON ca.activity_id = u.from_value LEFT JOIN ({_SPLIT} 'C162') k ON ca.activity_id = k.from_value
 LEFT JOIN ({_TEXT} 'C164') ut ON u.to_value = ut.value LEFT JOIN ({_TEXT} 'C162') kt ON k.to_value = kt.value
 LEFT JOIN countries pc ON x.project_country_id = pc.country_id LEFT JOIN countries cc ON ca.customer_country = cc.country_id
 LEFT JOIN countries gc ON m.group_country = gc.country_id
-LEFT JOIN parent_rating pr ON m.group_id = pr.group_id
+LEFT JOIN (SELECT group_id, MIN(group_rating) AS group_rating FROM parent_rating GROUP BY 1) pr ON m.group_id = pr.group_id
 LEFT JOIN cube_accredited a ON x.customer_id = a.customer_id LEFT JOIN customer_ratings cr ON x.customer_id = cr.customer_id
-LEFT JOIN cube_settled s ON {on('x', 's')} LEFT JOIN securitized sc ON {on('x', 'sc')}
+LEFT JOIN cube_settled s ON {on('x', 's')} LEFT JOIN sold sc ON {on('x', 'sc')}
 LEFT JOIN guaranteed gu ON {on('x', 'gu')} LEFT JOIN esg es ON {on('x', 'es')} LEFT JOIN entities en ON x.entity_id = en.entity_id"""
 
 

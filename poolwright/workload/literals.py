@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from poolwright.functions import codes
+
+# ledger entities of the stand-in data: the two that the fixed prefixes know
+HOME, ABROAD = codes.LEDGER_ENTITY_CUSTOMER_PREFIX
+
 VALUE_DATE = "1998-06-30"
 LIMIT_DATE = "1999-06-30"
 SCENARIO = "Autumn pool"
@@ -88,10 +93,13 @@ SHEET = [
     _rule("excluded_facilities", "facility_id", "1", 0.0, ROW, 7),
     _rule("excluded_facilities", "facility_id", "77", 0.0, ROW, 7),
     _rule("excluded_facilities", "facility_id", "350", 0.0, ROW, 7),
+    *[_rule("excluded_facilities", "facility_id", str(13 * i), 0.0 if i % 2 else 0.5, ROW, 7) for i in range(5, 95)],
     _rule("geo_sector", "sector", "PROMO", 0.0, ROW, 8, "country", "NATION_7", 1),
     _rule("geo_sector", "sector", "LARGE", 0.25, ROW, 8, "country", "total", 1),
     _rule("geo_sector", "sector", "total", 0.5, ROW, 8, "country", "NATION_11", 1),
     _rule("maturity_max", "num_days", "2500", 0.0, ROW, 9),
+    _rule("maturity_max", "num_days", "2000", 0.5, ROW, 9),
+    _rule("maturity_max", "num_days", "2600", 0.25, ROW, 9),
     _rule("group", "group_id", "G07", 0.004, POOL, 20),
     _rule("group", "group_id", "total", 0.06, POOL, 20),
     _rule("sts_group", "sts_flag", "1", 0.01, POOL, 21, "group_id", "G11", 1),
@@ -103,5 +111,6 @@ SHEET = [
     _rule("non_ig", "non_ig_flag", "1", 0.4, POOL, 25),
     _rule("divisa", "currency", "USD", 0.1, POOL, 26),
     _rule("maturity_min", "num_days", "200", 0.05, POOL, 27),
+    _rule("maturity_min", "num_days", "1095", 0.6, POOL, 27),
 ]
 POOL_SIZE_RULE = _rule("portfolio_size", "amount_size", "total", None, POOL, 0)

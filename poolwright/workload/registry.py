@@ -20,12 +20,12 @@ class Query:
 QUERIES: dict[str, Query] = {}
 
 
-def query(name: str, sql: str | None = None, recursive: bool = False):
-    """Register ``fn(tables) -> DataFrame``; ``sql`` may name any logical table."""
+def query(name: str, sql: str | None = None, recursive: bool = False, instead: dict[str, str] | None = None):
+    """Register ``fn(tables) -> DataFrame``; ``sql`` may name any logical table, ``instead`` redefines some for it."""
 
     def register(fn: Callable[[Tables], DataFrame]):
         QUERIES[name] = Query(lambda spark, path: fn(Tables(spark, path)),
-                              with_ctes(sql, recursive) if sql else None)
+                              with_ctes(sql, recursive, instead) if sql else None)
         return fn
 
     return register

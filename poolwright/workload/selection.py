@@ -11,6 +11,7 @@ from poolwright.operators import allocation as A
 from poolwright.operators import eligibility, limits, report
 from poolwright.operators.ranking import ranked
 from poolwright.plans import selection
+from poolwright.session import materialize
 from poolwright.workload import literals as L
 from poolwright.workload.basics import SHEET_SPEC
 from poolwright.workload.registry import query
@@ -76,12 +77,12 @@ TAX_RATE, CET1 = 0.3, 0.115
 SELECT name_list_desc, concept1_desc AS constant_type, ROUND({_NUMBER}, 6) AS constant_value FROM current_rules WHERE limit_type = 'constant_type'
 UNION ALL SELECT 'all', 'tax_rate', {TAX_RATE}::DOUBLE UNION ALL SELECT 'all', 'ratio_cet1', {CET1}::DOUBLE
 UNION ALL SELECT 'all', 'lgd', ROUND(CAST(SUM(reg_lgd) AS DOUBLE) / COUNT(reg_lgd), 6) FROM reg_capital
-UNION ALL SELECT 'all', 'ci_ratio', ROUND(CAST(SUM(commitment) AS DOUBLE) / NULLIF(CAST(SUM(funded_ccy) AS DOUBLE), 0), 6) FROM balances WHERE entity_id = '0182'""")
+UNION ALL SELECT 'all', 'ci_ratio', ROUND(CAST(SUM(commitment) AS DOUBLE) / NULLIF(CAST(SUM(funded_ccy) AS DOUBLE), 0), 6) FROM balances WHERE entity_id = '{L.HOME}'""")
 def pool_constants(t):
     from poolwright.sources.limit_sheets import read_limit_sheet
 
     sheet = read_limit_sheet(limits.active_limits(t.sheet_history))
-    cost_income = t.balances.filter(F.col("entity_id") == "0182").agg(F.try_divide(
+    cost_income = t.balances.filter(F.col("entity_id") == L.HOME).agg(F.try_divide(
         F.sum("commitment").cast("double"), F.sum("funded_ccy").cast("double")).alias("constant_value"))
     out = selection.pool_constants(sheet, t.reg_capital, "reg_lgd", cost_income, {"tax_rate": TAX_RATE, "ratio_cet1": CET1})
     return project(out, "name_list_desc constant_type r:constant_value")
@@ -91,7 +92,7 @@ def pool_constants(t):
 
 RETAINED, CCF = 0.2, 0.5
 CTES["based"] = f"""
-SELECT *, CAST(LEAST(CAST(reg_ead AS DOUBLE), CAST(funded_eur + available_eur * {CCF} AS DOUBLE)) - CAST(securitized_amount AS DOUBLE) / {1 - RETAINED} AS {MONEY}) AS base_amount
+SELECT *, CAST(LEAST(CAST(reg_ead AS DOUBLE), CAST(funded_eur + available_eur * {CCF} AS DOUBLE)) - CAST(sold_amount AS DOUBLE) / {1 - RETAINED} AS {MONEY}) AS base_amount
 FROM facility WHERE com_product = 'Corporate Facilities'"""
 
 
@@ -115,15 +116,23 @@ def _one(column, kind):
 _GEO = " ".join(
     "WHEN " + " AND ".join([f"sector = '{a}'"] * (a != "total") + [f"country = '{b}'"] * (b != "total")) + f" THEN {v}"
     for a, b, v in sorted(rules_of("geo_sector"), key=lambda r: r[2]))
-_DAYS_MAX, _SHARE_MAX = rules_of("maturity_max")[0][0], rules_of("maturity_max")[0][2]
+
+
+def maturity_case(kind, unknown):
+    """Least share of the bounds that the expiry date breaks."""
+    sign = "<" if kind == "maturity_min" else ">"
+    shares = [f"CASE WHEN expiry_date {sign} DATE '{L.LIMIT_DATE}' + {days} THEN {share} ELSE 1.0 END" for days, _, share in rules_of(kind)]
+    return f"CASE WHEN expiry_date IS NULL THEN {unknown} ELSE LEAST({', '.join(shares)}, 1.0) END"
+
+
 _ROW_SQL = {
     "risk_retention": f"{1 - RETAINED}",
     "rating_rga_esl": _one("rating_letter", "rating_rga_esl"),
     "rating_sp": _one("group_rating", "rating_sp"),
     "bei": f"CASE WHEN bei_flag = 1 THEN 0.0 ELSE 1.0 END",
     "excluded_facilities": _one("facility_id", "excluded_facilities"),
-    "geo_sector": f"CASE {_GEO} ELSE 1.0 END",
-    "maturity_max": f"CASE WHEN expiry_date <= DATE '{L.LIMIT_DATE}' + {_DAYS_MAX} THEN 1.0 ELSE {_SHARE_MAX} END",
+    "geo_sector": f"CASE {_GEO} WHEN country IS NULL THEN {null_share('geo_sector')} ELSE 1.0 END",
+    "maturity_max": maturity_case("maturity_max", null_share("maturity_max")),
 }
 _ROW_NAMES = list(_ROW_SQL)
 _MATCHED = {
@@ -202,9 +211,6 @@ def eligible_amount_mincap(t):
 
 # --- universe ---
 
-_DAYS_MIN, _, _SHARE_MIN = rules_of("maturity_min")[0]
-
-
 def _pool_share(kind, column, by=0):
     totals = [r[2] for r in rules_of(kind) if (r[1] if by else r[0]) == "total"]
     named = {(r[1] if by else r[0]): r[2] for r in rules_of(kind) if (r[1] if by else r[0]) != "total"}
@@ -221,9 +227,7 @@ _POOL_SQL = [
     ("subsector", "subsector", _pool_share("subsector", "subsector")),
     ("non_ig", "CAST(non_ig_flag AS VARCHAR)", _pool_share("non_ig", "CAST(non_ig_flag AS VARCHAR)")),
     ("divisa", "currency", _pool_share("divisa", "currency")),
-    ("maturity_min", "CAST(expiry_date AS VARCHAR)",
-     f"CASE WHEN expiry_date >= DATE '{L.LIMIT_DATE}' + {_DAYS_MIN} THEN 1.0 ELSE {_SHARE_MIN} END"),
-    ("currency", "currency", "1.0"),
+    ("maturity_min", "CAST(expiry_date AS VARCHAR)", maturity_case("maturity_min", min(r[2] for r in rules_of("maturity_min")))),
     ("financial_product", "financial_product", "1.0"),
 ]
 CTES["pool_long"] = " UNION ALL ".join(
@@ -248,7 +252,7 @@ def limit_universe(t):
 
 
 @query("maturity_rule", f"""
-SELECT {KEY}, STRFTIME(expiry_date, '%Y-%m-%d') AS expiry_date, CAST({_POOL_SQL[7][2]} AS DOUBLE) AS min_share, limit_maturity_max AS max_share FROM row_limited""")
+SELECT {KEY}, STRFTIME(expiry_date, '%Y-%m-%d') AS expiry_date, CAST({maturity_case('maturity_min', null_share('maturity_min'))} AS DOUBLE) AS min_share, limit_maturity_max AS max_share FROM row_limited""")
 def maturity_rule(t):
     facilities, book = setup(t)
     by_name = {s.name: s for s in book.specs}
@@ -439,3 +443,54 @@ def allocation_checks(t):
     filled, book = filled_pool(t)
     checks = report.allocation_checks(A.allocation(filled), A.limit_ledger(filled, L.SCENARIO), book.pool_size)
     return project(checks, "check_name i:violations")
+
+
+# --- from the wide cube to a selected pool ---
+
+def _cube_facility(letter, ordinal):
+    return f"""
+SELECT {KEY}, group_id, customer_country AS country, currency, financial_product, com_product, sector_desc AS sector, subsector_desc AS subsector,
+  signing_date, expiry_date, reg_ead, funded_eur, available_eur, reg_capital, CAST(sold_amount AS {MONEY}) AS sold_amount, reg_capital_ratio,
+  {letter} AS rating_letter, group_rating,
+  CASE WHEN {ordinal} >= {codes.RATING_SCALE.index(codes.FIRST_SPECULATIVE_GRADE) + 1} AND NOT STARTS_WITH({letter}, 'BBB') THEN 1 ELSE 0 END AS non_ig_flag,
+  CASE WHEN COALESCE(agency_guaranteed, 0) <> 0 THEN 1 ELSE 0 END AS bei_flag, CASE WHEN esg_linked = 1 THEN 1 ELSE 0 END AS esg_linked_flag
+FROM wide"""
+
+
+CUBE_POOL = f"{TYPED} i:is_selected exclusion_reason exclusion_detail"
+
+
+def _cube_sql(portfolio_type):
+    return f"""
+SELECT facility_id, tranche_id, branch_id, facility_id || '_' || tranche_id AS file_tranche, '{portfolio_type}' AS portfolio_type,
+  STRFTIME(signing_date, '%Y-%m-%d') AS signing_date, CAST(base_amount AS DOUBLE) AS base_amount, CAST(eligible_amount AS DOUBLE) AS eligible_amount,
+  CAST(allocated_amount AS DOUBLE) AS allocated_amount, ROUND(pool_share::DOUBLE, 7) AS pool_share, ROUND(cumulative_share::DOUBLE, 7) AS cumulative_share,
+  CAST(is_selected AS BIGINT) AS is_selected, reason AS exclusion_reason, detail AS exclusion_detail
+FROM portfolio"""
+
+
+def selected_from_cube(t, portfolio_type):
+    """The main path in one run: wide cube, feature marks, selection."""
+    from poolwright.plans import cube
+    from poolwright.workload.enrichment import cube_sources
+
+    dates = {"snapshot_date": L.VALUE_DATE, "risk_date": L.VALUE_DATE, "provision_date": L.VALUE_DATE}
+    facilities = selection.cube_facilities(cube.wide_cube(cube_sources(t), L.VALUE_DATE, dates), portfolio_type)
+    # the selection reads its facilities several times: from here on they are a table
+    facilities = materialize(facilities, "facilities")
+    corporate = "1" if portfolio_type == "corporate_loan" else "0"
+    sheet = t.sheet.withColumn("corporate_loan_flag", F.when(F.col("limit_type") == "portfolio_type", corporate).otherwise(F.col("corporate_loan_flag")))
+    return selection.select_pool(facilities, sheet, t.relation)
+
+
+@query("cube_selection", _cube_sql("corporate_loan"), recursive=True, instead={"facility": _cube_facility("reg_rating", "reg_rating_ordinal")})
+def cube_selection(t):
+    return project(selected_from_cube(t, "corporate_loan").portfolio, CUBE_POOL)
+
+
+@query("cube_selection_projects", _cube_sql("project_finance"), recursive=True, instead={
+    "facility": _cube_facility("internal_rating", "internal_ordinal"),
+    "based": CTES["based"].replace("Corporate Facilities", "Project Finance"),
+    "row_limited": CTES["row_limited"].replace("group_rating", "rating_letter")})
+def cube_selection_projects(t):
+    return project(selected_from_cube(t, "project_finance").portfolio, CUBE_POOL)

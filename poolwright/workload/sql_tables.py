@@ -67,7 +67,7 @@ def currency(number: str) -> str:
 
 
 ENTITY = "CASE WHEN l_suppkey % 2 = 0 THEN 'ES' ELSE 'MX' END"
-LEDGER_ENTITY = "CASE WHEN l_suppkey % 2 = 0 THEN '0182' ELSE '9016' END"
+LEDGER_ENTITY = f"CASE WHEN l_suppkey % 2 = 0 THEN '{L.HOME}' ELSE '{L.ABROAD}' END"
 TAIL = f"{pad('l_orderkey', 12)} || {pad('l_linenumber', 2)} || {pad('l_partkey', 12)}"
 CONTRACT = f"{ENTITY} || '0000' || {pad('l_suppkey % 10', 4)} || {TAIL}"
 LOAN = (f"CAST(l_suppkey AS VARCHAR) AS facility_id, CAST(l_linenumber AS VARCHAR) AS tranche_id, "
@@ -95,18 +95,18 @@ FROM lineitem"""
 CTES["facility"] = f"""
 SELECT CAST(l_orderkey AS VARCHAR) AS facility_id, CAST(l_linenumber AS VARCHAR) AS tranche_id,
        CAST(l_suppkey AS VARCHAR) AS branch_id,
-       'G' || {pad('MIN(o_custkey) % 40', 2)} AS group_id, MIN(n_name) AS country,
+       'G' || {pad('MIN(o_custkey) % 40', 2)} AS group_id, CASE WHEN MIN(o_custkey) % 23 <> 0 THEN MIN(n_name) END AS country,
        {case(L.REGION_CURRENCY, 'MIN(n_regionkey)')} AS currency,
        {case(L.STATUS_PRODUCT, 'MIN(o_orderstatus)')} AS financial_product,
        CASE WHEN MIN(c_mktsegment) = 'BUILDING' THEN 'Project Finance' ELSE 'Corporate Facilities' END AS com_product,
        ARG_MIN(p_type, l_partkey) AS sector, ARG_MIN(p_brand, l_partkey) AS subsector,
        CAST(MIN(o_orderdate) AS DATE) AS signing_date,
-       MAX(ship_date) + CAST(365 * l_linenumber AS INTEGER) AS expiry_date,
+       CASE WHEN MIN(o_custkey) % 29 <> 0 THEN MAX(ship_date) + CAST(365 * l_linenumber AS INTEGER) END AS expiry_date,
        CAST(SUM(price) AS {MONEY}) AS reg_ead,
        CAST(SUM(price * (1 - disc)) AS {MONEY}) AS funded_eur,
        CAST(CAST(SUM(price * tax) AS DECIMAL(20,2)) AS {MONEY}) AS available_eur,
        CAST(SUM(price * disc) AS {MONEY}) AS reg_capital,
-       CAST(SUM(CASE WHEN l_quantity > 45 THEN CAST(FLOOR(CAST(price AS DOUBLE) / 8) AS {MONEY}) ELSE 0 END) AS {MONEY}) AS securitized_amount,
+       CAST(SUM(CASE WHEN l_quantity > 45 THEN CAST(FLOOR(CAST(price AS DOUBLE) / 8) AS {MONEY}) ELSE 0 END) AS {MONEY}) AS sold_amount,
        CAST(CAST(SUM(price * disc) AS {MONEY}) AS DOUBLE) / CAST(CAST(SUM(price) AS {MONEY}) AS DOUBLE) AS reg_capital_ratio,
        {letter('MIN(o_custkey) + l_linenumber')} AS rating_letter,
        CASE WHEN MIN(o_custkey) % 5 <> 0 THEN {letter('MIN(o_custkey)')} END AS group_rating,
@@ -124,6 +124,9 @@ SELECT {LOAN}, {LEDGER_ENTITY} AS entity_id, {currency('l_suppkey')} AS currency
        CASE WHEN l_linenumber = 1 THEN 'Multitranche' WHEN l_linenumber < 5 THEN 'Term Loan' ELSE 'RCF' END AS financial_product,
        CASE WHEN l_suppkey % 3 = 0 THEN 'Project Finance' ELSE 'Corporate Facilities' END AS com_product,
        CASE WHEN l_suppkey % 4 = 1 THEN ' {codes.PUBLIC_AGENCY_PURPOSE} ' ELSE 'General' END AS purpose,
+       'P' || {pad('l_suppkey % 30', 3)} AS project_id, ' Field ' || CAST(l_suppkey % 6 AS VARCHAR) AS project_sector_desc,
+       CASE WHEN l_suppkey % 7 = 0 THEN 'Bond' ELSE 'Loan' END AS security_type,
+       CASE WHEN l_linenumber % 2 = 0 THEN 'Syndicated' ELSE 'Bilateral' END AS syndication_type,
        CASE WHEN l_linenumber % 3 = 0 THEN 'Secured' WHEN l_linenumber = 1 AND l_suppkey % 2 = 0 THEN 'Insured' END AS insured_type
 FROM lines GROUP BY l_suppkey, l_linenumber"""
 
@@ -143,7 +146,7 @@ SELECT {pad('l_suppkey % 10', 4)} AS branch_id, {LEDGER_ENTITY} AS entity_id, p_
 FROM lines JOIN part ON l_partkey = p_partkey"""
 
 CTES["movements"] = f"""
-SELECT {LOAN}, {LEDGER_ENTITY} AS entity_id, {currency('l_suppkey')} AS currency,
+SELECT {LOAN}, {LEDGER_ENTITY.replace('l_suppkey % 2', '(l_suppkey + CASE WHEN l_partkey % 17 = 3 THEN 1 ELSE 0 END) % 2')} AS entity_id, {currency('l_suppkey')} AS currency,
        {SIGNING} AS signing_date, {EXPIRY} AS expiry_date,
        {case({k: c for k, (c, _) in L.MOVEMENTS.items()}, 'l_returnflag || l_linestatus')} AS movement_class,
        {case({k: t for k, (_, t) in L.MOVEMENTS.items()}, 'l_returnflag || l_linestatus')} AS movement_type,
@@ -214,16 +217,17 @@ SELECT {golden('o_custkey')} AS golden_customer_id, {case(L.PRIORITY_RATING, 'o_
 FROM orders WHERE o_orderstatus <> 'P'"""
 
 CTES["accredited"] = f"""
-SELECT {pad('o_custkey', 9)} AS participant_id, CASE WHEN o_custkey % 2 = 0 THEN '0182' ELSE '9016' END AS ledger_entity,
+SELECT {pad('o_custkey', 9)} AS participant_id, CASE WHEN o_custkey % 2 = 0 THEN '{L.HOME}' ELSE '{L.ABROAD}' END AS ledger_entity,
        CAST(DATE_TRUNC('month', o_orderdate) AS DATE) AS rating_date, CAST(o_orderdate AS DATE) AS register_date,
        CASE WHEN o_orderstatus = 'F' THEN 'S ' ELSE 'N' END AS construction_type,
-       {letter('o_orderkey')} AS project_rating, o_orderkey AS row_id
+       {letter('o_orderkey')} AS project_rating, CASE WHEN o_orderkey % 4 = 0 THEN 'Adjusted' END AS capital_adjustment,
+       CASE WHEN o_orderstatus = 'O' THEN 'High' ELSE 'Low' END AS project_score, CAST(o_orderkey % 100 / 100 AS {RATE}) AS project_lgd, o_orderkey AS row_id
 FROM orders"""
-CTES["customer_ratings"] = f"SELECT {customer('c_custkey')} AS customer_id, {letter('c_custkey * 3')} AS internal_rating FROM customer"
+CTES["customer_ratings"] = f"SELECT {customer('c_custkey')} AS customer_id, {letter('c_custkey * 3')} AS internal_rating, SUBSTR({letter('c_custkey * 3')}, 1, 2) AS short_rating, DATE '1998-01-01' + CAST(c_custkey % 180 AS INTEGER) AS rating_tool_date FROM customer"
 
-CTES["securitizations"] = f"""
-SELECT {LOAN}, tax AS securitized_percent, CASE WHEN l_partkey % 3 <> 0 THEN l_partkey END AS securitization_id,
-       ship_date AS securitization_date
+CTES["prior_deals"] = f"""
+SELECT {LOAN}, tax AS sold_percent, CASE WHEN l_partkey % 3 <> 0 THEN l_partkey END AS deal_id,
+       ship_date AS deal_date
 FROM lines WHERE l_quantity > 45"""
 
 CTES["guarantee_assignments"] = f"""
@@ -237,8 +241,8 @@ CTES["agency_customers"] = f"SELECT {customer('c_custkey')} AS customer_id FROM
 CTES["marks"] = f"""
 SELECT {CONTRACT} AS contract_id, CASE WHEN disc >= 0.08 THEN '{codes.SUSTAINABILITY_MARK}' ELSE 'OTHR' END AS mark_id
 FROM lines WHERE l_returnflag = 'A'"""
-CTES["entities"] = """
-SELECT CASE WHEN s_suppkey % 2 = 0 THEN '0182' ELSE '9016' END AS entity_id, 'Entity of ' || MIN(s_name) AS entity_name
+CTES["entities"] = f"""
+SELECT CASE WHEN s_suppkey % 2 = 0 THEN '{L.HOME}' ELSE '{L.ABROAD}' END AS entity_id, 'Entity of ' || MIN(s_name) AS entity_name
 FROM supplier GROUP BY 1"""
 
 _KIND = case(L.HISTORY_TYPES, f"o_orderkey % {len(L.HISTORY_TYPES)}")
@@ -275,19 +279,23 @@ UNION ALL SELECT {', '.join(text(v) if n != 'limit_value' else _SIZE for n, v in
 CTES["pool"] = f"SELECT CAST({_SIZE} AS {MONEY}) AS size"
 
 
-def with_ctes(query: str, recursive: bool = False) -> str:
-    """Prefix ``query`` with the expressions it names, in definition order."""
+def with_ctes(query: str, recursive: bool = False, instead: dict[str, str] | None = None) -> str:
+    """Prefix ``query`` with the expressions it names, each after those it needs; ``instead`` replaces some of them."""
+    ctes = {**CTES, **(instead or {})}
 
     def named(sql: str) -> set[str]:
-        return set(re.findall(r"[A-Za-z_][A-Za-z_0-9]*", sql)) & CTES.keys()
-
-    needed, queue = set(), list(named(query))
-    while queue:
-        name = queue.pop()
-        if name not in needed:
-            needed.add(name)
-            queue.extend(named(CTES[name]) - {name})
-    parts = [f"{name} AS {'MATERIALIZED ' if name in MATERIALIZED else ''}({CTES[name].strip()})"
-             for name in CTES if name in needed]
+        return set(re.findall(r"[A-Za-z_][A-Za-z_0-9]*", sql)) & ctes.keys()
+
+    ordered: list[str] = []
+
+    def add(name: str, above: frozenset[str]) -> None:
+        if name not in ordered and name not in above:
+            for other in sorted(named(ctes[name]) - {name}, key=list(ctes).index):
+                add(other, above | {name})
+            ordered.append(name)
+
+    for name in sorted(named(query), key=list(ctes).index):
+        add(name, frozenset())
+    parts = [f"{name} AS {'MATERIALIZED ' if name in MATERIALIZED else ''}({ctes[name].strip()})" for name in ordered]
     keyword = "WITH RECURSIVE" if recursive else "WITH"
     return f"{keyword} {', '.join(parts)} {query.strip()}" if parts else query.strip()

@@ -98,7 +98,7 @@ class Tables:
             "funded_eur": money(F.col("cents") * 100 - F.col("disc_ticks")),
             "available_eur": money(F.col("tax_ticks")).cast("decimal(20,2)").cast(MONEY),
             "reg_capital": money(F.col("disc_ticks")),
-            "securitized_amount": F.col("sold").cast(MONEY),
+            "sold_amount": F.col("sold").cast(MONEY),
         })
         orders = self.raw("orders").select(
             F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("c_custkey"), "o_orderstatus",
@@ -114,14 +114,14 @@ class Tables:
             F.col("l_linenumber").cast("string").alias("tranche_id"),
             F.col("l_suppkey").cast("string").alias("branch_id"),
             F.concat(F.lit("G"), pad(F.col("c_custkey") % 40, 2)).alias("group_id"),
-            F.col("n_name").alias("country"),
+            F.when(F.col("c_custkey") % 23 != 0, F.col("n_name")).alias("country"),
             case(L.REGION_CURRENCY, F.col("n_regionkey")).alias("currency"),
             case(L.STATUS_PRODUCT, F.col("o_orderstatus")).alias("financial_product"),
             F.when(F.col("c_mktsegment") == "BUILDING", "Project Finance").otherwise("Corporate Facilities")
             .alias("com_product"),
             "sector", "subsector", "signing_date",
-            F.date_add("ship_date", (365 * F.col("l_linenumber")).cast("int")).alias("expiry_date"),
-            "reg_ead", "funded_eur", "available_eur", "reg_capital", "securitized_amount",
+            F.when(F.col("c_custkey") % 29 != 0, F.date_add("ship_date", (365 * F.col("l_linenumber")).cast("int"))).alias("expiry_date"),
+            "reg_ead", "funded_eur", "available_eur", "reg_capital", "sold_amount",
             F.try_divide(F.col("reg_capital").cast("double"), F.col("reg_ead").cast("double")).alias("reg_capital_ratio"),
             rating.alias("rating_letter"),
             F.when(F.col("c_custkey") % 5 != 0, letter(F.col("c_custkey"))).alias("group_rating"),
@@ -164,7 +164,7 @@ class Tables:
             F.max("l_returnflag").alias("flag"), F.sum("price").cast(MONEY).alias("total"),
         ).select(
             *self._loan_key(),
-            F.when(F.col("l_suppkey") % 2 == 0, "0182").otherwise("9016").alias("entity_id"),
+            F.when(F.col("l_suppkey") % 2 == 0, L.HOME).otherwise(L.ABROAD).alias("entity_id"),
             self._currency(F.col("l_suppkey")).alias("currency"),
             self._customer(F.col("l_suppkey")).alias("customer_id"),
             (F.col("l_suppkey") % 25).cast("int").alias("_country"),
@@ -176,6 +176,10 @@ class Tables:
             F.when(F.col("l_suppkey") % 3 == 0, "Project Finance").otherwise("Corporate Facilities").alias("com_product"),
             F.when(F.col("l_suppkey") % 4 == 1, F.concat(F.lit(" "), F.lit(codes.PUBLIC_AGENCY_PURPOSE), F.lit(" ")))
             .otherwise("General").alias("purpose"),
+            F.concat(F.lit("P"), pad(F.col("l_suppkey") % 30, 3)).alias("project_id"),
+            F.concat(F.lit(" Field "), (F.col("l_suppkey") % 6).cast("string")).alias("project_sector_desc"),
+            F.when(F.col("l_suppkey") % 7 == 0, "Bond").otherwise("Loan").alias("security_type"),
+            F.when(F.col("l_linenumber") % 2 == 0, "Syndicated").otherwise("Bilateral").alias("syndication_type"),
             F.when(F.col("l_linenumber") % 3 == 0, "Secured").when(
                 (F.col("l_linenumber") == 1) & (F.col("l_suppkey") % 2 == 0), "Insured").alias("insured_type"),
         ).drop("_country")
@@ -190,7 +194,7 @@ class Tables:
         )
         keyed = sums.select(
             *self._loan_key(),
-            F.when(F.col("l_suppkey") % 2 == 0, "0182").otherwise("9016").alias("entity_id"),
+            F.when(F.col("l_suppkey") % 2 == 0, L.HOME).otherwise(L.ABROAD).alias("entity_id"),
             self._currency(F.col("l_suppkey")).alias("currency"),
             "funded_ccy", "available_ccy",
             F.when(F.col("l_suppkey") % 20 == 3, F.lit(0).cast(MONEY)).otherwise(F.col("commitment")).alias("commitment"))
@@ -204,7 +208,7 @@ class Tables:
         part = self.raw("part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
         return self.lines.select("l_suppkey", "l_partkey").join(part, "l_partkey").select(
             pad(F.col("l_suppkey") % 10, 4).alias("branch_id"),
-            F.when(F.col("l_suppkey") % 2 == 0, "0182").otherwise("9016").alias("entity_id"),
+            F.when(F.col("l_suppkey") % 2 == 0, L.HOME).otherwise(L.ABROAD).alias("entity_id"),
             F.col("p_type").alias("entity_product"))
 
     @cached_property
@@ -212,7 +216,8 @@ class Tables:
         pair = F.concat("l_returnflag", "l_linestatus")
         return self.lines.select(
             *self._loan_key(),
-            F.when(F.col("l_suppkey") % 2 == 0, "0182").otherwise("9016").alias("entity_id"),
+            # some are booked by the other entity and belong to no operation
+            F.when((F.col("l_suppkey") + (F.col("l_partkey") % 17 == 3).cast("int")) % 2 == 0, L.HOME).otherwise(L.ABROAD).alias("entity_id"),
             self._currency(F.col("l_suppkey")).alias("currency"),
             F.date_add(F.lit("1994-01-01").cast("date"), (F.col("l_suppkey") % 365).cast("int")).alias("signing_date"),
             F.date_add(F.lit("2002-01-01").cast("date"), (F.col("l_linenumber") * 100).cast("int")).alias("expiry_date"),
@@ -348,27 +353,32 @@ class Tables:
     def accredited(self) -> DataFrame:
         return self.raw("orders").select(
             pad(F.col("o_custkey"), 9).alias("participant_id"),
-            F.when(F.col("o_custkey") % 2 == 0, "0182").otherwise("9016").alias("ledger_entity"),
+            F.when(F.col("o_custkey") % 2 == 0, L.HOME).otherwise(L.ABROAD).alias("ledger_entity"),
             F.trunc("o_orderdate", "month").alias("rating_date"),
             F.to_date("o_orderdate").alias("register_date"),
             F.when(F.col("o_orderstatus") == "F", "S ").otherwise("N").alias("construction_type"),
             letter(F.col("o_orderkey")).alias("project_rating"),
+            F.when(F.col("o_orderkey") % 4 == 0, "Adjusted").alias("capital_adjustment"),
+            F.when(F.col("o_orderstatus") == "O", "High").otherwise("Low").alias("project_score"),
+            (F.col("o_orderkey") % 100 / 100).cast(RATE).alias("project_lgd"),
             F.col("o_orderkey").alias("row_id"))
 
     @cached_property
     def customer_ratings(self) -> DataFrame:
         return self.raw("customer").select(
             self._customer(F.col("c_custkey")).alias("customer_id"),
-            letter(F.col("c_custkey") * 3).alias("internal_rating"))
+            letter(F.col("c_custkey") * 3).alias("internal_rating"),
+            F.substring(letter(F.col("c_custkey") * 3), 1, 2).alias("short_rating"),
+            F.date_add(F.lit("1998-01-01").cast("date"), (F.col("c_custkey") % 180).cast("int")).alias("rating_tool_date"))
 
-    # --- securitizations, guarantees, marks ---
+    # --- prior_deals, guarantees, marks ---
 
     @cached_property
-    def securitizations(self) -> DataFrame:
+    def prior_deals(self) -> DataFrame:
         return self.lines.filter(F.col("l_quantity") > 45).select(
-            *self._loan_key(), F.col("tax").alias("securitized_percent"),
-            F.when(F.col("l_partkey") % 3 != 0, F.col("l_partkey")).alias("securitization_id"),
-            F.col("ship_date").alias("securitization_date"))
+            *self._loan_key(), F.col("tax").alias("sold_percent"),
+            F.when(F.col("l_partkey") % 3 != 0, F.col("l_partkey")).alias("deal_id"),
+            F.col("ship_date").alias("deal_date"))
 
     @cached_property
     def guarantee_assignments(self) -> DataFrame:
@@ -402,7 +412,7 @@ class Tables:
     def entities(self) -> DataFrame:
         """Entity catalogue: named after the supplier nations."""
         return self.raw("supplier").groupBy(
-            F.when(F.col("s_suppkey") % 2 == 0, "0182").otherwise("9016").alias("entity_id")).agg(
+            F.when(F.col("s_suppkey") % 2 == 0, L.HOME).otherwise(L.ABROAD).alias("entity_id")).agg(
             F.concat(F.lit("Entity of "), F.min("s_name")).alias("entity_name"))
 
     # --- limit sheets ---

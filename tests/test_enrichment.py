@@ -7,6 +7,9 @@ from poolwright.contracts import CONTRACTS
 from poolwright.operators import customers as C
 from poolwright.operators import guarantees, lookups, risk
 
+from poolwright.functions import codes
+
+ES, MX = codes.ENTITY_CUSTOMER_PREFIX["ES"], codes.ENTITY_CUSTOMER_PREFIX["MX"]
 FX = [("EUR", D(1)), ("MXN", D("0.05")), ("USD", D("0.85"))]
 BANDS = [(0.0, 1.0, "S0", "L0"), (1.0, 10.0, "S1", "L1")]
 
@@ -54,13 +57,13 @@ def test_provisions_and_watchlist(spark):
     out = {r.facility_id: (r.provision_amount, r.provision_stage) for r in risk.provision_by_facility(prov, rel, frame(spark, "fx", FX)).collect()}
     assert out == {"f1": (15, 3), "f2": (0, 2)}
     marks = {r.customer_id: r.watch_list for r in risk.customer_watchlist(prov).collect()}
-    assert marks == {"ES0182000000001": "1", "ES0182000000002": "0", "MX0074000000001": "2"}
+    assert marks == {ES + "000000001": "1", ES + "000000002": "0", MX + "000000001": "2"}
 
 
-def test_securitized_share(spark):
+def test_sold_share(spark):
     rows = [("f", "0", "b", D("0.5"), 7, date(2024, 1, 1)), ("f", "0", "b", D("0.5"), 7, date(2024, 2, 1)),
             ("g", "0", "b", D("0.1"), None, date(2024, 1, 1))]
-    out = {r.facility_id: tuple(r)[3:] for r in risk.securitized_share(frame(spark, "securitizations", rows)).collect()}
+    out = {r.facility_id: tuple(r)[3:] for r in risk.sold_share(frame(spark, "prior_deals", rows)).collect()}
     assert out == {"f": (1, "Y", date(2024, 2, 1)), "g": (D("0.1"), "N", date(2024, 1, 1))}
 
 
@@ -86,11 +89,11 @@ def test_sustainability_flag(spark):
 
 def test_customer_master(spark):
     customers = frame(spark, "customers", [("A1", "n", "act", "01")] * 2 + [("A2", "m", "act", "02")])
-    links = frame(spark, "links", [("A1", "ES0182000000001"), ("A2", "ES0182000000002")])
+    links = frame(spark, "links", [("A1", ES + "000000001"), ("A2", ES + "000000002")])
     members = frame(spark, "members", [
-        ("ES0182000000001", "CP", "B", "G2", "N"), ("ES0182000000001", "CP", "A", "G1", "S"),
-        ("ES0182000000002", "CC", "B", "G1", "N"), ("ES0182000000002", "SC", "B", "G2", "N"),  # a tie stays
-        ("ES0182000000002", "XX", "A", "G3", "N"), ("ES0182000000002", "CP", "Z", "G3", "N")])
+        (ES + "000000001", "CP", "B", "G2", "N"), (ES + "000000001", "CP", "A", "G1", "S"),
+        (ES + "000000002", "CC", "B", "G1", "N"), (ES + "000000002", "SC", "B", "G2", "N"),  # a tie stays
+        (ES + "000000002", "XX", "A", "G3", "N"), (ES + "000000002", "CP", "Z", "G3", "N")])
     groups = frame(spark, "groups", [("G1", "01", " name ", " full ", "T1", "00005")])
     master = C.customer_master(customers, links, members, groups, {"T1": "Gold"})
     got = {(r.local_customer_id, r.group_id): (r.group_name, r.tier_desc, r.segment_desc) for r in master.collect()}
@@ -114,10 +117,15 @@ def test_cascade_and_taxonomy(spark):
     assert got == {"a": ("U text", "k", None), "b": (None, None, None)}
 
 
-def test_sized_broadcast_only_below_the_bound(spark):
-    df = spark.range(100).withColumnRenamed("id", "k")
-    hinted = lookups.sized_broadcast(df, max_rows=100)._jdf.queryExecution().logical().toString()
-    plain = lookups.sized_broadcast(df, max_rows=99)._jdf.queryExecution().logical().toString()
-    assert "broadcast" in hinted.lower() and "broadcast" not in plain.lower()
-    wide = spark.range(1000).select((F.col("id") % 100).alias("k"))
-    assert wide.join(lookups.sized_broadcast(df, max_rows=99), "k").count() == 1000
+def test_bands_of_any_number_equal_a_comparison_with_each(spark):
+    import random
+
+    rng = random.Random(1)
+    for n in (0, 1, 7, 400):
+        edges = sorted(rng.uniform(0, 1e4) for _ in range(n + 1))
+        bands = [(lo, hi, f"s{i}", f"l{i}") for i, (lo, hi) in enumerate(zip(edges, edges[1:]))]
+        values = [(i, v) for i, v in enumerate([None, -5.0, 2e4, *edges, *[rng.uniform(-10, 1.1e4) for _ in range(200)]])]
+        df = spark.createDataFrame(values, "i int, v double")
+        out = lookups.range_band(df, spark.createDataFrame(bands, CONTRACTS["bands"]), F.col("v"), ["short_letter"])
+        wanted = {(i, next((s for lo, hi, s, _ in bands if v is not None and lo <= v < hi), None)) for i, v in values}
+        assert {(r.i, r.short_letter) for r in out.collect()} == wanted and out.count() == len(values)

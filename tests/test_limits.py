@@ -68,14 +68,50 @@ TWO = [rule("geo_sector", "S", 0.0, "individual", "C", complex_limit=1),
        rule("geo_sector", "total", 0.25, "individual", "X", complex_limit=1)]
 
 
-def test_two_column_rules_with_wildcards(spark, monkeypatch):
+def padding(kind, n, **more):
+    """Rules that match nothing, to make a list long."""
+    return [rule(kind, f"none{i}", 0.9, "individual", **more) for i in range(n)]
+
+
+def test_two_column_rules_with_wildcards(spark):
     rows = [facility("sc"), facility("t", sector="T"), facility("x", country="X"), facility("tx", sector="T", country="X"),
-            facility("other", sector="U"), facility("null", country=None)]
-    expected = {"sc": 0.0, "t": 0.5, "x": 0.25, "tx": 0.25, "other": 1.0, "null": 0.0}
-    assert shares(spark, TWO, rows, "limit_geo_sector") == expected
-    # a long rule list takes the join instead of the literal map
-    monkeypatch.setattr(limits, "MAX_LITERAL_RULES", 1)
+            facility("other", sector="U"), facility("null", country=None), facility("tnull", sector="T", country=None)]
+    expected = {"sc": 0.0, "t": 0.5, "x": 0.25, "tx": 0.25, "other": 1.0, "null": 0.0, "tnull": 0.5}
     assert shares(spark, TWO, rows, "limit_geo_sector") == expected
+    assert shares(spark, TWO + padding("geo_sector", 80, value2="none", complex_limit=1), rows, "limit_geo_sector") == expected
+
+
+@pytest.mark.parametrize("n", [1, 2, 64, 65, 300])
+def test_the_number_of_rules_decides_nothing_but_a_lone_total(spark, n):
+    """Rules (value, total): a missing second column gets the limit's share for nulls, unless there is one rule only."""
+    rules = [rule("geo_sector", f"S{i}", 0.25, "individual", "total", complex_limit=1) for i in range(n)]
+    rows = [facility("hit", sector="S0", country=None), facility("miss", sector="Q", country=None), facility("full", sector="Q")]
+    assert shares(spark, rules, rows, "limit_geo_sector") == {"hit": 0.25, "miss": 1.0 if n == 1 else 0.0, "full": 1.0}
+
+
+@pytest.mark.parametrize("n", [0, 1, 64, 300])
+def test_one_column_total(spark, n):
+    rules = [rule("rating_sp", "total", 0.5, "individual"), rule("rating_sp", "total", 0.25, "individual")] + padding("rating_sp", n)
+    rows = [facility("a"), facility("null", group_rating=None)]
+    wanted = {"a": 0.25, "null": 0.25} if n == 0 else {"a": 1.0, "null": 1.0}
+    assert shares(spark, rules, rows, "limit_rating_sp") == wanted
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_short_and_long_lists_agree(spark, seed):
+    import random
+
+    rng = random.Random(seed)
+    pick = lambda values: rng.choice(values)
+    rules = [rule("geo_sector", pick(["A", "B", "total"]), pick([0.0, 0.2, 0.5]), "individual", pick(["X", "Y", "total"]), complex_limit=1) for _ in range(rng.randint(2, 6))]
+    rows = [facility(f"f{i}", sector=pick(["A", "B", "C", None]), country=pick(["X", "Y", "Z", None])) for i in range(40)]
+    short = [*rules, rule("geo_sector", "none", 0.9, "individual", "none", complex_limit=1)]
+    long_ = rules + padding("geo_sector", 150, value2="none", complex_limit=1)
+    by_hand = {}
+    for name, _, _, sector, country, *_ in rows:
+        found = [r[7] for r in rules if r[4] in ("total", sector) and r[6] in ("total", country)]
+        by_hand[name] = min(found) if found else 0.0 if country is None else 1.0
+    assert shares(spark, short, rows, "limit_geo_sector") == shares(spark, long_, rows, "limit_geo_sector") == by_hand
 
 
 def test_long_exclusion_list_is_joined(spark):
@@ -94,6 +130,24 @@ def test_maturity_limits_compare_dates(spark, kind, expected):
     assert shares(spark, [rule(kind, "10", 0.1, "individual")], rows, f"limit_{kind}") == expected
 
 
+@pytest.mark.parametrize("kind,expected", [("maturity_min", {"a": 0.1, "b": 0.4, "c": 1.0, "null": 0.0}),
+                                           ("maturity_max", {"a": 1.0, "b": 0.4, "c": 0.1, "null": 0.0})])
+@pytest.mark.parametrize("more", [0, 90])
+def test_all_maturity_rules_of_a_limit_count(spark, kind, expected, more):
+    from datetime import date
+
+    rows = [facility("a", expiry_date=date(2024, 11, 15)), facility("b", expiry_date=date(2024, 12, 1)),
+            facility("c", expiry_date=date(2026, 1, 1)), facility("null")]
+    short, long_ = ("10", "100") if kind == "maturity_min" else ("100", "10")
+    rules = [rule(kind, short, 0.1, "individual"), rule(kind, long_, 0.4, "individual")]
+    rules += [rule(kind, str((100 if kind == "maturity_min" else 10) + 0 * i), 0.5 + i / 1000, "individual") for i in range(more)]
+    assert shares(spark, rules, rows, f"limit_{kind}") == expected
+    pool = [rule(kind, short, 0.1, "portfolio"), rule(kind, long_, 0.4, "portfolio")]
+    limited = allocation.with_pool_limits(spark.createDataFrame(rows, FACILITY), book_of(spark, pool), {})
+    got = {r.facility_id: r.limits[0].allowed_units / 1e7 for r in limited.collect()}
+    assert got == {**expected, "null": 0.1}
+
+
 def test_eligible_amount_with_pool_basis(spark):
     book = book_of(spark, [rule("rating_rga_esl", "BB", 0.00000001 * 2, "individual"), rule("rating_rga_esl", "D", 0.0, "individual")])
     book.pool_size = D(1_000_000_000)
@@ -116,7 +170,13 @@ def test_universe_falls_back_to_total(spark):
     limited = allocation.with_pool_limits(spark.createDataFrame(rows, FACILITY), book)
     got = {(r.limit_type, r.limit_value): r.allowed_share for r in allocation.limit_universe(limited, book.pool_size).collect()}
     assert got == {("group", "g1"): 0.01, ("group", "g2"): 0.05, ("group", "None"): 0.05, ("sts_group", "g1"): 1.0,
-                   ("sts_group", "g2"): 0.02, ("sts_group", "None"): 1.0, ("currency", "EUR"): 1.0, ("financial_product", "P"): 1.0}
+                   ("sts_group", "g2"): 0.02, ("sts_group", "None"): 1.0, ("divisa", "EUR"): 1.0, ("financial_product", "P"): 1.0}
+
+
+def test_a_currency_rule_of_the_sheet_is_the_tracked_limit(spark):
+    book = book_of(spark, [rule("divisa", "USD", 0.1, "portfolio")])
+    limited = allocation.with_pool_limits(spark.createDataFrame([facility("a")], FACILITY), book)
+    assert [x.limit_type for x in limited.first().limits] == ["divisa", "financial_product"]
 
 
 def test_long_pool_rule_list_keeps_its_total(spark):
@@ -146,8 +206,9 @@ def test_header(spark):
 
 def test_sheet_values_and_choice(spark):
     raw = spark.createDataFrame([("a", "2024-01-01", "1000,00", "2.000.000.000,0000")],
-                                "gf_loaded_limits_list_name string, gf_loaded_limits_list_date string, x string, gf_assigned_limit_value_per string")
-    row = read_limit_sheet(raw).first()
+                                "list_name string, list_date string, x string, value_text string")
+    names = {"list_name": "name_list_desc", "list_date": "limit_date", "value_text": "limit_value"}
+    row = read_limit_sheet(raw, names).first()
     assert (row.name_list_desc, row.limit_date, row.limit_value, row.x) == ("a", "2024-01-01", 2e9, "1000,00")
     sheets = spark.createDataFrame([(*rule("group", "total", v, "portfolio", when=w), c) for v, w, c in
                                     ((0.1, "2024-01-01", "d1"), (0.2, "2024-03-01", "d2"), (0.3, "2024-02-01", "d3"))], SHEET + ", closing_date string")
