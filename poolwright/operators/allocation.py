@@ -21,6 +21,7 @@ import math
 from dataclasses import dataclass, field, replace
 from decimal import Decimal
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -201,8 +202,8 @@ def find_events(rows: DataFrame, pool: Decimal, last_bucket: int) -> Events:
     """Walk the rank buckets of ``demand`` rows and collect the events.
 
     A stretch of buckets is summed per cap; while no cap gets tight, whole
-    buckets are accepted at once. The first bucket where one does is resolved
-    row by row with windows that never leave that bucket.
+    buckets are accepted at once. The first bucket where one does is folded
+    row by row. Rounds are bounded by the buckets, whatever the number of events.
     """
     events = Events()
     carried = literal_rows(rows.sparkSession, [], "id string, used long")
@@ -241,72 +242,83 @@ def _total_used(first: DataFrame, second: DataFrame) -> DataFrame:
     return first.unionByName(second).groupBy("id").agg(F.sum("used").alias("used"))
 
 
+FOLDED = "rank long, take long, units long, full boolean, id string, used long"
+
+
 def _resolve_bucket(draws: DataFrame, used: DataFrame, pool: Decimal, events: Events) -> DataFrame:
     """Settle every event inside one bucket; returns what the bucket used of each cap.
 
-    Each round finds the first facility that leaves nothing of one of its caps.
-    All facilities before it are certain; facilities on the used-up cap drop
-    out, so the next round sees smaller running totals.
+    Whether a facility fits depends on all before it, so the rows of the bucket,
+    a bounded slice of the order, are folded one by one in a single task.
+    One job a bucket, however many events it holds; the events and the sums
+    of the caps come back, not the rows.
     """
     left_at_start = F.col("room") - F.coalesce("used", F.lit(0))
-    # written, so that every round starts from few, full partitions
-    rows = materialize(
-        draws.join(used, "id", "left").groupBy("rank", "wanted")
-        .agg(F.collect_list(F.struct("id", left_at_start.alias("left"), "draw")).alias("caps")), "bucket")
-    before = W.partitionBy("id").orderBy("rank").rowsBetween(W.unboundedPreceding, -1)
-    settled: dict[int, tuple[int, int]] = {}
-    while True:
-        draws = _live_draws(rows, events, settled)
-        left = draws.withColumn("left", F.col("left") - F.coalesce(F.sum("draw").over(before), F.lit(0)))
-        event = (
-            left.groupBy("rank", "wanted").agg(
-                F.min(F.col("left") - F.col("draw")).alias("after"),
-                F.collect_list(F.struct("id", "left")).alias("caps"))
-            .filter((F.col("after") <= 0) & (F.col("rank") > max(settled, default=-1)))
-            .orderBy("rank").limit(1).first()
-        )
-        if event is None:
-            return draws.select("id", F.col("draw").alias("used"))
-        settled[event.rank] = _settle(event, pool, events)
-        if events.full_at is not None:
-            return draws
-
-
-def _live_draws(rows: DataFrame, events: Events, settled: dict[int, tuple[int, int]]) -> DataFrame:
-    """One row per open facility and cap; settled facilities draw what they really took."""
-    caps = F.col("caps")
-    if settled:
-        from_pool = _literal_map({r: ticks for r, (ticks, _) in settled.items()}, "long", "long")[F.col("rank")]
-        from_limits = _literal_map({r: units for r, (_, units) in settled.items()}, "long", "long")[F.col("rank")]
-        caps = F.transform(caps, lambda cap: F.struct(
-            cap["id"].alias("id"), cap["left"].alias("left"),
-            F.coalesce(F.when(cap["id"] == POOL, from_pool).otherwise(from_limits), cap["draw"]).alias("draw")))
-    if events.used_up:
-        ranks = _literal_map(events.used_up, "string", "long")
-        rows = rows.filter(~F.exists("caps", lambda cap: F.coalesce(ranks[cap["id"]] < F.col("rank"), F.lit(False))))
-    return rows.select("rank", "wanted", F.explode(caps).alias("cap")).select("rank", "wanted", "cap.*")
-
-
-def _settle(event, pool: Decimal, events: Events) -> tuple[int, int]:
-    """Let the facility take what its tightest cap leaves and note what it used up.
-
-    What a cap leaves is rounded to the tick. Returns the facility's draws on
-    the pool (ticks) and on each of its limits (units).
-    """
+    rows = draws.join(used, "id", "left").groupBy("rank", "wanted").agg(
+        F.collect_list(F.struct("id", left_at_start.cast("decimal(38,0)").alias("left"), "draw")).alias("caps"))
     size = pool_ticks(pool)
-    left = {cap.id: cap.left for cap in event.caps}
-    ticks = {i: room if i == POOL else (2 * size * room + SHARE_UNITS) // (2 * SHARE_UNITS) for i, room in left.items()}
-    take = min(event.wanted, *ticks.values())
-    amount = Decimal(take) / TICKS
-    units = math.floor(float(amount) * SHARE_UNITS / float(pool) + 0.5)
-    events.settled[event.rank] = amount
-    for limit_id, room in left.items():
-        if limit_id == POOL:
-            if room - take <= 0:
-                events.full_at = event.rank
-        elif room - units <= 0 or ticks[limit_id] <= take:
-            events.used_up[limit_id] = event.rank
-    return take, units
+
+    def fold(batches):
+        state = BucketFold(size)
+        for batch in batches:
+            for rank, wanted, caps in zip(*(batch.column(c).to_pylist() for c in ("rank", "wanted", "caps"))):
+                state.add(rank, wanted, [(c["id"], int(c["left"]), c["draw"]) for c in caps])
+        out = [(r, take, units, full, None, None) for r, take, units, full in state.settled]
+        out += [(r, None, None, None, i, None) for i, r in state.used_up.items()]
+        out += [(None, None, None, None, i, n) for i, n in state.used.items()]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.string(), pa.int64()]
+        names = ["rank", "take", "units", "full", "id", "used"]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)], names)
+
+    folded = materialize(rows.repartition(1).sortWithinPartitions("rank").mapInArrow(fold, FOLDED), "folded")
+    # events only: their number is bounded by the limit sheet
+    for r in folded.filter("rank is not null").collect():
+        if r.id is not None:
+            events.used_up[r.id] = r["rank"]
+        else:
+            events.settled[r["rank"]] = Decimal(r["take"]) / TICKS
+            if r.full:
+                events.full_at = r["rank"]
+    return folded.filter("rank is null").select("id", "used")
+
+
+class BucketFold:
+    """What the facilities of one bucket take, in their order."""
+
+    def __init__(self, pool: int) -> None:
+        self.pool = pool  # in ticks
+        self.left: dict[str, int] = {}
+        self.used: dict[str, int] = {}
+        self.used_up: dict[str, int] = {}
+        self.settled: list[tuple[int, int, int, bool]] = []
+        self.full = False
+
+    def add(self, rank: int, wanted: int, caps: list[tuple[str, int, int]]) -> None:
+        """One facility with what it would draw on each cap; ``left`` of a cap counts when it is first met."""
+        if self.full or any(i in self.used_up for i, _, _ in caps):
+            return
+        for i, left, _ in caps:
+            self.left.setdefault(i, left)
+        drawn = {i: draw for i, _, draw in caps}
+        if any(self.left[i] - draw <= 0 for i, draw in drawn.items()):
+            drawn = self._settle(rank, wanted, list(drawn))
+        for i, draw in drawn.items():
+            self.left[i] -= draw
+            self.used[i] = self.used.get(i, 0) + draw
+
+    def _settle(self, rank: int, wanted: int, ids: list[str]) -> dict[str, int]:
+        """Let the facility take what its tightest cap leaves, rounded to the tick, and note what it used up."""
+        size = self.pool
+        ticks = {i: self.left[i] if i == POOL else (2 * size * self.left[i] + SHARE_UNITS) // (2 * SHARE_UNITS) for i in ids}
+        take = min(wanted, *ticks.values())
+        units = math.floor(take / TICKS * SHARE_UNITS / (size / TICKS) + 0.5)
+        for i in ids:
+            if i == POOL:
+                self.full = self.left[i] - take <= 0
+            elif self.left[i] - units <= 0 or ticks[i] <= take:
+                self.used_up[i] = rank
+        self.settled.append((rank, take, units, self.full))
+        return {i: take if i == POOL else units for i in ids}
 
 
 # --- the fill -------------------------------------------------------------
@@ -372,7 +384,8 @@ def fill_pool(facilities: DataFrame, pool_size: Decimal, order: list[Column] | N
         "filled": F.col("allocated_amount"),
         "selected_so_far": F.when(F.col("allocated_amount") > 0, 1).otherwise(0),
     })
-    return Filled(placed, pool_size, events)
+    # allocation, trace and ledger all start from here
+    return Filled(materialize(placed, "filled"), pool_size, events)
 
 
 def allocation(filled: Filled) -> DataFrame:

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_local_dir: str | None = None
+_local_dir: tempfile.TemporaryDirectory | None = None
+_made: list[str] = []
 
 
 def work_folder(spark: SparkSession) -> str:
@@ -25,8 +26,9 @@ def work_folder(spark: SparkSession) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     global _local_dir
     if _local_dir is None:
-        _local_dir = tempfile.mkdtemp(prefix="poolwright-")
-    return _local_dir
+        # goes when the process ends
+        _local_dir = tempfile.TemporaryDirectory(prefix="poolwright-", ignore_cleanup_errors=True)
+    return _local_dir.name
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -34,13 +36,26 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
     Cuts the plan where a long lineage would be re-run by several actions. The
     files survive the loss of executors, and later filters are pushed to them.
-    They are scratch: the folder may be emptied when the session is over.
+    They are scratch: ``drop_scratch`` removes them once a run has its results.
     """
     path = f"{work_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_scratch(spark: SparkSession) -> int:
+    """Remove what ``materialize`` has written in this process; returns the number of folders.
+
+    For the end of a run: DataFrames that still read from there can no longer be evaluated.
+    """
+    count = len(_made)
+    while _made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return count
+
+
 def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """Small table held in the plan itself.
 
