@@ -19,13 +19,14 @@ HEADLINE = [
     "capital_by_facility", "reg_capital_by_facility", "provision_by_facility", "risk_enrich",
     "balance_evolution", "runoff_by_year", "guarantee_amounts", "customer_master", "any_flag",
     "limits_active", "row_limits", "eligible_amount", "limit_universe", "ordered_candidates",
-    "wide_cube", "allocate_pool", "limit_ledger",
+    "wide_cube", "cube_selection", "allocate_pool", "limit_ledger",
 ]
 
 
 def main() -> None:
     from pyspark.sql import SparkSession
 
+    from poolwright.session import drop_scratch
     from poolwright.workload.catalog import QUERIES
 
     path = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
@@ -46,6 +47,7 @@ def main() -> None:
     for name in names:
         start = time.perf_counter()
         QUERIES[name].run(spark, path).write.format("noop").mode("overwrite").save()
+        drop_scratch(spark)
         seconds[name] = round(time.perf_counter() - start, 3)
         print(f"{name} {seconds[name]}", file=sys.stderr, flush=True)
     spark.stop()

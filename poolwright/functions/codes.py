@@ -98,6 +98,10 @@ ENTITY_CURRENCY = {"MX": "MXN", "ES": "EUR"}
 ENTITY_CUSTOMER_PREFIX = {"ES": "ES0182", "MX": "MX0074"}
 LEDGER_ENTITY_CUSTOMER_PREFIX = {"0182": "ES0182", "9016": "MX0074"}
 
+# Rows of the cost-income table that count.
+COST_INCOME_AREA = "GF"
+HOME_OFFICE = "ESPAÑA"
+
 SUSTAINABILITY_MARK = "RBES"
 PUBLIC_AGENCY_PURPOSE = "ICO España"
 FIRST_SPECULATIVE_GRADE = "BB+1"

@@ -15,6 +15,8 @@ from poolwright.operators import eligibility, limits, report
 from poolwright.operators.dedupe import duplicate_keys
 from poolwright.operators.limits import RuleBook
 from poolwright.session import literal_rows
+from poolwright.sinks.writers import stamp, write_partitioned
+from poolwright.sources.snapshots import scan_latest
 
 
 def portfolio_type_of(header: DataFrame) -> str:
@@ -58,10 +60,23 @@ class Selection:
     portfolio: DataFrame
     trace: DataFrame
     ledger: DataFrame
+    constants: DataFrame | None = None
 
 
-def select_pool(facilities: DataFrame, sheet: DataFrame, relation: DataFrame) -> Selection:
-    """One run over facilities with one row per facility, tranche and branch."""
+#: Tables of a run that are kept, each dated by ``closing_date``.
+OUTPUTS = ("limits", "facilities", "excluded", "portfolio", "ledger", "constants")
+
+
+def write_selection(chosen: Selection, folder: str, closing_date: str) -> None:
+    """Stamp the kept tables with the run date and write each under its name, replacing that date only."""
+    for name in OUTPUTS:
+        table = getattr(chosen, name)
+        if table is not None:
+            write_partitioned(stamp(table, closing_date=closing_date), f"{folder}/{name}", ["closing_date"])
+
+
+def select_pool(facilities: DataFrame, sheet: DataFrame, relation: DataFrame, constants: DataFrame | None = None) -> Selection:
+    """One run over facilities with one row per facility, tranche and branch; ``constants`` go with the results."""
     base, book = prepare(facilities, sheet, relation)
     twice = duplicate_keys(base.select(*GRAIN), GRAIN).first()
     if twice is not None:
@@ -76,6 +91,7 @@ def select_pool(facilities: DataFrame, sheet: DataFrame, relation: DataFrame) ->
         portfolio=report.typed_portfolio(portfolio, portfolio_type_of(limits.portfolio_header(sheet))),
         trace=A.allocation_trace(filled),
         ledger=A.limit_ledger(filled, header[0]),
+        constants=constants,
     )
 
 
@@ -109,10 +125,22 @@ def cube_facilities(cube: DataFrame, portfolio_type: str, sector_catalogue: Data
         *E.feature_flags().keys(), *(["project_subsector_desc"] if sector_catalogue is not None else []))
 
 
+def cost_income(ratios: DataFrame, area: str = codes.COST_INCOME_AREA, office: str = codes.HOME_OFFICE) -> DataFrame:
+    """One row, ``constant_value``: the ratio of the area's home office at the newest cutoff.
+
+    ``ratios`` has the columns cutoff_date, area_id, office_desc, ratio; of several rows the least counts.
+    """
+    newest = scan_latest(ratios, "cutoff_date")
+    home = newest.filter((F.col("area_id") == area) & (F.trim("office_desc") == office))
+    return home.agg(F.min(F.col("ratio").cast("double")).alias("constant_value"))
+
+
 def pool_constants(sheet: DataFrame, facilities: DataFrame, lgd_col: str, cost_income: DataFrame,
                    fixed: dict[str, float]) -> DataFrame:
     """Constants of the sheet, fixed rates, the average LGD and the cost-income ratio.
 
+    ``facilities`` is the wide table: the average is taken over its rows.
+
     The averages stay one-row frames; nothing is collected to build the result.
     """
     spark = sheet.sparkSession

@@ -76,18 +76,26 @@ TAX_RATE, CET1 = 0.3, 0.115
 @query("pool_constants", f"""
 SELECT name_list_desc, concept1_desc AS constant_type, ROUND({_NUMBER}, 6) AS constant_value FROM current_rules WHERE limit_type = 'constant_type'
 UNION ALL SELECT 'all', 'tax_rate', {TAX_RATE}::DOUBLE UNION ALL SELECT 'all', 'ratio_cet1', {CET1}::DOUBLE
-UNION ALL SELECT 'all', 'lgd', ROUND(CAST(SUM(reg_lgd) AS DOUBLE) / COUNT(reg_lgd), 6) FROM reg_capital
-UNION ALL SELECT 'all', 'ci_ratio', ROUND(CAST(SUM(commitment) AS DOUBLE) / NULLIF(CAST(SUM(funded_ccy) AS DOUBLE), 0), 6) FROM balances WHERE entity_id = '{L.HOME}'""")
+UNION ALL SELECT 'all', 'lgd', ROUND(CAST(SUM(reg_lgd) AS DOUBLE) / COUNT(reg_lgd), 6) FROM wide
+UNION ALL SELECT 'all', 'ci_ratio', (SELECT ROUND(MIN(ratio), 6) FROM cost_income
+  WHERE cutoff_date = (SELECT MAX(cutoff_date) FROM cost_income) AND area_id = '{codes.COST_INCOME_AREA}' AND TRIM(office_desc) = '{codes.HOME_OFFICE}')""")
 def pool_constants(t):
     from poolwright.sources.limit_sheets import read_limit_sheet
 
     sheet = read_limit_sheet(limits.active_limits(t.sheet_history))
-    cost_income = t.balances.filter(F.col("entity_id") == L.HOME).agg(F.try_divide(
-        F.sum("commitment").cast("double"), F.sum("funded_ccy").cast("double")).alias("constant_value"))
-    out = selection.pool_constants(sheet, t.reg_capital, "reg_lgd", cost_income, {"tax_rate": TAX_RATE, "ratio_cet1": CET1})
+    out = selection.pool_constants(sheet, wide_rows(t), "reg_lgd", selection.cost_income(t.cost_income), {"tax_rate": TAX_RATE, "ratio_cet1": CET1})
     return project(out, "name_list_desc constant_type r:constant_value")
 
 
+def wide_rows(t):
+    """The wide cube of the stand-in sources."""
+    from poolwright.plans import cube
+    from poolwright.workload.enrichment import cube_sources
+
+    dates = {"snapshot_date": L.VALUE_DATE, "risk_date": L.VALUE_DATE, "provision_date": L.VALUE_DATE}
+    return cube.wide_cube(cube_sources(t), L.VALUE_DATE, dates)
+
+
 # --- eligibility ---
 
 RETAINED, CCF = 0.2, 0.5
@@ -471,11 +479,7 @@ FROM portfolio"""
 
 def selected_from_cube(t, portfolio_type):
     """The main path in one run: wide cube, feature marks, selection."""
-    from poolwright.plans import cube
-    from poolwright.workload.enrichment import cube_sources
-
-    dates = {"snapshot_date": L.VALUE_DATE, "risk_date": L.VALUE_DATE, "provision_date": L.VALUE_DATE}
-    facilities = selection.cube_facilities(cube.wide_cube(cube_sources(t), L.VALUE_DATE, dates), portfolio_type)
+    facilities = selection.cube_facilities(wide_rows(t), portfolio_type)
     # the selection reads its facilities several times: from here on they are a table
     facilities = materialize(facilities, "facilities")
     corporate = "1" if portfolio_type == "corporate_loan" else "0"

@@ -225,6 +225,11 @@ SELECT {pad('o_custkey', 9)} AS participant_id, CASE WHEN o_custkey % 2 = 0 THEN
 FROM orders"""
 CTES["customer_ratings"] = f"SELECT {customer('c_custkey')} AS customer_id, {letter('c_custkey * 3')} AS internal_rating, SUBSTR({letter('c_custkey * 3')}, 1, 2) AS short_rating, DATE '1998-01-01' + CAST(c_custkey % 180 AS INTEGER) AS rating_tool_date FROM customer"
 
+CTES["cost_income"] = f"""
+SELECT CAST(DATE_TRUNC('month', o_orderdate) AS DATE) AS cutoff_date, CASE WHEN o_custkey % 2 = 0 THEN '{codes.COST_INCOME_AREA}' ELSE 'other' END AS area_id,
+       CASE WHEN o_custkey % 3 <> 0 THEN ' {codes.HOME_OFFICE} ' ELSE 'abroad' END AS office_desc, COUNT(*) / MAX(o_custkey)::DOUBLE AS ratio
+FROM orders GROUP BY ALL"""
+
 CTES["prior_deals"] = f"""
 SELECT {LOAN}, tax AS sold_percent, CASE WHEN l_partkey % 3 <> 0 THEN l_partkey END AS deal_id,
        ship_date AS deal_date

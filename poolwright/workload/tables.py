@@ -371,6 +371,15 @@ class Tables:
             F.substring(letter(F.col("c_custkey") * 3), 1, 2).alias("short_rating"),
             F.date_add(F.lit("1998-01-01").cast("date"), (F.col("c_custkey") % 180).cast("int")).alias("rating_tool_date"))
 
+    @cached_property
+    def cost_income(self) -> DataFrame:
+        """A ratio per month, business area and office."""
+        return self.raw("orders").groupBy(
+            F.trunc("o_orderdate", "month").alias("cutoff_date"),
+            F.when(F.col("o_custkey") % 2 == 0, codes.COST_INCOME_AREA).otherwise("other").alias("area_id"),
+            F.when(F.col("o_custkey") % 3 != 0, f" {codes.HOME_OFFICE} ").otherwise("abroad").alias("office_desc"),
+        ).agg((F.count(F.lit(1)) / F.max(F.col("o_custkey"))).alias("ratio"))
+
     # --- prior_deals, guarantees, marks ---
 
     @cached_property

@@ -94,3 +94,27 @@ def test_running_totals_of_a_hot_key(spark):
     out = running_totals(df, ["k"], "bucket", "i", {"total": F.col("i")})
     for r in out.collect():
         assert r.total == sum(i for k, i, _ in rows if k == r.k and i <= r.i)
+
+
+def test_jobs_of_a_fill_follow_the_buckets_not_the_events(spark):
+    """Many small caps: over a hundred are used up in few buckets."""
+    pool, share = Decimal(1_000_000), 75_000  # 0.0075 of the pool for each group
+    rng = random.Random(3)
+    rows = []
+    for i in range(1200):
+        limits = [("group", f"g{i % 120}", share), ("currency", "EUR", 10_000_000)]
+        wanted = Decimal(rng.randint(100_000, 400_000)) / 100
+        rows.append((f"f{i}", "0", "b", i, 1, wanted, wanted, "NA", "", limits))
+    df = spark.createDataFrame(rows, SCHEMA)
+    jobs = {}
+    for bucket_rows in (300, 1200):
+        spark.sparkContext.setJobGroup(f"fill-{bucket_rows}", "fill")
+        filled = A.fill_pool(df, pool, [F.asc("place")], bucket_rows=bucket_rows)
+        jobs[bucket_rows] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"fill-{bucket_rows}"))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert len(filled.events.used_up) > 100
+        got = {r.facility_id: r.allocated_amount for r in A.allocation(filled).collect()}
+        expected = fill([(r[4], r[6], r[9]) for r in rows], pool)
+        assert [got[r[0]] for r in rows] == [taken for _, taken, _ in expected]
+    # four buckets cost a few jobs each, and a hundred events cost none
+    assert jobs[1200] < 60 and jobs[300] < 110, jobs

@@ -55,3 +55,22 @@ def test_a_facility_with_two_rows_is_refused(wide, tables):
     facilities = selection.cube_facilities(wide, "corporate_loan")
     with pytest.raises(ValueError, match="more than one row"):
         selection.select_pool(facilities.union(facilities), tables.sheet, tables.relation)
+
+
+def test_tables_of_a_run_are_dated_written_and_read_back(spark, wide, tables, tmp_path):
+    constants = selection.pool_constants(tables.sheet, wide, "reg_lgd", selection.cost_income(tables.cost_income), {"tax_rate": 0.3})
+    for kind, day in (("corporate_loan", "1998-05-31"), ("corporate_loan", "1998-06-30"), ("corporate_loan", "1998-06-30")):
+        chosen = selection.select_pool(selection.cube_facilities(wide, kind), tables.sheet, tables.relation, constants)
+        selection.write_selection(chosen, str(tmp_path), day)
+    for name in selection.OUTPUTS:
+        back = spark.read.parquet(str(tmp_path / name))
+        assert {str(r[0]) for r in back.select("closing_date").distinct().collect()} == {"1998-05-31", "1998-06-30"}
+        mine = getattr(chosen, name)
+        assert back.filter("closing_date = '1998-06-30'").count() == mine.count() > 0 or name == "excluded"
+    assert {r.constant_type for r in spark.read.parquet(str(tmp_path / "constants")).collect()} >= {"tax_rate", "lgd", "ci_ratio"}
+
+
+def test_cost_income_takes_the_home_office_at_the_newest_cutoff(spark):
+    rows = [("2024-01-01", "GF", "ESPAÑA", 0.1), ("2024-02-01", "GF", " ESPAÑA ", 0.2), ("2024-02-01", "GF", "MEXICO", 0.3), ("2024-02-01", "XX", "ESPAÑA", 0.4)]
+    df = spark.createDataFrame(rows, "cutoff_date string, area_id string, office_desc string, ratio double")
+    assert selection.cost_income(df).first()[0] == 0.2
