@@ -53,6 +53,8 @@ PARTS = frozenset(
 PAGE_PARTS = frozenset("header".split())
 #: Elements that are the content, whatever their names.
 CONTENT = frozenset("article main".split())
+#: Headings count as one class.
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements whose names are not looked at.
 UNNAMED = frozenset("html body h1 h2 h3 h4 h5 h6 p".split())
 #: Names that tell a content element is a part after all.
@@ -66,7 +68,9 @@ HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 #: Weight of a tag, or of a part's text, within marked content.
 LIGHT = -0.01
 #: Classes of words: in content, in a link, in a part that is no content.
-WORD, LINKED, PART = "word", "linked word", "part word"
+WORD, LINKED, PART, PART_TAG = "word", "linked word", "part word", "part tag"
+#: Weight of a tag that no labelled page has: of a block, and within a line.
+NEW_BLOCK, NEW_INLINE = -1.5, -0.1
 
 
 def names_a_part(name: str, attributes: str, inside: bool) -> bool:
@@ -118,6 +122,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
                     links -= 1
                     yield "/a", "", content > 0, parts > 0
                 continue
+            was = parts > 0
             if any(n == name for n, _, _ in open_):
                 while open_:
                     n, part, held = open_.pop()
@@ -126,7 +131,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
                     if n == name:
                         break
                 links = 0
-            yield "/" + name, "", content > 0, parts > 0
+            yield "/" + name, "", content > 0, was
             continue
         if name in RAW:
             close = re.compile(rf"</{name}\s*>", re.I).search(page, at) if name != "plaintext" else None
@@ -137,8 +142,8 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
             links += name == "a"
             yield name, "", content > 0, parts > 0
             continue
-        yield name, "", content > 0, parts > 0
         if name in VOID or (found[3] or found[6] or "").endswith("/"):
+            yield name, "", content > 0, parts > 0
             continue
         if name in ("p", "li", "td", "th", "tr", "dt", "dd", "option") and open_ and open_[-1][0] == name:
             _, part, held = open_.pop()  # its end is left out
@@ -146,16 +151,21 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
             content -= held
         part = name in OUTSIDE or (name == "header" and not content) or names_a_part(name, found[3] or found[6] or "", content > 0)
         holds = name in CONTENT and not part and not parts
+        yield name, "", content > 0, part or parts > 0
         open_.append((name, part, holds))
         parts += part
         content += holds
 
 
-def _class(kind: str) -> str:
-    """The class under which a token is counted."""
+def _class(kind: str, part: bool) -> str:
+    """The class under which a token is counted; tags of a part that is no content tell nothing about other tags."""
     if kind in (WORD, LINKED, PART):
         return kind
+    if part:
+        return PART_TAG
     name = kind.lstrip("/")
+    if name in HEADINGS:
+        return "heading"
     return name if name in BLOCKS or name in INLINE or name in RAW or name in OUTSIDE else "other"
 
 
@@ -163,11 +173,11 @@ def count_tokens(page: str) -> Counter[tuple[str, bool]]:
     """Tokens of a labelled page by class and by whether the marked content holds them; none of other pages."""
     out: Counter[tuple[str, bool]] = Counter()
     marked = False
-    for kind, text, content, _ in tokens(page):
+    for kind, text, content, part in tokens(page):
         marked |= content
         n = len(text.split()) if kind in (WORD, LINKED, PART) else 1
         if n:
-            out[_class(kind), content] += n
+            out[_class(kind, part), content] += n
     return out if marked else Counter()
 
 
@@ -178,10 +188,11 @@ def weigh(counts: dict[tuple[str, bool], int]) -> dict[str, float]:
     def ratio(name: str) -> float:
         return math.log((counts.get((name, True), 0) + 0.5) / inside) - math.log((counts.get((name, False), 0) + 0.5) / outside)
 
-    out = {PART: -1.0, LINKED: -0.5} | {name: min(-0.05, max(-12.0, ratio(name))) for name in {n for n, _ in counts} | {"other"}}
+    out = {PART: -0.02, PART_TAG: -1.0, LINKED: -0.5} | {name: min(-0.05, max(-12.0, ratio(name))) for name in {n for n, _ in counts} | {"other"}}
     out[WORD] = min(1.0, max(0.2, ratio(WORD)))
-    # bounded, so that a link or an advert within the content does not cut it in two
-    out[PART] = min(-0.2, max(-1.0, ratio(PART)))
+    # bounded, so that a link or an advert within the content does not cut it in two: its text is left out anyway
+    out[PART] = min(-0.01, max(-0.02, ratio(PART)))
+    out[PART_TAG] = min(-0.05, max(-1.0, ratio(PART_TAG)))
     out[LINKED] = min(-0.1, max(-1.0, ratio(LINKED)))
     return out
 
@@ -212,7 +223,7 @@ def extract(page: str, weights: dict[str, float]) -> str:
                 block += 1
             elif name == "br" or name == "wbr":
                 pieces.append((block, " " if name == "br" else "", part))
-            weight = weights.get(_class(kind), -0.5)
+            weight = weights.get(_class(kind, part), NEW_INLINE if name in INLINE else NEW_BLOCK)
             total += max(weight, LIGHT) if content else weight
         if total <= 0:
             total, first = 0.0, len(pieces)

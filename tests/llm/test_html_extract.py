@@ -48,7 +48,7 @@ def test_the_region_is_the_best_run(weights):
     page = "<div>a b</div><nav>c</nav><p>d e f g h i j k</p><ul><li>l</li></ul><p>m n o p q r s t u v w x y z</p><footer>end</footer>"
     found = list(m.tokens(page))
     values = [
-        len(t.split()) * weights.get(m.PART if part else kind, 0.0) if kind in (m.WORD, m.LINKED, m.PART) else weights.get(m._class(kind), -0.5)
+        len(t.split()) * weights.get(m.PART if part else kind, 0.0) if kind in (m.WORD, m.LINKED, m.PART) else weights.get(m._class(kind, part), m.NEW_INLINE if kind.lstrip("/") in m.INLINE else m.NEW_BLOCK)
         for kind, t, _, part in found]
     best = max(sum(values[a:b]) for a in range(len(values)) for b in range(a, len(values) + 1))
     found = m.extract(page, weights)
