@@ -238,6 +238,7 @@ class Tables:
         return keys.select(self._contract().alias("contract_id"), *self._loan_key(), level.alias("relation_level"))
 
     def _capital_lines(self) -> DataFrame:
+        """A slice of the lines on purpose: rows without a partner are what the outer joins are for."""
         return self.lines.filter(F.col("l_returnflag") != "N")
 
     @cached_property
@@ -266,6 +267,7 @@ class Tables:
 
     @cached_property
     def provisions(self) -> DataFrame:
+        """A slice of the lines on purpose: rows without a partner are what the outer joins are for."""
         return self.lines.filter(F.col("l_linestatus") == "F").select(
             F.concat(F.lit("00"), pad(F.col("l_suppkey") % 10, 4)).alias("branch_code"),
             self._contract_tail().alias("contract_tail"), self._entity().alias("entity_id"),
@@ -345,6 +347,7 @@ class Tables:
 
     @cached_property
     def external_ratings(self) -> DataFrame:
+        """A slice of the lines on purpose: rows without a partner are what the outer joins are for."""
         return self.raw("orders").filter(F.col("o_orderstatus") != "P").select(
             self._golden(F.col("o_custkey")).alias("golden_customer_id"),
             case(L.PRIORITY_RATING, F.col("o_orderpriority")).alias("external_rating"))
@@ -384,6 +387,7 @@ class Tables:
 
     @cached_property
     def prior_deals(self) -> DataFrame:
+        """A slice of the lines on purpose: rows without a partner are what the outer joins are for."""
         return self.lines.filter(F.col("l_quantity") > 45).select(
             *self._loan_key(), F.col("tax").alias("sold_percent"),
             F.when(F.col("l_partkey") % 3 != 0, F.col("l_partkey")).alias("deal_id"),
@@ -391,6 +395,7 @@ class Tables:
 
     @cached_property
     def guarantee_assignments(self) -> DataFrame:
+        """A slice of the lines on purpose: rows without a partner are what the outer joins are for."""
         return self.lines.filter(F.col("l_returnflag") == "R").select(
             self._contract().alias("contract_id"),
             F.concat(F.lit("GU"), F.col("l_partkey").cast("string")).alias("guarantee_id"),
@@ -413,6 +418,7 @@ class Tables:
 
     @cached_property
     def marks(self) -> DataFrame:
+        """A slice of the lines on purpose: rows without a partner are what the outer joins are for."""
         return self.lines.filter(F.col("l_returnflag") == "A").select(
             self._contract().alias("contract_id"),
             F.when(F.col("disc") >= F.lit("0.08").cast(RATE), codes.SUSTAINABILITY_MARK).otherwise("OTHR").alias("mark_id"))
