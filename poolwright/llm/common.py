@@ -32,15 +32,22 @@ def utf8(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 @contextmanager
-def small_batches(spark: SparkSession, most: int = 8 << 20):
-    """While it holds, batches that go to Python have about ``most`` bytes, which bounds a task's memory."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, str(most))
+def frugal(spark: SparkSession, most: int = 8 << 20):
+    """Settings for the steps that an operator runs at once.
+
+    Batches that go to Python have about ``most`` bytes, which bounds a task's memory, and
+    shuffle files go when the step that wrote them has ended, not when the driver
+    happens to collect its garbage.
+    """
+    wanted = {"spark.sql.execution.arrow.maxBytesPerBatch": str(most), "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def in_slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 1 << 18) -> Iterator[pa.RecordBatch]:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from poolwright.llm.common import column, in_slices, mixed, shingles, small_batches, utf8
+from poolwright.llm.common import column, frugal, in_slices, mixed, shingles, utf8
 from poolwright.llm.components import components
 from poolwright.session import materialize
 
@@ -38,6 +38,8 @@ from poolwright.session import materialize
 PARTS = 3
 #: Sizes within a band differ by this factor at most.
 BAND = 1.4
+#: Rows at least that the signatures of a set are packed into for the shuffle; more where there are many partitions.
+DEALS = 128
 #: Members of a signature that a task holds at a time.
 MEMBERS = 2048
 
@@ -165,11 +167,12 @@ def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
 
 
-def _star(sigs: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
+def _star(sigs: np.ndarray, keys: np.ndarray, deals: int) -> pa.RecordBatch:
     """Signatures of different sets, with members of one signature tied to the smallest of them.
 
     Only that one goes on under the signature, so a signature that very many
-    sets share leaves a batch once. The others are dealt by their pair.
+    sets share leaves a batch once. The others are dealt by their pair. What a set
+    has for one of the ``deals`` goes as one row, which is half as large as a row each.
     """
     order = np.lexsort((keys, sigs))
     sigs, keys = sigs[order], keys[order]
@@ -177,13 +180,22 @@ def _star(sigs: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
     leader = keys[np.maximum.accumulate(np.where(leads, np.arange(len(sigs)), 0))]
     leads |= keys == leader  # a set may have a signature twice
     deal = np.where(leads, sigs, mixed(keys.view(np.uint64) ^ mixed(leader.view(np.uint64))))
-    order = np.argsort(keys, kind="stable")  # rows of a set follow each other, which packs well
+    deal = ((deal >> np.uint64(16)) % np.uint64(deals)).astype(np.int64)
+    leader = np.where(leads, 0, leader)
+    order = np.lexsort((deal, leader, leads, keys))
+    sigs, keys, leader, leads, deal = (x[order] for x in (sigs, keys, leader, leads, deal))
+    same = (keys[1:] == keys[:-1]) & (leads[1:] == leads[:-1]) & (leader[1:] == leader[:-1]) & (deal[1:] == deal[:-1])
+    first = np.flatnonzero(np.concatenate([[True], ~same]))
+    offsets = pa.array(np.append(first, len(sigs)).astype(np.int32))
     return pa.RecordBatch.from_arrays(
-        [_signed(deal[order]), _signed(sigs[order]), pa.array(keys[order]), pa.array(leader[order], mask=leads[order])], ["deal", "sig", "key", "lead"])
+        [pa.array(deal[first]), pa.array(keys[first]), pa.array(leader[first], mask=leads[first]), pa.ListArray.from_arrays(offsets, _signed(sigs))],
+        ["deal", "key", "lead", "sigs"])
 
 
 def memberships(docs: DataFrame, size: int, bands: Bands, salt: int) -> DataFrame:
     """Rows (sig, key, lead): members of the signatures that several sets share, without the leaders themselves."""
+    deals = max(DEALS, 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: set[int] = set()
@@ -198,10 +210,12 @@ def memberships(docs: DataFrame, size: int, bands: Bands, salt: int) -> DataFram
                 sigs, owner = signatures(sets, bands)
                 found.append((sigs, np.array(keys, np.int64)[owner]))
             if seen:
-                yield _star(*(np.concatenate(x) for x in zip(*found)))
+                yield _star(*(np.concatenate(x) for x in zip(*found)), deals)
 
-    signed = docs.select("text").mapInArrow(run, "deal long, sig long, key long, lead long")
-    lowest = F.min(F.when(F.col("lead").isNull(), F.col("key"))).over(Window.partitionBy("deal"))
+    packed = docs.select("text").mapInArrow(run, "deal long, key long, lead long, sigs array<long>")
+    # all of a signature that is not tied yet is in one deal, so the window needs no shuffle of its own
+    signed = packed.repartition("deal").select("deal", "key", "lead", F.explode("sigs").alias("sig"))
+    lowest = F.min(F.when(F.col("lead").isNull(), F.col("key"))).over(Window.partitionBy("deal", "sig"))
     return signed.select("sig", "key", F.coalesce("lead", lowest).alias("lead")).filter("key <> lead")
 
 
@@ -327,11 +341,16 @@ def linked_classes(docs: DataFrame, described: DataFrame, size: int, threshold:
     links = materialize(checked(docs, plausible(pairs, sketches, threshold), size, bands, salt), "compared").filter("linked")
     groups = materialize(components(links), "groups")
 
-    members = shared.select("sig", "key").union(shared.select("sig", F.col("lead").alias("key"))).distinct()
-    members = members.join(groups, members["key"] == groups["node"], "left").select("sig", "key", F.coalesce("root", "key").alias("root"))
-    # two members have been compared with each other, or with a third one at least
-    still = members.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n")).filter("lo <> hi and n > 2").select("sig")
-    members = members.join(still, "sig", "left_semi").join(sketches, "key")
+    # a signature is open where a member and its leader are in different components
+    of_key, of_lead = (groups.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")) for c in ("key", "lead"))
+    rooted = shared.join(of_key, "key", "left").join(of_lead, "lead", "left")
+    still = materialize(rooted.filter(F.coalesce("key_root", "key") != F.coalesce("lead_root", "lead")).select("sig").distinct(), "open")
+    left = shared.join(still, "sig", "left_semi")
+    members = left.select("sig", "key").union(left.select("sig", F.col("lead").alias("key"))).distinct()
+    members = materialize(members.join(groups, members["key"] == groups["node"], "left").select("sig", "key", F.coalesce("root", "key").alias("root")), "members")
+    # the two of a pair have been compared with each other
+    several = members.groupBy("sig").count().filter("count > 2").select("sig")
+    members = materialize(members.join(several, "sig", "left_semi"), "members").join(sketches, "key")
     new = materialize(pairs_of_open(members, threshold).join(links.select("a", "b"), ["a", "b"], "left_anti"), "candidates")
     if new.isEmpty():
         return groups, links
@@ -354,7 +373,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: Fraction = Fracti
     is the same for documents with equal sets, null for those without a word.
     """
     rows = docs.select(column(docs, "doc_id", "long").alias("doc_id"), column(docs, "text", "string").alias("text"))
-    with small_batches(docs.sparkSession):
+    with frugal(docs.sparkSession):
         described, salt = describe(rows, size)
         groups, _ = linked_classes(rows, described, size, threshold, salt)
     classes = described.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
@@ -377,7 +396,7 @@ def one_of_each(docs: DataFrame, size: int = 5, threshold: Fraction = Fraction(8
     Of rows with that id one stays, by a hash of its columns. Rows without a word stay.
     """
     text = column(docs, "text", "string")
-    with small_batches(docs.sparkSession):
+    with frugal(docs.sparkSession):
         described, salt = describe(docs.select(column(docs, "doc_id", "long").alias("doc_id"), text.alias("text")), size)
         groups, _ = linked_classes(docs.select(text.alias("text")), described, size, threshold, salt)
     classes = described.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
@@ -410,3 +429,27 @@ def one_of_each(docs: DataFrame, size: int = 5, threshold: Fraction = Fraction(8
     rows = whole.select("row", "text", "no_id", "id", "hash").mapInArrow(first_of_each, schema)
     best = rows.join(chosen, rows["key"] == chosen["jj_chosen"], "left_semi").groupBy("key").agg(F.min_by("row", F.struct("no_id", "id", "hash")).alias("row"))
     return best.select("row.*").union(rows.filter("key is null").select("row.*"))
+
+
+#: The same in SQL, from a list of common shingles for each pair; ids must be unique.
+DOCUMENTS_SQL = r"""
+with recursive texts as (
+  select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
+  from documents
+), sets as (
+  select doc_id, case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, chr(1))]
+    else list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || chr(1) || w[i + 1] || chr(1) || w[i + 2])) end as s
+  from texts
+), sizes as materialized (
+  select doc_id, len(s) as n from sets
+), flat as materialized (
+  select doc_id, unnest(s) as x from sets
+), links as materialized (
+  select c.a, c.b from (select a.doc_id as a, b.doc_id as b, count(*) as n from flat a join flat b on a.x = b.x and a.doc_id <> b.doc_id group by all) c
+  join sizes p on c.a = p.doc_id join sizes q on c.b = q.doc_id where 100 * c.n >= 90 * (p.n + q.n - c.n)
+), reach as (
+  select doc_id as a, doc_id as b from sizes
+  union select r.a, l.b from reach r join links l on r.b = l.a
+)
+select doc_id, n as n_shingles, min(b) as component_id from sizes join reach on a = doc_id group by doc_id, n
+"""

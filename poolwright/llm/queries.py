@@ -59,4 +59,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_language_id, op2_bpe, op3_html_extract, op4_jaccard_join, op5_kneser_ney, op6_url_lists, op7_ratio_rules, op8_decontamination, op9_warc, op10_suffix_dedup,
     )
 }
-ORACLE_SQL: dict[str, str] = {"op6_url_lists": url_lists.PAGES_SQL, "op9_warc": warc.PAGES_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_jaccard_join": jaccard_join.DOCUMENTS_SQL, "op6_url_lists": url_lists.PAGES_SQL, "op9_warc": warc.PAGES_SQL}
