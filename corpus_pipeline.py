@@ -17,8 +17,15 @@ from poolwright.llm.common import column
 from poolwright.session import work_folder
 
 
+def settle(spark: SparkSession) -> None:
+    """Rows of documents are large: smaller batches to Python bound a task's memory, and shuffle files go with their query."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a language (null text, no letter); sets ``lang`` where it is null."""
+    settle(spark)
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), column(docs, "text", "string").alias("text"))
     found = language_id.identify(rows, language_id.fit(docs), keep=("row",)).filter(F.col("lang_pred") != language_id.UNKNOWN)
     names = [(c, F.col("row").getField(c)) for c in docs.columns]
@@ -30,6 +37,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Documents without a word stay.
     """
+    settle(spark)
     return jaccard_join.one_of_each(docs)
 
 
@@ -38,16 +46,19 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
     Documents that have nothing left but white space go.
     """
+    settle(spark)
     return suffix_dedup.without_repeats(docs)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark passage."""
+    settle(spark)
     return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Tokens of every document and the digest of their decoded text."""
+    settle(spark)
     return bpe.round_trip(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

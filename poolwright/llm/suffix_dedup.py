@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from poolwright.llm.common import BASE, INVERSE, column, mixed, powers, small_batches, utf8
+from poolwright.llm.common import BASE, INVERSE, column, frugal, mixed, powers, utf8
 from poolwright.session import materialize
 
 WINDOW = 200
@@ -495,11 +495,17 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"dedup_k1": F.xxhash64("dedup_text"), "dedup_k2": F.xxhash64(F.lit("second"), "dedup_text")})
 
 
-def repeated_spans(rows: DataFrame) -> DataFrame:
-    """Removed runs of the texts that have any: (k1, k2, starts, ends, n_removed, kept_sha256, kept).
+def repeated_spans(rows: DataFrame, *columns: str) -> DataFrame:
+    """Removed runs of the texts that have any: (k1, k2, starts, ends, n_removed, kept_sha256, kept), or some of these columns.
 
     The digest is that of the kept bytes; in ``kept`` characters that were cut in two are left out. ``rows`` holds (text, k1, k2), null-free. One row a text, however many rows have it.
     """
+    with frugal(rows.sparkSession):
+        found = _repeated_spans(rows)
+        return materialize(found.select("k1", "k2", *(columns or found.columns[2:])), "spans")
+
+
+def _repeated_spans(rows: DataFrame) -> DataFrame:
     seen = rows.mapInArrow(_anchor_rows(False), "h long, n long, lo long, hi long")
     shared = seen.groupBy("h").agg(F.sum("n").alias("total"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     shared = materialize(shared.filter("total > 1").select("h", (F.col("lo") != F.col("hi")).alias("mixed")), "shared")
@@ -535,7 +541,7 @@ def _rows(docs: DataFrame) -> DataFrame:
 def dedup_digests(docs: DataFrame) -> DataFrame:
     """Bytes, removed bytes, removed runs and the digest of the kept bytes of every row."""
     own = keyed(docs.select(column(docs, "doc_id", "long").alias("doc_id"), column(docs, "text", "string").alias("text")))
-    spans = repeated_spans(_rows(own)).select("k1", "k2", "n_removed", F.size("starts").cast("long").alias("n_spans"), "kept_sha256")
+    spans = repeated_spans(_rows(own), "n_removed", "starts", "kept_sha256").withColumn("n_spans", F.size("starts").cast("long")).drop("starts")
     plain = own.select(
         "doc_id", F.col("dedup_k1").alias("k1"), F.col("dedup_k2").alias("k2"), F.octet_length("dedup_text").cast("long").alias("n_bytes"),
         F.sha2(F.col("dedup_text").cast("binary"), 256).alias("sha"))
@@ -550,8 +556,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     Rows of which nothing but white space is left go; rows that had nothing else before stay.
     """
     own = keyed(docs)
-    spans = repeated_spans(_rows(own)).select(F.col("k1").alias("dedup_k1"), F.col("k2").alias("dedup_k2"), "kept")
-    spans = spans.withColumnRenamed("kept", "dedup_kept")
+    spans = repeated_spans(_rows(own), "kept").select(F.col("k1").alias("dedup_k1"), F.col("k2").alias("dedup_k2"), F.col("kept").alias("dedup_kept"))
     joined = own.join(spans, ["dedup_k1", "dedup_k2"], "left").filter(F.col("dedup_kept").isNull() | F.col("dedup_kept").rlike(r"\S"))
     text = F.coalesce("dedup_kept", F.col("text")) if "text" in docs.columns else None
     out = []
