@@ -29,7 +29,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poolwright.llm.common import column
+from poolwright.llm.common import column, frugal
 from poolwright.session import work_folder
 
 REVISIT_BYTES = 1000
@@ -218,7 +218,8 @@ def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, shard_byt
 
     written = dealt.select("shard", "page_id", "url", "html", "digest", "refers_to").mapInArrow(
         run, "shard int, number int, temporary string, name string, records long, bytes long, sha256 string")
-    written.write.parquet(f"{folder}/pending")
+    with frugal(spark):
+        written.write.parquet(f"{folder}/pending")
     commit(spark, folder)
     return spark.read.parquet(f"{folder}/manifest")
 
