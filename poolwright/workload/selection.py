@@ -458,7 +458,7 @@ def allocation_checks(t):
 def _cube_facility(letter, ordinal):
     return f"""
 SELECT {KEY}, group_id, customer_country AS country, currency, financial_product, com_product, sector_desc AS sector, subsector_desc AS subsector,
-  signing_date, expiry_date, reg_ead, funded_eur, available_eur, reg_capital, CAST(sold_amount AS {MONEY}) AS sold_amount, reg_capital_ratio,
+  signing_date, expiry_date, reg_ead, funded_eur, available_eur, reg_capital, CAST(FLOOR(sold_amount * 100) / 100 AS {MONEY}) AS sold_amount, reg_capital_ratio,
   {letter} AS rating_letter, group_rating,
   CASE WHEN {ordinal} >= {codes.RATING_SCALE.index(codes.FIRST_SPECULATIVE_GRADE) + 1} AND NOT STARTS_WITH({letter}, 'BBB') THEN 1 ELSE 0 END AS non_ig_flag,
   CASE WHEN COALESCE(agency_guaranteed, 0) <> 0 THEN 1 ELSE 0 END AS bei_flag, CASE WHEN esg_linked = 1 THEN 1 ELSE 0 END AS esg_linked_flag
@@ -479,7 +479,9 @@ FROM portfolio"""
 
 def selected_from_cube(t, portfolio_type):
     """The main path in one run: wide cube, feature marks, selection."""
-    facilities = selection.cube_facilities(wide_rows(t), portfolio_type)
+    # whole cents: what is sold leads to no ties when amounts are rounded, which engines break differently
+    wide = wide_rows(t).withColumn("sold_amount", F.floor(F.col("sold_amount") * 100) / 100)
+    facilities = selection.cube_facilities(wide, portfolio_type)
     # the selection reads its facilities several times: from here on they are a table
     facilities = materialize(facilities, "facilities")
     corporate = "1" if portfolio_type == "corporate_loan" else "0"
