@@ -103,6 +103,17 @@ def test_junk_falls_and_trusted_text_stays(spark):
     assert all(r[7] == (r[0] < 100) for r in got)
 
 
+def test_symbol_stuffed_copies_of_trusted_text_fall(spark):
+    """Half of a copy's words are trusted ones, the others carry symbols."""
+    rng = random.Random(6)
+    words = "der die das und oder nicht mit von zu auf im am aus bei nach seit".split()
+    good = [(i, " ".join(rng.choice(words) for _ in range(60))) for i in range(1200)]
+    stuffed = [(2000 + i, " ".join(w + rng.choice("$%#*") * 3 if k % 2 else w for k, w in enumerate(t.split()))) for i, t in good[:200]]
+    got = compared(spark, good + stuffed, [(i, 1, 0) for i, _ in good])
+    assert sum(not r[7] for r in got if r[0] < 2000) <= 2
+    assert not any(r[7] for r in got if r[0] >= 2000)
+
+
 def test_hard_rows(spark):
     rows = [r[:2] for r in hard.rows()]
     got = m.judge(hard.table(spark), spark.createDataFrame([(1, 1, None), (None, 1, 0), (2, None, 0)], "doc_id long, quality int, toxic int")).collect()
