@@ -45,10 +45,16 @@ def url_keys(url: Column) -> Column:
     return F.when(host_of(url) != "", F.array_distinct(found)).otherwise(F.array().cast("array<string>"))
 
 
+def entry_of(entry: Column) -> Column:
+    """A list entry as a key: its host in lower case, its path as it is."""
+    host = F.regexp_extract(entry, "^[^/]*", 0)
+    return F.concat(F.lower(host), F.substr(entry, F.length(host) + 1))
+
+
 def intervals(events: DataFrame) -> DataFrame:
     """Rows (list_name, entry, valid_from, valid_to): the spans in which an entry was on a list; open ends are null."""
     rows = events.select(
-        F.coalesce(column(events, "list_name", "string"), F.lit("")).alias("list_name"), F.lower(column(events, "entry", "string")).alias("entry"),
+        F.coalesce(column(events, "list_name", "string"), F.lit("")).alias("list_name"), entry_of(column(events, "entry", "string")).alias("entry"),
         column(events, "day", "date").alias("day"), F.lower(column(events, "action", "string")).alias("action"))
     rows = rows.filter("entry is not null and entry <> '' and day is not null and action in ('add', 'remove')")
     daily = rows.groupBy("list_name", "entry", "day").agg(F.max((F.col("action") == "remove").cast("int")).alias("removed"))

@@ -58,6 +58,14 @@ def test_intervals(spark):
     assert got == {("bad.org", day(3), day(6)), ("bad.org", day(9), None), ("x.com/ads", day(2), None), ("a.bad.org", day(1), None)}
 
 
+def test_paths_keep_their_case(spark):
+    captures = spark.createDataFrame(
+        [(1, "http://X.com/Folder/x", day(5)), (2, "http://x.com/folder/x", day(5)), (3, "http://x.com/Folder", day(1))], "capture_id long, url string, fetched date")
+    events = spark.createDataFrame([("l", "X.COM/Folder", day(2), "add")], "list_name string, entry string, day date, action string")
+    got = {r.capture_id: (r.first_entry, r.kept) for r in m.filter_captures(captures, events).collect()}
+    assert got == {1: ("x.com/Folder", False), 2: (None, True), 3: (None, True)}
+
+
 def test_hard_pages(spark):
     rows = [(None, None, None, 1), (1, "http://a.b/c", "x", 2), (1, "http://a.b/c", "x", 2), (2, None, "", 3), (3, "http://" + "a." * 3000 + "b/", None, 4)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, entry int")
