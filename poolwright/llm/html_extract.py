@@ -200,7 +200,7 @@ def weigh(counts: dict[tuple[str, bool], int]) -> dict[str, float]:
 def extract(page: str, weights: dict[str, float]) -> str:
     """Text of a page's content region: blocks in order, two line ends between them.
 
-    Where a page marks its content, all else on it is no content, and within the mark nothing but words weighs much.
+    Where a page marks its content, all its marked parts are the text, whatever the weights.
     """
     found = list(tokens(page))
     marked = any(content for _, _, content, _ in found)
@@ -227,6 +227,8 @@ def extract(page: str, weights: dict[str, float]) -> str:
             total += max(weight, LIGHT) if content else weight
         if total <= 0:
             total, first = 0.0, len(pieces)
+    if marked:
+        begin, last = 0, len(pieces)  # all marked parts; text outside them is no content
     texts: dict[int, list[str]] = {}
     for number, text, part in pieces[begin:last]:
         if not part:

@@ -37,6 +37,11 @@ CASES = {
 }
 
 
+def test_all_marked_parts_are_joined(weights):
+    page = "<article><p>one two</p></article>" + "<div><ul><li>x</li></ul></div>" * 40 + "<article><p>" + "many words " * 20 + "</p></article>"
+    assert m.extract(page, weights) == "one two\n\n" + ("many words " * 20).strip()
+
+
 @pytest.mark.parametrize("name", CASES)
 def test_text_of_pages(weights, name):
     page, wanted = CASES[name]
