@@ -73,8 +73,8 @@ WORD, LINKED, PART, PART_TAG = "word", "linked word", "part word", "part tag"
 NEW_BLOCK, NEW_INLINE = -1.5, -0.1
 
 
-def names_a_part(name: str, attributes: str, inside: bool) -> bool:
-    """Whether an element's class, id, role or style says that it is no content."""
+def names_a_part(name: str, attributes: str, inside: bool, named: bool = True) -> bool:
+    """Whether an element's class, id, role (unless not ``named``) or style says that it is no content."""
     if not attributes or name in UNNAMED:
         return False
     for key, value in NAMES.findall(attributes):
@@ -87,7 +87,7 @@ def names_a_part(name: str, attributes: str, inside: bool) -> bool:
         elif key == "aria-hidden":
             if value.lower() == "true":
                 return True
-        else:
+        elif named:
             words = {w.lower() for w in PIECES.split(value)}
             if name in CONTENT:
                 if words & CONTENT_PARTS:
@@ -97,21 +97,32 @@ def names_a_part(name: str, attributes: str, inside: bool) -> bool:
     return False
 
 
-def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
+def tokens(page: str, wrappers: frozenset[int] = frozenset(), found_wrappers: set[int] | None = None) -> Iterator[tuple[str, str, bool, bool]]:
     """Tokens of a page in order: (kind, text, in the marked content, in a part that is no content).
 
     Kinds: an element's name for its start, ``/name`` for its end, and for text one of the word classes.
+    ``wrappers`` are numbers of elements whose names do not count. ``found_wrappers`` takes those that
+    should not: what holds a page's first content element where none stands free, or half of the text of a page without any.
     """
     open_: list[tuple[str, bool, bool]] = []  # name, part, content
+    by_name: list[tuple[int, int]] = []  # open parts that only their names make parts: place in open_, number
+    number = free = shown = 0
+    holders: list[int] = []
+    sizes: Counter[int] = Counter()
     parts = links = content = 0
     at, end = 0, len(page)
     while at < end:
         found = TAG.search(page, at)
         text = page[at : found.start() if found else end]
         if text:
+            if found_wrappers is not None and parts == len(by_name):
+                size = len(text.strip())
+                shown += size
+                if by_name:
+                    sizes[by_name[0][1]] += size
             yield (PART if parts else LINKED if links else WORD), text, content > 0, parts > 0
         if not found:
-            return
+            break
         at = found.end()
         name = (found[2] or found[5] or "").lower()
         if not name:
@@ -126,6 +137,8 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
             if any(n == name for n, _, _ in open_):
                 while open_:
                     n, part, held = open_.pop()
+                    if by_name and by_name[-1][0] == len(open_):
+                        by_name.pop()
                     parts -= part
                     content -= held
                     if n == name:
@@ -147,14 +160,37 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
             continue
         if name in ("p", "li", "td", "th", "tr", "dt", "dd", "option") and open_ and open_[-1][0] == name:
             _, part, held = open_.pop()  # its end is left out
+            if by_name and by_name[-1][0] == len(open_):
+                by_name.pop()
             parts -= part
             content -= held
-        part = name in OUTSIDE or (name == "header" and not content) or names_a_part(name, found[3] or found[6] or "", content > 0)
+        number += 1
+        attributes = found[3] or found[6] or ""
+        part = name in OUTSIDE or (name == "header" and not content) or names_a_part(name, attributes, content > 0, number not in wrappers)
         holds = name in CONTENT and not part and not parts
+        free += holds
+        if name in CONTENT and not part and by_name and parts == len(by_name) and not holders:
+            holders = [k for _, k in by_name]
+        if part and name not in OUTSIDE and name not in CONTENT and name != "header" and not names_a_part(name, attributes, content > 0, False):
+            by_name.append((len(open_), number))
         yield name, "", content > 0, part or parts > 0
         open_.append((name, part, holds))
         parts += part
         content += holds
+    if found_wrappers is not None and not free:
+        most = max(sizes, key=sizes.__getitem__, default=0)
+        found_wrappers.update(holders or ([most] if 2 * sizes[most] > shown else []))
+
+
+def parsed(page: str) -> list[tuple[str, str, bool, bool]]:
+    """Tokens of a page, where names of its wrappers do not count."""
+    known: set[int] = set()
+    while True:
+        more: set[int] = set()
+        out = list(tokens(page, frozenset(known), more))
+        if more <= known:
+            return out
+        known |= more
 
 
 def _class(kind: str, part: bool) -> str:
@@ -173,7 +209,7 @@ def count_tokens(page: str) -> Counter[tuple[str, bool]]:
     """Tokens of a labelled page by class and by whether the marked content holds them; none of other pages."""
     out: Counter[tuple[str, bool]] = Counter()
     marked = False
-    for kind, text, content, part in tokens(page):
+    for kind, text, content, part in parsed(page):
         marked |= content
         n = len(text.split()) if kind in (WORD, LINKED, PART) else 1
         if n:
@@ -202,7 +238,7 @@ def extract(page: str, weights: dict[str, float]) -> str:
 
     Where a page marks its content, all its marked parts are the text, whatever the weights.
     """
-    found = list(tokens(page))
+    found = parsed(page)
     marked = any(content for _, _, content, _ in found)
     pieces: list[tuple[int, str, bool]] = []  # block, text, no content
     total = best = 0.0

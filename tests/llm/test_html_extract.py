@@ -42,6 +42,16 @@ def test_all_marked_parts_are_joined(weights):
     assert m.extract(page, weights) == "one two\n\n" + ("many words " * 20).strip()
 
 
+@pytest.mark.parametrize("names", ["class='has-sidebar'", "class='content-sidebar-wrap'", "class='no-comments'", "id='main-menu-page'"])
+def test_names_of_wrappers_drop_nothing(weights, names):
+    text = "words of the page " * 20
+    inner = "<nav><a href=x>menu</a></nav>{}<section class='comments'><article><p>a reader</p></article></section>"
+    marked = f"<body><div {names}>" + inner.format(f"<article><p>{text}</p></article>") + "</div></body>"
+    assert m.extract(marked, weights) == text.strip()
+    plain = f"<body><div {names}><p>{text}</p><div class='ad'>buy</div></div><div class='sidebar'>aside</div></body>"
+    assert m.extract(plain, weights) == text.strip()
+
+
 @pytest.mark.parametrize("name", CASES)
 def test_text_of_pages(weights, name):
     page, wanted = CASES[name]
