@@ -42,7 +42,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes out byte strings of 200 bytes and more that repeat; the first place of each string stays.
+    """Takes out byte strings of 200 bytes and more that repeat, at every place; no copy stays.
 
     Documents that have nothing left but white space go.
     """
