@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from poolwright.llm import bpe, decontaminate, html_extract, jaccard_join, kneser_ney, language_id, ratio_rules, suffix_dedup, url_lists, warc
+from poolwright.llm import (
+    bpe, decontaminate, fill_in_middle, hard_negatives, html_extract, jaccard_join, kneser_ney, language_id, ratio_rules, suffix_dedup, toxic_passages, url_lists, warc,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,9 +56,25 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup_digests(table(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine_embeddings(table(spark, sf_dir, "embeddings"))
+
+
+def op13_toxic_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxic_passages.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_language_id, op2_bpe, op3_html_extract, op4_jaccard_join, op5_kneser_ney, op6_url_lists, op7_ratio_rules, op8_decontamination, op9_warc, op10_suffix_dedup,
+        op11_fill_in_middle, op12_hard_negatives, op13_toxic_passages,
     )
 }
-ORACLE_SQL: dict[str, str] = {"op4_jaccard_join": jaccard_join.DOCUMENTS_SQL, "op6_url_lists": url_lists.PAGES_SQL, "op9_warc": warc.PAGES_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op4_jaccard_join": jaccard_join.DOCUMENTS_SQL, "op6_url_lists": url_lists.PAGES_SQL, "op9_warc": warc.PAGES_SQL,
+    "op11_fill_in_middle": fill_in_middle.DOCUMENTS_SQL, "op12_hard_negatives": hard_negatives.EMBEDDINGS_SQL,
+}
