@@ -8,8 +8,8 @@ cap, which uses that cap up; later facilities on a used-up cap are rejected.
 The result is fully determined by a short list of *events*: which cap was used
 up at which rank, and what the facility at that rank took. Each event uses up a
 positive share of the pool, so their number depends on the limit sheet, never on
-the data. The fill below looks only for events; everything else follows from
-them in one pass over the facilities.
+the data. The fill below looks only for events, and writes them as two small tables; everything else follows
+from joining these to the facilities, so plans do not grow with the events.
 
 The last facility takes no more than what is left of the pool, even where the
 cap shares alone would let it overshoot the target.
@@ -18,19 +18,22 @@ cap shares alone would let it overshoot the target.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field, replace
+from collections.abc import Iterator
+from dataclasses import dataclass, replace
 from decimal import Decimal
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from poolwright import GRAIN
 from poolwright.functions.exprs import all_of, least_of
-from poolwright.operators.limits import DATE_LIMITS, SHARE_UNITS, LimitSpec, RuleBook, matched_share
+from poolwright.operators.limits import DATE_LIMITS, SEP, SHARE_UNITS, VALUE, LimitSpec, RuleBook, date_share, matched_share, rule_id, with_shares
+from poolwright.operators.lookups import lookup_many
 from poolwright.operators.ranking import ranked, running_totals
-from poolwright.session import literal_rows, materialize
+from poolwright.session import materialize
 
 NO_VALUE = "None"
 # Amounts are counted in ticks of 1/10000 and shares in units of 1e-7, both as
@@ -38,11 +41,13 @@ NO_VALUE = "None"
 TICKS = 10_000
 MONEY = "decimal(20,4)"
 POOL = "pool size"
-SEP = "\x1f"
 # Bounds of a rank bucket, the largest slice of rows ordered in one task.
 MIN_BUCKET_ROWS = 16_384
 MAX_BUCKET_ROWS = 1_000_000
 TARGET_BUCKETS = 2_048
+# Rows that one fold takes if buckets are smaller, and rows that it accepts at once.
+FOLD_ROWS = 262_144
+BLOCK_ROWS = 1_024
 # always followed, whether the sheet limits them or not; a sheet's own limit on the same column is the same limit
 ALWAYS_TRACKED = {"divisa": "currency", "financial_product": "financial_product"}
 
@@ -58,32 +63,58 @@ def _tracked(book: RuleBook, always: dict[str, str]) -> list[LimitSpec]:
     ]
 
 
+def _single(spec: LimitSpec) -> LimitSpec:
+    """A pool limit goes by one column; an unknown date is as restricted as one beyond the bound."""
+    single = replace(spec, columns=[spec.columns[-1]])
+    if spec.name in DATE_LIMITS:
+        single.null_share = min((share for _, share in spec.days), default=1.0)
+    return single
+
+
 def with_pool_limits(facilities: DataFrame, book: RuleBook, always: dict[str, str] | None = None) -> DataFrame:
     """Add ``limits``: one (type, value, allowed share units) per followed limit.
 
     The allowed share is the rule of the facility's value, else the ``total``
     rule of the type, else 1. Limits with two concepts go by the second one.
     """
-    out, items = facilities, []
-    for spec in _tracked(book, ALWAYS_TRACKED if always is None else always):
-        column = spec.columns[-1]
-        single = replace(spec, columns=[column])
-        if spec.rules:
-            if spec.name in DATE_LIMITS:
-                # an unknown date is as restricted as one beyond the bound
-                single.null_share = min((share for _, share in spec.days), default=1.0)
-            out, share = matched_share(out, book, single, f"_pool_{spec.name}")
-            share = F.coalesce(share, F.lit(1.0 if spec.total is None else spec.total))
-        else:
-            share = F.lit(1.0)
-        items.append(F.struct(
-            F.lit(spec.name).alias("limit_type"),
-            F.coalesce(F.col(column).cast("string"), F.lit(NO_VALUE)).alias("limit_value"),
-            F.round(share * SHARE_UNITS).cast("long").alias("allowed_units"),
-        ))
+    specs = [_single(s) for s in _tracked(book, ALWAYS_TRACKED if always is None else always)]
+    out, items = with_shares(facilities, book, [s for s in specs if s.rules]), []
+    for spec in specs:
+        share = _share_or_total(matched_share(book, spec), spec) if spec.rules else F.lit(1.0)
+        items.append(F.struct(F.lit(spec.name).alias("limit_type"), _text(spec).alias("limit_value"), _allowed(share).alias("allowed_units")))
     return out.select(*facilities.columns, F.array(*items).alias("limits"))
 
 
+def _text(spec: LimitSpec) -> Column:
+    return F.coalesce(F.col(spec.columns[0]).cast("string"), F.lit(NO_VALUE))
+
+
+def _allowed(share: Column) -> Column:
+    return F.round(share * SHARE_UNITS).cast("long")
+
+
+def _share_or_total(share: Column, spec: LimitSpec) -> Column:
+    return F.coalesce(share, F.lit(1.0 if spec.total is None else spec.total))
+
+
+def universe_of(facilities: DataFrame, book: RuleBook, always: dict[str, str] | None = None) -> DataFrame:
+    """Every (limit, value) found on ``facilities`` with its allowed share and amount.
+
+    The values of all limits are reduced to the distinct ones first, combined on the map side; only these meet
+    the rule index, in one join. Dates carry the share of the bounds they break.
+    """
+    items = []
+    for spec in (_single(s) for s in _tracked(book, ALWAYS_TRACKED if always is None else always)):
+        dated = spec.rules and spec.name in DATE_LIMITS
+        items.append(F.struct(
+            F.lit(spec.name).alias("limit_type"), _text(spec).alias("limit_value"),
+            (rule_id(spec.name, VALUE, F.col(spec.columns[0])) if spec.rules and not dated else F.lit(None).cast("string")).alias("id"),
+            (date_share(spec, book.limit_date) if dated else F.lit(1.0 if spec.total is None or not spec.rules else spec.total)).cast("double").alias("otherwise")))
+    found = facilities.select(F.explode(F.array(*items)).alias("limit")).select("limit.*").distinct()
+    units = _allowed(F.coalesce("value", "otherwise"))
+    return _amounts(found.join(book.index, "id", "left").groupBy("limit_type", "limit_value").agg(F.max(units).alias("allowed_units")), book.pool_size)
+
+
 def limit_types(book: RuleBook, always: dict[str, str] | None = None) -> list[str]:
     return [s.name for s in _tracked(book, ALWAYS_TRACKED if always is None else always)]
 
@@ -94,9 +125,13 @@ def _types_of(limited: DataFrame) -> list[str]:
 
 
 def limit_universe(limited: DataFrame, pool_size: Decimal) -> DataFrame:
-    """Every (limit, value) found on the facilities with its allowed share and amount."""
+    """The same for facilities that carry their ``limits``."""
     each = limited.select(F.explode("limits").alias("limit")).select("limit.*")
-    return each.groupBy("limit_type", "limit_value").agg(F.max("allowed_units").alias("allowed_units")).withColumns({
+    return _amounts(each.groupBy("limit_type", "limit_value").agg(F.max("allowed_units").alias("allowed_units")), pool_size)
+
+
+def _amounts(caps: DataFrame, pool_size: Decimal) -> DataFrame:
+    return caps.withColumns({
         "allowed_share": F.col("allowed_units") / F.lit(float(SHARE_UNITS)),
         "cap_amount": F.col("allowed_units") * F.lit(float(pool_size)) / F.lit(float(SHARE_UNITS)),
     })
@@ -106,34 +141,13 @@ def limit_universe(limited: DataFrame, pool_size: Decimal) -> DataFrame:
 
 @dataclass
 class Events:
-    """What the fill found: bounded by the limit sheet, so it lives on the driver."""
-
-    used_up: dict[str, int] = field(default_factory=dict)   # limit id -> rank
-    settled: dict[int, Decimal] = field(default_factory=dict)  # rank -> amount taken
-    full_at: int | None = None  # rank of the facility that filled the pool
-
-
-def _literal_map(values: dict, key_type: str, value_type: str) -> Column | None:
-    if not values:
-        return None
-    pairs = []
-    for key, value in values.items():
-        pairs += [F.lit(key).cast(key_type), F.lit(value).cast(value_type)]
-    return F.create_map(*pairs)
-
-
-def _spent(events: Events, kind: str, value: Column, allowed: Column) -> Column:
-    """Whether a limit was at 0 from the start or used up before the row."""
-    ranks = {i.split(SEP, 1)[1]: rank for i, rank in events.used_up.items() if i.split(SEP, 1)[0] == kind}
-    spent = allowed <= 0
-    if ranks:
-        spent = spent | F.coalesce(_literal_map(ranks, "string", "long")[value] < F.col("rank"), F.lit(False))
-    return spent
-
+    """What the fill found: two tables, their sizes, and the rank at which the pool was full."""
 
-def _settled_amount(events: Events) -> Column:
-    amounts = _literal_map(events.settled, "long", MONEY)
-    return F.lit(None).cast(MONEY) if amounts is None else amounts[F.col("rank")]
+    used_up: DataFrame  # id of a cap, rank (``value``) that used it up
+    settled: DataFrame  # rank, ticks taken
+    count: int  # caps used up
+    full_at: int | None
+    rounds: int
 
 
 def _units(amount: Column, pool: Decimal) -> Column:
@@ -155,170 +169,228 @@ def _slots(types: list[str]) -> list[tuple[str, Column, Column]]:
             for i, kind in enumerate(types)]
 
 
+def _cap_id(kind: str, value: Column) -> Column:
+    return F.concat(F.lit(kind + SEP), value)
+
+
 def demand(candidates: DataFrame, pool: Decimal, types: list[str]) -> DataFrame:
     """Candidates with their draws: ``wanted`` ticks of the pool, ``units`` of each limit in ``caps``."""
-    caps = [F.struct(F.concat(F.lit(kind + SEP), value).alias("id"), allowed.alias("room"))
-            for kind, value, allowed in _slots(types)]
+    caps = [F.struct(_cap_id(kind, value).alias("id"), allowed.alias("room")) for kind, value, allowed in _slots(types)]
     return candidates.select(
         "rank", "bucket", (F.col("amount").cast(MONEY) * TICKS).cast("long").alias("wanted"),
         _units(F.col("amount"), pool).alias("units"), F.array(*caps).alias("caps"))
 
 
-def _draws(rows: DataFrame, pool: Decimal, kinds: list[str] | None) -> DataFrame:
-    """One row per candidate and cap, the pool included, for the given limit types."""
+def _bucket_sums(rows: DataFrame, pool: Decimal) -> DataFrame:
+    """Total draw per bucket and cap, the pool included (combined on the map side)."""
     on_pool = F.struct(F.lit(POOL).alias("id"), F.lit(pool_ticks(pool)).cast("long").alias("room"))
-    draws = rows.select("rank", "bucket", "wanted", "units", F.explode(F.array_append("caps", on_pool)).alias("cap")).select(
-        "rank", "bucket", "wanted", "cap.id", "cap.room",
-        F.when(F.col("cap.id") == POOL, F.col("wanted")).otherwise(F.col("units")).alias("draw"))
-    return draws if kinds is None else draws.filter(_kind().isin(kinds))
+    draws = rows.select("bucket", "wanted", "units", F.explode(F.array_append("caps", on_pool)).alias("cap"))
+    draw = F.when(F.col("cap.id") == POOL, F.col("wanted")).otherwise(F.col("units"))
+    return draws.groupBy("bucket", F.col("cap.id").alias("id")).agg(F.sum(draw.cast("decimal(28,0)")).alias("draw"), F.first("cap.room").alias("room"))
 
 
-def _kind() -> Column:
-    return F.substring_index("id", SEP, 1)
+def _first_tight(sums: DataFrame, start: int) -> int | None:
+    """First bucket from ``start`` on in which the running total of some cap reaches its room."""
+    so_far = W.partitionBy("id").orderBy("bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
+    filled = sums.withColumn("filled", F.sum("draw").over(so_far))
+    return filled.filter((F.col("bucket") >= start) & (F.col("filled") >= F.col("room"))).agg(F.min("bucket")).first()[0]
 
 
-def _bucket_sums(draws: DataFrame) -> DataFrame:
-    """Total draw per bucket and cap (combined on the map side)."""
-    return draws.groupBy("bucket", "id").agg(F.sum("draw").alias("draw"), F.first("room").alias("room"))
+def find_events(rows: DataFrame, pool: Decimal, last_bucket: int, types: list[str], bucket_rows: int) -> Events:
+    """Find the events of ``demand`` rows; jobs follow the tight stretches, whatever the number of events.
 
+    The draws are summed per bucket and cap once. Caps that all demand together does not reach reject nothing and
+    go. A running total over the buckets of each cap, at most ``TARGET_BUCKETS`` or so, finds the first bucket
+    where one gets tight; from there a bounded slice is folded in one task. Then the sums are corrected: the slice
+    counts as it was used, and what later rows on used-up caps would have drawn is taken off.
+    """
+    spark = rows.sparkSession
+    sums = materialize(_bucket_sums(rows, pool), "sums")
+    totals = sums.groupBy("id").agg(F.sum("draw").alias("draw"), F.first("room").alias("room"))
+    binding = materialize(totals.filter(F.col("draw") >= F.col("room")).select("id", "room"), "binding")
+    sums = sums.join(binding.select("id"), "id", "left_semi")
+    parts, width = [], max(1, FOLD_ROWS // bucket_rows)
+    start, full_at, count = 0, None, 0
+    while start <= last_bucket:
+        first = _first_tight(sums, start)
+        if first is None:
+            break
+        stop = min(first + width, last_bucket + 1)
+        folded = _fold_slice(rows, sums, binding, parts, pool, first, stop)
+        info = folded.agg(F.min(F.when(F.col("full"), F.col("rank"))).alias("full_at"), F.count(F.when(F.col("kind") == USED_UP, 1)).alias("n")).first()
+        parts.append(folded)
+        full_at, start, count = info["full_at"], stop, count + info["n"]
+        if full_at is not None or start > last_bucket:
+            break
+        inside = folded.filter(F.col("kind") == USED).select(F.lit(first).cast("long").alias("bucket"), "id", F.col("amount").cast("decimal(28,0)").alias("draw"))
+        kept = sums.filter(~F.col("bucket").between(first, stop - 1)).select("bucket", "id", "draw")
+        kept = kept.unionByName(inside)
+        if info["n"]:
+            kept = kept.unionByName(_newly_excluded(rows, parts, info["n"], count, types, stop, pool).join(binding.select("id"), "id", "left_semi").select("bucket", "id", (-F.col("draw")).alias("draw")))
+        corrected = kept.groupBy("bucket", "id").agg(F.sum("draw").alias("draw")).filter("draw <> 0")
+        sums = materialize(corrected.join(binding, "id"), "sums")
+    found = _together(spark, parts)
+    return Events(
+        found.filter(F.col("kind") == USED_UP).select("id", F.col("rank").alias("value")),
+        found.filter(F.col("kind") == SETTLED).select("rank", F.col("amount").alias("taken")),
+        count, full_at, len(parts))
+
+
+def _together(spark: SparkSession, parts: list[DataFrame]) -> DataFrame:
+    """What all folds wrote, as one scan."""
+    if not parts:
+        return spark.createDataFrame([], FOLDED)
+    return spark.read.schema(FOLDED).parquet(*[p.inputFiles()[0].rsplit("/", 1)[0] for p in parts])
+
+
+def _marks(rows: DataFrame, used_up: DataFrame, count: int, types: list[str]) -> tuple[DataFrame, list[str]]:
+    """Rows with what ``used_up`` (id, value) holds for each of their caps."""
+    names = [f"_mark_{i}" for i in range(len(types))]
+    return lookup_many(rows, used_up, count, {name: F.col("caps")[i]["id"] for i, name in enumerate(names)}), names
+
+
+def _newly_excluded(rows: DataFrame, parts: list[DataFrame], new: int, count: int, types: list[str], start: int, pool: Decimal) -> DataFrame:
+    """Draws, by bucket and cap, of the rows from ``start`` on whose first used-up cap is one of the last fold's."""
+    last = len(parts) - 1
+    used_up = parts[last].filter(F.col("kind") == USED_UP).select("id", F.lit(last).alias("value"))
+    if last:
+        used_up = used_up.unionByName(_together(rows.sparkSession, parts[:last]).filter(F.col("kind") == USED_UP).select("id", F.lit(0).alias("value")))
+    marked, names = _marks(rows.filter(F.col("bucket") >= start), used_up, count, types)
+    least = least_of([F.col(n) for n in names], F.lit(None).cast("int"))
+    return _bucket_sums(marked.filter(least == last), pool)
+
+
+FOLDED = "kind string, rank long, id string, amount long, full boolean"
+SETTLED, USED_UP, USED = "settled", "used up", "used"
+
+
+def _fold_slice(rows: DataFrame, sums: DataFrame, binding: DataFrame, parts: list[DataFrame], pool: Decimal, first: int, stop: int) -> DataFrame:
+    """Settle every event of the buckets ``first`` to ``stop - 1``; rows of ``FOLDED``.
+
+    Whether a facility fits depends on all before it, so the slice, a bounded part of the order, is folded
+    in a single task. What its caps have left comes first, then its rows by rank.
+    """
+    inside = rows.filter(F.col("bucket").between(first, stop - 1))
+    used = sums.filter(F.col("bucket") < first).groupBy("id").agg(F.sum("draw").alias("used"))
+    # caps of the slice, and the pool
+    own = inside.select(F.explode("caps.id").alias("id")).distinct().unionByName(rows.sparkSession.range(1).select(F.lit(POOL).alias("id")))
+    left = binding.join(own, "id", "left_semi").join(used, "id", "left").select("id", (F.col("room") - F.coalesce("used", F.lit(0))).cast("long").alias("left"))
+    if parts:
+        gone = _together(rows.sparkSession, parts).filter(F.col("kind") == USED_UP).select("id", F.lit(True).alias("gone"))
+        left = left.join(gone, "id", "left").select("id", F.when(F.col("gone"), F.lit(GONE)).otherwise(F.col("left")).alias("left"))
+    none = F.lit(None)
+    stream = left.select(F.lit(-1).cast("long").alias("rank"), "id", "left", none.cast("long").alias("wanted"), none.cast("long").alias("units"), none.cast("array<string>").alias("caps"))
+    stream = stream.unionByName(inside.select("rank", none.cast("string").alias("id"), none.cast("long").alias("left"), "wanted", F.col("units").cast("long").alias("units"), F.col("caps.id").alias("caps")))
+    size = pool_ticks(pool)
 
-def _binding_kinds(sums: DataFrame) -> list[str]:
-    """Limit types with a value whose total demand reaches its cap; the others reject nothing."""
-    totals = sums.groupBy("id").agg(
-        F.sum(F.col("draw").cast("decimal(20,0)")).alias("draw"), F.first("room").alias("room"))
-    binding = totals.filter(F.col("draw") >= F.col("room")).select(_kind().alias("kind")).distinct()
-    return [r[0] for r in binding.collect()]
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = SliceFold(size)
+        for batch in batches:
+            state.take(batch)
+        out = [(SETTLED, r, None, taken, full) for r, taken, full in state.settled]
+        out += [(USED_UP, r, i, None, None) for i, r in state.used_up()]
+        out += [(USED, None, i, n, None) for i, n in state.used()]
+        kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.bool_()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], [c.split()[0] for c in FOLDED.split(", ")])
 
+    return materialize(stream.repartition(1).sortWithinPartitions("rank").mapInArrow(fold, FOLDED), "folded")
 
-def _first_tight(sums: DataFrame, carried: DataFrame) -> int | None:
-    """First bucket in which the running total of some cap reaches its room."""
-    so_far = W.partitionBy("id").orderBy("bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
-    filled = sums.join(carried, "id", "left").withColumn(
-        "filled", F.coalesce("used", F.lit(0)) + F.sum(F.col("draw").cast("decimal(20,0)")).over(so_far))
-    return filled.filter(F.col("filled") >= F.col("room")).agg(F.min("bucket")).first()[0]
 
+#: What a cap that was used up before has left: it rejects, whatever the rounding left on it.
+GONE = -(1 << 62)
+#: What a cap has left that nothing can use up.
+ENDLESS = 1 << 62
 
-def find_events(rows: DataFrame, pool: Decimal, last_bucket: int) -> Events:
-    """Walk the rank buckets of ``demand`` rows and collect the events.
 
-    A stretch of buckets is summed per cap; while no cap gets tight, whole
-    buckets are accepted at once. The first bucket where one does is folded
-    row by row. Rounds are bounded by the buckets, whatever the number of events.
-    """
-    events = Events()
-    carried = literal_rows(rows.sparkSession, [], "id string, used long")
-    frontier, stretch, kinds = 0, last_bucket + 1, None
-    while frontier <= last_bucket:
-        ahead = rows.filter(F.col("bucket").between(frontier, frontier + stretch - 1) & _untouched(events))
-        sums = materialize(_bucket_sums(_draws(ahead, pool, kinds)), "sums")
-        if kinds is None:
-            kinds = [POOL, *_binding_kinds(sums)]
-            sums = sums.filter(_kind().isin(kinds))
-        found = _first_tight(sums, carried)
-        stop = frontier + stretch if found is None else found
-        passed = sums.filter(F.col("bucket") < stop).select("id", F.col("draw").alias("used"))
-        used = _total_used(carried, passed)
-        if found is not None:
-            inside = _resolve_bucket(_draws(ahead.filter(F.col("bucket") == found), pool, kinds), used, pool, events)
-            if events.full_at is not None:
-                break
-            used = _total_used(used, inside)
-            stop = found + 1
-        carried = materialize(used, "used")
-        frontier = stop
-        # the next event tends to be near: look ahead further only after a quiet stretch
-        stretch = 16 if found is not None else stretch * 4
-    return events
-
-
-def _untouched(events: Events) -> Column:
-    """Rows beyond all events that use none of the used-up caps."""
-    if not events.used_up:
-        return F.lit(True)
-    return ~F.arrays_overlap("caps.id", F.array(*[F.lit(i) for i in events.used_up]))
-
-
-def _total_used(first: DataFrame, second: DataFrame) -> DataFrame:
-    return first.unionByName(second).groupBy("id").agg(F.sum("used").alias("used"))
-
-
-FOLDED = "rank long, take long, units long, full boolean, id string, used long"
-
-
-def _resolve_bucket(draws: DataFrame, used: DataFrame, pool: Decimal, events: Events) -> DataFrame:
-    """Settle every event inside one bucket; returns what the bucket used of each cap.
-
-    Whether a facility fits depends on all before it, so the rows of the bucket,
-    a bounded slice of the order, are folded one by one in a single task.
-    One job a bucket, however many events it holds; the events and the sums
-    of the caps come back, not the rows.
-    """
-    left_at_start = F.col("room") - F.coalesce("used", F.lit(0))
-    rows = draws.join(used, "id", "left").groupBy("rank", "wanted").agg(
-        F.collect_list(F.struct("id", left_at_start.cast("decimal(38,0)").alias("left"), "draw")).alias("caps"))
-    size = pool_ticks(pool)
+class SliceFold:
+    """What the facilities of one slice take, in their order.
 
-    def fold(batches):
-        state = BucketFold(size)
-        for batch in batches:
-            for rank, wanted, caps in zip(*(batch.column(c).to_pylist() for c in ("rank", "wanted", "caps"))):
-                state.add(rank, wanted, [(c["id"], int(c["left"]), c["draw"]) for c in caps])
-        out = [(r, take, units, full, None, None) for r, take, units, full in state.settled]
-        out += [(r, None, None, None, i, None) for i, r in state.used_up.items()]
-        out += [(None, None, None, None, i, n) for i, n in state.used.items()]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.string(), pa.int64()]
-        names = ["rank", "take", "units", "full", "id", "used"]
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)], names)
-
-    folded = materialize(rows.repartition(1).sortWithinPartitions("rank").mapInArrow(fold, FOLDED), "folded")
-    # events only: their number is bounded by the limit sheet
-    for r in folded.filter("rank is not null").collect():
-        if r.id is not None:
-            events.used_up[r.id] = r["rank"]
-        else:
-            events.settled[r["rank"]] = Decimal(r["take"]) / TICKS
-            if r.full:
-                events.full_at = r["rank"]
-    return folded.filter("rank is null").select("id", "used")
-
-
-class BucketFold:
-    """What the facilities of one bucket take, in their order."""
+    Rows are accepted a block at a time, by sums per cap. A block in which a cap gets tight is walked row by row.
+    """
 
     def __init__(self, pool: int) -> None:
         self.pool = pool  # in ticks
-        self.left: dict[str, int] = {}
-        self.used: dict[str, int] = {}
-        self.used_up: dict[str, int] = {}
-        self.settled: list[tuple[int, int, int, bool]] = []
+        self.code: dict[str | None, int] = {}
+        self.names: list[str] = []
+        # by cap: what is left, what was left at the start, the rank that used it up (-1: open, -2: before the slice)
+        self.left = np.array([ENDLESS], np.int64)
+        self.at_start = self.left.copy()
+        self.gone = np.array([-1], np.int64)
+        self.settled: list[tuple[int, int, bool]] = []
         self.full = False
 
-    def add(self, rank: int, wanted: int, caps: list[tuple[str, int, int]]) -> None:
-        """One facility with what it would draw on each cap; ``left`` of a cap counts when it is first met."""
-        if self.full or any(i in self.used_up for i, _, _ in caps):
+    def _codes(self, ids: pa.Array) -> np.ndarray:
+        """Number of every cap; those that cannot get tight have one number together."""
+        encoded = ids.fill_null("").dictionary_encode()
+        own = np.array([self.code.get(i, 0) for i in encoded.dictionary.to_pylist()], np.int64)
+        return own[encoded.indices.to_numpy(zero_copy_only=False)]
+
+    def take(self, batch: pa.RecordBatch) -> None:
+        ranks = batch.column("rank").to_numpy()
+        caps = int(np.searchsorted(ranks, 0))
+        if caps:
+            for name in batch.column("id")[:caps].to_pylist():
+                self.names.append(name)
+                self.code[name] = len(self.names)
+            self.left = np.concatenate([self.left, batch.column("left")[:caps].to_numpy(zero_copy_only=False).astype(np.int64)])
+            self.at_start = self.left.copy()
+            self.gone = np.where(self.left == GONE, -2, -1)
+        if caps == batch.num_rows or self.full:
+            return
+        rows = batch.slice(caps)
+        lists = rows.column("caps")
+        width = len(lists[0])
+        codes = self._codes(lists.flatten()).reshape(rows.num_rows, width)
+        # every facility draws on the pool, in ticks, as its last cap
+        pool = np.full((len(codes), 1), self.code.get(POOL, 0), np.int64)
+        codes = np.concatenate([codes, pool], axis=1)
+        wanted, units = rows.column("wanted").to_numpy(), rows.column("units").to_numpy()
+        for a in range(0, len(codes), BLOCK_ROWS):
+            b = a + BLOCK_ROWS
+            self._block(ranks[caps:][a:b], wanted[a:b], units[a:b], codes[a:b])
+            if self.full:
+                return
+
+    def _block(self, ranks: np.ndarray, wanted: np.ndarray, units: np.ndarray, codes: np.ndarray) -> None:
+        live = (self.gone[codes] == -1).all(axis=1)
+        ranks, wanted, units, codes = ranks[live], wanted[live], units[live], codes[live]
+        draws = np.repeat(units[:, None], codes.shape[1], axis=1)
+        draws[:, -1] = wanted
+        sums = np.zeros(len(self.left), np.int64)
+        np.add.at(sums, codes.ravel(), draws.ravel())
+        sums[0] = 0
+        if (self.left - sums > 0)[np.unique(codes)].all():
+            self.left -= sums
             return
-        for i, left, _ in caps:
-            self.left.setdefault(i, left)
-        drawn = {i: draw for i, _, draw in caps}
-        if any(self.left[i] - draw <= 0 for i, draw in drawn.items()):
-            drawn = self._settle(rank, wanted, list(drawn))
-        for i, draw in drawn.items():
-            self.left[i] -= draw
-            self.used[i] = self.used.get(i, 0) + draw
-
-    def _settle(self, rank: int, wanted: int, ids: list[str]) -> dict[str, int]:
+        for rank, own, drawn, want in zip(ranks.tolist(), codes.tolist(), draws.tolist(), wanted.tolist()):
+            if any(self.gone[c] != -1 for c in own):
+                continue
+            if any(c and self.left[c] - d <= 0 for c, d in zip(own, drawn)):
+                drawn = self._settle(rank, want, own)
+            for c, d in zip(own, drawn):
+                if c:
+                    self.left[c] -= d
+            if self.full:
+                return
+
+    def _settle(self, rank: int, wanted: int, own: list[int]) -> list[int]:
         """Let the facility take what its tightest cap leaves, rounded to the tick, and note what it used up."""
-        size = self.pool
-        ticks = {i: self.left[i] if i == POOL else (2 * size * self.left[i] + SHARE_UNITS) // (2 * SHARE_UNITS) for i in ids}
-        take = min(wanted, *ticks.values())
+        size, left = self.pool, [int(self.left[c]) for c in own]
+        ticks = [(2 * size * n + SHARE_UNITS) // (2 * SHARE_UNITS) for n in left[:-1]] + left[-1:]
+        take = min(wanted, *ticks)
         units = math.floor(take / TICKS * SHARE_UNITS / (size / TICKS) + 0.5)
-        for i in ids:
-            if i == POOL:
-                self.full = self.left[i] - take <= 0
-            elif self.left[i] - units <= 0 or ticks[i] <= take:
-                self.used_up[i] = rank
-        self.settled.append((rank, take, units, self.full))
-        return {i: take if i == POOL else units for i in ids}
+        for c, n, most in zip(own[:-1], left, ticks):
+            if c and (n - units <= 0 or most <= take):
+                self.gone[c] = rank
+        self.full = bool(own[-1]) and left[-1] - take <= 0
+        self.settled.append((rank, take, self.full))
+        return [units] * (len(own) - 1) + [take]
+
+    def used_up(self) -> list[tuple[str, int]]:
+        return [(name, int(self.gone[c])) for c, name in enumerate(self.names, 1) if self.gone[c] >= 0]
+
+    def used(self) -> list[tuple[str, int]]:
+        return [(name, int(self.at_start[c] - self.left[c])) for c, name in enumerate(self.names, 1) if self.at_start[c] != self.left[c]]
 
 
 # --- the fill -------------------------------------------------------------
@@ -327,6 +399,9 @@ def bucket_rows_for(rows: int) -> int:
     return max(MIN_BUCKET_ROWS, min(MAX_BUCKET_ROWS, -(-rows // TARGET_BUCKETS)))
 
 
+ORDER_COLUMNS = ("reg_capital_ratio",)
+
+
 def default_order() -> list[Column]:
     """Most regulatory capital per exposure first, facility key as tie-breaker."""
     key = F.concat_ws("_", *GRAIN)
@@ -335,27 +410,45 @@ def default_order() -> list[Column]:
 
 @dataclass
 class Filled:
-    """Facilities with their allocation, plus what the trace needs."""
+    """A fill: the decisions by facility, the facilities they are about, and the size of the pool."""
 
-    rows: DataFrame
+    rows: DataFrame  # narrow: key, rank, amounts, limits
+    facilities: DataFrame
     pool: Decimal
-    events: Events
+    events: Events | None = None
+
+    def save(self, folder: str) -> None:
+        """Write the fill, for reports of later runs; ``load_fill`` reads it."""
+        self.rows.write.parquet(f"{folder}/rows")
+        self.facilities.write.parquet(f"{folder}/facilities")
+        self.rows.sparkSession.range(1).select(F.lit(self.pool).cast(MONEY).alias("pool")).write.parquet(f"{folder}/pool")
+
+
+def load_fill(spark: SparkSession, folder: str) -> Filled:
+    pool = spark.read.parquet(f"{folder}/pool").first()["pool"]
+    return Filled(spark.read.parquet(f"{folder}/rows"), spark.read.parquet(f"{folder}/facilities"), pool)
 
 
 def fill_pool(facilities: DataFrame, pool_size: Decimal, order: list[Column] | None = None,
-              bucket_rows: int | None = None, book: RuleBook | None = None) -> Filled:
-    """Allocate the pool over ``facilities`` (with ``eligible_amount`` and ``is_candidate``).
+              bucket_rows: int | None = None, book: RuleBook | None = None, order_columns: tuple[str, ...] | None = None) -> Filled:
+    """Allocate the pool over ``facilities`` (with ``eligible_amount`` and ``is_candidate``), one row a facility key.
 
     Adds the rank, the amount taken, running totals, and why a candidate was
     left out. Rows after the one that filled the pool keep initial values.
     The limits come from ``book``, added after the sort so that it moves narrow
-    rows, or are already there as ``limits``.
+    rows, or are already there as ``limits``. ``order`` reads ``order_columns``; only these, the key, the
+    amount and the columns of the limits are sorted and written, and the other columns are joined back by key.
     """
-    placed, count = ranked(facilities, order or default_order())
+    facilities = materialize(facilities, "facilities")
+    if order is None:
+        order, order_columns = default_order(), ORDER_COLUMNS
+    limited = [s.columns[-1] for s in _tracked(book, ALWAYS_TRACKED)] if book is not None else ["limits"]
+    needed = [*GRAIN, *(order_columns or facilities.columns), "eligible_amount", "is_candidate", *limited]
+    placed, count = ranked(facilities.select(*dict.fromkeys(needed)), order)
     if book is not None:
         placed = with_pool_limits(placed, book)
     size = bucket_rows or bucket_rows_for(count)
-    placed = placed.withColumn("bucket", F.floor((F.col("rank") - 1) / size).cast("long"))
+    placed = placed.select(*GRAIN, "rank", "eligible_amount", "is_candidate", "limits", F.floor((F.col("rank") - 1) / size).cast("long").alias("bucket"))
     types = limit_types(book) if book is not None else _types_of(placed)
     slots = _slots(types)
     is_candidate = F.col("is_candidate") == 1
@@ -363,15 +456,18 @@ def fill_pool(facilities: DataFrame, pool_size: Decimal, order: list[Column] | N
     candidates = placed.filter(is_candidate & open_caps).select(
         "rank", "bucket", F.col("eligible_amount").alias("amount"), "limits")
     events = find_events(materialize(demand(candidates, pool_size, types), "demand"), pool_size,
-                         (count - 1) // size if count else -1)
+                         (count - 1) // size if count else -1, types, size)
 
+    # which cap was used up before a row, and what a row was settled at, are joined from the events' tables
+    names = [f"_since_{i}" for i in range(len(slots))]
+    placed = lookup_many(placed, events.used_up, events.count, {n: _cap_id(kind, value) for n, (kind, value, _) in zip(names, slots)})
+    placed = placed.join(events.settled, "rank", "left")
     # the last limit in sheet order that rejects the row
-    spent = [F.when(_spent(events, kind, value, allowed), F.struct(
+    spent = [F.when((allowed <= 0) | F.coalesce(F.col(n) < F.col("rank"), F.lit(False)), F.struct(
         F.lit(kind).alias("limit_type"), value.alias("limit_value"), allowed.alias("allowed_units")))
-        for kind, value, allowed in slots]
-    # reduced to scalars here, so that the running totals do not shuffle the arrays
+        for n, (kind, value, allowed) in zip(names, slots)]
     placed = placed.withColumns({
-        "settled": _settled_amount(events),
+        "settled": (F.col("taken").cast("decimal(28,0)") / TICKS).cast(MONEY),
         "last_spent": F.coalesce(*reversed(spent)),
         "tightest_units": least_of([allowed for _, _, allowed in slots], F.lit(SHARE_UNITS).cast("long")),
     })
@@ -380,17 +476,19 @@ def fill_pool(facilities: DataFrame, pool_size: Decimal, order: list[Column] | N
     visited = F.lit(True) if events.full_at is None else F.col("rank") <= events.full_at
     placed = placed.withColumn("visited", visited).withColumn(
         "allocated_amount", F.when(F.col("visited"), taken).otherwise(F.lit(0).cast(MONEY)))
+    placed = placed.select(*GRAIN, "rank", "bucket", "limits", "visited", "allocated_amount", "last_spent", "tightest_units")
     placed = running_totals(placed, [], "bucket", "rank", {
         "filled": F.col("allocated_amount"),
         "selected_so_far": F.when(F.col("allocated_amount") > 0, 1).otherwise(0),
     })
     # allocation, trace and ledger all start from here
-    return Filled(materialize(placed, "filled"), pool_size, events)
+    return Filled(materialize(placed, "filled"), facilities.drop("limits"), pool_size, events)
 
 
 def allocation(filled: Filled) -> DataFrame:
     """One row per facility: selection, amounts, running shares, exclusion reason."""
-    rows, size = filled.rows, float(filled.pool)
+    rows = filled.facilities.join(filled.rows.drop("limits"), GRAIN)
+    size = float(filled.pool)
     taken = F.col("allocated_amount")
     selected, visited = taken > 0, F.col("visited")
     before = (F.col("filled") - taken).cast("double")
@@ -417,7 +515,7 @@ def allocation(filled: Filled) -> DataFrame:
         "exclusion_detail": F.when(
             rejected, F.concat_ws("-", last_spent["limit_type"], last_spent["limit_value"]),
         ).otherwise(F.col("exclusion_detail")),
-    }).drop("settled", "last_spent", "tightest_units", "filled", "selected_so_far", "limits")
+    }).drop("last_spent", "tightest_units", "filled", "selected_so_far")
 
 
 def allocation_trace(filled: Filled) -> DataFrame:

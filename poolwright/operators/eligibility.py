@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from poolwright.functions.exprs import least_of
-from poolwright.operators.limits import DATE_LIMITS, RuleBook, matched_share
+from poolwright.operators.limits import DATE_LIMITS, RuleBook, matched_share, with_shares
 
 MONEY = "decimal(20,4)"
 SHARE = "decimal(9,7)"
@@ -20,17 +20,16 @@ def base_amount(ccf: float, sellable_share: float) -> Column:
 
 
 def apply_row_limits(facilities: DataFrame, book: RuleBook) -> DataFrame:
-    """One ``limit_<type>`` share per row limit, all in the same pass over the facilities.
+    """One ``limit_<type>`` share per row limit, all from one lookup in the rule index.
 
     ``limits_applied`` lists the limits that had a rule for the row,
     ``exclusion_limits`` those whose share is 0, both in sheet order.
     """
     specs = book.row_limits()
-    out = facilities
+    out = with_shares(facilities, book, specs)
     shares, matched = {}, []
     for spec in specs:
-        name = f"limit_{spec.name}"
-        out, match = matched_share(out, book, spec, f"_{name}")
+        name, match = f"limit_{spec.name}", matched_share(book, spec)
         column = F.col(spec.columns[-1])
         if spec.name in DATE_LIMITS or spec.lone:
             share = F.coalesce(match, F.lit(1.0))

@@ -11,9 +11,13 @@ from pyspark.sql import functions as F
 from poolwright.functions import codes
 from poolwright.functions.exprs import least_of, lookup
 from poolwright.operators.dedupe import keep_first
+from poolwright.operators.lookups import lookup_many
 from poolwright.session import materialize
 
 ANY = "total"
+SEP = "\x1f"
+#: Forms of a rule's key: the value of a single column, both columns, one of them.
+VALUE, BOTH, FIRST, SECOND, NONE = "value", "both", "first", "second", "none"
 SCOPES = {"individual": "row", "portfolio": "pool"}
 DATE_LIMITS = ("maturity_min", "maturity_max")
 SHARE_UNITS = 10_000_000  # shares are kept to 7 decimals
@@ -114,8 +118,9 @@ class RuleBook:
     """Resolved rules plus their small catalogue (one entry per limit type)."""
 
     resolved: DataFrame
-    # one share per limit type and rule key
-    rules: DataFrame
+    # one share (``value``) per limit type, form and key (``id``), of all rules; and its rows
+    index: DataFrame
+    index_rows: int
     specs: list[LimitSpec]
     pool_size: Decimal
     limit_date: object
@@ -132,14 +137,13 @@ def rule_book(resolved: DataFrame) -> RuleBook:
     """Catalogue of one list: header values and the limit types to apply.
 
     One row per limit type reaches the driver, date limits with their day
-    counts. The rules stay in the cluster, whatever their number: repeated ones
-    are reduced to the strictest share and written once, so joins with them
-    know their size and Spark broadcasts them while they are small.
+    counts. The rules stay in the cluster, whatever their number: they become one index of
+    all limit types and forms of keys, repeated ones reduced to the strictest share, which is written once and counted.
     """
     c1, c2 = F.col("concept1_value"), F.col("concept2_value")
     value = F.when(F.col("complex_limit") == 1, c2).otherwise(c1)
     any1, any2 = F.coalesce(c1 == ANY, F.lit(False)), F.coalesce(c2 == ANY, F.lit(False))
-    form = F.when(any1 & any2, "none").when(any1, "second").when(any2, "first").otherwise("both")
+    form = F.when(any1 & any2, NONE).when(any1, SECOND).when(any2, FIRST).otherwise(BOTH)
     day = F.when(F.col("limit_type").isin(*DATE_LIMITS), F.struct(
         c1.cast("double").cast("int").alias("days"), F.col("limit_value").alias("share")))
     catalogue = (
@@ -156,7 +160,12 @@ def rule_book(resolved: DataFrame) -> RuleBook:
         )
         .collect()
     )
-    rules = resolved.groupBy("limit_type", "concept1_value", "concept2_value").agg(F.min("limit_value").alias("limit_value"))
+    keys = F.array(
+        rule_id(F.col("limit_type"), VALUE, value),
+        F.when(form == BOTH, rule_id(F.col("limit_type"), BOTH, c1, c2)).when(form == FIRST, rule_id(F.col("limit_type"), FIRST, c1))
+        .when(form == SECOND, rule_id(F.col("limit_type"), SECOND, c2)))
+    index = resolved.filter(~F.col("limit_type").isin(*DATE_LIMITS)).select(F.explode(keys).alias("id"), "limit_value").filter("id is not null")
+    index = materialize(index.groupBy("id").agg(F.min("limit_value").alias("value")), "rules")
     specs = [
         LimitSpec(r.limit_type, r.target.split("/"), r.scope, r.basis, float(r.null_share or 0),
                   r.place if r.place is not None else 10_000, r.rules, bool(r.complex), r.total, r["values"], r["keys"],
@@ -167,12 +176,19 @@ def rule_book(resolved: DataFrame) -> RuleBook:
     specs.sort(key=lambda s: (s.order, s.name))
     values = {r.limit_type: r.value for r in catalogue}
     return RuleBook(
-        resolved, materialize(rules, "rules"), specs, Decimal(str(values["portfolio_size"])).quantize(Decimal("0.0001")),
+        resolved, index, index.count(), specs, Decimal(str(values["portfolio_size"])).quantize(Decimal("0.0001")),
         max(r.limit_date for r in catalogue if r.limit_date is not None),
         {name: values[name] for name in ("ccf", "risk_retention") if name in values},
     )
 
 
+def rule_id(limit_type: Column | str, form: str, *values: Column) -> Column:
+    """Key of the rule index; NULL where a value is."""
+    kind = F.lit(limit_type) if isinstance(limit_type, str) else limit_type
+    parts = [p for v in values for p in (F.lit(SEP), v.cast("string"))]
+    return F.concat(kind, F.lit(SEP + form), *parts)
+
+
 def date_bound(limit_date, days: int) -> Column:
     return F.date_add(F.lit(limit_date).cast("date"), F.lit(days))
 
@@ -198,39 +214,40 @@ def date_share(spec: LimitSpec, limit_date) -> Column:
     return F.when(day.isNull(), F.lit(spec.null_share)).otherwise(least_of(shares, F.lit(1.0)))
 
 
-def _joined_share(df: DataFrame, rules: DataFrame, keys: dict[str, str], name: str) -> DataFrame:
-    """Left join one share per key; Spark broadcasts the rules if they are small."""
-    text_keys = {f"_{rule_col}": F.col(df_col).cast("string") for rule_col, df_col in keys.items()}
-    best = rules.groupBy(*keys).agg(F.min("limit_value").alias(name)).withColumnsRenamed(
-        {rule_col: f"_{rule_col}" for rule_col in keys})
-    joined = df.withColumns(text_keys).join(best, list(text_keys), "left")
-    return joined.drop(*text_keys)
+def _column(name: str, form: str) -> str:
+    return f"_{name}_{form}"
+
+
+def index_keys(spec: LimitSpec) -> dict[str, Column]:
+    """Lookups in the rule index that a limit needs, by the column they fill."""
+    if spec.name in DATE_LIMITS or (len(spec.columns) == 1 and spec.lone):
+        return {}
+    values = [F.col(c) for c in spec.columns]
+    if len(values) == 1:
+        wanted = {VALUE: values}
+    else:
+        wanted = {form: part for form, part in ((BOTH, values), (FIRST, values[:1]), (SECOND, values[1:])) if form in spec.forms}
+    return {_column(spec.name, form): rule_id(spec.name, form, *part) for form, part in wanted.items()}
+
+
+def with_shares(df: DataFrame, book: RuleBook, specs: list[LimitSpec]) -> DataFrame:
+    """All lookups of all limits at once; ``matched_share`` reads the added columns."""
+    keys = {name: key for spec in specs for name, key in index_keys(spec).items()}
+    return lookup_many(df, book.index, book.index_rows, keys)
 
 
-def matched_share(df: DataFrame, book: RuleBook, spec: LimitSpec, name: str) -> tuple[DataFrame, Column]:
-    """The share of the rule that matches each row, NULL where none does.
+def matched_share(book: RuleBook, spec: LimitSpec) -> Column:
+    """The share of the rule that matches a row of ``with_shares``, NULL where none does.
 
     One target column: the rule of its value; a lone ``total`` rule is a
     constant. Two columns: both values, with ``total`` as a wildcard on either
     side; the strictest match counts.
     """
     if spec.name in DATE_LIMITS:
-        return df, date_share(spec, book.limit_date)
-    rules = book.rules.filter(F.col("limit_type") == spec.name)
-    if len(spec.columns) == 1:
-        if spec.lone:
-            return df, F.lit(spec.total)
-        rule_col = "concept2_value" if spec.complex else "concept1_value"
-        return _joined_share(df, rules, {rule_col: spec.columns[0]}, name), F.col(name)
-    first, second = spec.columns
-    any1, any2 = F.col("concept1_value") == ANY, F.col("concept2_value") == ANY
-    matches = []
-    for form, which, keys in (
-            ("both", ~any1 & ~any2, {"concept1_value": first, "concept2_value": second}),
-            ("first", ~any1 & any2, {"concept1_value": first}), ("second", any1 & ~any2, {"concept2_value": second})):
-        if form in spec.forms:
-            df = _joined_share(df, rules.filter(which), keys, f"{name}_{form}")
-            matches.append(F.col(f"{name}_{form}"))
-    if "none" in spec.forms:
+        return date_share(spec, book.limit_date)
+    if len(spec.columns) == 1 and spec.lone:
+        return F.lit(spec.total)
+    matches = [F.col(name) for name in index_keys(spec)]
+    if len(spec.columns) > 1 and NONE in spec.forms:
         matches.append(F.lit(spec.total))
-    return df, least_of(matches, F.lit(None).cast("double"))
+    return least_of(matches, F.lit(None).cast("double"))

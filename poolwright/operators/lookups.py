@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from poolwright.functions import codes
 
-#: Slices of the axis that bands are joined by.
-BAND_SLICES = 64
+#: Rows of an index that may be broadcast, at about a hundred bytes each.
+INDEX_ROWS = 200_000
 
 
 def rename_known(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
@@ -32,27 +32,54 @@ def convert_currency(df: DataFrame, fx: DataFrame, amounts: dict[str, str],
     return joined.select(*passed, *converted, "fx")
 
 
+def lookup_many(df: DataFrame, index: DataFrame, rows: int, keys: dict[str, Column]) -> DataFrame:
+    """Several values of one index (``id``, ``value``; one row an id), a column for each of ``keys``; NULL where nothing is found.
+
+    ``rows`` is the counted size of the index. A small one is broadcast once, for all lookups together,
+    and ``df`` stays in place. A larger one is joined once: the keys of all lookups are unpivoted, joined,
+    and pivoted back by the list of keys, so the shuffles do not follow the number of lookups.
+    """
+    if not keys:
+        return df
+    if rows <= INDEX_ROWS:
+        for name, key in keys.items():
+            side = index.select(F.col("id").alias(f"_id_{name}"), F.col("value").alias(name))
+            df = df.join(F.broadcast(side), key == F.col(f"_id_{name}"), "left").drop(f"_id_{name}")
+        return df
+    keyed = df.withColumn("_keys", F.array(*keys.values()))
+    each = keyed.select("_keys", F.posexplode("_keys").alias("_place", "id")).filter("id is not null")
+    found = each.join(index.select("id", "value"), "id").groupBy("_keys").agg(
+        *[F.max(F.when(F.col("_place") == i, F.col("value"))).alias(name) for i, name in enumerate(keys)])
+    return keyed.join(found, "_keys", "left").drop("_keys")
+
+
 def range_band(df: DataFrame, bands: DataFrame, value: Column, columns: list[str]) -> DataFrame:
-    """Left join into half-open bands ``[band_from, band_to)``.
+    """Left join into half-open bands ``[band_from, band_to)``, which may overlap.
 
-    An equality join on the slice of the value axis, ``BAND_SLICES`` between the
-    lowest and the highest edge, with the band's edges as condition: Spark may
-    broadcast the bands or shuffle both sides, whatever their size. A band is in
-    every slice it touches; a value outside all bands has no slice.
+    The edges of all bands cut the axis into elementary intervals. A value finds its interval by search
+    in the sorted edges, and rows and bands meet in an equality join on the interval's number, which Spark may broadcast or
+    shuffle; the bands of an interval hold all its values, so nothing is compared twice. Bands of
+    any widths, growing ones too, get as many intervals as they have edges. ``bands`` is a scale: its sorted
+    edges, 16 bytes a band, travel as one row.
     """
     edges = bands.select("band_from", "band_to", *columns).filter("band_from < band_to")
-    ends = edges.agg(F.min("band_from").alias("low"), F.max("band_to").alias("high")).first()
-    low, high = (0.0, 1.0) if ends["low"] is None else (float(ends["low"]), float(ends["high"]))
-    width = (high - low) / BAND_SLICES
-
-    def slice_of(x: Column) -> Column:
-        # beyond the edges there is no band, so one slice on either side will do
-        return F.greatest(F.lit(-1), F.least(F.lit(BAND_SLICES), F.floor((x.cast("double") - low) / width))).cast("int")
-
-    sliced = edges.withColumn("_slice", F.explode(F.sequence(slice_of(F.col("band_from")), slice_of(F.col("band_to")))))
-    keyed = df.withColumns({"_value": value, "_at": slice_of(value)})
-    inside = (F.col("_at") == F.col("_slice")) & (F.col("band_from") <= F.col("_value")) & (F.col("_value") < F.col("band_to"))
-    return keyed.join(sliced, inside, "left").drop("band_from", "band_to", "_slice", "_value", "_at")
+    cuts = edges.select(F.explode(F.array(F.col("band_from").cast("double"), F.col("band_to").cast("double"))).alias("cut")).agg(F.sort_array(F.collect_set("cut")).alias("_cuts"))
+    placed = edges.join(F.broadcast(cuts)).select(
+        "*", F.explode(F.sequence(interval_of(F.col("_cuts"), F.col("band_from")), interval_of(F.col("_cuts"), F.col("band_to")) - 1)).alias("_interval"))
+    keyed = df.join(F.broadcast(cuts)).withColumn("_at", interval_of(F.col("_cuts"), value)).drop("_cuts")
+    return keyed.join(placed.select(*columns, F.col("_interval").alias("_at")), "_at", "left").drop("_at")
+
+
+def interval_of(cuts: Column, value: Column) -> Column:
+    """Number of the sorted cuts that are not above the value (0 below all, NULL for NULL), by halving."""
+    steps = F.sequence(F.ceil(F.log2(F.size(cuts) + 1)).cast("int"), F.lit(0), F.lit(-1))
+    x = value.cast("double")
+
+    def halve(at: Column, step: Column) -> Column:
+        tried = at + F.call_function("shiftleft", F.lit(1), step)
+        return F.when(F.coalesce(F.get(cuts, tried - 1) <= x, F.lit(False)), tried).otherwise(at)
+
+    return F.when(x.isNotNull(), F.aggregate(steps, F.lit(0), halve))
 
 
 def role_lookup(df: DataFrame, dimension: DataFrame, key: str, value: str,

@@ -18,11 +18,12 @@ SPAN = 1024
 def ranked(df: DataFrame, order: list[Column], label: str = "ranked") -> tuple[DataFrame, int]:
     """``df`` with its global position ``rank`` (from 1), and the row count.
 
-    The sort is written once, so the range partitions are fixed; a row's rank
+    ``df`` is the key and what the order needs, little more: its rows are written before the sort, which reads them
+    twice (for the range edges, then to sort), and after it. The sort is written once, so the range partitions are fixed; a row's rank
     is its place in its partition plus the sizes of the partitions before it.
     Only the partition sizes reach the driver.
     """
-    placed = df.orderBy(*order).withColumns({
+    placed = materialize(df, f"{label}-input").orderBy(*order).withColumns({
         "_part": F.spark_partition_id(),
         "_place": F.monotonically_increasing_id().bitwiseAND(F.lit(LOW_BITS)),
     })

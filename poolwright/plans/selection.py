@@ -14,7 +14,7 @@ from poolwright.operators import allocation as A
 from poolwright.operators import eligibility, limits, report
 from poolwright.operators.dedupe import duplicate_keys
 from poolwright.operators.limits import RuleBook
-from poolwright.session import literal_rows
+from poolwright.session import literal_rows, materialize
 from poolwright.sinks.writers import stamp, write_partitioned
 from poolwright.sources.snapshots import scan_latest
 
@@ -31,9 +31,10 @@ def product_facilities(facilities: DataFrame, portfolio_type: str) -> DataFrame:
 def prepare(facilities: DataFrame, sheet: DataFrame, relation: DataFrame) -> tuple[DataFrame, RuleBook]:
     """Facilities of the sheet's product with their base amount, and its rule book.
 
-    ``sheet`` is one list, already reduced to its active rules.
+    ``sheet`` is one list, already reduced to its active rules. They are written once, as
+    the header, the catalogue and the rule index are each read from them at once.
     """
-    rules = limits.without_constants(sheet)
+    rules = materialize(limits.without_constants(sheet), "list")
     portfolio_type = portfolio_type_of(limits.portfolio_header(rules))
     book = limits.rule_book(limits.resolve_limits(rules, relation, portfolio_type))
     sellable = book.shares["risk_retention"]

@@ -255,8 +255,7 @@ SELECT {sql_columns(UNIVERSE)} FROM (SELECT DISTINCT limit_type, limit_value, al
    allowed * CAST(size AS DOUBLE) / {UNITS}::DOUBLE AS cap_amount FROM pool_long, pool)""")
 def limit_universe(t):
     facilities, book = setup(t)
-    limited = A.with_pool_limits(facilities, book)
-    return project(A.limit_universe(limited, book.pool_size), UNIVERSE)
+    return project(A.universe_of(facilities, book), UNIVERSE)
 
 
 @query("maturity_rule", f"""
@@ -273,7 +272,7 @@ def maturity_rule(t):
 @query("ordered_candidates", f"SELECT {sql_columns(f'facility_key i:place i:is_candidate')} FROM (SELECT *, facility_id || '_' || tranche_id || '_' || branch_id AS facility_key FROM placed)")
 def ordered_candidates(t):
     facilities, book = setup(t)
-    placed, _ = ranked(selection.eligible(facilities, book), A.default_order())
+    placed, _ = ranked(selection.eligible(facilities, book).select(*GRAIN, *A.ORDER_COLUMNS, "is_candidate"), A.default_order())
     placed = placed.withColumns({"facility_key": grain_key(*GRAIN), "place": F.col("rank")})
     return project(placed, "facility_key i:place i:is_candidate")
 

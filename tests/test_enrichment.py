@@ -1,3 +1,4 @@
+import pytest
 from datetime import date
 from decimal import Decimal as D
 
@@ -129,3 +130,41 @@ def test_bands_of_any_number_equal_a_comparison_with_each(spark):
         out = lookups.range_band(df, spark.createDataFrame(bands, CONTRACTS["bands"]), F.col("v"), ["short_letter"])
         wanted = {(i, next((s for lo, hi, s, _ in bands if v is not None and lo <= v < hi), None)) for i, v in values}
         assert {(r.i, r.short_letter) for r in out.collect()} == wanted and out.count() == len(values)
+
+
+def test_overlapping_and_growing_bands(spark):
+    import random
+
+    rng = random.Random(2)
+    # a scale of growing widths, as of default probabilities, and some bands across several of them
+    bands = [(1e-6 * 1.6**i, 1e-6 * 1.6 ** (i + 1), f"g{i}", "l") for i in range(40)] + [(1e-5, 1e-2, "wide", "l"), (0.3, 0.3, "empty", "l"), (0.5, 0.2, "turned", "l")]
+    values = [(i, 1e-6 * 1.6 ** rng.uniform(-2, 42)) for i in range(2000)] + [(2000, None), (2001, float("nan"))]
+    df, table = spark.createDataFrame(values, "i int, v double"), spark.createDataFrame(bands, CONTRACTS["bands"])
+    got = {(r.i, r.short_letter) for r in lookups.range_band(df, table, F.col("v"), ["short_letter"]).collect()}
+    wanted = set()
+    for i, v in values:
+        found = [s for lo, hi, s, _ in bands if v is not None and lo <= v < hi]
+        wanted |= {(i, s) for s in found} or {(i, None)}
+    assert got == wanted
+    # no interval holds more than a tenth of the rows
+    cuts = F.array(*[F.lit(x) for x in sorted({e for lo, hi, *_ in bands if lo < hi for e in (lo, hi)})])
+    sizes = [r["count"] for r in df.groupBy(lookups.interval_of(cuts, F.col("v"))).count().collect()]
+    assert max(sizes) < len(values) / 10
+
+
+@pytest.mark.parametrize("most", [1000, 0])
+def test_many_lookups_in_one_index(spark, monkeypatch, most):
+    """A small index is broadcast once for all lookups, a large one is joined once: the same rows."""
+    monkeypatch.setattr(lookups, "INDEX_ROWS", most)
+    index = spark.createDataFrame([(f"k{i}", i) for i in range(50)], "id string, value int")
+    rows = [(f"k{i % 60}" if i % 7 else None, f"k{i % 11}", i % 3) for i in range(300)] * 2
+    df = spark.createDataFrame(rows, "a string, b string, c int")
+    keys = {"x": F.col("a"), "y": F.col("b"), "z": F.concat("b", F.lit("?")), "w": F.concat(F.lit("k"), F.col("c").cast("string"))}
+    out = lookups.lookup_many(df, index, 50, keys)
+    held = {f"k{i}": i for i in range(50)}
+    wanted = [(a, b, c, held.get(a), held[b], None, c) for a, b, c in rows]
+    assert sorted(out.collect(), key=str) == sorted([type(out.first())(*w) for w in wanted], key=str)
+    for _ in range(3):  # more lookups, no more shuffles
+        keys |= {f"{k}{len(keys)}": v for k, v in keys.items()}
+    plan = lookups.lookup_many(df, index, 50, keys)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == (0 if most else 4)
