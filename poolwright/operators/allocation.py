@@ -78,10 +78,8 @@ def with_pool_limits(facilities: DataFrame, book: RuleBook, always: dict[str, st
     rule of the type, else 1. Limits with two concepts go by the second one.
     """
     specs = [_single(s) for s in _tracked(book, ALWAYS_TRACKED if always is None else always)]
-    out, items = with_shares(facilities, book, [s for s in specs if s.rules]), []
-    for spec in specs:
-        share = _share_or_total(matched_share(book, spec), spec) if spec.rules else F.lit(1.0)
-        items.append(F.struct(F.lit(spec.name).alias("limit_type"), _text(spec).alias("limit_value"), _allowed(share).alias("allowed_units")))
+    out = with_shares(facilities, book, [s for s in specs if s.rules])
+    items = [F.struct(F.lit(s.name).alias("limit_type"), _text(s).alias("limit_value"), _allowed(_pool_share(book, s)).alias("allowed_units")) for s in specs]
     return out.select(*facilities.columns, F.array(*items).alias("limits"))
 
 
@@ -93,8 +91,10 @@ def _allowed(share: Column) -> Column:
     return F.round(share * SHARE_UNITS).cast("long")
 
 
-def _share_or_total(share: Column, spec: LimitSpec) -> Column:
-    return F.coalesce(share, F.lit(1.0 if spec.total is None else spec.total))
+def _pool_share(book: RuleBook, spec: LimitSpec) -> Column:
+    if not spec.rules:
+        return F.lit(1.0)
+    return F.coalesce(matched_share(book, spec), F.lit(1.0 if spec.total is None else spec.total))
 
 
 def universe_of(facilities: DataFrame, book: RuleBook, always: dict[str, str] | None = None) -> DataFrame:
@@ -115,10 +115,6 @@ def universe_of(facilities: DataFrame, book: RuleBook, always: dict[str, str] |
     return _amounts(found.join(book.index, "id", "left").groupBy("limit_type", "limit_value").agg(F.max(units).alias("allowed_units")), book.pool_size)
 
 
-def limit_types(book: RuleBook, always: dict[str, str] | None = None) -> list[str]:
-    return [s.name for s in _tracked(book, ALWAYS_TRACKED if always is None else always)]
-
-
 def _types_of(limited: DataFrame) -> list[str]:
     row = limited.select("limits.limit_type").first()
     return list(row[0]) if row else []
@@ -159,14 +155,20 @@ def pool_ticks(pool: Decimal) -> int:
     return int(pool * TICKS)
 
 
+def _flat(limits: list[tuple[Column, Column]]) -> list[Column]:
+    """Value and allowed units of each limit as plain columns, which Parquet stores and reads one by one."""
+    return [c.alias(f"{name}_{i}") for i, pair in enumerate(limits) for name, c in zip(("value", "allowed"), pair)]
+
+
 def _slots(types: list[str]) -> list[tuple[str, Column, Column]]:
-    """Type, value and allowed units of each place of ``limits``.
+    """Type, value and allowed units of each followed limit: every row has the same types in the same order."""
+    return [(kind, F.col(f"value_{i}"), F.col(f"allowed_{i}")) for i, kind in enumerate(types)]
 
-    Every row lists the same types in the same order, so the places are plain
-    columns: no lambda runs per row, and Spark drops the array it does not need.
-    """
-    return [(kind, F.col("limits")[i]["limit_value"], F.col("limits")[i]["allowed_units"])
-            for i, kind in enumerate(types)]
+
+def _limit_rows(rows: DataFrame, types: list[str], *columns: str) -> DataFrame:
+    """A row per facility and limit, with ``columns`` of the facility."""
+    each = [F.struct(F.lit(kind).alias("limit_type"), value.alias("limit_value"), allowed.alias("allowed_units")) for kind, value, allowed in _slots(types)]
+    return rows.select(*columns, F.explode(F.array(*each)).alias("limit")).select(*columns, "limit.*")
 
 
 def _cap_id(kind: str, value: Column) -> Column:
@@ -209,6 +211,9 @@ def find_events(rows: DataFrame, pool: Decimal, last_bucket: int, types: list[st
     totals = sums.groupBy("id").agg(F.sum("draw").alias("draw"), F.first("room").alias("room"))
     binding = materialize(totals.filter(F.col("draw") >= F.col("room")).select("id", "room"), "binding")
     sums = sums.join(binding.select("id"), "id", "left_semi")
+    # limit types without such a cap need not reach the fold
+    kinds = {r[0] for r in binding.select(F.substring_index("id", SEP, 1)).distinct().collect()}
+    tight = [i for i, kind in enumerate(types) if kind in kinds]
     parts, width = [], max(1, FOLD_ROWS // bucket_rows)
     start, full_at, count = 0, None, 0
     while start <= last_bucket:
@@ -216,7 +221,7 @@ def find_events(rows: DataFrame, pool: Decimal, last_bucket: int, types: list[st
         if first is None:
             break
         stop = min(first + width, last_bucket + 1)
-        folded = _fold_slice(rows, sums, binding, parts, pool, first, stop)
+        folded = _fold_slice(rows, tight, sums, binding, parts, pool, first, stop)
         info = folded.agg(F.min(F.when(F.col("full"), F.col("rank"))).alias("full_at"), F.count(F.when(F.col("kind") == USED_UP, 1)).alias("n")).first()
         parts.append(folded)
         full_at, start, count = info["full_at"], stop, count + info["n"]
@@ -264,23 +269,24 @@ FOLDED = "kind string, rank long, id string, amount long, full boolean"
 SETTLED, USED_UP, USED = "settled", "used up", "used"
 
 
-def _fold_slice(rows: DataFrame, sums: DataFrame, binding: DataFrame, parts: list[DataFrame], pool: Decimal, first: int, stop: int) -> DataFrame:
+def _fold_slice(rows: DataFrame, tight: list[int], sums: DataFrame, binding: DataFrame, parts: list[DataFrame], pool: Decimal, first: int, stop: int) -> DataFrame:
     """Settle every event of the buckets ``first`` to ``stop - 1``; rows of ``FOLDED``.
 
     Whether a facility fits depends on all before it, so the slice, a bounded part of the order, is folded
     in a single task. What its caps have left comes first, then its rows by rank.
     """
-    inside = rows.filter(F.col("bucket").between(first, stop - 1))
+    ids = F.array(*[F.col("caps")[i]["id"] for i in tight]).cast("array<string>")
+    inside = rows.filter(F.col("bucket").between(first, stop - 1)).select("rank", "wanted", F.col("units").cast("long").alias("units"), ids.alias("caps"))
     used = sums.filter(F.col("bucket") < first).groupBy("id").agg(F.sum("draw").alias("used"))
     # caps of the slice, and the pool
-    own = inside.select(F.explode("caps.id").alias("id")).distinct().unionByName(rows.sparkSession.range(1).select(F.lit(POOL).alias("id")))
+    own = inside.select(F.explode("caps").alias("id")).distinct().unionByName(rows.sparkSession.range(1).select(F.lit(POOL).alias("id")))
     left = binding.join(own, "id", "left_semi").join(used, "id", "left").select("id", (F.col("room") - F.coalesce("used", F.lit(0))).cast("long").alias("left"))
     if parts:
         gone = _together(rows.sparkSession, parts).filter(F.col("kind") == USED_UP).select("id", F.lit(True).alias("gone"))
         left = left.join(gone, "id", "left").select("id", F.when(F.col("gone"), F.lit(GONE)).otherwise(F.col("left")).alias("left"))
     none = F.lit(None)
     stream = left.select(F.lit(-1).cast("long").alias("rank"), "id", "left", none.cast("long").alias("wanted"), none.cast("long").alias("units"), none.cast("array<string>").alias("caps"))
-    stream = stream.unionByName(inside.select("rank", none.cast("string").alias("id"), none.cast("long").alias("left"), "wanted", F.col("units").cast("long").alias("units"), F.col("caps.id").alias("caps")))
+    stream = stream.unionByName(inside.select("rank", none.cast("string").alias("id"), none.cast("long").alias("left"), "wanted", "units", "caps"))
     size = pool_ticks(pool)
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -412,21 +418,26 @@ def default_order() -> list[Column]:
 class Filled:
     """A fill: the decisions by facility, the facilities they are about, and the size of the pool."""
 
-    rows: DataFrame  # narrow: key, rank, amounts, limits
+    rows: DataFrame  # key, rank, amounts and running totals
+    draws: DataFrame  # key, rank, amount, value and allowed units of each limit
     facilities: DataFrame
     pool: Decimal
+    types: list[str]  # of the limits
     events: Events | None = None
 
     def save(self, folder: str) -> None:
         """Write the fill, for reports of later runs; ``load_fill`` reads it."""
         self.rows.write.parquet(f"{folder}/rows")
+        self.draws.write.parquet(f"{folder}/draws")
         self.facilities.write.parquet(f"{folder}/facilities")
-        self.rows.sparkSession.range(1).select(F.lit(self.pool).cast(MONEY).alias("pool")).write.parquet(f"{folder}/pool")
+        types = F.array(*[F.lit(t) for t in self.types]).cast("array<string>")
+        self.rows.sparkSession.range(1).select(F.lit(self.pool).cast(MONEY).alias("pool"), types.alias("types")).write.parquet(f"{folder}/pool")
 
 
 def load_fill(spark: SparkSession, folder: str) -> Filled:
-    pool = spark.read.parquet(f"{folder}/pool").first()["pool"]
-    return Filled(spark.read.parquet(f"{folder}/rows"), spark.read.parquet(f"{folder}/facilities"), pool)
+    of = spark.read.parquet(f"{folder}/pool").first()
+    rows, draws, facilities = (spark.read.parquet(f"{folder}/{name}") for name in ("rows", "draws", "facilities"))
+    return Filled(rows, draws, facilities, of["pool"], list(of["types"]))
 
 
 def fill_pool(facilities: DataFrame, pool_size: Decimal, order: list[Column] | None = None,
@@ -445,49 +456,52 @@ def fill_pool(facilities: DataFrame, pool_size: Decimal, order: list[Column] | N
     limited = [s.columns[-1] for s in _tracked(book, ALWAYS_TRACKED)] if book is not None else ["limits"]
     needed = [*GRAIN, *(order_columns or facilities.columns), "eligible_amount", "is_candidate", *limited]
     placed, count = ranked(facilities.select(*dict.fromkeys(needed)), order)
-    if book is not None:
-        placed = with_pool_limits(placed, book)
     size = bucket_rows or bucket_rows_for(count)
-    placed = placed.select(*GRAIN, "rank", "eligible_amount", "is_candidate", "limits", F.floor((F.col("rank") - 1) / size).cast("long").alias("bucket"))
-    types = limit_types(book) if book is not None else _types_of(placed)
+    if book is not None:
+        specs = [_single(s) for s in _tracked(book, ALWAYS_TRACKED)]
+        types = [s.name for s in specs]
+        placed, pairs = with_shares(placed, book, [s for s in specs if s.rules]), [(_text(s), _allowed(_pool_share(book, s))) for s in specs]
+    else:
+        types = _types_of(placed)
+        pairs = [(F.col("limits")[i]["limit_value"], F.col("limits")[i]["allowed_units"]) for i in range(len(types))]
+    bucket = F.floor((F.col("rank") - 1) / size).cast("long").alias("bucket")
+    placed = materialize(placed.select(*GRAIN, "rank", bucket, "eligible_amount", "is_candidate", *_flat(pairs)), "placed")
     slots = _slots(types)
     is_candidate = F.col("is_candidate") == 1
     open_caps = all_of([allowed > 0 for _, _, allowed in slots])
-    candidates = placed.filter(is_candidate & open_caps).select(
-        "rank", "bucket", F.col("eligible_amount").alias("amount"), "limits")
-    events = find_events(materialize(demand(candidates, pool_size, types), "demand"), pool_size,
-                         (count - 1) // size if count else -1, types, size)
+    candidates = placed.filter(is_candidate & open_caps).withColumn("amount", F.col("eligible_amount"))
+    events = find_events(demand(candidates, pool_size, types), pool_size, (count - 1) // size if count else -1, types, size)
 
     # which cap was used up before a row, and what a row was settled at, are joined from the events' tables
     names = [f"_since_{i}" for i in range(len(slots))]
-    placed = lookup_many(placed, events.used_up, events.count, {n: _cap_id(kind, value) for n, (kind, value, _) in zip(names, slots)})
-    placed = placed.join(events.settled, "rank", "left")
+    marked = lookup_many(placed, events.used_up, events.count, {n: _cap_id(kind, value) for n, (kind, value, _) in zip(names, slots)})
+    marked = marked.join(events.settled, "rank", "left")
     # the last limit in sheet order that rejects the row
     spent = [F.when((allowed <= 0) | F.coalesce(F.col(n) < F.col("rank"), F.lit(False)), F.struct(
         F.lit(kind).alias("limit_type"), value.alias("limit_value"), allowed.alias("allowed_units")))
         for n, (kind, value, allowed) in zip(names, slots)]
-    placed = placed.withColumns({
-        "settled": (F.col("taken").cast("decimal(28,0)") / TICKS).cast(MONEY),
-        "last_spent": F.coalesce(*reversed(spent)),
-        "tightest_units": least_of([allowed for _, _, allowed in slots], F.lit(SHARE_UNITS).cast("long")),
-    })
-    taken = F.when(~is_candidate, F.lit(0)).when(F.col("settled").isNotNull(), F.col("settled")).when(
-        F.col("last_spent").isNotNull(), F.lit(0)).otherwise(F.col("eligible_amount")).cast(MONEY)
+    settled = (F.col("taken").cast("decimal(28,0)") / TICKS).cast(MONEY)
     visited = F.lit(True) if events.full_at is None else F.col("rank") <= events.full_at
-    placed = placed.withColumn("visited", visited).withColumn(
-        "allocated_amount", F.when(F.col("visited"), taken).otherwise(F.lit(0).cast(MONEY)))
-    placed = placed.select(*GRAIN, "rank", "bucket", "limits", "visited", "allocated_amount", "last_spent", "tightest_units")
-    placed = running_totals(placed, [], "bucket", "rank", {
+    marked = marked.withColumns({"last_spent": F.coalesce(*reversed(spent)), "settled": settled, "visited": visited})
+    taken = F.when(~F.col("visited") | ~is_candidate, F.lit(0)).when(F.col("settled").isNotNull(), F.col("settled")).when(
+        F.col("last_spent").isNotNull(), F.lit(0)).otherwise(F.col("eligible_amount")).cast(MONEY)
+    decided = materialize(marked.select(
+        *GRAIN, "rank", "bucket", "visited", taken.alias("allocated_amount"), "last_spent",
+        least_of([allowed for _, _, allowed in slots], F.lit(SHARE_UNITS).cast("long")).alias("tightest_units"),
+        *_flat([(value, allowed) for _, value, allowed in slots])), "decided")
+    flat = [f"{name}_{i}" for i in range(len(types)) for name in ("value", "allowed")]
+    rows = running_totals(decided.drop(*flat), [], "bucket", "rank", {
         "filled": F.col("allocated_amount"),
         "selected_so_far": F.when(F.col("allocated_amount") > 0, 1).otherwise(0),
     })
-    # allocation, trace and ledger all start from here
-    return Filled(materialize(placed, "filled"), facilities.drop("limits"), pool_size, events)
+    # the allocation starts from the rows, trace and ledger from the draws
+    draws = decided.select(*GRAIN, "rank", "bucket", "visited", "allocated_amount", *flat)
+    return Filled(materialize(rows, "filled"), draws, facilities.drop("limits"), pool_size, types, events)
 
 
 def allocation(filled: Filled) -> DataFrame:
     """One row per facility: selection, amounts, running shares, exclusion reason."""
-    rows = filled.facilities.join(filled.rows.drop("limits"), GRAIN)
+    rows = filled.facilities.join(filled.rows, GRAIN)
     size = float(filled.pool)
     taken = F.col("allocated_amount")
     selected, visited = taken > 0, F.col("visited")
@@ -520,8 +534,7 @@ def allocation(filled: Filled) -> DataFrame:
 
 def allocation_trace(filled: Filled) -> DataFrame:
     """One row per facility and limit: allowed, used after the row, available before it."""
-    rows = filled.rows.select(*GRAIN, "rank", "bucket", "visited", "allocated_amount", F.explode("limits").alias("limit"))
-    flat = rows.select(*GRAIN, "rank", "bucket", "visited", "allocated_amount", "limit.*").withColumn(
+    flat = _limit_rows(filled.draws, filled.types, *GRAIN, "rank", "bucket", "visited", "allocated_amount").withColumn(
         "_draw_units", F.when(F.col("allocated_amount") > 0, _units(F.col("allocated_amount"), filled.pool)).otherwise(F.lit(0)))
     keys = ["limit_type", "limit_value"]
     totals = running_totals(flat, keys, "bucket", "rank", {
@@ -541,7 +554,7 @@ def allocation_trace(filled: Filled) -> DataFrame:
 
 def limit_ledger(filled: Filled, scenario: str) -> DataFrame:
     """Final state of every cap: allowed, used, cap amount, used amount."""
-    flat = filled.rows.select("allocated_amount", F.explode("limits").alias("limit")).select("allocated_amount", "limit.*")
+    flat = _limit_rows(filled.draws, filled.types, "allocated_amount")
     units = F.when(F.col("allocated_amount") > 0, _units(F.col("allocated_amount"), filled.pool)).otherwise(F.lit(0))
     share, pool = F.lit(float(SHARE_UNITS)), F.lit(float(filled.pool))
     return flat.groupBy("limit_type", "limit_value").agg(

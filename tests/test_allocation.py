@@ -118,7 +118,7 @@ def test_sorted_rows_are_narrow(spark, monkeypatch):
     pool, rows = case(12, 30)
     df = spark.createDataFrame(rows, SCHEMA).withColumns({"limit_a": F.lit(1.0), "limit_b": F.lit(2.0), "note": F.lit("x")})
     filled = A.fill_pool(df, pool, [F.asc("place")], order_columns=("place",))
-    for label in ("ranked", "ranked-input", "filled"):
+    for label in ("ranked", "ranked-input", "placed", "decided", "filled"):
         assert not {"limit_a", "limit_b", "note", "base_amount"} & set(written[label])
     assert {"limit_a", "note"} <= set(A.allocation(filled).columns)
 
