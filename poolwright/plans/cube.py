@@ -10,6 +10,7 @@ broadcasts those whose size it knows to be small.
 from __future__ import annotations
 
 from dataclasses import dataclass, fields
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -135,8 +136,10 @@ def wide_cube(s: CubeSources, value_date, run_dates: dict[str, str]) -> DataFram
                                  & F.col("movement_class").isin(codes.PAYMENT_CLASSES))
     df = lookups.existence_flag(df, settled, GRAIN, "sts_payment_condition")
     df = df.join(risk.sold_share(s.prior_deals), GRAIN, "left").fillna({"sold": "N"})
+    # whole cents, by exact decimals
     df = df.withColumn("sold_amount", F.coalesce(
-        F.col("sold_percent").cast("double") / 100 * F.col("reg_ead").cast("double"), F.lit(0.0)))
+        (F.col("sold_percent").cast("decimal(12,6)") * F.col("reg_ead").cast("decimal(20,4)") * F.lit(Decimal("0.01"))).cast("decimal(20,2)"),
+        F.lit(0).cast("decimal(20,2)")))
     df = df.join(G.guarantee_amounts(s.guarantee_assignments, s.guarantee_board, s.agency_customers, relations, s.fx),
                  GRAIN, "left")
     df = df.join(G.sustainability_flag(s.marks, relations), GRAIN, "left")

@@ -15,7 +15,7 @@ from poolwright.operators import eligibility, limits, report
 from poolwright.operators.dedupe import duplicate_keys
 from poolwright.operators.limits import RuleBook
 from poolwright.session import literal_rows, materialize
-from poolwright.sinks.writers import stamp, write_partitioned
+from poolwright.sinks.writers import publish
 from poolwright.sources.snapshots import scan_latest
 
 
@@ -64,16 +64,13 @@ class Selection:
     constants: DataFrame | None = None
 
 
-#: Tables of a run that are kept, each dated by ``closing_date``.
+#: Tables of a run that are kept; ``read_current`` and ``read_history`` read them back.
 OUTPUTS = ("limits", "facilities", "excluded", "portfolio", "ledger", "constants")
 
 
 def write_selection(chosen: Selection, folder: str, closing_date: str) -> None:
-    """Stamp the kept tables with the run date and write each under its name, replacing that date only."""
-    for name in OUTPUTS:
-        table = getattr(chosen, name)
-        if table is not None:
-            write_partitioned(stamp(table, closing_date=closing_date), f"{folder}/{name}", ["closing_date"])
+    """Publish the kept tables of a run under its date, all of them or none; that date is replaced."""
+    publish({name: getattr(chosen, name) for name in OUTPUTS if getattr(chosen, name) is not None}, folder, closing_date)
 
 
 def select_pool(facilities: DataFrame, sheet: DataFrame, relation: DataFrame, constants: DataFrame | None = None) -> Selection:

@@ -1,16 +1,18 @@
-"""Session helpers: durable work folder and plan cuts."""
+"""Session helpers: durable work folder, runs that own their scratch, and plan cuts."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar, Token
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _local_dir: tempfile.TemporaryDirectory | None = None
-_made: list[str] = []
 
 
 def work_folder(spark: SparkSession) -> str:
@@ -31,29 +33,80 @@ def work_folder(spark: SparkSession) -> str:
     return _local_dir.name
 
 
+class Run:
+    """Scratch of one run: what ``materialize`` writes while the run is entered lies in the run's own folder.
+
+    A run may be entered again and again, also between others; ``drop`` removes its folder and no other's.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.name = f"run-{uuid.uuid4().hex}"
+        self.tables = 0
+        self._entered: list[Token] = []
+
+    @property
+    def folder(self) -> str:
+        return f"{work_folder(self.spark)}/{self.name}"
+
+    def __enter__(self) -> Run:
+        self._entered.append(_current.set(self))
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        _current.reset(self._entered.pop())
+
+    def drop(self) -> int:
+        """Remove the run's tables; returns their number. DataFrames that read from them can no longer be evaluated."""
+        count, self.tables = self.tables, 0
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        return count
+
+
+_current: ContextVar[Run | None] = ContextVar("run", default=None)
+_process_run: Run | None = None
+
+
+def current_run(spark: SparkSession) -> Run:
+    """The run that is entered, or else the one of the process."""
+    global _process_run
+    entered = _current.get()
+    if entered is not None:
+        return entered
+    if _process_run is None or _process_run.spark is not spark:
+        _process_run = Run(spark)
+    return _process_run
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Run]:
+    """A run whose tables go at the end of the block, when its results have been written elsewhere."""
+    run = Run(spark)
+    try:
+        with run:
+            yield run
+    finally:
+        run.drop()
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet to the work folder and return a scan of it.
+    """Write ``df`` as Parquet to the current run's folder and return a scan of it.
 
     Cuts the plan where a long lineage would be re-run by several actions. The
     files survive the loss of executors, and later filters are pushed to them.
-    They are scratch: ``drop_scratch`` removes them once a run has its results.
+    They are scratch: they go with their run.
     """
-    path = f"{work_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    _made.append(path)
+    run = current_run(df.sparkSession)
+    path = f"{run.folder}/{label}-{uuid.uuid4().hex}"
+    run.tables += 1
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def drop_scratch(spark: SparkSession) -> int:
-    """Remove what ``materialize`` has written in this process; returns the number of folders.
-
-    For the end of a run: DataFrames that still read from there can no longer be evaluated.
-    """
-    count = len(_made)
-    while _made:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    return count
+    """Remove what has been written outside of any run of its own; returns the number of tables."""
+    return current_run(spark).drop() if _current.get() is None else 0
 
 
 def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:

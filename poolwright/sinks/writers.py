@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from poolwright.session import materialize
-
 
 def stamp(df: DataFrame, **values) -> DataFrame:
     """Constant columns such as the run date."""
@@ -56,11 +56,56 @@ def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
     df.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
 
 
-def write_history_and_current(df: DataFrame, history: str, current: str, closing_date: date | str) -> None:
-    """Dated copy under ``history`` and the same rows, dated by a column, under ``current``."""
-    cut = materialize(df, "history-cut")
-    cut.write.mode("overwrite").parquet(f"{history}/closing_date={closing_date}")
-    stamp(cut, closing_date=str(closing_date)).write.mode("overwrite").parquet(current)
+COMMITS = "run string, sequence long, entries array<struct<name: string, closing_date: string, path: string>>"
+
+
+def committed(spark: SparkSession, root: str) -> tuple[int, dict[tuple[str, str], str]]:
+    """Number of the last commit under ``root`` and the folder of every (table, date) it names; 0 and none at first."""
+    try:
+        commits = spark.read.schema(COMMITS).parquet(f"{root}/commits")
+        last = commits.orderBy(F.desc("sequence"), F.desc("run")).first()
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return 0, {}
+    return (0, {}) if last is None else (last["sequence"], {(e["name"], e["closing_date"]): e["path"] for e in last["entries"]})
+
+
+def publish(tables: dict[str, DataFrame], root: str, closing_date: date | str) -> None:
+    """Write dated tables that appear together or not at all.
+
+    Every table goes to a folder of its own run, which nothing names yet. When all of them are there, one row is added to the commits: the
+    folders of every table and date from now on, those of this date replaced. It is one file
+    that its writer renames into place, so readers (``read_current``, ``read_history``) see the old tables or the new ones. A run that
+    fails before leaves folders that no commit names. Runs of one ``root`` follow one another.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    run, day = uuid.uuid4().hex, str(closing_date)
+    paths = {name: f"{root}/{name}/closing_date={day}/run={run}" for name in tables}
+    for name, df in tables.items():
+        df.write.parquet(paths[name])
+    sequence, entries = committed(spark, root)
+    entries |= {(name, day): path for name, path in paths.items()}
+    row = (run, sequence + 1, [(name, of, path) for (name, of), path in sorted(entries.items())])
+    spark.createDataFrame([row], COMMITS).coalesce(1).write.mode("append").parquet(f"{root}/commits")
+
+
+def read_history(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """Every dated copy of a table, the date as column ``closing_date``; older copies may lack newer columns."""
+    found = [(day, path) for (of, day), path in committed(spark, root)[1].items() if of == name]
+    if not found:
+        raise ValueError(f"{name} was never published under {root}")
+    parts = [spark.read.parquet(path).withColumn("closing_date", F.lit(day)) for day, path in sorted(found)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def read_current(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The newest dated copy of a table."""
+    found = [(day, path) for (of, day), path in committed(spark, root)[1].items() if of == name]
+    if not found:
+        raise ValueError(f"{name} was never published under {root}")
+    day, path = max(found)
+    return spark.read.parquet(path).withColumn("closing_date", F.lit(day))
 
 
 def jdbc_options(url: str, table: str, writers: int = 8, batch: int = 10_000, **extra: str) -> dict[str, str]:

@@ -1,8 +1,8 @@
 """Dated snapshots: which date to read, and the read itself.
 
-Every function takes a DataFrame whose snapshot column is (normally) a Hive
-partition column, so the aggregates below only touch partition metadata plus
-the predicate columns.
+Where no predicate needs rows, dates come from metadata: ``snapshots_of`` lists the dated folders
+of a path, ``newest_in_footers`` reads the statistics that Parquet files hold, and neither opens data. The functions that take a
+DataFrame aggregate its rows, for predicates and for sources that are no files.
 """
 
 from __future__ import annotations
@@ -13,6 +13,46 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def snapshots_of(spark: SparkSession, path: str, date_col: str) -> DataFrame:
+    """One row per dated folder ``date_col=...`` of a path, with its files and their bytes, from the listing alone.
+
+    The files are listed as they are, without their content: none is opened.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", False).load(path)
+    return files.groupBy(date_col).agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+
+
+def newest_snapshot(spark: SparkSession, path: str, date_col: str):
+    """The newest dated folder of a path; None without any."""
+    return snapshots_of(spark, path, date_col).agg(F.max(date_col)).first()[0]
+
+
+def common_snapshot(spark: SparkSession, paths: list[str], date_col: str):
+    """The oldest of the newest folders of several paths."""
+    newest = [snapshots_of(spark, path, date_col).agg(F.max(date_col).alias("newest")) for path in paths]
+    return reduce(DataFrame.unionByName, newest).agg(F.min("newest")).first()[0]
+
+
+def snapshot_exists(spark: SparkSession, path: str, date_col: str, value) -> bool:
+    return not snapshots_of(spark, path, date_col).filter(F.col(date_col) == value).isEmpty()
+
+
+#: Aggregates are pushed to the footers by the newer Parquet reader only.
+FOOTERS = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+
+
+def newest_in_footers(spark: SparkSession, path: str, column: str):
+    """The largest value of a number or date column that is no folder name, from the statistics in the files' footers."""
+    before = {name: spark.conf.get(name, None) for name in FOOTERS}
+    try:
+        for name, value in FOOTERS.items():
+            spark.conf.set(name, value)
+        return spark.read.parquet(path).agg(F.max(column)).first()[0]
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def latest_snapshot(df: DataFrame, date_col: str, where: Column | None = None) -> DataFrame:
     """One row, one column: the newest date among the rows that satisfy ``where``."""
     if where is not None:

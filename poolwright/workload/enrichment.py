@@ -357,7 +357,7 @@ SELECT x.*, pc.country_name AS project_country, cc.country_name AS customer_coun
   a.capital_adjustment, a.project_score, a.project_lgd, cr.short_rating, cr.rating_tool_date, cr.internal_rating, {ordinal('cr.internal_rating')} AS internal_ordinal,
   CASE WHEN {ordinal('cr.internal_rating')} <= 10 THEN 1 ELSE 0 END AS investment_grade,
   s.facility_id IS NOT NULL AS sts_payment_condition, COALESCE(100 * x.reg_rw <= 100, TRUE) AS sts_rw_condition,
-  COALESCE(sc.sold, 'N') AS sold, COALESCE(sc.sold_percent / 100::DOUBLE * CAST(x.reg_ead AS DOUBLE), 0) AS sold_amount,
+  COALESCE(sc.sold, 'N') AS sold, COALESCE(CAST(CAST(sc.sold_percent AS DECIMAL(12,6)) * CAST(x.reg_ead AS DECIMAL(20,4)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(20,2)), 0) AS sold_amount,
   gu.agency_guaranteed, gu.other_guaranteed, es.esg_linked,
   CAST(x.funded_ccy AS DOUBLE) / NULLIF(CAST(x.funded_eur AS DOUBLE), 0) AS exchange_rate,
   x.funded_ccy + x.available_ccy AS total_ccy, x.funded_eur + x.available_eur AS total_eur,

@@ -12,7 +12,7 @@ from poolwright.sources import files, snapshots
 from poolwright.workload.basics import SCAN, dated_orders
 from poolwright.workload.registry import query
 from poolwright.workload.spec import project, sql_columns
-from poolwright.workload.sql_tables import CTES  # noqa: F401  (dated_orders is defined there)
+from poolwright.workload.sql_tables import CTES
 
 
 def folder(t, label: str) -> str:
@@ -104,17 +104,38 @@ def compacted_write(t):
 KEPT = "i:o_orderkey m:total d:closing_date source"
 
 
+CTES["copies"] = """
+SELECT o_orderkey, total, CASE o_orderstatus WHEN 'P' THEN DATE '1998-06-01' WHEN 'F' THEN DATE '1998-07-01' ELSE DATE '1998-08-01' END AS closing_date FROM dated_orders"""
+
+
 @query("history_and_current", f"""
 SELECT {sql_columns(KEPT)} FROM (
-  SELECT o_orderkey, total, DATE '1998-08-01' AS closing_date, 'current' AS source FROM dated_orders WHERE o_orderstatus = 'O'
-  UNION ALL SELECT o_orderkey, total, DATE '1998-08-01', 'history' FROM dated_orders WHERE o_orderstatus = 'O'
-  UNION ALL SELECT o_orderkey, total, DATE '1998-07-01', 'history' FROM dated_orders WHERE o_orderstatus = 'F')""")
+  SELECT *, 'history' AS source FROM copies UNION ALL SELECT *, 'current' FROM copies WHERE closing_date = (SELECT MAX(closing_date) FROM copies))""")
 def history_and_current(t):
-    """Dated copies pile up in the history, the current folder holds the last one."""
-    history, current = folder(t, "history"), folder(t, "current")
+    """Dated copies pile up in the history, of which the last one is current; orders of a status are a copy, an earlier one is published twice."""
+    root = folder(t, "published")
     orders = dated_orders(t).select("o_orderkey", "o_orderstatus", "total")
-    for status, day in (("F", "1998-07-01"), ("O", "1998-08-01")):
-        writers.write_history_and_current(orders.filter(F.col("o_orderstatus") == status), history, current, day)
-    both = [t.spark.read.parquet(path).select("o_orderkey", "total", F.col("closing_date").cast("date"), F.lit(name).alias("source"))
-            for path, name in ((history, "history"), (current, "current"))]
+    for status, day in (("P", "1998-06-01"), ("F", "1998-07-01"), ("P", "1998-06-01"), ("O", "1998-08-01")):
+        writers.publish({"orders": orders.filter(F.col("o_orderstatus") == status)}, root, day)
+    both = [read(t.spark, root, "orders").select("o_orderkey", "total", F.col("closing_date").cast("date"), F.lit(name).alias("source"))
+            for read, name in ((writers.read_history, "history"), (writers.read_current, "current"))]
     return project(both[0].unionByName(both[1]), KEPT)
+
+
+@query("folder_dates", """
+SELECT STRFTIME(MAX(closing_date), '%Y-%m-%d') AS newest, STRFTIME(LEAST(MAX(closing_date), MAX(CASE WHEN o_orderstatus = 'F' THEN closing_date END)), '%Y-%m-%d') AS common,
+  COUNT(CASE WHEN closing_date = DATE '1995-03-01' THEN 1 END) > 0 AS present, COUNT(CASE WHEN closing_date = DATE '1895-03-01' THEN 1 END) > 0 AS absent,
+  CAST(MAX(o_orderkey) AS BIGINT) AS last_key, CAST(COUNT(DISTINCT closing_date) AS BIGINT) AS folders FROM dated_orders""")
+def folder_dates(t):
+    """Dates of partitioned writes from their folders, and a largest key from the files' footers; no data is read back."""
+    every, some = folder(t, "dated"), folder(t, "dated")
+    writers.write_partitioned(dated_orders(t), every, ["closing_date"])
+    writers.write_partitioned(dated_orders(t).filter("o_orderstatus = 'F'"), some, ["closing_date"])
+    day = F.lit("1995-03-01").cast("date")
+    return t.spark.range(1).select(
+        F.lit(str(snapshots.newest_snapshot(t.spark, every, "closing_date"))).alias("newest"),
+        F.lit(str(snapshots.common_snapshot(t.spark, [every, some], "closing_date"))).alias("common"),
+        F.lit(snapshots.snapshot_exists(t.spark, every, "closing_date", day)).alias("present"),
+        F.lit(snapshots.snapshot_exists(t.spark, every, "closing_date", F.lit("1895-03-01").cast("date"))).alias("absent"),
+        F.lit(snapshots.newest_in_footers(t.spark, every, "o_orderkey")).cast("long").alias("last_key"),
+        F.lit(snapshots.snapshots_of(t.spark, every, "closing_date").count()).cast("long").alias("folders"))

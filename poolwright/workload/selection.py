@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from poolwright import GRAIN
@@ -11,7 +13,7 @@ from poolwright.operators import allocation as A
 from poolwright.operators import eligibility, limits, report
 from poolwright.operators.ranking import ranked
 from poolwright.plans import selection
-from poolwright.session import materialize
+from poolwright.session import materialize, scratch, work_folder
 from poolwright.workload import literals as L
 from poolwright.workload.basics import SHEET_SPEC
 from poolwright.workload.registry import query
@@ -357,7 +359,22 @@ FROM pool_long l JOIN allocated a ON l.place = a.place WINDOW w AS (PARTITION BY
 
 def filled_pool(t):
     facilities, book = setup(t)
-    return selection.fill(facilities, book), book
+    return selection.fill(facilities, book)
+
+
+def saved_fill(t):
+    """The fill that reports start from: written by the first one on these tables, loaded by the others."""
+    key = (t.spark.sparkContext.applicationId, t.path)
+    if key not in _SAVED:
+        folder = f"{work_folder(t.spark)}/fill-{uuid.uuid4().hex}"
+        with scratch(t.spark):
+            filled_pool(t).save(folder)
+        _SAVED[key] = folder
+    return A.load_fill(t.spark, _SAVED[key])
+
+
+#: Folders of saved fills by application and tables.
+_SAVED: dict[tuple[str, str], str] = {}
 
 
 PORTFOLIO = (f"{KEYS} i:is_candidate m:base_amount m:eligible_amount i:is_selected m:allocated_amount i:candidate_rank i:selected_rank "
@@ -367,7 +384,7 @@ _PORTFOLIO_SQL = sql_columns(PORTFOLIO).replace("CAST(exclusion_reason AS", "CAS
 
 @query("allocate_pool", f"SELECT {_PORTFOLIO_SQL} FROM portfolio", recursive=True)
 def allocate_pool(t):
-    filled, _ = filled_pool(t)
+    filled = filled_pool(t)
     return project(A.allocation(filled), PORTFOLIO)
 
 
@@ -383,7 +400,7 @@ SELECT {sql_columns(TRACE)} FROM (SELECT *, CASE WHEN visited THEN place ELSE 0
   CASE WHEN visited THEN used_amount ELSE 0 END AS used_amount_shown FROM trace)""".replace(
     "CAST(CAST(used_amount AS", "CAST(CAST(used_amount_shown AS"), recursive=True)
 def allocation_trace(t):
-    filled, _ = filled_pool(t)
+    filled = saved_fill(t)
     return project(A.allocation_trace(filled), TRACE)
 
 
@@ -395,7 +412,7 @@ SELECT {sql_columns(LEDGER)} FROM (SELECT l.limit_type, l.limit_value, MAX(l.all
   SUM(CASE WHEN is_taken THEN taken_units ELSE 0 END) / {UNITS}::DOUBLE AS used_share, MAX(l.allowed) * CAST(MAX(a.size) AS DOUBLE) / {UNITS}::DOUBLE AS cap_amount,
   SUM(taken) AS used_amount, '{L.SCENARIO}' AS scenario FROM pool_long l JOIN allocated a ON l.place = a.place GROUP BY 1, 2)""", recursive=True)
 def limit_ledger(t):
-    filled, _ = filled_pool(t)
+    filled = filled_pool(t)
     return project(A.limit_ledger(filled, L.SCENARIO), LEDGER)
 
 
@@ -408,7 +425,7 @@ SELECT facility_id, tranche_id, branch_id, facility_id || '_' || tranche_id AS f
   CAST(allocated_amount AS DOUBLE) AS allocated_amount, ROUND(pool_share::DOUBLE, 7) AS pool_share, ROUND(cumulative_share::DOUBLE, 7) AS cumulative_share
 FROM portfolio""", recursive=True)
 def portfolio_typed(t):
-    filled, _ = filled_pool(t)
+    filled = saved_fill(t)
     return project(report.typed_portfolio(A.allocation(filled), "corporate_loan"), TYPED)
 
 
@@ -420,14 +437,14 @@ SELECT {sql_columns(TOTALS)} FROM (SELECT COUNT(*) AS facilities, SUM(is_candida
   SUM(base_amount) AS base_amount, SUM(eligible_amount) AS eligible_amount, SUM(taken) AS allocated_amount, CAST(MAX(size) AS DOUBLE) AS pool_size,
   CAST(SUM(taken) AS DOUBLE) / CAST(MAX(size) AS DOUBLE) AS allocated_share, CAST(MAX(size) AS DOUBLE) - CAST(SUM(taken) AS DOUBLE) AS remaining FROM portfolio)""", recursive=True)
 def portfolio_totals(t):
-    filled, book = filled_pool(t)
-    return project(report.portfolio_totals(A.allocation(filled), book.pool_size), TOTALS)
+    filled = saved_fill(t)
+    return project(report.portfolio_totals(A.allocation(filled), filled.pool), TOTALS)
 
 
 @query("exclusion_summary", """
 SELECT CAST(is_selected AS BIGINT) AS is_selected, reason AS exclusion_reason, detail AS exclusion_detail, COUNT(*) AS n FROM portfolio GROUP BY 1, 2, 3""", recursive=True)
 def exclusion_summary(t):
-    filled, _ = filled_pool(t)
+    filled = saved_fill(t)
     return project(report.exclusion_summary(A.allocation(filled)).orderBy("is_selected", "exclusion_reason", "exclusion_detail"),
                    "i:is_selected exclusion_reason exclusion_detail i:n")
 
@@ -447,8 +464,8 @@ def _violations(name, condition, source="portfolio"):
     _violations("cap_exceeded", "used > allowed", "(SELECT MAX(used) AS used, MAX(allowed) AS allowed FROM trace GROUP BY limit_type, limit_value)"),
 ]), recursive=True)
 def allocation_checks(t):
-    filled, book = filled_pool(t)
-    checks = report.allocation_checks(A.allocation(filled), A.limit_ledger(filled, L.SCENARIO), book.pool_size)
+    filled = saved_fill(t)
+    checks = report.allocation_checks(A.allocation(filled), A.limit_ledger(filled, L.SCENARIO), filled.pool)
     return project(checks, "check_name i:violations")
 
 
@@ -457,7 +474,7 @@ def allocation_checks(t):
 def _cube_facility(letter, ordinal):
     return f"""
 SELECT {KEY}, group_id, customer_country AS country, currency, financial_product, com_product, sector_desc AS sector, subsector_desc AS subsector,
-  signing_date, expiry_date, reg_ead, funded_eur, available_eur, reg_capital, CAST(FLOOR(sold_amount * 100) / 100 AS {MONEY}) AS sold_amount, reg_capital_ratio,
+  signing_date, expiry_date, reg_ead, funded_eur, available_eur, reg_capital, CAST(sold_amount AS {MONEY}) AS sold_amount, reg_capital_ratio,
   {letter} AS rating_letter, group_rating,
   CASE WHEN {ordinal} >= {codes.RATING_SCALE.index(codes.FIRST_SPECULATIVE_GRADE) + 1} AND NOT STARTS_WITH({letter}, 'BBB') THEN 1 ELSE 0 END AS non_ig_flag,
   CASE WHEN COALESCE(agency_guaranteed, 0) <> 0 THEN 1 ELSE 0 END AS bei_flag, CASE WHEN esg_linked = 1 THEN 1 ELSE 0 END AS esg_linked_flag
@@ -478,9 +495,7 @@ FROM portfolio"""
 
 def selected_from_cube(t, portfolio_type):
     """The main path in one run: wide cube, feature marks, selection."""
-    # whole cents: what is sold leads to no ties when amounts are rounded, which engines break differently
-    wide = wide_rows(t).withColumn("sold_amount", F.floor(F.col("sold_amount") * 100) / 100)
-    facilities = selection.cube_facilities(wide, portfolio_type)
+    facilities = selection.cube_facilities(wide_rows(t), portfolio_type)
     # the selection reads its facilities several times: from here on they are a table
     facilities = materialize(facilities, "facilities")
     corporate = "1" if portfolio_type == "corporate_loan" else "0"

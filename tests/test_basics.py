@@ -146,15 +146,77 @@ def test_align_and_stamp(spark):
 
 
 def test_history_and_current(spark, tmp_path):
-    history, current = str(tmp_path / "h"), str(tmp_path / "c")
-    for day, v in (("2024-01-01", 1), ("2024-02-01", 2)):
-        writers.write_history_and_current(spark.createDataFrame([(v,)], "v int"), history, current, day)
-    assert snapshots.read_merged(spark, history).count() == 2
-    assert [(r.v, r.closing_date) for r in spark.read.parquet(current).collect()] == [(2, "2024-02-01")]
+    root = str(tmp_path / "root")
+    for day, v in (("2024-01-01", 1), ("2024-02-01", 2), ("2024-01-01", 3)):
+        writers.publish({"a": spark.createDataFrame([(v,)], "v int"), "b": spark.createDataFrame([(10 * v,)], "v int")}, root, day)
+    assert {(r.v, r.closing_date) for r in writers.read_history(spark, root, "a").collect()} == {(3, "2024-01-01"), (2, "2024-02-01")}
+    assert [(r.v, r.closing_date) for r in writers.read_current(spark, root, "b").collect()] == [(20, "2024-02-01")]
+    with pytest.raises(ValueError, match="never published"):
+        writers.read_current(spark, root, "c")
     writers.write_compacted(spark.range(10), str(tmp_path / "k"), files=1)
     assert len(list((tmp_path / "k").glob("*.parquet"))) == 1
 
 
+def test_a_publication_that_fails_in_between_leaves_the_old_tables(spark, tmp_path):
+    root = str(tmp_path / "root")
+    old = {name: spark.createDataFrame([(1,)], "v int") for name in ("history", "ledger")}
+    writers.publish(old, root, "2024-01-01")
+    broken = spark.range(1).select(F.raise_error(F.lit("lost")).cast("int").alias("v"))
+    with pytest.raises(Exception, match="lost"):
+        writers.publish({"history": spark.createDataFrame([(2,)], "v int"), "ledger": broken}, root, "2024-01-01")
+    # the first table of the failed run was written, but no commit names it
+    assert len(list((tmp_path / "root" / "history" / "closing_date=2024-01-01").iterdir())) == 2
+    assert [[r.v for r in writers.read_current(spark, root, name).collect()] for name in old] == [[1], [1]]
+
+
+def test_dates_come_from_listing_and_footers_only(spark, tmp_path):
+    """Files whose data is overwritten with zeros still give dates and largest values: nothing but names and footers is read."""
+    path = tmp_path / "dated"
+    rows = [(i, date(2024, 1 + i % 3, 1)) for i in range(300)]
+    spark.createDataFrame(rows, "k int, day date").repartition(2).write.partitionBy("day").parquet(str(path))
+    spark.createDataFrame([], "k int").write.parquet(str(tmp_path / "none" / "day=2024-01-01"))
+    for file in path.rglob("*.parquet"):
+        raw = file.read_bytes()
+        footer = int.from_bytes(raw[-8:-4], "little") + 8
+        file.write_bytes(raw[:4] + bytes(len(raw) - 4 - footer) + raw[-footer:])
+        file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
+    found = {r.day: r.files for r in snapshots.snapshots_of(spark, str(path), "day").collect()}
+    assert set(found) == {date(2024, m, 1) for m in (1, 2, 3)} and all(n > 0 for n in found.values())
+    assert snapshots.newest_snapshot(spark, str(path), "day") == date(2024, 3, 1)
+    assert snapshots.common_snapshot(spark, [str(path), str(tmp_path / "none")], "day") == date(2024, 1, 1)
+    assert snapshots.snapshot_exists(spark, str(path), "day", date(2024, 2, 1)) and not snapshots.snapshot_exists(spark, str(path), "day", date(2023, 2, 1))
+    assert snapshots.newest_in_footers(spark, str(path), "k") == 299
+    with pytest.raises(Exception):
+        spark.read.parquet(str(path)).filter("k = 5").collect()
+
+
+def test_interleaved_runs_drop_their_own_tables(spark):
+    from poolwright import session
+
+    first, second = session.Run(spark), session.Run(spark)
+    with first:
+        a = session.materialize(spark.range(3), "a")
+    with second:
+        b = session.materialize(spark.range(4), "b")
+        with first:
+            c = session.materialize(spark.range(5), "c")
+        d = session.materialize(spark.range(6), "d")
+    outside = session.materialize(spark.range(7), "e")
+    assert first.drop() == 2
+    assert (b.count(), d.count(), outside.count()) == (4, 6, 7)
+    for gone in (a, c):
+        with pytest.raises(Exception):
+            gone.count()
+    assert second.drop() == 2 and outside.count() == 7
+    with session.scratch(spark) as run:
+        inside = session.materialize(spark.range(2), "f")
+        assert inside.count() == 2 and run.tables == 1
+    with pytest.raises(Exception):
+        inside.count()
+    with pytest.raises(ValueError, match="no rows"):
+        snapshots.require_rows(spark.range(0), "orders")
+
+
 def test_jdbc_options():
     assert writers.jdbc_options("jdbc:x", "t", user="u") == {
         "url": "jdbc:x", "dbtable": "t", "truncate": "true", "numPartitions": "8", "batchsize": "10000", "user": "u"}

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from poolwright import GRAIN
 from poolwright.plans import cube, selection
+from poolwright.sinks import writers
 from poolwright.workload import literals as L
 from poolwright.workload.enrichment import cube_sources
 from poolwright.workload.tables import Tables
@@ -63,11 +64,11 @@ def test_tables_of_a_run_are_dated_written_and_read_back(spark, wide, tables, tm
         chosen = selection.select_pool(selection.cube_facilities(wide, kind), tables.sheet, tables.relation, constants)
         selection.write_selection(chosen, str(tmp_path), day)
     for name in selection.OUTPUTS:
-        back = spark.read.parquet(str(tmp_path / name))
+        back = writers.read_history(spark, str(tmp_path), name)
         assert {str(r[0]) for r in back.select("closing_date").distinct().collect()} == {"1998-05-31", "1998-06-30"}
         mine = getattr(chosen, name)
         assert back.filter("closing_date = '1998-06-30'").count() == mine.count() > 0 or name == "excluded"
-    assert {r.constant_type for r in spark.read.parquet(str(tmp_path / "constants")).collect()} >= {"tax_rate", "lgd", "ci_ratio"}
+    assert {r.constant_type for r in writers.read_current(spark, str(tmp_path), "constants").collect()} >= {"tax_rate", "lgd", "ci_ratio"}
 
 
 def test_cost_income_takes_the_home_office_at_the_newest_cutoff(spark):
