@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from poolwright.llm.common import column, frugal, in_slices, mixed, shingles, utf8
+from poolwright.llm.common import SPACES, column, frugal, in_slices, mixed, shingles, utf8
 from poolwright.llm.components import components
 from poolwright.session import materialize
 
@@ -139,24 +139,25 @@ def may_link(apart: np.ndarray, a: np.ndarray, b: np.ndarray, t: Fraction) -> np
 def describe(docs: DataFrame, size: int) -> tuple[DataFrame, int]:
     """Rows (doc_id, n_shingles, key, sketch): equal sets have one key, and different sets different keys.
 
-    Keys have 64 bits; two longer digests prove that no key stands for two sets, else
+    A column ``hash`` of ``docs`` goes along. Keys have 64 bits; two longer digests prove that no key stands for two sets, else
     another salt is taken.
     """
     salt = 0
+    along = ["hash"] if "hash" in docs.columns else []
     while True:
         def run(batches: Iterator[pa.RecordBatch], salt: int = salt) -> Iterator[pa.RecordBatch]:
             for batch in in_slices(batches, "text"):
                 sets = _sets(batch, size)
                 digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+                    *[batch.column(c) for c in along], batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_key(s, salt) if len(s) else None for s in sets], pa.int64()),
                     pa.array([int.from_bytes(d[:8], "big", signed=True) for d in digests], pa.int64()),
                     pa.array([int.from_bytes(d[8:], "big", signed=True) for d in digests], pa.int64()),
                     pa.array([sketch(s) if len(s) else None for s in sets], pa.binary()),
-                ], ["doc_id", "n_shingles", "key", "d1", "d2", "sketch"])
+                ], [*along, "doc_id", "n_shingles", "key", "d1", "d2", "sketch"])
 
-        found = materialize(docs.mapInArrow(run, "doc_id long, n_shingles long, key long, d1 long, d2 long, sketch binary"), "shingled")
+        found = materialize(docs.mapInArrow(run, "".join(f"{c} long, " for c in along) + "doc_id long, n_shingles long, key long, d1 long, d2 long, sketch binary"), "shingled")
         alike = found.filter("key is not null").groupBy("key").agg(*[f(c).alias(f"{n}{c}") for c in ("d1", "d2") for n, f in (("lo", F.min), ("hi", F.max))])
         if alike.filter("lod1 <> hid1 or lod2 <> hid2").isEmpty():
             return found.drop("d1", "d2"), salt
@@ -213,21 +214,54 @@ def memberships(docs: DataFrame, size: int, bands: Bands, salt: int) -> DataFram
                 yield _star(*(np.concatenate(x) for x in zip(*found)), deals)
 
     packed = docs.select("text").mapInArrow(run, "deal long, key long, lead long, sigs array<long>")
-    # all of a signature that is not tied yet is in one deal, so the window needs no shuffle of its own
-    signed = packed.repartition("deal").select("deal", "key", "lead", F.explode("sigs").alias("sig"))
+    # all of a signature that is not tied yet is in one deal, so the window needs no shuffle of its own; lists grow when
+    # they are unpacked, so the parts are many and stay as they are
+    signed = packed.repartition(deals, "deal").select("deal", "key", "lead", F.explode("sigs").alias("sig"))
     lowest = F.min(F.when(F.col("lead").isNull(), F.col("key"))).over(Window.partitionBy("deal", "sig"))
     return signed.select("sig", "key", F.coalesce("lead", lowest).alias("lead")).filter("key <> lead")
 
 
+#: Bits of a filter of keys: 16 a key, no more than 16 MB.
+FILTER_BITS = 1 << 27
+
+
+def key_filter(keys: DataFrame) -> np.ndarray:
+    """Bitmap of 2**n bits in which two bits of every key are set; what it does not hold is none of the keys."""
+    n = keys.count()
+    bits = min(FILTER_BITS, max(1 << 15, 1 << (16 * n).bit_length()))
+    place = F.explode(F.array(*[F.pmod(F.shiftright("key", shift), F.lit(bits).cast("long")) + 1 for shift in (0, 27)])).alias("place")
+    parts = keys.select(place).groupBy(F.bitmap_bucket_number("place").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+    out = np.zeros(bits // 8, np.uint8)
+    for r in parts.toLocalIterator():  # at most 4096 rows of 4 kB
+        start = (r["part"] - 1) * 4096
+        out[start : start + 4096] = np.frombuffer(bytes(r["bits"]), np.uint8)[: len(out) - start]
+    return out
+
+
+def may_hold(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which keys can be among those that the bitmap was made of."""
+    out = np.ones(len(keys), bool)
+    for shift in (0, 27):
+        place = (keys >> np.int64(shift)) & np.int64(8 * len(bitmap) - 1)
+        out &= (bitmap[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+    return out
+
+
 def involved_sets(docs: DataFrame, keys: DataFrame, size: int, bands: Bands, salt: int) -> DataFrame:
-    """Rows (key, items): the sets of the given keys, one row a key. Texts are packed on their way."""
+    """Rows (key, items): the sets of the given keys, one row a key.
+
+    A filter of the keys, bounded in size, keeps nearly all other texts from leaving their task; texts are packed on their way.
+    """
+    wanted = docs.sparkSession.sparkContext.broadcast(key_filter(keys))
+
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = pa.Codec("zstd")
         for batch in batches:
             seen: set[int] = set()
             for part in in_slices(iter([batch]), "text"):
                 found = [_key(s, salt) if len(s) >= bands.edges[0] else None for s in _sets(part, size)]
-                new = [i for i, k in enumerate(found) if k is not None and k not in seen and not seen.add(k)]
+                held = may_hold(wanted.value, np.array([k or 0 for k in found], np.int64))
+                new = [i for i, k in enumerate(found) if k is not None and held[i] and k not in seen and not seen.add(k)]
                 texts = [part.column("text")[i].as_buffer() for i in new]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([found[i] for i in new], pa.int64()), pa.array([t.size for t in texts], pa.int64()),
@@ -295,6 +329,10 @@ def _pairs_apart(rows: list[tuple], threshold: Fraction) -> Iterator[tuple[np.nd
                 yield np.maximum(keys[others], keys[i]), np.minimum(keys[others], keys[i])
 
 
+#: Pairs that leave a block together.
+SLICE = 1 << 16
+
+
 def pairs_of_open(members: DataFrame, threshold: Fraction) -> DataFrame:
     """Possible pairs (a, b) of different components under one signature.
 
@@ -314,10 +352,19 @@ def pairs_of_open(members: DataFrame, threshold: Fraction) -> DataFrame:
         at = None
 
         def done() -> Iterator[pa.RecordBatch]:
-            found = list(_pairs_apart(held, threshold)) if held else []
+            found: list[tuple[np.ndarray, np.ndarray]] = []
+            n = 0
+            for pair in _pairs_apart(held, threshold) if held else ():
+                found.append(pair)
+                n += len(pair[0])
+                if n >= SLICE:
+                    yield joined(found)
+                    found, n = [], 0
             if found:
-                a, b = (np.concatenate(x) for x in zip(*found))
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+                yield joined(found)
+
+        def joined(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], ["a", "b"])
 
         for batch in batches:
             names = ("sig", "low", "high", "key", "root", "n_shingles", "sketch", "side")
@@ -362,7 +409,7 @@ def linked_classes(docs: DataFrame, described: DataFrame, size: int, threshold:
 def checked(docs: DataFrame, pairs: DataFrame, size: int, bands: Bands, salt: int) -> DataFrame:
     """Rows (a, b, linked) of candidate pairs, compared on their whole sets."""
     pairs = materialize(pairs, "candidates")
-    keys = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
+    keys = materialize(pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct(), "keys")
     return similar(pairs, materialize(involved_sets(docs, keys, size, bands, salt), "sets"), bands.threshold)
 
 
@@ -395,40 +442,30 @@ def one_of_each(docs: DataFrame, size: int = 5, threshold: Fraction = Fraction(8
 
     Of rows with that id one stays, by a hash of its columns. Rows without a word stay.
     """
-    text = column(docs, "text", "string")
+    text, id_ = column(docs, "text", "string"), column(docs, "doc_id", "long")
+    hash_ = F.xxhash64(*[docs[c] for c in docs.columns])
     with frugal(docs.sparkSession):
-        described, salt = describe(docs.select(column(docs, "doc_id", "long").alias("doc_id"), text.alias("text")), size)
+        described, salt = describe(docs.select(id_.alias("doc_id"), text.alias("text"), hash_.alias("hash")), size)
         groups, _ = linked_classes(docs.select(text.alias("text")), described, size, threshold, salt)
-    classes = described.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
-    classes = classes.join(groups, classes["key"] == groups["node"], "left")
-    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("key"))
-    chosen = classes.groupBy(F.coalesce("root", "key").alias("root")).agg(F.min(order).alias("one")).select(F.col("one.key").alias("jj_chosen"))
-
-    id_ = column(docs, "doc_id", "long")
-    whole = docs.select(
-        F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.coalesce(text, F.lit("")).alias("text"),
-        id_.isNull().alias("no_id"), id_.alias("id"), F.xxhash64(*[docs[c] for c in docs.columns]).alias("hash"))
-
-    def first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Of each set in a batch its first row, so that a set of very many rows leaves a batch once."""
-        for batch in batches:
-            keys: list[int | None] = []
-            for part in in_slices(iter([batch]), "text"):
-                keys += [_key(s, salt) if len(s) else None for s in _sets(part, size)]
-            ranks = list(zip(batch.column("no_id").to_pylist(), batch.column("id").fill_null(0).to_pylist(), batch.column("hash").to_pylist()))
-            best: dict[int, int] = {}
-            for i, k in enumerate(keys):
-                if k is not None and (k not in best or ranks[i] < ranks[best[k]]):
-                    best[k] = i
-            kept = [k is None or best[k] == i for i, k in enumerate(keys)]
-            names = ["row", "no_id", "id", "hash", "key"]
-            out = pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:-1]), pa.array(keys, pa.int64())], names)
-            yield out.filter(pa.array(kept, pa.bool_()))
-
-    schema = whole.drop("text").schema.add("key", "long")
-    rows = whole.select("row", "text", "no_id", "id", "hash").mapInArrow(first_of_each, schema)
-    best = rows.join(chosen, rows["key"] == chosen["jj_chosen"], "left_semi").groupBy("key").agg(F.min_by("row", F.struct("no_id", "id", "hash")).alias("row"))
-    return best.select("row.*").union(rows.filter("key is null").select("row.*"))
+        # the row of a component is chosen by its id and hash alone; whole rows move once, when it is known which
+        first = described.filter("key is not null").groupBy("key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "hash")).alias("one"))
+        first = first.join(groups, first["key"] == groups["node"], "left")
+        order = F.struct("one.no_id", "one.doc_id", "key", "one.hash")
+        chosen = first.groupBy(F.coalesce("root", "key").alias("root")).agg(F.min(order).alias("one")).select(F.col("one.doc_id").alias("jj_id"), F.col("one.hash").alias("jj_hash"))
+        repeated = described.filter("key is not null").groupBy(F.col("doc_id").alias("jj_id"), F.col("hash").alias("jj_hash")).count().filter("count > 1")
+        repeated = materialize(repeated, "repeated")
+        chosen = materialize(chosen, "chosen")
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), id_.alias("id"), hash_.alias("hash"), F.coalesce(text, F.lit("")).alias("text"))
+    blank = F.btrim("text", F.lit(SPACES.decode())) == ""
+
+    def picked(wanted: DataFrame) -> DataFrame:
+        return rows.filter(~blank).drop("text").join(wanted, rows["id"].eqNullSafe(wanted["jj_id"]) & (rows["hash"] == wanted["jj_hash"]), "left_semi")
+
+    same = F.col("c.jj_id").eqNullSafe(F.col("r.jj_id")) & (F.col("c.jj_hash") == F.col("r.jj_hash"))
+    once = picked(chosen.alias("c").join(repeated.alias("r"), same, "left_anti"))
+    # equal rows (all columns): one of each
+    several = picked(chosen.alias("c").join(repeated.alias("r"), same, "left_semi")).dropDuplicates(["id", "hash"])
+    return once.select("row.*").union(several.select("row.*")).union(rows.filter(blank).select("row.*"))
 
 
 #: The same in SQL, from a list of common shingles for each pair; ids must be unique.

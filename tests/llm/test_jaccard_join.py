@@ -114,3 +114,11 @@ def test_one_of_each(spark):
     assert sorted(d for d, t in got if shingle_set(t, 5)) == sorted(with_words)
     assert sum(not shingle_set(t, 5) for _, t in got) == sum(not shingle_set(t, 5) for _, t in rows)
     assert m.one_of_each(hard.empty(spark)).collect() == []
+
+
+def test_key_filter_holds_every_key_and_few_others(spark):
+    rng = np.random.default_rng(9)
+    keys, others = (rng.integers(-(1 << 63), (1 << 63) - 1, 5000) for _ in range(2))
+    made = m.key_filter(spark.createDataFrame([(int(k),) for k in keys], "key long"))
+    assert m.may_hold(made, keys).all() and m.may_hold(made, others).mean() < 0.05
+    assert not m.may_hold(m.key_filter(spark.createDataFrame([], "key long")), others).any()
