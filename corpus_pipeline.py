@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from poolwright.llm import bpe, decontaminate, jaccard_join, language_id, suffix_dedup
 from poolwright.llm.common import column
-from poolwright.session import work_folder
+from poolwright.session import scratch, work_folder
 
 
 def settle(spark: SparkSession) -> None:
@@ -78,6 +78,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = f"{work_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
     return docs
