@@ -1,7 +1,7 @@
 """Deterministic sharded WARC writer, and its reader.
 
 Records are dealt by ranges of their id and sorted within. Range edges come from exact
-counts over a fixed number of id bins, not from a sample, so equal input gives equal
+counts over id bins, refined where ids crowd, not from a sample, so equal input gives equal
 files. A task writes one gzip member a record, rolls to the next file when the
 compressed size is reached, and makes all headers and digests anew from the payload.
 
@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from poolwright.llm.common import column, frugal
@@ -36,8 +36,8 @@ REVISIT_BYTES = 1000
 #: Compressed bytes after which a file is closed, and payload bytes of a shard.
 ROLL_BYTES = 256 << 20
 SHARD_BYTES = 1 << 30
-#: Bins of ids that are counted to find the range edges.
-BINS = 1 << 14
+#: Bins of ids that are counted first to find the range edges, and finer ones, at least, of a heavy bin.
+BINS, FINER = 1 << 14, 64
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -139,22 +139,54 @@ def references(rows: DataFrame) -> DataFrame:
     return own.join(kept, "digest").filter(~F.col("page_id").eqNullSafe(F.col("refers_to"))).select("page_id", "digest", "refers_to").distinct()
 
 
-def edges(pages: DataFrame, shard_bytes: int) -> tuple[int, int, list[int]]:
-    """Smallest id, ids of a bin, and the shard of every bin: ranges of about ``shard_bytes`` of payload."""
-    page_id, size = column(pages, "page_id", "long"), F.octet_length(F.coalesce(column(pages, "html", "string"), F.lit("")))
-    found = pages.agg(F.min(page_id).alias("lo"), F.max(page_id).alias("hi")).first()
-    low = found["lo"] or 0
-    width = ((found["hi"] or 0) - low) // BINS + 1
-    sizes = [0] * BINS
-    for r in pages.groupBy(F.floor((F.coalesce(page_id, F.lit(low)) - low) / width).alias("bin")).agg(F.sum(size + 1).alias("size")).collect():
-        sizes[int(r["bin"])] = r["size"]
-    shard, held, out = 0, 0, []
-    for n in sizes:
+def range_of(begins: Column, value: Column) -> Column:
+    """Number of the sorted ``begins`` that are not above a whole number, by halving."""
+    steps = F.sequence(F.ceil(F.log2(F.size(begins) + 1)).cast("int"), F.lit(0), F.lit(-1))
+
+    def halve(at: Column, step: Column) -> Column:
+        tried = at + F.call_function("shiftleft", F.lit(1), step)
+        return F.when(F.coalesce(F.get(begins, tried - 1) <= value, F.lit(False)), tried).otherwise(at)
+
+    return F.aggregate(steps, F.lit(0), halve)
+
+
+def edges(pages: DataFrame, shard_bytes: int) -> list[int]:
+    """Smallest id of every shard but the first: ranges of about ``shard_bytes`` of payload.
+
+    Ids are counted in ``BINS`` bins of equal width. What a bin holds beyond a quarter of a shard is counted again in finer bins
+    of that bin, all such bins in one job, until a bin is light or a single id; so ids may lie as they will. Jobs are few, as
+    widths shrink by ``FINER`` at least, and the bins that reach the driver follow the number of shards.
+    """
+    rows = pages.select(column(pages, "page_id", "long").alias("id"), (F.octet_length(F.coalesce(column(pages, "html", "string"), F.lit(""))) + 1).alias("size"))
+    found = rows.agg(F.min("id").alias("lo"), F.max("id").alias("hi")).first()
+    if found["lo"] is None:
+        return []
+    low, high = found["lo"], found["hi"]
+    rows = rows.select(F.coalesce("id", F.lit(low)).alias("id"), "size")
+    most = max(1, shard_bytes // 4)
+    open_ = [(low, (high - low) // BINS + 1, high)]  # begin, width of a bin, last id
+    sizes: dict[int, int] = {}  # bytes by the smallest id of a light bin
+    while open_:
+        begins, widths, ends = (F.from_json(F.lit(json.dumps([o[i] for o in open_])), "array<bigint>") for i in range(3))
+        within = rows.withColumn("k", range_of(begins, F.col("id")) - 1).filter("k >= 0").filter(F.col("id") <= F.element_at(ends, F.col("k") + 1))
+        # differences of far ids do not fit 64 bits
+        exact = lambda c: c.cast("decimal(20,0)")
+        place = F.floor((exact(F.col("id")) - exact(F.element_at(begins, F.col("k") + 1))) / exact(F.element_at(widths, F.col("k") + 1)))
+        counted = within.groupBy("k", place.cast("long").alias("place")).agg(F.sum("size").alias("size"), F.min("id").alias("lo"), F.max("id").alias("hi")).collect()
+        open_ = []
+        for r in counted:
+            if r["size"] <= most or r["lo"] == r["hi"]:
+                sizes[r["lo"]] = r["size"]
+            else:
+                open_.append((r["lo"], (r["hi"] - r["lo"]) // max(FINER, 4 * r["size"] // most) + 1, r["hi"]))
+        open_.sort()
+    held, out = 0, []
+    for begin, n in sorted(sizes.items()):
         if held and held + n > shard_bytes:
-            shard, held = shard + 1, 0
+            out.append(begin)
+            held = 0
         held += n
-        out.append(shard)
-    return low, width, out
+    return out
 
 
 def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -163,16 +195,16 @@ def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, shard_byt
     The manifest, at ``folder``/manifest, has a row a file: shard, number, name, records, bytes, sha256.
     """
     spark = pages.sparkSession
-    low, width, shards = edges(pages, shard_bytes)
+    begins = edges(pages, shard_bytes)
     system, root = file_system(folder)
     system.create_dir(f"{root}/temporary", recursive=True)
-    table = F.from_json(F.lit(json.dumps(shards)), "array<int>")
-    place = F.floor((F.coalesce("page_id", F.lit(low)) - low) / width).cast("int")
+    table = F.from_json(F.lit(json.dumps(begins)), "array<bigint>")
+    shard = F.when(F.col("page_id").isNull(), 0).otherwise(range_of(table, F.col("page_id"))) if begins else F.lit(0)
     rows = records_of(pages)
     # references travel with the pages, ahead of each id, so pages are shuffled once
     ahead = references(rows).select("page_id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"), "digest", "refers_to", F.lit(0).alias("turn"))
-    rows = ahead.union(rows.select("page_id", "url", "html", "digest", F.lit(None).cast("long"), F.lit(1))).withColumn("shard", table[place])
-    dealt = rows.repartition(max(shards) + 1, "shard").sortWithinPartitions("shard", "page_id", "turn", "url", "digest", "html")
+    rows = ahead.union(rows.select("page_id", "url", "html", "digest", F.lit(None).cast("long"), F.lit(1))).withColumn("shard", shard.cast("int"))
+    dealt = rows.repartition(len(begins) + 1, "shard").sortWithinPartitions("shard", "page_id", "turn", "url", "digest", "html")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, root = file_system(folder)

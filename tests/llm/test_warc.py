@@ -57,6 +57,22 @@ def test_files_are_the_same_for_any_order_and_partitioning(spark, tmp_path):
     assert a == b and len(a) > 5
 
 
+@pytest.mark.parametrize("far", [5, 10**6, 10**12, 2**63 - 1])
+def test_an_id_far_off_does_not_fill_a_shard(spark, far):
+    """Shards stay near their size wherever ids lie, and none is cut within an id."""
+    rows = [(i, "h" * 99) for i in range(1000)] + [(far, "h" * 99), (-far - 1, "h" * 99), (None, "h" * 99), (7, "h" * 30_000)]
+    begins = m.edges(spark.createDataFrame(rows, "page_id long, html string"), 10_000)
+    assert begins == sorted(set(begins))
+    sizes = {}
+    for i, h in rows:
+        k = 0 if i is None else sum(b <= i for b in begins)
+        sizes.setdefault(k, []).append((i, len(h) + 1))
+    assert all(sum(n for _, n in v) <= 10_000 or {i for i, n in v if n > 30_000} == {7} for v in sizes.values())
+    assert len(sizes) == len(begins) + 1 and 10 < len(sizes) < 30
+    cut = spark.createDataFrame([(i,) for i in begins], "i long").select(m.range_of(m.F.array(*[m.F.lit(b) for b in begins]), m.F.col("i"))).collect()
+    assert [r[0] for r in cut] == list(range(1, len(begins) + 1))
+
+
 def test_ranges_of_ids_follow_each_other(spark, tmp_path):
     manifest = m.write(spark.createDataFrame(pages(), SCHEMA), str(tmp_path / "a"), 3000, 20_000).collect()
     last = -1
