@@ -510,7 +510,9 @@ def _repeated_spans(rows: DataFrame) -> DataFrame:
     shared = seen.groupBy("h").agg(F.sum("n").alias("total"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     shared = materialize(shared.filter("total > 1").select("h", (F.col("lo") != F.col("hi")).alias("mixed")), "shared")
     places = rows.mapInArrow(_anchor_rows(True), "h long, content long, k1 long, k2 long, place long, n long")
-    places = places.join(shared, "h").groupBy("h", "content", "mixed", "k1", "k2", "place").agg(F.sum("n").alias("n"))
+    # dealt by the whole key behind the join, so that Spark may split a frequent anchor in it
+    places = places.join(shared, "h").repartition("h", "content", "k1", "k2", "place")
+    places = places.groupBy("h", "content", "mixed", "k1", "k2", "place").agg(F.sum("n").alias("n"))
     places = materialize(places, "places")
 
     keys = places.select("k1", "k2").distinct()
@@ -553,19 +555,18 @@ def dedup_digests(docs: DataFrame) -> DataFrame:
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated byte strings taken out of ``text``, and ``n_chars`` counted anew.
 
-    Rows of which nothing but white space is left go; rows that had nothing else before stay.
+    Rows of which nothing but white space is left go; rows that had nothing else before stay. Both columns are
+    found in any case, and other columns may have any names.
     """
-    own = keyed(docs)
+    own = keyed(docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), column(docs, "text", "string").alias("text")))
     spans = repeated_spans(_rows(own), "kept").select(F.col("k1").alias("dedup_k1"), F.col("k2").alias("dedup_k2"), F.col("kept").alias("dedup_kept"))
     joined = own.join(spans, ["dedup_k1", "dedup_k2"], "left").filter(F.col("dedup_kept").isNull() | F.col("dedup_kept").rlike(r"\S"))
-    text = F.coalesce("dedup_kept", F.col("text")) if "text" in docs.columns else None
     out = []
     for field in docs.schema.fields:
-        if field.name == "text":
-            out.append(text.cast(field.dataType).alias("text"))
-        elif field.name == "n_chars":
-            changed = F.when(F.col("dedup_kept").isNotNull(), F.char_length("dedup_kept").cast(field.dataType))
-            out.append(F.coalesce(changed, F.col("n_chars")).alias("n_chars"))
-        else:
-            out.append(F.col(f"`{field.name}`"))
+        value = F.col("row").getField(field.name)
+        if field.name.lower() == "text":
+            value = F.coalesce(F.col("dedup_kept").cast(field.dataType), value)
+        elif field.name.lower() == "n_chars":
+            value = F.coalesce(F.when(F.col("dedup_kept").isNotNull(), F.char_length("dedup_kept").cast(field.dataType)), value)
+        out.append(value.alias(field.name))
     return joined.select(*out)

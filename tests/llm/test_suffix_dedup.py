@@ -105,3 +105,12 @@ def test_without_repeats(spark):
     assert all(r.n_chars is None or r.n_chars == len(r.text) for r in rows)
     assert {r.doc_id for r in rows if r.text is None} == {4, None}
     assert m.without_repeats(hard.empty(spark)).collect() == []
+
+
+def test_without_repeats_keeps_columns_of_any_name(spark):
+    same = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(400))
+    rows = [(1, "a " + same, "x", 5, 7), (2, "b " + same, "y", 6, 8), (3, None, "z", None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, Text string, dedup_text string, dedup_k1 long, row long")
+    kept = m.without_repeats(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect())) == [(1, "a", "x", 5, 7), (2, "b", "y", 6, 8), (3, None, "z", None, None)]
