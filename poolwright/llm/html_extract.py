@@ -8,7 +8,8 @@ blocks, without the parts just named, are the text.
 Weights are learned from labelled pages: those that mark their content by an ``article`` or
 ``main`` element. A token's weight is the logarithm of how much likelier it is inside the marked
 part than outside, over counts of all labelled pages. Known element names are counted, others
-together, so the weights are few.
+together, so the weights are few. The scan decides on labelled pages too; only marked parts
+that its region does not reach are added, each by a scan of its own.
 
 A null or empty page has an empty text. Pages are read whole and broken markup is read on:
 unknown closings are skipped, open elements end with their parents or the page.
@@ -51,6 +52,13 @@ PARTS = frozenset(
     "topbar tracking widget widgets".split())
 #: Names that mean a part of the page only outside its content.
 PAGE_PARTS = frozenset("header".split())
+#: Words of a layout, which may stand beside a part's word in its name; any other word there means something else.
+LAYOUT = frozenset(
+    "a area articles bar big block body bottom bottoms box btn button buttons card col column container content controls default el element entry feed fixed footers form full group "
+    "head heading holder icons inline inner item items js label large left links list main media mobile module network outer page panel post posts primary region right row secondary "
+    "section sections site slot small space sticky stories text thread title top unit view wrap wrapper zone".split())
+#: Quotations and the like within the content, whose names are not looked at.
+QUOTES = frozenset("blockquote pre figure table".split())
 #: Elements that are the content, whatever their names.
 CONTENT = frozenset("article main".split())
 #: Headings count as one class.
@@ -77,6 +85,7 @@ def names_a_part(name: str, attributes: str, inside: bool, named: bool = True) -
     """Whether an element's class, id, role (unless not ``named``) or style says that it is no content."""
     if not attributes or name in UNNAMED:
         return False
+    named = named and not (inside and name in QUOTES)
     for key, value in NAMES.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
         if key == "style":
@@ -88,12 +97,11 @@ def names_a_part(name: str, attributes: str, inside: bool, named: bool = True) -
             if value.lower() == "true":
                 return True
         elif named:
-            words = {w.lower() for w in PIECES.split(value)}
-            if name in CONTENT:
-                if words & CONTENT_PARTS:
+            for one in value.split():
+                words = {w.lower() for w in PIECES.split(one) if w and not w.isdigit()}
+                known = CONTENT_PARTS if name in CONTENT else PARTS if inside else PARTS | PAGE_PARTS
+                if words & known and words <= known | PARTS | PAGE_PARTS | LAYOUT:
                     return True
-            elif words & PARTS or (not inside and words & PAGE_PARTS):
-                return True
     return False
 
 
@@ -105,6 +113,7 @@ def tokens(page: str, wrappers: frozenset[int] = frozenset(), found_wrappers: se
     should not: what holds a page's first content element where none stands free, or half of the text of a page without any.
     """
     open_: list[tuple[str, bool, bool]] = []  # name, part, content
+    names: Counter[str] = Counter()  # of open elements
     by_name: list[tuple[int, int]] = []  # open parts that only their names make parts: place in open_, number
     number = free = shown = 0
     holders: list[int] = []
@@ -134,9 +143,10 @@ def tokens(page: str, wrappers: frozenset[int] = frozenset(), found_wrappers: se
                     yield "/a", "", content > 0, parts > 0
                 continue
             was = parts > 0
-            if any(n == name for n, _, _ in open_):
+            if names[name]:
                 while open_:
                     n, part, held = open_.pop()
+                    names[n] -= 1
                     if by_name and by_name[-1][0] == len(open_):
                         by_name.pop()
                     parts -= part
@@ -160,6 +170,7 @@ def tokens(page: str, wrappers: frozenset[int] = frozenset(), found_wrappers: se
             continue
         if name in ("p", "li", "td", "th", "tr", "dt", "dd", "option") and open_ and open_[-1][0] == name:
             _, part, held = open_.pop()  # its end is left out
+            names[name] -= 1
             if by_name and by_name[-1][0] == len(open_):
                 by_name.pop()
             parts -= part
@@ -175,6 +186,7 @@ def tokens(page: str, wrappers: frozenset[int] = frozenset(), found_wrappers: se
             by_name.append((len(open_), number))
         yield name, "", content > 0, part or parts > 0
         open_.append((name, part, holds))
+        names[name] += 1
         parts += part
         content += holds
     if found_wrappers is not None and not free:
@@ -233,42 +245,57 @@ def weigh(counts: dict[tuple[str, bool], int]) -> dict[str, float]:
     return out
 
 
+def best_run(values: list[float], begin: int, end: int) -> tuple[int, int]:
+    """The run of the highest sum within ``begin`` to ``end``, in one scan; empty if no sum is positive."""
+    total = best = 0.0
+    first, out = begin, (begin, begin)
+    for i in range(begin, end):
+        total += values[i]
+        if total > best:
+            best, out = total, (first, i + 1)
+        elif total <= 0:
+            total, first = 0.0, i + 1
+    return out
+
+
 def extract(page: str, weights: dict[str, float]) -> str:
     """Text of a page's content region: blocks in order, two line ends between them.
 
-    Where a page marks its content, all its marked parts are the text, whatever the weights.
+    The best run of the whole page counts, whether or not the page marks anything. Marked parts that it does not
+    touch are regions of their own, with their best run. A run's first and last block are taken whole.
     """
     found = parsed(page)
-    marked = any(content for _, _, content, _ in found)
-    pieces: list[tuple[int, str, bool]] = []  # block, text, no content
-    total = best = 0.0
-    first = begin = 0  # of the run that is tried and of the best one, in pieces
-    last = 0
-    block = 0
+    values, block_of, block = [], [], 0
     for kind, text, content, part in found:
-        part |= marked and not content
         if kind in (WORD, LINKED, PART):
-            pieces.append((block, text, part))
             weight = weights.get(PART if part else kind, 0.0)
-            total += weights.get(WORD, 0.0) * len(text.split()) if content and not part else max(weight, LIGHT) if content else weight * len(text.split())
-            if total > best:
-                best, begin, last = total, first, len(pieces)
+            # what is left out anyway does not cut marked content in two
+            values.append(max(weight, LIGHT) if content and part else weight * len(text.split()))
         else:
             name = kind.lstrip("/")
-            if name not in INLINE:
-                block += 1
-            elif name == "br" or name == "wbr":
-                pieces.append((block, " " if name == "br" else "", part))
-            weight = weights.get(_class(kind, part), NEW_INLINE if name in INLINE else NEW_BLOCK)
-            total += max(weight, LIGHT) if content else weight
-        if total <= 0:
-            total, first = 0.0, len(pieces)
-    if marked:
-        begin, last = 0, len(pieces)  # all marked parts; text outside them is no content
+            block += name not in INLINE
+            weight = weights.get(_class(kind, part), NEW_INLINE if name in INLINE or content else NEW_BLOCK)
+            values.append(max(weight, LIGHT) if content and part else weight)
+        block_of.append(block)
+    begin, end = best_run(values, 0, len(found))
+    runs = [(begin, end)] if end > begin else []
+    at = 0
+    while at < len(found):
+        last = at + 1
+        if found[at][2]:
+            while last < len(found) and found[last][2]:
+                last += 1
+            if end <= at or begin >= last:
+                run = best_run(values, at, last)
+                runs += [run] if run[1] > run[0] else []
+        at = last
+    taken = {block_of[i] for a, b in runs for i in range(a, b) if found[i][0] in (WORD, LINKED) and not found[i][3] and not found[i][1].isspace()}
     texts: dict[int, list[str]] = {}
-    for number, text, part in pieces[begin:last]:
-        if not part:
-            texts.setdefault(number, []).append(text)
+    for number, (kind, text, _, part) in zip(block_of, found):
+        if part or number not in taken:
+            continue
+        if kind in (WORD, LINKED, "br", "wbr"):
+            texts.setdefault(number, []).append(" " if kind == "br" else text)
     out = (" ".join(html.unescape("".join(t)).split()) for t in texts.values())
     return "\n\n".join(t for t in out if t)
 

@@ -37,6 +37,30 @@ CASES = {
 }
 
 
+def test_the_scan_finds_the_text_without_marks(weights):
+    for page in LABELLED + [f"<body><nav><a href=x>go</a></nav><article><h1>Title</h1><p>{'words of it ' * n}</p><p>end<br>of it</p></article><div class='ad'>buy</div></body>" for n in (5, 50, 500)]:
+        bare = page.replace("<article>", "").replace("</article>", "")
+        assert m.extract(page, weights) == m.extract(bare, weights) != ""
+
+
+def test_the_scan_decides_within_marks(weights):
+    """A menu in the marked part that nothing names is not in the best run."""
+    page = "<main><p>" + "<a href=x>go there now</a>" * 9 + "</p><p>" + "words of the text " * 20 + "</p></main>"
+    assert m.extract(page, weights) == ("words of the text " * 20).strip()
+
+
+def test_a_part_word_beside_other_words_drops_nothing(weights):
+    page = (
+        '<article><p>A</p><div class="related-work"><p>said before</p></div><p>B</p><section class="social-history"><p>of a town</p></section>'
+        '<blockquote class="comment">a quoted word</blockquote><div class="comment-list"><p>reader</p></div><div class="ad-slot-1">buy</div><p>C</p></article>')
+    assert m.extract(page, weights) == "A\n\nsaid before\n\nB\n\nof a town\n\na quoted word\n\nC"
+
+
+def test_unclosed_elements_take_linear_time():
+    page = "<div>x" * 20_000 + "</section>" * 20_000
+    assert len(list(m.tokens(page))) == 60_000
+
+
 def test_all_marked_parts_are_joined(weights):
     page = "<article><p>one two</p></article>" + "<div><ul><li>x</li></ul></div>" * 40 + "<article><p>" + "many words " * 20 + "</p></article>"
     assert m.extract(page, weights) == "one two\n\n" + ("many words " * 20).strip()
