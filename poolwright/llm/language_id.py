@@ -139,6 +139,7 @@ def fit(labelled: DataFrame, rows: int = 64, total: int = 240_000) -> Model:
 
     ``rows`` texts a language, chosen by the hash of the text, and ``total``
     bytes over all languages, shared evenly, bound what reaches the driver.
+    Of a text it learns from at most its first ``4 * total / rows`` characters (15,000) are taken; texts are always judged whole.
     """
     most = 4 * total // rows
     texts = labelled.select(column(labelled, "lang", "string").alias("lang"), column(labelled, "text", "string").alias("text")).dropna()
