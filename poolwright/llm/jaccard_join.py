@@ -42,6 +42,8 @@ BAND = 1.4
 DEALS = 128
 #: Members of a signature that a task holds at a time.
 MEMBERS = 2048
+#: Open signatures that a member names, its lowest ones: a pair is left to the lowest that both name.
+NAMED = 32
 
 
 class Bands:
@@ -314,10 +316,16 @@ def similar(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame
     return joined.select("a", "b", "x", "y").mapInArrow(run, "a long, b long, linked boolean")
 
 
-def _pairs_apart(rows: list[tuple], threshold: Fraction) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of members of one block (or of two, by ``side``) in different components that their sketches leave possible."""
+def _pairs_apart(sig: int, rows: list[tuple], threshold: Fraction) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of members of one block (or of two, by ``side``) in different components that their sketches leave possible.
+
+    A pair that meets under a lower signature as well, by the signatures that both name, is left to that one.
+    """
     keys, roots, sizes = (np.array([r[k] for r in rows], np.int64) for k in range(3))
     side = np.array([r[4] for r in rows])
+    named = np.full((len(rows), NAMED), sig, np.int64)
+    for i, r in enumerate(rows):
+        named[i, : len(r[5])] = r[5]
     words = folded([r[3] for r in rows])
     for i in range(len(rows) - 1):
         others = np.arange(i + 1, len(rows))
@@ -325,6 +333,7 @@ def _pairs_apart(rows: list[tuple], threshold: Fraction) -> Iterator[tuple[np.nd
         if len(others):
             apart = np.bitwise_count(words[others] ^ words[i]).sum(1).astype(np.int64)
             others = others[may_link(apart, sizes[others], sizes[i], threshold)]
+            others = others[~np.isin(named[others], named[i][named[i] < sig]).any(1)]
             if len(others):
                 yield np.maximum(keys[others], keys[i]), np.minimum(keys[others], keys[i])
 
@@ -337,15 +346,19 @@ def pairs_of_open(members: DataFrame, threshold: Fraction) -> DataFrame:
     """Possible pairs (a, b) of different components under one signature.
 
     ``members`` has the rows (sig, key, root, n_shingles, sketch). A signature of many members is
-    split into blocks, and every pair of blocks is a group of its own.
+    split into blocks, and every pair of blocks is a group of its own. Similar sets share many signatures;
+    each member names its lowest ones, and a pair leaves only under the lowest that both name.
     """
+    nth = F.row_number().over(Window.partitionBy("key").orderBy("sig"))
+    named = members.select("key", "sig", nth.alias("nth")).filter(F.col("nth") <= NAMED).groupBy("key").agg(F.collect_list("sig").alias("named"))
+    members = members.join(named, "key")
     counts = members.groupBy("sig").agg(F.ceil(F.count("*") / MEMBERS).alias("blocks"))
     dealt = members.join(counts, "sig").withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     # block pairs (low, high): rows of the low one have side 1, of the high one 2, within one block 0
     dealt = dealt.select(
         "sig", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "key", "root", "n_shingles", "sketch",
-        F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"))
+        F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"), "named")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -354,7 +367,7 @@ def pairs_of_open(members: DataFrame, threshold: Fraction) -> DataFrame:
         def done() -> Iterator[pa.RecordBatch]:
             found: list[tuple[np.ndarray, np.ndarray]] = []
             n = 0
-            for pair in _pairs_apart(held, threshold) if held else ():
+            for pair in _pairs_apart(at[0], held, threshold) if held else ():
                 found.append(pair)
                 n += len(pair[0])
                 if n >= SLICE:
@@ -367,7 +380,7 @@ def pairs_of_open(members: DataFrame, threshold: Fraction) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], ["a", "b"])
 
         for batch in batches:
-            names = ("sig", "low", "high", "key", "root", "n_shingles", "sketch", "side")
+            names = ("sig", "low", "high", "key", "root", "n_shingles", "sketch", "side", "named")
             for sig, low, high, *row in zip(*(batch.column(c).to_pylist() for c in names)):
                 if at != (sig, low, high):
                     yield from done()

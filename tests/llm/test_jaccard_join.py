@@ -122,3 +122,28 @@ def test_key_filter_holds_every_key_and_few_others(spark):
     made = m.key_filter(spark.createDataFrame([(int(k),) for k in keys], "key long"))
     assert m.may_hold(made, keys).all() and m.may_hold(made, others).mean() < 0.05
     assert not m.may_hold(m.key_filter(spark.createDataFrame([], "key long")), others).any()
+
+
+@pytest.mark.parametrize(("named", "members"), [(1, 2048), (3, 7), (32, 2048)])
+def test_pairs_under_many_signatures_leave_at_least_once(spark, monkeypatch, named, members):
+    """All possible pairs of different components under one signature, however many signatures a member names and however it is split."""
+    monkeypatch.setattr(m, "NAMED", named)
+    monkeypatch.setattr(m, "MEMBERS", members)
+    rng = random.Random(11)
+    threshold = Fraction(1, 2)
+    sets = {k: np.array(sorted(rng.sample(range(40), 24)), np.uint64) for k in range(1, 31)}
+    under = {k: {rng.randint(-6, 6) for _ in range(6)} for k in sets}
+    rows = [(sig, k, k // 2, len(s), bytearray(m.sketch(s))) for k, s in sets.items() for sig in sorted(under[k])]
+    got = m.pairs_of_open(spark.createDataFrame(rows, "sig long, key long, root long, n_shingles long, sketch binary"), threshold).collect()
+    words = {k: m.folded([m.sketch(s)])[0] for k, s in sets.items()}
+    possible = {
+        (a, b) for a in sets for b in sets if b < a and b // 2 != a // 2 and under[a] & under[b]
+        and m.may_link(np.array([np.bitwise_count(words[a] ^ words[b]).sum()], np.int64), np.array([24]), np.array([24]), threshold)[0]}
+    assert {(r.a, r.b) for r in got} == possible and possible
+
+
+def test_a_pair_leaves_under_its_lowest_signature():
+    s = m.sketch(np.arange(50, dtype=np.uint64))
+    rows = [(1, 1, 50, s, 0, [-5, 3, 9]), (2, 2, 50, s, 0, [-7, 3, 9]), (3, 3, 50, s, 0, [9])]
+    pairs = lambda sig, held: {(int(a), int(b)) for x, y in m._pairs_apart(sig, held, Fraction(4, 5)) for a, b in zip(x, y)}
+    assert pairs(3, rows[:2]) == {(2, 1)} and pairs(9, rows) == {(3, 1), (3, 2)}
