@@ -4,9 +4,10 @@ Words and pairs of words are hashed into ``BUCKETS`` buckets. Two multinomials o
 buckets are counted, one of trusted text and one of the whole corpus; a document's
 score is the mean over its n-grams of the logarithm of their ratio. Length thus
 does not matter, and text unlike the trusted one scores low. The threshold is the
-``QUANTILE`` of the trusted documents' scores, so nothing is drawn at random. Fewer than
-``1 / QUANTILE`` trusted documents do not show that quantile; their lowest score is then lowered by the range
-of their scores, times the share of documents that is missing, but not to that of a document labelled as bad.
+``QUANTILE`` of the trusted documents' scores, read off the tail of their lowest ``TAIL``: how far these
+lie below the highest of them, on average, is the scale of an exponential tail. The upper 95 % bound of that
+scale is taken, so clean text stays where few scores show it. The rule is the same for few and many trusted documents, takes
+all of them, and draws nothing at random.
 
 Only DataFrame expressions: a document's words stay in its row, and only bucket
 counts are shuffled. Weights and score bins are whole numbers (millionths), so sums do
@@ -32,8 +33,10 @@ from poolwright.session import materialize
 BUCKETS = 10_000
 #: Added to every bucket's count.
 SMOOTH = 1.0
-#: Trusted documents that may fall below the threshold, and how far below it still passes (nats).
-QUANTILE, MARGIN = 0.001, 0.0
+#: Share of trusted documents that may fall below the threshold, and the share of the lowest that show the tail.
+QUANTILE, TAIL = 0.001, 0.1
+#: Normal quantile of the scale's upper bound, one-sided 95 %.
+Z = 1.645
 #: Scores are counted in bins of this many millionths.
 BIN = 1000
 #: Bytes of trusted ids that may be broadcast; more are joined by a shuffle.
@@ -147,31 +150,34 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
         "doc_id", "trusted", F.col("w.n_words").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines",
         F.col("w.n_repeat_words").alias("n_repeat_words"), F.floor("w.mean").cast("long").alias("score_millionths"))
     found = materialize(found, "judged")
-    least = threshold(found, labels)
+    least = threshold(found)
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return found.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
         (~failed & (F.coalesce("score_millionths", F.lit(0)) >= least)).alias("kept"), (F.col("score_millionths") / 1e6).alias("score"))
 
 
-def threshold(found: DataFrame, labels: DataFrame) -> int:
+def threshold(found: DataFrame) -> int:
     """Score, in millionths, below which a document is dropped: from all trusted scores, counted in bins."""
-    scored = found.filter("score_millionths is not null and n_words >= 20 and 100 * n_repeat_words <= 30 * n_words")
+    scored = found.filter("trusted and score_millionths is not null and n_words >= 20 and 100 * n_repeat_words <= 30 * n_words")
     # a mean log ratio is bounded by the counts, so bins are few
-    bins = sorted((r["bin"], r["count"]) for r in scored.filter("trusted").groupBy(F.floor(F.col("score_millionths") / BIN).alias("bin")).count().collect())
+    bins = scored.groupBy(F.floor(F.col("score_millionths") / BIN).alias("bin")).count().collect()
+    return tail_bound({r["bin"]: r["count"] for r in bins})
+
+
+def tail_bound(bins: dict[int, int]) -> int:
+    """The ``QUANTILE`` of binned scores under an exponential tail, in millionths; lower than any score where there is none."""
     if not bins:
         return -(1 << 62)
-    total = sum(n for _, n in bins)
-    allowed, below = int(QUANTILE * total), 0
-    for at, n in bins:
-        below += n
-        if below > allowed:
+    held = math.ceil(TAIL * sum(bins.values()))
+    left, below = held, 0
+    for edge in sorted(bins):
+        below += min(left, bins[edge]) * edge
+        left -= min(left, bins[edge])
+        if not left:
             break
-    least = at * BIN - round(MARGIN * 1e6)
-    missing = 1 - QUANTILE * total
-    if missing <= 0:
-        return least
-    labelled = labels.select(column(labels, "doc_id", "long").alias("doc_id")).distinct()
-    bad = scored.filter(~F.col("trusted") & (F.col("score_millionths") < least)).join(labelled, "doc_id", "left_semi").agg(F.max("score_millionths")).first()[0]
-    lowered = least - round(missing * (bins[-1][0] - at) * BIN)
-    return lowered if bad is None else max(lowered, bad + 1)
+    # the highest of the tail is its edge; the others show the scale, a chi-square over its degrees of freedom
+    others = max(1, held - 1)
+    spread = 1 / (9 * others)
+    scale = (held * edge - below) / others / (1 - spread - Z * math.sqrt(spread)) ** 3
+    return math.floor((edge - scale * math.log(TAIL / QUANTILE)) * BIN)

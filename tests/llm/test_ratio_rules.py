@@ -55,7 +55,13 @@ def brute_force(rows, trusted):
         failed = counts[0] < 20 or 100 * counts[4] > 30 * counts[0]
         out.append((i, *counts, failed, math.floor(sum(w[x] for x in f) / len(f)) if f else None))
     scores = sorted(r[7] // m.BIN for r in out if r[0] in trusted and r[7] is not None and not r[6])
-    least = scores[int(m.QUANTILE * len(scores))] * m.BIN - round(m.MARGIN * 1e6) if scores else -(1 << 62)
+    least = -(1 << 62)
+    if scores:
+        tail = scores[: math.ceil(m.TAIL * len(scores))]
+        others = max(1, len(tail) - 1)
+        chi_square = (1 - 2 / (9 * 2 * others) - m.Z * math.sqrt(2 / (9 * 2 * others))) ** 3  # Wilson and Hilferty, a degree of freedom
+        excess = sum(tail[-1] - x for x in tail) / others / chi_square
+        least = math.floor((tail[-1] - excess * math.log(m.TAIL / m.QUANTILE)) * m.BIN)
     return sorted((*r[:7], not r[6] and (r[7] or 0) >= least, None if r[7] is None else r[7] / 1e6) for r in out)
 
 
@@ -114,6 +120,28 @@ def test_symbol_stuffed_copies_of_trusted_text_fall(spark):
     assert not any(r[7] for r in got if r[0] >= 2000)
 
 
+@pytest.mark.parametrize("n", [50, 1000, 5000])
+def test_threshold_is_one_rule_for_few_and_many_trusted_scores(n):
+    """Exponential tails lose about the share that is asked for, whatever the number of scores; clearly lower scores fall."""
+    rng = random.Random(n)
+    lost = []
+    for _ in range(200):
+        bins = {}
+        for _ in range(n):
+            x = math.floor(-rng.expovariate(1 / 40))
+            bins[x] = bins.get(x, 0) + 1
+        least = m.tail_bound(bins) / m.BIN
+        lost.append(math.exp(least / 40))
+    assert sorted(lost)[100] < m.QUANTILE
+    assert sum(x <= m.QUANTILE for x in lost) >= 180
+    assert n < 1000 or sorted(lost)[100] > m.QUANTILE / 10
+
+
+def test_threshold_of_no_or_equal_scores():
+    assert m.tail_bound({}) == -(1 << 62)
+    assert m.tail_bound({7: 1}) == m.tail_bound({7: 4000}) == 7 * m.BIN
+
+
 def test_hard_rows(spark):
     rows = [r[:2] for r in hard.rows()]
     got = m.judge(hard.table(spark), spark.createDataFrame([(1, 1, None), (None, 1, 0), (2, None, 0)], "doc_id long, quality int, toxic int")).collect()
