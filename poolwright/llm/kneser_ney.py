@@ -1,15 +1,14 @@
 """Quality classifier: an interpolated modified Kneser-Ney model of trusted text per language.
 
-The model is over ``ORDER``-grams of character classes (letters without case, digits, groups
-of punctuation, symbols, and bytes of other characters). Counts of all trusted text are summed in
+The model is over ``ORDER``-grams of bytes: each byte of the UTF-8 text is a symbol of its own, and one
+more pads the begin of a text. Counts of all trusted text are summed in
 shards; each order's counts are joined with the totals of their contexts and with the
 probabilities of the order below. A document's perplexity is that of its whole text under its
 language's model; documents above the language's quantile of trusted perplexities are dropped.
 
 The joins run over the distinct n-grams of the trusted corpus. Joining every document's n-grams
-to them would shuffle many times the corpus; but a table over all n-grams of the classes has a fixed
-size (``SYMBOLS ** ORDER`` numbers a language), so the joined model is packed into that and goes to
-the documents: tasks read it from the work folder.
+to them would shuffle many times the corpus, so the joined model goes to the documents: a row of
+probabilities for each context that trusted text has, which tasks read from the work folder.
 
 Null languages are one language, ``und``. Null and empty texts have no perplexity and are not kept.
 Documents of a language without trusted text are kept: nothing speaks against them. Rows may repeat.
@@ -22,6 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
@@ -32,11 +32,11 @@ from poolwright.llm.ratio_rules import flagged, trusted_ids
 from poolwright.llm.warc import file_system
 from poolwright.session import materialize
 
-ORDER, SYMBOLS = 4, 48
+ORDER, SYMBOLS = 4, 257
 #: Smallest discount; it leaves every symbol some probability.
 LEAST = 0.1
-#: Languages whose tables, 10 MB each, a task holds at a time.
-HELD = 16
+#: Languages whose tables a task holds at a time, and bytes of them if it holds several.
+HELD, HELD_BYTES = 16, 160 << 20
 #: Trusted documents that may lie above the threshold.
 QUANTILE = 0.999
 #: Nats by which a document may exceed the quantile, and more for short ones, over the root of its length.
@@ -45,32 +45,17 @@ MARGIN, SHORT = 0.3, 4.0
 BIN = 0.001
 
 
-def classes() -> np.ndarray:
-    """Symbol of every byte; 0 pads the begin of a text."""
-    out = np.full(256, 39, np.uint8)
-    for i in range(26):
-        out[65 + i] = out[97 + i] = 1 + i
-    out[list(b" \t\n\x0b\x0c\r")] = 27
-    out[list(b"0123456789")] = 28
-    for k, group in enumerate((b".", b",", b"!?;:", b"'\"`", b"-_/", b"()[]{}", b"#*$%&|<>@^~+=\\")):
-        out[list(group)] = 29 + k
-    out[0x80:0xC0] = 40 + np.arange(64) // 8
-    out[0xC0:] = 36
-    out[0xC4:] = 37
-    out[0xE0:] = 38
-    return out
-
-
-CLASSES = classes()
+#: Symbol of every byte; 0 pads the begin of a text.
+CLASSES = np.arange(1, 257)
 
 
 def grams(flat: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """The n-gram that ends at each byte of some texts, as a number; a text begins after padding."""
-    codes = CLASSES[flat].astype(np.int32)
+    codes = CLASSES[flat]
     at = np.arange(len(flat)) - np.repeat(bounds[:-1], np.diff(bounds))
     out = codes.copy()
     for back in range(1, ORDER):
-        before = np.concatenate([np.zeros(back, np.int32), codes[:-back]])[: len(codes)]
+        before = np.concatenate([np.zeros(back, np.int64), codes[:-back]])[: len(codes)]
         out += np.where(at >= back, before, 0) * SYMBOLS**back
     return out
 
@@ -89,7 +74,7 @@ def count_grams(rows: DataFrame) -> DataFrame:
                     parts.setdefault(lang, []).append(found[(langs == lang)[owner]])
             for lang, got in parts.items():
                 gram, n = np.unique(np.concatenate(got), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(gram), pa.string()), pa.array(gram.astype(np.int64)), pa.array(n.astype(np.int64))], ["lang", "gram", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(gram), pa.string()), pa.array(gram), pa.array(n.astype(np.int64))], ["lang", "gram", "n"])
 
     return rows.select("lang", "text").mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
@@ -132,35 +117,77 @@ def model(counts: DataFrame) -> DataFrame:
     return out
 
 
-def dense(rows: pd.DataFrame) -> np.ndarray:
-    """Log-probability of every n-gram of one language."""
-    lower = np.full(1, 1.0 / SYMBOLS)
-    for n in range(1, ORDER + 1):
-        own = rows[rows["size"] == n]
-        gamma = np.ones(SYMBOLS ** (n - 1))
-        of = own[own["gamma"].notna()]
-        gamma[of["key"].to_numpy()] = of["gamma"].to_numpy()
-        # n-grams by context and last symbol; the order below by the same last symbols
-        suffix = np.tile(lower, SYMBOLS) if n > 1 else np.repeat(lower, SYMBOLS)
-        table = np.repeat(gamma, SYMBOLS) * suffix
-        of = own[own["p"].notna()]
-        table[of["key"].to_numpy()] = of["p"].to_numpy()
-        lower = table
-    return np.log(np.maximum(lower, 1e-30))
+def _spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Probabilities of all symbols after each context: those seen, the others by the context's weight and the order below."""
+    for rows in batches:
+        if not len(rows):
+            continue
+        full = np.frombuffer(b"".join(rows["lower"]), np.float32).reshape(-1, SYMBOLS).astype(float)
+        full *= rows["gamma"].to_numpy()[:, None]
+        own = np.repeat(np.arange(len(rows)), [len(x) for x in rows["symbols"]])
+        full[own, np.concatenate(rows["symbols"].tolist())] = np.concatenate(rows["ps"].tolist())
+        packed = [x.tobytes() for x in full.astype(np.float32)]
+        yield pd.DataFrame({"lang": rows["lang"], "context": rows["context"], "row": packed})
+
+
+def _logs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for rows in batches:
+        if len(rows):
+            full = np.log(np.maximum(np.frombuffer(b"".join(rows["row"]), np.float32), 1e-30)).astype(np.float16).reshape(-1, SYMBOLS)
+            yield rows.drop(columns="row").assign(packed=[x.tobytes() for x in full])
 
 
 def tables(found: DataFrame) -> DataFrame:
-    """One row a language with its packed table, each in a file of its own; a language has no more rows than n-grams of the classes."""
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"lang": [rows["lang"].iloc[0]], "packed": [dense(rows).astype(np.float16).tobytes()]})
+    """Rows (lang, place, packed), sorted: log-probabilities of all symbols after each context that trusted text has.
 
-    conf, name = found.sparkSession.conf, "spark.sql.files.maxRecordsPerFile"
-    before = conf.get(name)
-    conf.set(name, "1")
-    try:
-        return materialize(found.groupBy("lang").applyInPandas(run, "lang string, packed binary"), "models")
-    finally:
-        conf.set(name, before)
+    A place is the context's number behind those of all shorter ones.
+    """
+    below, out = None, None
+    for n in range(1, ORDER + 1):
+        own = found.filter(F.col("size") == n)
+        seen = own.filter("p is not null").select("lang", F.floor(F.col("key") / SYMBOLS).cast("long").alias("context"), F.pmod("key", F.lit(SYMBOLS)).cast("int").alias("symbol"), "p")
+        # at most one entry a symbol
+        seen = seen.groupBy("lang", "context").agg(F.collect_list(F.struct("symbol", "p")).alias("seen")).select(
+            "lang", "context", F.col("seen.symbol").alias("symbols"), F.col("seen.p").alias("ps"))
+        level = own.filter("gamma is not null").select("lang", F.col("key").alias("context"), "gamma").join(seen, ["lang", "context"])
+        if below is None:
+            level = level.withColumn("lower", F.lit(np.full(SYMBOLS, 1.0 / SYMBOLS, np.float32).tobytes()))
+        else:
+            # the end of a context that was seen was seen as well
+            level = level.withColumn("suffix", F.pmod("context", F.lit(SYMBOLS ** max(0, n - 2)))).join(
+                below.select("lang", F.col("context").alias("suffix"), F.col("row").alias("lower")), ["lang", "suffix"])
+        level = level.select("lang", "context", "gamma", "symbols", "ps", "lower")
+        below = materialize(level.mapInPandas(_spread, "lang string, context long, row binary"), "levels")
+        part = below.select("lang", (F.col("context") + first_place(n - 1)).alias("place"), "row")
+        out = part if out is None else out.union(part)
+    return materialize(out.mapInPandas(_logs, "lang string, place long, packed binary").repartitionByRange("lang", "place").sortWithinPartitions("lang", "place"), "models")
+
+
+def first_place(size: int) -> int:
+    """Place of the first context of ``size`` symbols."""
+    return sum(SYMBOLS**k for k in range(size))
+
+
+class Table:
+    """Log-probabilities of one language."""
+
+    def __init__(self, places: np.ndarray, rows: np.ndarray) -> None:
+        self.places, self.rows = places, rows
+
+    def logs(self, found: np.ndarray) -> np.ndarray:
+        """Of each n-gram, after the longest part of its context that trusted text has."""
+        context, symbol = found // SYMBOLS, found % SYMBOLS
+        row = np.full(len(found), -1)
+        open_ = np.arange(len(found))
+        for size in range(ORDER - 1, -1, -1):
+            place = context[open_] % SYMBOLS**size + first_place(size)
+            at = np.minimum(np.searchsorted(self.places, place), len(self.places) - 1)
+            same = self.places[at] == place
+            row[open_[same]] = at[same]
+            open_ = open_[~same]
+            if not len(open_):
+                break
+        return self.rows[row, symbol]
 
 
 class Models:
@@ -168,24 +195,32 @@ class Models:
 
     def __init__(self, path: str) -> None:
         self.files, root = file_system(path)
-        self.places: dict[str, str] = {}
-        self.held: dict[str, np.ndarray] = {}
-        for info in self.files.get_file_info(pyarrow.fs.FileSelector(root)):
+        self.places: dict[str, list[str]] = {}
+        self.held: dict[str, Table] = {}
+        for info in sorted(self.files.get_file_info(pyarrow.fs.FileSelector(root)), key=lambda i: i.path):
             if info.base_name.endswith(".parquet"):
-                self.places |= dict.fromkeys(self._read(info.path, "lang"), info.path)
+                for lang in self._read(info.path, ["lang"]).column("lang").unique().to_pylist():
+                    self.places.setdefault(lang, []).append(info.path)
 
-    def _read(self, path: str, name: str) -> list:
+    def _read(self, path: str, names: list[str]) -> pa.Table:
         with self.files.open_input_file(path) as source:
-            return pq.read_table(source, columns=[name]).column(name).to_pylist()
+            return pq.read_table(source, columns=names)
+
+    def _load(self, lang: str) -> Table:
+        parts = [t.filter(pc.equal(t.column("lang"), lang)) for t in (self._read(p, ["lang", "place", "packed"]) for p in self.places[lang])]
+        places = np.concatenate([t.column("place").to_numpy() for t in parts])
+        rows = np.concatenate([np.frombuffer(b"".join(t.column("packed").to_pylist()), np.float16) for t in parts]).reshape(-1, SYMBOLS)
+        order = np.argsort(places)
+        return Table(places[order], rows[order])
 
-    def get(self, lang: str) -> np.ndarray | None:
+    def get(self, lang: str) -> Table | None:
         if lang not in self.places:
             return None
         table = self.held.pop(lang, None)
         if table is None:
-            if len(self.held) >= HELD:
+            table = self._load(lang)
+            while self.held and (len(self.held) >= HELD or sum(t.rows.nbytes for t in self.held.values()) + table.rows.nbytes > HELD_BYTES):
                 self.held.pop(next(iter(self.held)))  # the one not used for longest
-            table = np.frombuffer(self._read(self.places[lang], "packed")[0], np.float16)
         self.held[lang] = table
         return table
 
@@ -210,7 +245,7 @@ def score(rows: DataFrame, models: DataFrame) -> DataFrame:
                 if table is not None:
                     known |= langs == lang
                     held = (langs == lang)[owner]
-                    value[held] = table[found[held]]
+                    value[held] = table.logs(found[held])
             sums = np.concatenate([[0.0], np.cumsum(value)])
             mean = -(sums[bounds[1:]] - sums[bounds[:-1]]) / np.maximum(sizes, 1)
             yield pa.RecordBatch.from_arrays([

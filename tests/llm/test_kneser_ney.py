@@ -111,3 +111,12 @@ def test_tasks_hold_few_of_many_languages(spark, monkeypatch):
     got = {r.doc_id: r for r in m.classify(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
     assert all(got[i].kept and got[i].perplexity < 3 for i in range(240))
     assert not got[900].kept and got[900].perplexity > 10 and got[901].kept and got[901].perplexity is None
+
+
+def test_every_byte_is_a_symbol(spark):
+    """Texts that differ in single characters, not in their kind, have different probabilities."""
+    base = "the year 1987 brought 44 more; see http://a.b/c_d for it. "
+    rows = [(i, base * 3, "aa") for i in range(20)] + [(50, base.replace("1987", "3052") * 3, "aa"), (51, base.upper() * 3, "aa"), (52, base.replace(";", "!").replace("/", "-") * 3, "aa")]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(20)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.perplexity for r in m.classify(spark.createDataFrame(rows, "doc_id long, text string, lang string"), labels).collect()}
+    assert len(set(m.CLASSES.tolist())) == 256 and all(got[i] > 1.2 * got[0] for i in (50, 51, 52))
