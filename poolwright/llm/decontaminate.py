@@ -14,8 +14,10 @@ Only windows are embedded that have at least ``VOTES`` pairs of neighbouring wor
 where an item has them: two places that edits left whole, apart or in a row.
 
 A character of a script without spaces between words (``APART``) is a word of its own, and
-nothing stands between it and the next one. Items of fewer than ``LEAST`` words match
-exactly, word by word, if they have ``LEAST_BYTES`` bytes; shorter ones are no evidence. The
+nothing stands between it and the next one. Items of fewer than ``LEAST`` words have too few
+words to align a window. With ``whole`` each of them is searched by its pieces: one more than edits are allowed, so
+that one stands unchanged; every place of a piece is checked. Where no edit is allowed (up to four characters at 0.8) an item
+must stand as whole words. Without ``whole`` such items match exactly, word by word, if they have ``LEAST_BYTES`` bytes. The
 benchmark is indexed in blocks of bounded size and each block reads all documents,
 so it need not fit a task. Null and empty texts hold nothing; rows with equal
 texts or ids are searched alike, each on its own.
@@ -43,6 +45,10 @@ WALKS, SAMPLES, STEPS = 6, 24, 3
 AGREE = 3
 #: Steps of a walk for each word; a word and its space take about 13.
 PACE = 10
+#: Characters of a piece at most that is looked up, and places that are checked at once.
+PIECE, HITS = 8, 8192
+#: Characters of an item of few words above which its places are checked one by one.
+LONG = 96
 #: Bytes of benchmark text in one pass.
 PASS_BYTES = 8 << 20
 
@@ -178,10 +184,38 @@ def edit_distance_within(item: str, text: str, most: int) -> int | None:
     return best if best <= most else None
 
 
+def points(text: str) -> np.ndarray:
+    """Code points of a text."""
+    return np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
+
+
+def char_hashes(chars: np.ndarray, n: int) -> np.ndarray:
+    """Hash of every run of ``n`` code points."""
+    out = np.zeros(max(0, len(chars) - n + 1), np.uint64)
+    for k in range(n):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + chars[k : len(chars) - n + 1 + k]
+    return mixed(out)
+
+
+def fewest_edits(item: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Fewest edits that turn ``item`` into some part of each row of code points, and one past that part's end; 0 pads a row and equals nothing."""
+    # a column of the table of distances at a time, for all rows; the first cell is 0 everywhere: a match may begin anywhere
+    column = np.repeat(np.arange(len(item) + 1, dtype=np.int32)[:, None], len(rows), 1)
+    best, end = column[-1].copy(), np.zeros(len(rows), np.int64)
+    for j in range(rows.shape[1]):
+        before = column[0].copy()
+        for i in range(1, len(item) + 1):
+            new = np.minimum(np.minimum(column[i], column[i - 1]) + 1, before + (rows[:, j] != item[i - 1]))
+            before, column[i] = column[i].copy(), new
+        better = column[-1] < best
+        best[better], end[better] = column[-1][better], j + 1
+    return best, end
+
+
 class Index:
     """Runs of words and hash keys of one block of items."""
 
-    def __init__(self, items: list[tuple[int, str]], similarity: float) -> None:
+    def __init__(self, items: list[tuple[int, str]], similarity: float, whole: bool = False) -> None:
         texts = [t for _, t in items]
         flat, bounds = utf8(pa.array(texts, pa.string()))
         words = Words(flat, bounds)
@@ -204,26 +238,40 @@ class Index:
         self.filter = np.zeros(1 << 20, bool)
         self.filter[(self.h >> np.uint64(44)).astype(np.int64)] = True
         self.short: dict[int, tuple[np.ndarray, list[list[tuple[int, str]]]]] = {}
-        self.add_short(words, sizes, [i for i, _ in items])
+        self.pieces: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        self.add_short(words, sizes, [i for i, _ in items], similarity, whole)
         if len(kept):
             key = keys(words, words.at[kept], self.sizes, self.sizes)
             flat_keys = key.ravel()
             order = np.argsort(flat_keys, kind="stable")
             self.keys, self.owner = flat_keys[order], np.repeat(np.arange(len(kept)), key.shape[1])[order]
 
-    def add_short(self, words: Words, sizes: np.ndarray, ids: list[int]) -> None:
-        """Items of few words, by their number of words and the hash of these."""
+    def add_short(self, words: Words, sizes: np.ndarray, ids: list[int], similarity: float, whole: bool) -> None:
+        """Items of few words: by their number of words and the hash of these, with ``whole`` by pieces if edits are allowed."""
         found: dict[int, dict[int, list[int]]] = {}
+        pieces: dict[int, list[tuple[int, int, int]]] = {}
         for i in np.flatnonzero((sizes > 0) & (sizes < LEAST)).tolist():
             a, b = words.at[i], words.at[i + 1]
             text = words.text(a, b)
-            if len(text.encode()) >= LEAST_BYTES:
-                found.setdefault(b - a, {}).setdefault(int(run_hashes(words.hashes[a:b], b - a)[0]), []).append(len(self.ids))
-                self.ids.append(ids[i])
-                self.texts.append(text)
+            if not whole and len(text.encode()) < LEAST_BYTES:
+                continue
+            k, most = len(self.ids), min(int((1 - similarity) * len(text) + 1e-9), len(text) - 1)
+            self.ids.append(ids[i])
+            self.texts.append(text)
+            self.most.append(most)
+            if not whole or not most:
+                found.setdefault(b - a, {}).setdefault(int(run_hashes(words.hashes[a:b], b - a)[0]), []).append(k)
+                continue
+            edges = [len(text) * j // (most + 1) for j in range(most + 2)]
+            for begin, end in zip(edges, edges[1:]):
+                n = min(end - begin, PIECE)
+                pieces.setdefault(n, []).append((int(char_hashes(points(text[begin : begin + n]), n)[0]), k, begin))
         for n, by in found.items():
             order = sorted(by)
             self.short[int(n)] = np.array(order, np.uint64), [by[h] for h in order]
+        for n, rows in pieces.items():
+            rows.sort()
+            self.pieces[n] = np.array([h for h, _, _ in rows], np.uint64), np.array([k for _, k, _ in rows]), np.array([o for _, _, o in rows])
 
     def find_short(self, words: Words) -> Iterator[tuple[int, int, int, int, int]]:
         """First exact place of each item of few words in each text."""
@@ -243,6 +291,61 @@ class Index:
                         seen.add((t, k))
                         yield t, k, 0, w, w + n
 
+    def find_edited(self, words: Words) -> Iterator[tuple[int, int, int, int, int]]:
+        """Best place of each item of few words in each text, with edits."""
+        if not self.pieces or not len(words.hashes):
+            return
+        texts = [words.text(a, b) for a, b in zip(words.at[:-1], words.at[1:])]
+        bounds = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        chars = points("\n".join(texts) + "\n")  # no word holds the sign between texts
+        best: dict[tuple[int, int], tuple[int, int]] = {}
+        for n, (hashes, items, offsets) in self.pieces.items():
+            held = np.zeros(1 << 16, bool)
+            held[(hashes >> np.uint64(48)).astype(np.int64)] = True
+            runs = char_hashes(chars, n)
+            hits = np.flatnonzero(held[(runs >> np.uint64(48)).astype(np.int64)])
+            low, high = (np.searchsorted(hashes, runs[hits], side) for side in ("left", "right"))
+            # about HITS places at once, all of one hit at least
+            block = (np.cumsum(high - low) - 1) // HITS
+            for part in np.split(np.arange(len(hits)), np.flatnonzero(np.diff(block)) + 1):
+                times = (high - low)[part]
+                of = np.repeat(part, times)
+                entry = np.arange(len(of)) - np.repeat(np.cumsum(times) - times, times) + low[of]
+                begin, item = hits[of] - offsets[entry], items[entry]
+                text = np.searchsorted(bounds, hits[of], "right") - 1
+                order = np.argsort(item, kind="stable")
+                for own in np.split(order, np.flatnonzero(np.diff(item[order])) + 1):
+                    if len(own):
+                        self._check(chars, bounds, text[own], begin[own], int(item[own[0]]), best)
+        for (t, k), (edits, end) in best.items():
+            # words from the one that the place begins in to the one that it ends in; a lower case letter has a place of its own nearly always
+            starts = np.concatenate([[0], np.cumsum(words.plain[words.offset[words.at[t]] : words.offset[words.at[t + 1]]] & 0xC0 != 0x80)])
+            starts = starts[words.offset[words.at[t] : words.at[t + 1]] - words.offset[words.at[t]]]
+            last = max(1, int(np.searchsorted(starts, end - bounds[t], "left")))
+            first = max(0, int(np.searchsorted(starts, max(0, end - bounds[t] - len(self.texts[k]) + edits), "right")) - 1)
+            yield t, k, edits, int(words.at[t]) + min(first, last - 1), int(words.at[t]) + last
+
+    def _check(self, chars: np.ndarray, bounds: np.ndarray, text: np.ndarray, begin: np.ndarray, k: int, best: dict[tuple[int, int], tuple[int, int]]) -> None:
+        """Keep the fewest edits, and where they end, of item ``k`` around some places."""
+        most, size = self.most[k], len(self.texts[k])
+        seen = np.unique(np.stack([text, begin]), axis=1)
+        if size > LONG:
+            for t, at in seen.T.tolist():
+                lo, hi = max(int(bounds[t]), at - most), min(int(bounds[t + 1]) - 1, at + size + most)
+                part = chars[lo:hi].tobytes().decode("utf-32-le")
+                found = edit_distance_within(self.texts[k], part, most)
+                if found is not None and found < best.get((t, k), (most + 1,))[0]:
+                    best[t, k] = found, min(hi, max(lo, at) + size)
+            return
+        places = (seen[1] - most)[:, None] + np.arange(size + 2 * most)
+        inside = (places >= bounds[seen[0]][:, None]) & (places < bounds[seen[0] + 1][:, None] - 1)
+        rows = np.where(inside, chars[np.clip(places, 0, len(chars) - 1)], 0)
+        edits, end = fewest_edits(points(self.texts[k]), rows)
+        for i in np.flatnonzero(edits <= most).tolist():
+            t, at = int(seen[0][i]), int(min(places[i, 0] + end[i], bounds[seen[0][i] + 1] - 1))
+            if edits[i] < best.get((t, k), (most + 1,))[0]:
+                best[t, k] = int(edits[i]), at
+
     def windows(self, words: Words) -> np.ndarray:
         """Different windows (text, first word, words of the item) that are aligned with an item."""
         hits = np.flatnonzero(self.filter[(words.runs >> np.uint64(44)).astype(np.int64)])
@@ -264,7 +367,7 @@ class Index:
 
     def find(self, words: Words) -> list[tuple[int, int, int, int, int]]:
         """(text, item, edits, first word, one past the last word) of the best place of each item in each text."""
-        few = list(self.find_short(words))
+        few = [*self.find_short(words), *self.find_edited(words)]
         if not len(self.h) or len(words.hashes) < RUN:
             return sorted(few)
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
@@ -291,26 +394,26 @@ class Index:
         return sorted([*few, *((t, k, *found) for (t, k), found in best.items())])
 
 
-def blocks(benchmark: DataFrame, similarity: float) -> Iterator[Index]:
+def blocks(benchmark: DataFrame, similarity: float, whole: bool = False) -> Iterator[Index]:
     """Indexes of the benchmark, each of about ``PASS_BYTES`` of text."""
     rows = benchmark.select(column(benchmark, "item_id", "long").alias("item_id"), column(benchmark, "text", "string").alias("text")).filter("text is not null")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // PASS_BYTES))
     for k in range(n):
         part = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
-        yield Index(sorted((((-1 if r[0] is None else r[0]), r[1]) for r in part.collect())), similarity)
+        yield Index(sorted((((-1 if r[0] is None else r[0]), r[1]) for r in part.collect())), similarity, whole)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, whole: bool = False) -> DataFrame:
     """One row for each document row and item that it holds.
 
     Columns: doc_id, item_id, edits, similarity, first_byte and last_byte (of the
-    window's place in the UTF-8 text, the last one left out).
+    window's place in the UTF-8 text, the last one left out). ``whole`` searches items of few words with edits and whatever their length.
     """
     spark = docs.sparkSession
     rows = docs.select(column(docs, "doc_id", "long").alias("doc_id"), column(docs, "text", "string").alias("text"))
     out = None
-    for index in blocks(benchmark, similarity):
+    for index in blocks(benchmark, similarity, whole):
         shared = spark.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -332,14 +435,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8)
     return out
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` that hold no item; all columns stay."""
+def clean(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, whole: bool = False) -> DataFrame:
+    """The rows of ``docs`` that hold no item; all columns stay. ``whole`` as in ``contaminated``."""
     spark = docs.sparkSession
     place = next((i for i, c in enumerate(docs.columns) if c.lower() == "text"), None)
     if place is None:
         return docs
     name = docs.columns[place]
-    for index in blocks(benchmark, similarity):
+    for index in blocks(benchmark, similarity, whole):
         shared = spark.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

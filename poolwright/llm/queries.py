@@ -45,7 +45,7 @@ def op7_ratio_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), whole=True)
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -108,3 +108,33 @@ def test_hard_rows(spark):
     assert kept.columns == docs.columns and kept.count() == docs.count() - len(got)
     assert m.contaminated(hard.empty(spark), items).collect() == [] and m.clean(hard.empty(spark), items).collect() == []
     assert m.contaminated(docs, items.filter("false")).collect() == [] and m.clean(docs, items.filter("false")).count() == docs.count()
+
+
+def test_short_items_with_edits_against_exact_distances(spark):
+    """Whatever their length, items of few words are found with as many edits as longer ones."""
+    rng = random.Random(6)
+    short = lambda: " ".join("".join(rng.choice("abcdeé水") for _ in range(rng.randint(1, 7))) for _ in range(rng.randint(1, 4)))
+    items = [(i, short()) for i in range(60)] + [(90, "two words"), (91, "Name the largest planet"), (92, "yes"), (93, "x" * 70 + " " + "yz" * 20)]
+    docs = [(100, "Two wirds"), (101, "so, name the LARGST planet!"), (102, "yes."), (103, "yesterday"), (104, "namethe largest planet"), (105, "x" * 60 + " " + "yz" * 21), (106, None), (107, "")]
+    docs += [(i, " ".join(short() for _ in range(6))) for i in range(80)]
+    index = m.Index(items, 0.8, whole=True)
+    wanted = {}
+    for i, t in docs:
+        words = m.Words(*utf8(pa.array([t], pa.string())))
+        plain = words.text(0, len(words.hashes))
+        for k, item in enumerate(index.texts):
+            if index.most[k]:
+                edits = m.edit_distance_within(item, plain, index.most[k])
+                if edits is not None:
+                    wanted[i, index.ids[k]] = edits
+            else:
+                own, all_ = m.Words(*utf8(pa.array([item]))).hashes.tolist(), words.hashes.tolist()
+                if any(all_[a : a + len(own)] == own for a in range(len(all_))):
+                    wanted[i, index.ids[k]] = 0
+    docs_df, items_df = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = m.contaminated(docs_df, items_df, whole=True).collect()
+    assert {(r.doc_id, r.item_id): r.edits for r in got} == wanted and len(wanted) > 60 and len(got) == len(wanted)
+    assert {(100, 90): 1, (101, 91): 1, (102, 92): 0, (104, 91): 1}.items() <= wanted.items() and (105, 93) in wanted and (103, 92) not in wanted
+    place = {(r.doc_id, r.item_id): dict(docs)[r.doc_id].encode()[r.first_byte : r.last_byte].decode() for r in got}
+    assert place[100, 90] == "Two wirds" and place[101, 91] == "name the LARGST planet" and place[104, 91] == "namethe largest planet"
+    assert {r.doc_id for r in m.clean(docs_df, items_df, whole=True).collect()} == {i for i, _ in docs} - {i for i, _ in wanted}
