@@ -418,8 +418,9 @@ def default_order() -> list[Column]:
 class Filled:
     """A fill: the decisions by facility, the facilities they are about, and the size of the pool."""
 
-    rows: DataFrame  # key, rank, amounts and running totals
-    draws: DataFrame  # key, rank, amount, value and allowed units of each limit
+    rows: DataFrame  # key, rank, amounts and running totals of what was visited before the pool was full
+    draws: DataFrame  # key, rank, amount, value and allowed units of each limit, of the same
+    rest: DataFrame  # key, value and allowed units of each limit, of what comes later
     facilities: DataFrame
     pool: Decimal
     types: list[str]  # of the limits
@@ -429,6 +430,7 @@ class Filled:
         """Write the fill, for reports of later runs; ``load_fill`` reads it."""
         self.rows.write.parquet(f"{folder}/rows")
         self.draws.write.parquet(f"{folder}/draws")
+        self.rest.write.parquet(f"{folder}/rest")
         self.facilities.write.parquet(f"{folder}/facilities")
         types = F.array(*[F.lit(t) for t in self.types]).cast("array<string>")
         self.rows.sparkSession.range(1).select(F.lit(self.pool).cast(MONEY).alias("pool"), types.alias("types")).write.parquet(f"{folder}/pool")
@@ -436,8 +438,8 @@ class Filled:
 
 def load_fill(spark: SparkSession, folder: str) -> Filled:
     of = spark.read.parquet(f"{folder}/pool").first()
-    rows, draws, facilities = (spark.read.parquet(f"{folder}/{name}") for name in ("rows", "draws", "facilities"))
-    return Filled(rows, draws, facilities, of["pool"], list(of["types"]))
+    rows, draws, rest, facilities = (spark.read.parquet(f"{folder}/{name}") for name in ("rows", "draws", "rest", "facilities"))
+    return Filled(rows, draws, rest, facilities, of["pool"], list(of["types"]))
 
 
 def fill_pool(facilities: DataFrame, pool_size: Decimal, order: list[Column] | None = None,
@@ -474,19 +476,21 @@ def fill_pool(facilities: DataFrame, pool_size: Decimal, order: list[Column] | N
 
     # which cap was used up before a row, and what a row was settled at, are joined from the events' tables
     names = [f"_since_{i}" for i in range(len(slots))]
-    marked = lookup_many(placed, events.used_up, events.count, {n: _cap_id(kind, value) for n, (kind, value, _) in zip(names, slots)})
+    # what comes after the row that filled the pool takes nothing: only its limits are kept
+    visited, rest = (placed, placed.filter(F.lit(False))) if events.full_at is None else (
+        placed.filter(F.col("rank") <= events.full_at), placed.filter(F.col("rank") > events.full_at))
+    marked = lookup_many(visited, events.used_up, events.count, {n: _cap_id(kind, value) for n, (kind, value, _) in zip(names, slots)})
     marked = marked.join(events.settled, "rank", "left")
     # the last limit in sheet order that rejects the row
     spent = [F.when((allowed <= 0) | F.coalesce(F.col(n) < F.col("rank"), F.lit(False)), F.struct(
         F.lit(kind).alias("limit_type"), value.alias("limit_value"), allowed.alias("allowed_units")))
         for n, (kind, value, allowed) in zip(names, slots)]
     settled = (F.col("taken").cast("decimal(28,0)") / TICKS).cast(MONEY)
-    visited = F.lit(True) if events.full_at is None else F.col("rank") <= events.full_at
-    marked = marked.withColumns({"last_spent": F.coalesce(*reversed(spent)), "settled": settled, "visited": visited})
-    taken = F.when(~F.col("visited") | ~is_candidate, F.lit(0)).when(F.col("settled").isNotNull(), F.col("settled")).when(
+    marked = marked.withColumns({"last_spent": F.coalesce(*reversed(spent)), "settled": settled})
+    taken = F.when(~is_candidate, F.lit(0)).when(F.col("settled").isNotNull(), F.col("settled")).when(
         F.col("last_spent").isNotNull(), F.lit(0)).otherwise(F.col("eligible_amount")).cast(MONEY)
     decided = materialize(marked.select(
-        *GRAIN, "rank", "bucket", "visited", taken.alias("allocated_amount"), "last_spent",
+        *GRAIN, "rank", "bucket", taken.alias("allocated_amount"), "last_spent",
         least_of([allowed for _, _, allowed in slots], F.lit(SHARE_UNITS).cast("long")).alias("tightest_units"),
         *_flat([(value, allowed) for _, value, allowed in slots])), "decided")
     flat = [f"{name}_{i}" for i in range(len(types)) for name in ("value", "allowed")]
@@ -495,13 +499,14 @@ def fill_pool(facilities: DataFrame, pool_size: Decimal, order: list[Column] | N
         "selected_so_far": F.when(F.col("allocated_amount") > 0, 1).otherwise(0),
     })
     # the allocation starts from the rows, trace and ledger from the draws
-    draws = decided.select(*GRAIN, "rank", "bucket", "visited", "allocated_amount", *flat)
-    return Filled(materialize(rows, "filled"), draws, facilities.drop("limits"), pool_size, types, events)
+    draws = decided.select(*GRAIN, "rank", "bucket", "allocated_amount", *flat)
+    return Filled(materialize(rows, "filled"), draws, rest.select(*GRAIN, *flat), facilities.drop("limits"), pool_size, types, events)
 
 
 def allocation(filled: Filled) -> DataFrame:
     """One row per facility: selection, amounts, running shares, exclusion reason."""
-    rows = filled.facilities.join(filled.rows, GRAIN)
+    rows = filled.facilities.join(filled.rows.withColumn("visited", F.lit(True)), GRAIN, "left").withColumns({
+        "visited": F.coalesce("visited", F.lit(False)), "allocated_amount": F.coalesce("allocated_amount", F.lit(0).cast(MONEY))})
     size = float(filled.pool)
     taken = F.col("allocated_amount")
     selected, visited = taken > 0, F.col("visited")
@@ -534,27 +539,27 @@ def allocation(filled: Filled) -> DataFrame:
 
 def allocation_trace(filled: Filled) -> DataFrame:
     """One row per facility and limit: allowed, used after the row, available before it."""
-    flat = _limit_rows(filled.draws, filled.types, *GRAIN, "rank", "bucket", "visited", "allocated_amount").withColumn(
+    flat = _limit_rows(filled.draws, filled.types, *GRAIN, "rank", "bucket", "allocated_amount").withColumn(
         "_draw_units", F.when(F.col("allocated_amount") > 0, _units(F.col("allocated_amount"), filled.pool)).otherwise(F.lit(0)))
     keys = ["limit_type", "limit_value"]
     totals = running_totals(flat, keys, "bucket", "rank", {
         "used_units": F.col("_draw_units"), "used_amount": F.col("allocated_amount")})
     share, pool = F.lit(float(SHARE_UNITS)), F.lit(float(filled.pool))
     available = F.greatest(F.col("allowed_units") - (F.col("used_units") - F.col("_draw_units")), F.lit(0))
-    visited = F.col("visited")
-    return totals.select(
-        *GRAIN, F.when(visited, F.col("rank")).otherwise(F.lit(0)).alias("candidate_rank"), *keys,
-        F.when(visited, F.col("allowed_units") / share).otherwise(F.lit(1.0)).alias("allowed_share"),
-        F.when(visited, F.col("allowed_units") * pool / share).otherwise(pool).alias("cap_amount"),
-        F.when(visited, available / share).alias("available_share"),
-        F.when(visited, F.col("used_units") / share).otherwise(F.lit(0.0)).alias("used_share"),
-        F.when(visited, F.col("used_amount")).otherwise(F.lit(0).cast(MONEY)).alias("used_amount"),
-    )
+    visited = totals.select(
+        *GRAIN, F.col("rank").alias("candidate_rank"), *keys,
+        (F.col("allowed_units") / share).alias("allowed_share"), (F.col("allowed_units") * pool / share).alias("cap_amount"),
+        (available / share).alias("available_share"), (F.col("used_units") / share).alias("used_share"), "used_amount")
+    # later rows keep initial values, which need no totals: they stay in place
+    initial = {"candidate_rank": F.lit(0), "allowed_share": F.lit(1.0), "cap_amount": pool, "available_share": F.lit(None), "used_share": F.lit(0.0), "used_amount": F.lit(0)}
+    rest = _limit_rows(filled.rest, filled.types, *GRAIN).withColumns(initial)
+    return visited.unionByName(rest.select(*[F.col(f.name).cast(f.dataType) for f in visited.schema]))
 
 
 def limit_ledger(filled: Filled, scenario: str) -> DataFrame:
     """Final state of every cap: allowed, used, cap amount, used amount."""
-    flat = _limit_rows(filled.draws, filled.types, "allocated_amount")
+    flat = _limit_rows(filled.draws, filled.types, "allocated_amount").unionByName(
+        _limit_rows(filled.rest, filled.types).withColumn("allocated_amount", F.lit(0).cast(MONEY)))
     units = F.when(F.col("allocated_amount") > 0, _units(F.col("allocated_amount"), filled.pool)).otherwise(F.lit(0))
     share, pool = F.lit(float(SHARE_UNITS)), F.lit(float(filled.pool))
     return flat.groupBy("limit_type", "limit_value").agg(

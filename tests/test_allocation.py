@@ -179,3 +179,16 @@ def test_jobs_of_a_fill_follow_the_buckets_not_the_events(spark):
         assert [got[r[0]] for r in rows] == [taken for _, taken, _ in expected]
     # neither buckets nor events cost jobs as long as one fold takes them
     assert jobs[1200] < 45 and jobs[300] < 45, jobs
+
+
+def test_totals_hold_only_rows_before_the_pool_was_full(spark):
+    """Rows that come after the one that filled the pool are neither marked nor summed, and all results keep them."""
+    rows = [(f"f{i}", "0", "b", i, 1, Decimal(10), Decimal(10), "NA", "", [("group", f"g{i % 3}", 10_000_000), ("country", "c", 10_000_000)]) for i in range(120)]
+    filled = A.fill_pool(spark.createDataFrame(rows, SCHEMA), Decimal(400), [F.asc("place")], bucket_rows=16)
+    assert filled.events.full_at == 40 and filled.rows.count() == filled.draws.count() == 40 and filled.rest.count() == 80
+    portfolio = {r.facility_id: r for r in A.allocation(filled).collect()}
+    assert len(portfolio) == 120 and sum(r.is_selected for r in portfolio.values()) == 40
+    assert (portfolio["f99"].candidate_rank, portfolio["f99"].cumulative_amount, portfolio["f99"].pool_limit, portfolio["f99"].exclusion_reason) == (0, 0, 1.0, "NA")
+    trace = A.allocation_trace(filled).collect()
+    assert len(trace) == 240 and sum(r.candidate_rank > 0 for r in trace) == 80
+    assert all((r.allowed_share, r.cap_amount, r.available_share, r.used_share, r.used_amount) == (1.0, 400.0, None, 0.0, 0) for r in trace if not r.candidate_rank)
