@@ -40,6 +40,8 @@ PARTS = 3
 BAND = 1.4
 #: Rows at least that the signatures of a set are packed into for the shuffle; more where there are many partitions.
 DEALS = 128
+#: Signatures that a task sorts at a time; short texts have more of them for each byte.
+SIGNED = 1 << 18
 #: Members of a signature that a task holds at a time.
 MEMBERS = 2048
 #: Open signatures that a member names, its lowest ones: a pair is left to the lowest that both name.
@@ -198,11 +200,13 @@ def _star(sigs: np.ndarray, keys: np.ndarray, deals: int) -> pa.RecordBatch:
 def memberships(docs: DataFrame, size: int, bands: Bands, salt: int) -> DataFrame:
     """Rows (sig, key, lead): members of the signatures that several sets share, without the leaders themselves."""
     deals = max(DEALS, 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    most = SIGNED
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: set[int] = set()
             found: list[tuple[np.ndarray, np.ndarray]] = []
+            held = 0
             for part in in_slices(iter([batch]), "text"):
                 sets, keys = [], []
                 for s in _sets(part, size):
@@ -212,7 +216,11 @@ def memberships(docs: DataFrame, size: int, bands: Bands, salt: int) -> DataFram
                         keys.append(key)
                 sigs, owner = signatures(sets, bands)
                 found.append((sigs, np.array(keys, np.int64)[owner]))
-            if seen:
+                held += len(sigs)
+                if held >= most:
+                    yield _star(*(np.concatenate(x) for x in zip(*found)), deals)
+                    found, held = [], 0
+            if held:
                 yield _star(*(np.concatenate(x) for x in zip(*found)), deals)
 
     packed = docs.select("text").mapInArrow(run, "deal long, key long, lead long, sigs array<long>")
@@ -342,23 +350,29 @@ def _pairs_apart(sig: int, rows: list[tuple], threshold: Fraction) -> Iterator[t
 SLICE = 1 << 16
 
 
-def pairs_of_open(members: DataFrame, threshold: Fraction) -> DataFrame:
+def pairs_of_open(members: DataFrame, threshold: Fraction, sketches: DataFrame | None = None) -> DataFrame:
     """Possible pairs (a, b) of different components under one signature.
 
-    ``members`` has the rows (sig, key, root, n_shingles, sketch). A signature of many members is
+    ``members`` has the rows (sig, key, root), ``sketches`` one row (key, n_shingles, sketch) a key; without it
+    they stand in ``members``. A signature of many members is
     split into blocks, and every pair of blocks is a group of its own. Similar sets share many signatures;
     each member names its lowest ones, and a pair leaves only under the lowest that both name.
     """
+    if sketches is None:
+        sketches = members.dropDuplicates(["key"])
+    members = members.select("sig", "key", "root")
     nth = F.row_number().over(Window.partitionBy("key").orderBy("sig"))
     named = members.select("key", "sig", nth.alias("nth")).filter(F.col("nth") <= NAMED).groupBy("key").agg(F.collect_list("sig").alias("named"))
-    members = members.join(named, "key")
     counts = members.groupBy("sig").agg(F.ceil(F.count("*") / MEMBERS).alias("blocks"))
     dealt = members.join(counts, "sig").withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     # block pairs (low, high): rows of the low one have side 1, of the high one 2, within one block 0
     dealt = dealt.select(
-        "sig", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "key", "root", "n_shingles", "sketch",
-        F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"), "named")
+        "sig", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "key", "root",
+        F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"))
+    # what is wide is one row a key until the members are dealt, and moves with them only once
+    dealt = dealt.join(named, "key").join(sketches.select("key", "n_shingles", "sketch"), "key").select(
+        "sig", "low", "high", "key", "root", "n_shingles", "sketch", "side", "named")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -380,12 +394,14 @@ def pairs_of_open(members: DataFrame, threshold: Fraction) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], ["a", "b"])
 
         for batch in batches:
-            names = ("sig", "low", "high", "key", "root", "n_shingles", "sketch", "side", "named")
-            for sig, low, high, *row in zip(*(batch.column(c).to_pylist() for c in names)):
+            names = ("sig", "low", "high", "key", "root", "n_shingles", "sketch", "side")
+            lists = batch.column("named")
+            ends, flat = np.asarray(lists.offsets), np.asarray(lists.values)
+            for i, (sig, low, high, *row) in enumerate(zip(*(batch.column(c).to_pylist() for c in names))):
                 if at != (sig, low, high):
                     yield from done()
                     held, at = [], (sig, low, high)
-                held.append(tuple(row))
+                held.append((*row, flat[ends[i] : ends[i + 1]].copy()))
         yield from done()
 
     ordered = dealt.repartition("sig", "low", "high").sortWithinPartitions("sig", "low", "high")
@@ -410,8 +426,8 @@ def linked_classes(docs: DataFrame, described: DataFrame, size: int, threshold:
     members = materialize(members.join(groups, members["key"] == groups["node"], "left").select("sig", "key", F.coalesce("root", "key").alias("root")), "members")
     # the two of a pair have been compared with each other
     several = members.groupBy("sig").count().filter("count > 2").select("sig")
-    members = materialize(members.join(several, "sig", "left_semi"), "members").join(sketches, "key")
-    new = materialize(pairs_of_open(members, threshold).join(links.select("a", "b"), ["a", "b"], "left_anti"), "candidates")
+    members = materialize(members.join(several, "sig", "left_semi"), "members")
+    new = materialize(pairs_of_open(members, threshold, sketches).join(links.select("a", "b"), ["a", "b"], "left_anti"), "candidates")
     if new.isEmpty():
         return groups, links
     more = materialize(checked(docs, new, size, bands, salt), "compared").filter("linked")

@@ -147,3 +147,19 @@ def test_a_pair_leaves_under_its_lowest_signature():
     rows = [(1, 1, 50, s, 0, [-5, 3, 9]), (2, 2, 50, s, 0, [-7, 3, 9]), (3, 3, 50, s, 0, [9])]
     pairs = lambda sig, held: {(int(a), int(b)) for x, y in m._pairs_apart(sig, held, Fraction(4, 5)) for a, b in zip(x, y)}
     assert pairs(3, rows[:2]) == {(2, 1)} and pairs(9, rows) == {(3, 1), (3, 2)}
+
+
+def test_sketches_are_shuffled_under_their_signatures_once(spark):
+    members = spark.createDataFrame([(7, k, k) for k in range(1, 6)], "sig long, key long, root long")
+    sketches = spark.createDataFrame([(k, 24, bytearray(m.sketch(np.arange(24, dtype=np.uint64)))) for k in range(1, 6)], "key long, n_shingles long, sketch binary")
+    plan = m.pairs_of_open(members, Fraction(4, 5), sketches)._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    moved = re.findall(r"\) Exchange\s*\nInput \[\d+\]: \[([^\n]*)\]", plan)
+    assert sum("sketch#" in x and "sig#" in x for x in moved) == 1 and len(moved) > 1
+
+
+def test_signatures_are_sorted_in_pieces(spark, monkeypatch):
+    texts = [" ".join(f"w{(i if i % 9 else 0) % (40 + k % 3)}" for i in range(60)) for k in range(30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    whole = {(r.doc_id, r.component_id) for r in m.near_duplicates(docs).collect()}
+    monkeypatch.setattr(m, "SIGNED", 1)
+    assert {(r.doc_id, r.component_id) for r in m.near_duplicates(docs).collect()} == whole and len({c for _, c in whole}) < 30
