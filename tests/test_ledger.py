@@ -89,3 +89,17 @@ def test_one_shuffle_after_the_daily_rollup(spark):
     text = plan._jdf.queryExecution().executedPlan().toString()
     by_facility = [line for line in text.splitlines() if "Exchange hashpartitioning(facility_id" in line]
     assert len(by_facility) == 2  # the roll-up and the windows
+
+
+def test_run_off_after_the_value_date_is_summed_without_steps(spark):
+    late = {"signing": "2024-09-01"}
+    rows = [
+        move("Term Loan Repayment", "2024-02-01", 500, klass="Repayment of Principal", **late),  # before the value date, whatever the signing date
+        move("Term Loan Repayment", "2024-06-01", 30, klass="Repayment of Principal", **late),
+        move("Term Loan Repayment", "2024-06-05", 30, klass="Repayment of Principal", **late),
+        move("Term Loan Repayment", "2024-07-01", 70, klass="Repayment of Principal", facility="9")]
+    fx = spark.createDataFrame([("EUR", D(1))], CONTRACTS["fx"])
+    signed = ledger.signed_movements(ledger.balance_movements(spark.createDataFrame(rows, MOVES)), fx)
+    balances = spark.createDataFrame([("1", "2", "A", "E"), ("1", "2", "A", "E"), ("9", "2", "A", "F")], "facility_id string, tranche_id string, branch_id string, entity_id string")
+    out = ledger.average_maturity(signed, balances, "2024-03-15")
+    assert [(r.facility_id, r.runoff_total, r.avg_maturity) for r in out.collect()] == [("1", D(60), day("2024-06-03"))]
