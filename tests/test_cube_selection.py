@@ -75,3 +75,10 @@ def test_cost_income_takes_the_home_office_at_the_newest_cutoff(spark):
     rows = [("2024-01-01", "GF", "ESPAÑA", 0.1), ("2024-02-01", "GF", " ESPAÑA ", 0.2), ("2024-02-01", "GF", "MEXICO", 0.3), ("2024-02-01", "XX", "ESPAÑA", 0.4)]
     df = spark.createDataFrame(rows, "cutoff_date string, area_id string, office_desc string, ratio double")
     assert selection.cost_income(df).first()[0] == 0.2
+
+
+def test_ledger_rows_and_long_ids_are_not_sorted_as_they_are(tables):
+    """The cube needs no steps of the ledger, and joins on contract ids compare their digests first."""
+    plan = cube.wide_cube(cube_sources(tables), L.VALUE_DATE, DATES)._jdf.queryExecution().optimizedPlan().toString()
+    assert "distance" not in plan and "side#" not in plan
+    assert plan.count("(_digest#") >= 4
