@@ -32,8 +32,8 @@ from poolwright import GRAIN
 from poolwright.functions.exprs import all_of, least_of
 from poolwright.operators.limits import DATE_LIMITS, SEP, SHARE_UNITS, VALUE, LimitSpec, RuleBook, date_share, matched_share, rule_id, with_shares
 from poolwright.operators.lookups import lookup_many
-from poolwright.operators.ranking import ranked, running_totals
-from poolwright.session import materialize
+from poolwright.operators.ranking import ranked, running_totals, totals_before
+from poolwright.session import discard, materialize
 
 NO_VALUE = "None"
 # Amounts are counted in ticks of 1/10000 and shares in units of 1e-7, both as
@@ -48,6 +48,7 @@ TARGET_BUCKETS = 2_048
 # Rows that one fold takes if buckets are smaller, and rows that it accepts at once.
 FOLD_ROWS = 262_144
 BLOCK_ROWS = 1_024
+LOW_HALF = (1 << 32) - 1
 # always followed, whether the sheet limits them or not; a sheet's own limit on the same column is the same limit
 ALWAYS_TRACKED = {"divisa": "currency", "financial_product": "financial_product"}
 
@@ -176,19 +177,28 @@ def _cap_id(kind: str, value: Column) -> Column:
 
 
 def demand(candidates: DataFrame, pool: Decimal, types: list[str]) -> DataFrame:
-    """Candidates with their draws: ``wanted`` ticks of the pool, ``units`` of each limit in ``caps``."""
-    caps = [F.struct(_cap_id(kind, value).alias("id"), allowed.alias("room")) for kind, value, allowed in _slots(types)]
+    """Candidates with their draws: ``wanted`` ticks of the pool, ``units`` of each limit."""
     return candidates.select(
         "rank", "bucket", (F.col("amount").cast(MONEY) * TICKS).cast("long").alias("wanted"),
-        _units(F.col("amount"), pool).alias("units"), F.array(*caps).alias("caps"))
+        _units(F.col("amount"), pool).cast("long").alias("units"), *_flat([(value, allowed) for _, value, allowed in _slots(types)]))
 
 
-def _bucket_sums(rows: DataFrame, pool: Decimal) -> DataFrame:
-    """Total draw per bucket and cap, the pool included (combined on the map side)."""
-    on_pool = F.struct(F.lit(POOL).alias("id"), F.lit(pool_ticks(pool)).cast("long").alias("room"))
-    draws = rows.select("bucket", "wanted", "units", F.explode(F.array_append("caps", on_pool)).alias("cap"))
-    draw = F.when(F.col("cap.id") == POOL, F.col("wanted")).otherwise(F.col("units"))
-    return draws.groupBy("bucket", F.col("cap.id").alias("id")).agg(F.sum(draw.cast("decimal(28,0)")).alias("draw"), F.first("cap.room").alias("room"))
+def _bucket_sums(rows: DataFrame, pool: Decimal, types: list[str], some: list[int]) -> DataFrame:
+    """Total draw per bucket and cap of ``some`` of the types, the pool included (combined on the map side).
+
+    Rows are grouped by the number of the type and the value, from which the sums get their ids. The upper and the
+    lower half of the draws are summed as longs: exact for any sum, without decimal arithmetic per row.
+    """
+    caps = [F.struct(F.lit(i).alias("kind"), value.alias("value"), allowed.alias("room")) for i, (_, value, allowed) in enumerate(_slots(types)) if i in some]
+    caps.append(F.struct(F.lit(len(types)).alias("kind"), F.lit("").alias("value"), F.lit(pool_ticks(pool)).cast("long").alias("room")))
+    draws = rows.select("bucket", "wanted", "units", F.explode(F.array(*caps)).alias("cap")).select(
+        "bucket", "cap.*", F.when(F.col("cap.kind") == len(types), F.col("wanted")).otherwise(F.col("units")).alias("draw"))
+    sums = draws.groupBy("bucket", "kind", "value").agg(
+        F.sum(F.shiftright("draw", 32)).alias("high"), F.sum(F.col("draw").bitwiseAND(F.lit(LOW_HALF))).alias("low"), F.first("room").alias("room"))
+    starts = F.array(*[F.lit(kind + SEP) for kind in types], F.lit(POOL))
+    return sums.select(
+        "bucket", F.concat(F.get(starts, F.col("kind")), "value").alias("id"),
+        (F.col("high").cast("decimal(20,0)") * F.lit(LOW_HALF + 1).cast("decimal(10,0)") + F.col("low")).cast("decimal(38,0)").alias("draw"), "room")
 
 
 def _first_tight(sums: DataFrame, start: int) -> int | None:
@@ -207,11 +217,11 @@ def find_events(rows: DataFrame, pool: Decimal, last_bucket: int, types: list[st
     counts as it was used, and what later rows on used-up caps would have drawn is taken off.
     """
     spark = rows.sparkSession
-    sums = materialize(_bucket_sums(rows, pool), "sums")
+    sums = materialize(_bucket_sums(rows, pool, types, [*range(len(types))]), "sums")
     totals = sums.groupBy("id").agg(F.sum("draw").alias("draw"), F.first("room").alias("room"))
     binding = materialize(totals.filter(F.col("draw") >= F.col("room")).select("id", "room"), "binding")
     sums = sums.join(binding.select("id"), "id", "left_semi")
-    # limit types without such a cap need not reach the fold
+    # limit types without such a cap need not be looked at again
     kinds = {r[0] for r in binding.select(F.substring_index("id", SEP, 1)).distinct().collect()}
     tight = [i for i, kind in enumerate(types) if kind in kinds]
     parts, width = [], max(1, FOLD_ROWS // bucket_rows)
@@ -221,7 +231,7 @@ def find_events(rows: DataFrame, pool: Decimal, last_bucket: int, types: list[st
         if first is None:
             break
         stop = min(first + width, last_bucket + 1)
-        folded = _fold_slice(rows, tight, sums, binding, parts, pool, first, stop)
+        folded = _fold_slice(rows, types, tight, sums, binding, parts, pool, first, stop)
         info = folded.agg(F.min(F.when(F.col("full"), F.col("rank"))).alias("full_at"), F.count(F.when(F.col("kind") == USED_UP, 1)).alias("n")).first()
         parts.append(folded)
         full_at, start, count = info["full_at"], stop, count + info["n"]
@@ -231,7 +241,7 @@ def find_events(rows: DataFrame, pool: Decimal, last_bucket: int, types: list[st
         kept = sums.filter(~F.col("bucket").between(first, stop - 1)).select("bucket", "id", "draw")
         kept = kept.unionByName(inside)
         if info["n"]:
-            kept = kept.unionByName(_newly_excluded(rows, parts, info["n"], count, types, stop, pool).join(binding.select("id"), "id", "left_semi").select("bucket", "id", (-F.col("draw")).alias("draw")))
+            kept = kept.unionByName(_newly_excluded(rows, parts, count, types, tight, stop, pool).join(binding.select("id"), "id", "left_semi").select("bucket", "id", (-F.col("draw")).alias("draw")))
         corrected = kept.groupBy("bucket", "id").agg(F.sum("draw").alias("draw")).filter("draw <> 0")
         sums = materialize(corrected.join(binding, "id"), "sums")
     found = _together(spark, parts)
@@ -248,35 +258,39 @@ def _together(spark: SparkSession, parts: list[DataFrame]) -> DataFrame:
     return spark.read.schema(FOLDED).parquet(*[p.inputFiles()[0].rsplit("/", 1)[0] for p in parts])
 
 
-def _marks(rows: DataFrame, used_up: DataFrame, count: int, types: list[str]) -> tuple[DataFrame, list[str]]:
+def _ids(types: list[str], some: list[int]) -> list[Column]:
+    return [_cap_id(types[i], F.col(f"value_{i}")) for i in some]
+
+
+def _marks(rows: DataFrame, used_up: DataFrame, count: int, ids: list[Column]) -> tuple[DataFrame, list[str]]:
     """Rows with what ``used_up`` (id, value) holds for each of their caps."""
-    names = [f"_mark_{i}" for i in range(len(types))]
-    return lookup_many(rows, used_up, count, {name: F.col("caps")[i]["id"] for i, name in enumerate(names)}), names
+    names = [f"_mark_{i}" for i in range(len(ids))]
+    return lookup_many(rows, used_up, count, dict(zip(names, ids))), names
 
 
-def _newly_excluded(rows: DataFrame, parts: list[DataFrame], new: int, count: int, types: list[str], start: int, pool: Decimal) -> DataFrame:
-    """Draws, by bucket and cap, of the rows from ``start`` on whose first used-up cap is one of the last fold's."""
+def _newly_excluded(rows: DataFrame, parts: list[DataFrame], count: int, types: list[str], tight: list[int], start: int, pool: Decimal) -> DataFrame:
+    """Draws, by bucket and cap of the ``tight`` types, of the rows from ``start`` on whose first used-up cap is one of the last fold's."""
     last = len(parts) - 1
     used_up = parts[last].filter(F.col("kind") == USED_UP).select("id", F.lit(last).alias("value"))
     if last:
         used_up = used_up.unionByName(_together(rows.sparkSession, parts[:last]).filter(F.col("kind") == USED_UP).select("id", F.lit(0).alias("value")))
-    marked, names = _marks(rows.filter(F.col("bucket") >= start), used_up, count, types)
+    marked, names = _marks(rows.filter(F.col("bucket") >= start), used_up, count, _ids(types, tight))
     least = least_of([F.col(n) for n in names], F.lit(None).cast("int"))
-    return _bucket_sums(marked.filter(least == last), pool)
+    return _bucket_sums(marked.filter(least == last), pool, types, tight)
 
 
 FOLDED = "kind string, rank long, id string, amount long, full boolean"
 SETTLED, USED_UP, USED = "settled", "used up", "used"
 
 
-def _fold_slice(rows: DataFrame, tight: list[int], sums: DataFrame, binding: DataFrame, parts: list[DataFrame], pool: Decimal, first: int, stop: int) -> DataFrame:
+def _fold_slice(rows: DataFrame, types: list[str], tight: list[int], sums: DataFrame, binding: DataFrame, parts: list[DataFrame], pool: Decimal, first: int, stop: int) -> DataFrame:
     """Settle every event of the buckets ``first`` to ``stop - 1``; rows of ``FOLDED``.
 
     Whether a facility fits depends on all before it, so the slice, a bounded part of the order, is folded
     in a single task. What its caps have left comes first, then its rows by rank.
     """
-    ids = F.array(*[F.col("caps")[i]["id"] for i in tight]).cast("array<string>")
-    inside = rows.filter(F.col("bucket").between(first, stop - 1)).select("rank", "wanted", F.col("units").cast("long").alias("units"), ids.alias("caps"))
+    ids = F.array(*_ids(types, tight)).cast("array<string>")
+    inside = rows.filter(F.col("bucket").between(first, stop - 1)).select("rank", "wanted", "units", ids.alias("caps"))
     used = sums.filter(F.col("bucket") < first).groupBy("id").agg(F.sum("draw").alias("used"))
     # caps of the slice, and the pool
     own = inside.select(F.explode("caps").alias("id")).distinct().unionByName(rows.sparkSession.range(1).select(F.lit(POOL).alias("id")))
@@ -408,6 +422,12 @@ def bucket_rows_for(rows: int) -> int:
 ORDER_COLUMNS = ("reg_capital_ratio",)
 
 
+def fill_columns(book: RuleBook, order_columns: tuple[str, ...] = ORDER_COLUMNS) -> list[str]:
+    """What a fill reads of its facilities."""
+    limited = [s.columns[-1] for s in _tracked(book, ALWAYS_TRACKED)]
+    return [*dict.fromkeys([*GRAIN, *order_columns, "eligible_amount", "is_candidate", *limited])]
+
+
 def default_order() -> list[Column]:
     """Most regulatory capital per exposure first, facility key as tie-breaker."""
     key = F.concat_ws("_", *GRAIN)
@@ -457,7 +477,8 @@ def fill_pool(facilities: DataFrame, pool_size: Decimal, order: list[Column] | N
         order, order_columns = default_order(), ORDER_COLUMNS
     limited = [s.columns[-1] for s in _tracked(book, ALWAYS_TRACKED)] if book is not None else ["limits"]
     needed = [*GRAIN, *(order_columns or facilities.columns), "eligible_amount", "is_candidate", *limited]
-    placed, count = ranked(facilities.select(*dict.fromkeys(needed)), order)
+    by_rank, count = ranked(facilities.select(*dict.fromkeys(needed)), order)
+    placed = by_rank
     size = bucket_rows or bucket_rows_for(count)
     if book is not None:
         specs = [_single(s) for s in _tracked(book, ALWAYS_TRACKED)]
@@ -468,6 +489,7 @@ def fill_pool(facilities: DataFrame, pool_size: Decimal, order: list[Column] | N
         pairs = [(F.col("limits")[i]["limit_value"], F.col("limits")[i]["allowed_units"]) for i in range(len(types))]
     bucket = F.floor((F.col("rank") - 1) / size).cast("long").alias("bucket")
     placed = materialize(placed.select(*GRAIN, "rank", bucket, "eligible_amount", "is_candidate", *_flat(pairs)), "placed")
+    discard(by_rank)
     slots = _slots(types)
     is_candidate = F.col("is_candidate") == 1
     open_caps = all_of([allowed > 0 for _, _, allowed in slots])
@@ -539,11 +561,8 @@ def allocation(filled: Filled) -> DataFrame:
 
 def allocation_trace(filled: Filled) -> DataFrame:
     """One row per facility and limit: allowed, used after the row, available before it."""
-    flat = _limit_rows(filled.draws, filled.types, *GRAIN, "rank", "bucket", "allocated_amount").withColumn(
-        "_draw_units", F.when(F.col("allocated_amount") > 0, _units(F.col("allocated_amount"), filled.pool)).otherwise(F.lit(0)))
     keys = ["limit_type", "limit_value"]
-    totals = running_totals(flat, keys, "bucket", "rank", {
-        "used_units": F.col("_draw_units"), "used_amount": F.col("allocated_amount")})
+    totals = _used(filled)
     share, pool = F.lit(float(SHARE_UNITS)), F.lit(float(filled.pool))
     available = F.greatest(F.col("allowed_units") - (F.col("used_units") - F.col("_draw_units")), F.lit(0))
     visited = totals.select(
@@ -556,6 +575,31 @@ def allocation_trace(filled: Filled) -> DataFrame:
     return visited.unionByName(rest.select(*[F.col(f.name).cast(f.dataType) for f in visited.schema]))
 
 
+def _used(filled: Filled) -> DataFrame:
+    """Visited facilities by limit, with what is used of its cap after each: ``used_units`` and ``used_amount``.
+
+    Facilities are dealt by bucket before they become a row per limit. What the buckets before hold of a cap comes along as
+    a row of its own that sorts first, so the running total of a cap in its bucket is the whole one.
+    """
+    drawn = filled.draws.withColumn("_draw_units", F.when(F.col("allocated_amount") > 0, _units(F.col("allocated_amount"), filled.pool)).otherwise(F.lit(0)).cast("long"))
+    slots = _slots(filled.types)
+    caps = [F.struct(F.lit(i).alias("kind"), value.alias("limit_value"), allowed.alias("allowed_units")) for i, (_, value, allowed) in enumerate(slots)]
+    drawn = drawn.select(*GRAIN, "rank", "bucket", "_draw_units", F.col("allocated_amount").alias("_draw_amount"), F.array(*caps).alias("caps"))
+
+    def by_cap(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("cap", F.explode("caps")).select(*[c for c in rows.columns if c != "caps"], "cap.*")
+
+    before = totals_before(by_cap(drawn), ["kind", "limit_value"], "bucket", {"units": "_draw_units", "amount": "_draw_amount"})
+    before = before.filter("_o_units > 0 OR _o_amount > 0").select(
+        *[F.lit(None).cast(drawn.schema[c].dataType).alias(c) for c in GRAIN], F.lit(0).cast("long").alias("rank"), "bucket",
+        F.col("_o_units").alias("_draw_units"), F.col("_o_amount").alias("_draw_amount"),
+        F.array(F.struct("kind", "limit_value", F.lit(None).cast("long").alias("allowed_units"))).alias("caps"))
+    dealt = by_cap(drawn.unionByName(before).repartition("bucket"))
+    so_far = W.partitionBy("bucket", "kind", "limit_value").orderBy("rank").rowsBetween(W.unboundedPreceding, W.currentRow)
+    totals = dealt.withColumns({"used_units": F.sum("_draw_units").over(so_far), "used_amount": F.sum("_draw_amount").over(so_far)}).filter("rank > 0")
+    return totals.withColumn("limit_type", F.get(F.array(*[F.lit(kind) for kind in filled.types]), F.col("kind")))
+
+
 def limit_ledger(filled: Filled, scenario: str) -> DataFrame:
     """Final state of every cap: allowed, used, cap amount, used amount."""
     flat = _limit_rows(filled.draws, filled.types, "allocated_amount").unionByName(

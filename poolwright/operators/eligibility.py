@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from poolwright.functions.exprs import least_of
 from poolwright.operators.limits import DATE_LIMITS, RuleBook, matched_share, with_shares
+from poolwright.operators.lookups import unfused
 
 MONEY = "decimal(20,4)"
 SHARE = "decimal(9,7)"
@@ -40,7 +41,8 @@ def apply_row_limits(facilities: DataFrame, book: RuleBook) -> DataFrame:
         matched.append(F.when(match.isNotNull(), F.lit(spec.name)))
     out = out.withColumns({**shares, "limits_applied": F.concat_ws(",", *matched) if matched else F.lit("")})
     zeros = [F.when(F.col(f"limit_{s.name}") == 0, F.lit(s.name)) for s in specs]
-    out = out.withColumn("exclusion_limits", F.concat_ws(", ", *zeros) if zeros else F.lit(""))
+    # ends the method of the joins, so that the amounts get one of their own
+    out = out.withColumn("exclusion_limits", unfused(F.concat_ws(", ", *zeros)) if zeros else F.lit(""))
     return out.select(*facilities.columns, *shares, "limits_applied", "exclusion_limits")
 
 

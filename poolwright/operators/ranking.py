@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from poolwright.session import materialize
+from poolwright.session import discard, materialize
 
 LOW_BITS = (1 << 33) - 1
 #: Buckets whose totals are summed together.
@@ -23,11 +23,13 @@ def ranked(df: DataFrame, order: list[Column], label: str = "ranked") -> tuple[D
     is its place in its partition plus the sizes of the partitions before it.
     Only the partition sizes reach the driver.
     """
-    placed = materialize(df, f"{label}-input").orderBy(*order).withColumns({
+    narrow = materialize(df, f"{label}-input")
+    placed = narrow.orderBy(*order).withColumns({
         "_part": F.spark_partition_id(),
         "_place": F.monotonically_increasing_id().bitwiseAND(F.lit(LOW_BITS)),
     })
     stored = materialize(placed, label)
+    discard(narrow)
     sizes = sorted((r["_part"], r["count"]) for r in stored.groupBy("_part").count().collect())
     totals = list(accumulate((n for _, n in sizes), initial=0))
     offsets = df.sparkSession.createDataFrame(
@@ -49,7 +51,17 @@ def running_totals(df: DataFrame, keys: list[str], bucket: str, order: str,
     spans of a key, a millionth and less of the rows.
     """
     named = df.withColumns({f"_{name}": expr for name, expr in sums.items()})
-    totals = named.groupBy(*keys, bucket).agg(*[F.sum(f"_{name}").alias(f"_t_{name}") for name in sums])
+    offsets = totals_before(named, keys, bucket, {name: f"_{name}" for name in sums})
+    within = W.partitionBy(*keys, bucket).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    joined = named.join(offsets, [*keys, bucket])
+    return joined.withColumns({
+        name: F.col(f"_o_{name}") + F.sum(f"_{name}").over(within) for name in sums
+    }).drop(*[f"_{name}" for name in sums], *[f"_o_{name}" for name in sums])
+
+
+def totals_before(df: DataFrame, keys: list[str], bucket: str, sums: dict[str, str]) -> DataFrame:
+    """One row per key and bucket: what the buckets before hold in all, as ``_o_<name>`` for each column of ``sums``."""
+    totals = df.groupBy(*keys, bucket).agg(*[F.sum(column).alias(f"_t_{name}") for name, column in sums.items()])
     totals = totals.withColumn("_span", F.floor(F.col(bucket) / SPAN))
     of_spans = totals.groupBy(*keys, "_span").agg(*[F.sum(f"_t_{name}").alias(f"_s_{name}") for name in sums])
     # without keys all spans are one group; a constant key keeps that a plain hash partition
@@ -57,10 +69,5 @@ def running_totals(df: DataFrame, keys: list[str], bucket: str, order: str,
     before = W.partitionBy(*grouped).orderBy("_span").rowsBetween(W.unboundedPreceding, -1)
     of_spans = of_spans.select(*keys, "_span", *[F.coalesce(F.sum(f"_s_{name}").over(before), F.lit(0)).alias(f"_s_{name}") for name in sums])
     earlier = W.partitionBy(*keys, "_span").orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
-    offsets = totals.join(of_spans, [*keys, "_span"]).select(*keys, bucket, *[
+    return totals.join(of_spans, [*keys, "_span"]).select(*keys, bucket, *[
         (F.col(f"_s_{name}") + F.coalesce(F.sum(f"_t_{name}").over(earlier), F.lit(0))).alias(f"_o_{name}") for name in sums])
-    within = W.partitionBy(*keys, bucket).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    joined = named.join(offsets, [*keys, bucket])
-    return joined.withColumns({
-        name: F.col(f"_o_{name}") + F.sum(f"_{name}").over(within) for name in sums
-    }).drop(*[f"_{name}" for name in sums], *[f"_o_{name}" for name in sums])

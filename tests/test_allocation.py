@@ -1,5 +1,6 @@
 import random
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from brute_force import fill
@@ -192,3 +193,46 @@ def test_totals_hold_only_rows_before_the_pool_was_full(spark):
     trace = A.allocation_trace(filled).collect()
     assert len(trace) == 240 and sum(r.candidate_rank > 0 for r in trace) == 80
     assert all((r.allowed_share, r.cap_amount, r.available_share, r.used_share, r.used_amount) == (1.0, 400.0, None, 0.0, 0) for r in trace if not r.candidate_rank)
+
+
+def test_tables_that_only_lead_to_the_fill_are_removed(spark):
+    """What is written before and after the sort goes once the rows that follow from it are written."""
+    from poolwright.session import Run, discard, materialize
+
+    pool, rows = case(13, 40)
+    with (run := Run(spark)):
+        filled = A.fill_pool(spark.createDataFrame(rows, SCHEMA), pool, [F.asc("place")])
+        kept = {p.name.rsplit("-", 1)[0] for p in Path(run.folder).iterdir()}
+    assert {"facilities", "placed", "decided", "filled"} <= kept and not {"ranked", "ranked-input"} & kept
+    assert A.allocation(filled).count() == 40 and A.allocation_trace(filled).count() == 120
+    with run:
+        table = materialize(spark.range(3), "other")
+    with pytest.raises(ValueError, match="this run"):
+        discard(table)
+    assert table.count() == 3
+    run.drop()
+
+
+def test_the_trace_moves_facilities_not_a_row_per_limit(spark):
+    """Facilities are dealt by bucket before they become a row per limit; totals reach over buckets all the same."""
+    rows = [(f"f{i}", "0", "b", i, 1, Decimal(10), Decimal(10 + i % 3), "NA", "", [("group", f"g{i % 4 if i < 60 else 9}", 10_000_000), ("country", "c", 10_000_000)]) for i in range(90)]
+    filled = A.fill_pool(spark.createDataFrame(rows, SCHEMA).repartition(3), Decimal(100_000), [F.asc("place")], bucket_rows=7)
+    trace = A.allocation_trace(filled)
+    plan = trace._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" in plan and plan.index("Generate explode(caps") < plan.index("REPARTITION_BY_COL")
+    used = {}
+    got = {(r.facility_id, r.limit_type): r for r in trace.collect()}
+    assert len(got) == 180
+    for r in rows:
+        for kind, value, _ in r[9]:
+            used[kind, value] = used.get((kind, value), 0) + r[6]
+            mine = got[r[0], kind]
+            assert (mine.limit_value, mine.used_amount) == (value, used[kind, value])
+            assert mine.used_share == pytest.approx(float(used[kind, value]) / 100_000)
+
+
+def test_sums_of_buckets_are_exact_beyond_a_long(spark):
+    big = (1 << 62) + 12_345
+    df = spark.createDataFrame([(0, big, 7, "a", 5), (0, big, 8, "a", 5), (0, -3, 1, "b", 5)], "bucket long, wanted long, units long, value_0 string, allowed_0 long")
+    got = {r.id: (int(r.draw), r.room) for r in A._bucket_sums(df, Decimal(1), ["group"], [0]).collect()}
+    assert got == {A.POOL: (2 * big - 3, 10_000), f"group{A.SEP}a": (15, 5), f"group{A.SEP}b": (1, 5)}

@@ -1,3 +1,4 @@
+import time
 from datetime import date
 from decimal import Decimal as D
 
@@ -217,6 +218,22 @@ def test_interleaved_runs_drop_their_own_tables(spark):
         snapshots.require_rows(spark.range(0), "orders")
 
 
+def test_shuffle_files_go_with_the_query_that_wrote_a_table(spark):
+    from poolwright import session
+
+    def shuffled():
+        return {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle_")}
+
+    before = shuffled()
+    setting = spark.conf.get(session.CLEANUP)
+    table = session.materialize(spark.range(1000).repartition(3).groupBy((F.col("id") % 7).alias("k")).count(), "sums")
+    end = time.time() + 20
+    while shuffled() - before and time.time() < end:  # executors remove them in the background
+        time.sleep(0.2)
+    assert not shuffled() - before and table.count() == 7
+    assert spark.conf.get(session.CLEANUP) == setting
+
+
 def test_jdbc_options():
     assert writers.jdbc_options("jdbc:x", "t", user="u") == {
         "url": "jdbc:x", "dbtable": "t", "truncate": "true", "numPartitions": "8", "batchsize": "10000", "user": "u"}

@@ -231,3 +231,19 @@ def test_constants(spark):
     out = selection.pool_constants(sheet, lgd, "lgd", ci, {"tax_rate": 0.3})
     assert {r.constant_type: round(r.constant_value, 6) for r in out.collect()} == {
         "B": 3.56, "tax_rate": 0.3, "lgd": 0.45, "ci_ratio": 0.7}
+
+
+def test_methods_of_the_eligible_amounts_are_compiled(spark):
+    """The JVM interprets methods of more than 8000 bytes: lookups, amounts and what made the rows must not become one method."""
+    import re
+
+    from poolwright.plans import selection
+    from poolwright.workload.selection import setup
+    from poolwright.workload.tables import Tables
+
+    facilities, book = setup(Tables(spark, "/root/testdata/sf0.001"))
+    query = selection.eligible(facilities, book)._jdf.queryExecution()
+    query.toRdd().count()
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", debug.codegenString(query.executedPlan()))]
+    assert sizes and max(sizes) < 6000, sizes
