@@ -82,3 +82,18 @@ def test_ledger_rows_and_long_ids_are_not_sorted_as_they_are(tables):
     plan = cube.wide_cube(cube_sources(tables), L.VALUE_DATE, DATES)._jdf.queryExecution().optimizedPlan().toString()
     assert "distance" not in plan and "side#" not in plan
     assert plan.count("(_digest#") >= 4
+
+
+def test_staged_joins_leave_the_same_cube_and_no_relations(spark, wide, tables):
+    """The joins with all relations run one after the other; what is left to run has none of them."""
+    from pathlib import Path
+
+    from poolwright.session import Run
+
+    with (run := Run(spark)):
+        staged = cube.wide_cube(cube_sources(tables), L.VALUE_DATE, DATES, staged=True)
+        kept = {p.name.rsplit("-", 1)[0] for p in Path(run.folder).iterdir()}
+    assert kept >= {"econ-capital", "reg-capital", "provisions", "guarantees", "marked"} and "relations" not in kept
+    assert "_digest#" not in staged._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(str, staged.collect())) == sorted(map(str, wide.select(*staged.columns).collect()))
+    run.drop()
